@@ -254,42 +254,55 @@ def normalize_names(spark, sf):
     return N.normalize_names(raw)
 
 
-def nested_orders(spark, sf):
-    """Orders with their lines as a list of structs, in a fixed order. Lists are per order, a handful of lines."""
-    lines = table(spark, sf, "lineitem")
-    line = F.struct("l_linenumber", "l_partkey", "l_shipdate", "l_quantity", "l_extendedprice", "l_returnflag")
-    per_order = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sort_array(F.collect_list(line)).alias("lines"))
-    return table(spark, sf, "orders").join(per_order, "o_orderkey")
+def nested_documents(spark, sf):
+    """Documents with their lines as objects, each line with its words as objects."""
+    docs = table(spark, sf, "documents")
+    words = "transform(split(line, ' '), w -> named_struct('word', w))"
+    lines = f"transform(split(text, '\\n'), line -> named_struct('line', line, 'words', {words}))"
+    return docs.selectExpr("doc_id", "lang", f"{lines} AS lines")
 
 
 @register(
     "W19_shred_nested",
-    """SELECT sha256('{"o_orderkey":' || l_orderkey || '}') AS _parent_id, o.o_orderstatus,
-  row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_shipdate, l_quantity,
-    l_extendedprice, l_returnflag) - 1 AS _list_idx,
-  l_linenumber, l_partkey, l_shipdate, l_quantity, l_extendedprice, l_returnflag
-FROM lineitem JOIN orders o ON o_orderkey = l_orderkey""",
+    """WITH d AS (SELECT doc_id, lang, string_split(text, chr(10)) AS lines FROM documents)
+SELECT sha256('{"doc_id":' || doc_id || '}') AS _parent_id, lang,
+  unnest(range(len(lines))) AS _list_idx, unnest(lines) AS line FROM d""",
 )
 def shred_nested(spark, sf):
-    """Child table of the nested orders, joined back to its parent by the generated id."""
-    tables = N.shred_nested(nested_orders(spark, sf), "orders", key=["o_orderkey"], levels=1)
-    parent = tables["orders"].select(F.col("_row_id").alias("_parent_id"), "o_orderstatus")
-    return tables["orders__lines"].drop("_row_id").join(parent, "_parent_id").withColumn(
-        "_list_idx", F.col("_list_idx").cast("long")
+    """Child table of the lines, joined back to its parent by the generated id."""
+    tables = N.shred_nested(nested_documents(spark, sf), "documents", key=["doc_id"], levels=1)
+    parent = tables["documents"].select(F.col("_row_id").alias("_parent_id"), "lang")
+    child = tables["documents__lines"].select("_parent_id", F.col("_list_idx").cast("long"), "line")
+    return child.join(parent, "_parent_id")
+
+
+@register(
+    "W19_shred_two_levels",
+    """WITH d AS (SELECT doc_id, lang, string_split(text, chr(10)) AS lines FROM documents),
+l AS (SELECT doc_id, lang, unnest(range(len(lines))) AS line_no, unnest(lines) AS line FROM d),
+w AS (SELECT doc_id, lang, line_no, unnest(string_split(line, ' ')) AS word FROM l)
+SELECT lang, line_no, count(*) AS words, sum(length(word))::BIGINT AS letters FROM w GROUP BY 1, 2""",
+)
+def shred_two_levels(spark, sf):
+    """Words below lines below documents, linked upwards by id."""
+    tables = N.shred_nested(nested_documents(spark, sf), "documents", key=["doc_id"], levels=2)
+    words = tables["documents__lines__words"].select(F.col("_parent_id").alias("line_id"), "word")
+    per_line = words.groupBy("line_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("word")).alias("k"))
+    lines = tables["documents__lines"].select(
+        F.col("_row_id").alias("line_id"), F.col("_parent_id").alias("doc"), F.col("_list_idx").cast("long").alias("line_no")
+    )
+    docs = tables["documents"].select(F.col("_row_id").alias("doc"), "lang")
+    return per_line.join(lines, "line_id").join(docs, "doc").groupBy("lang", "line_no").agg(
+        F.sum("n").alias("words"), F.sum("k").alias("letters")
     )
 
 
 @register(
     "W20_keep_as_json",
-    """SELECT l_orderkey AS o_orderkey,
-  '[' || string_agg('{"line":' || l_linenumber || ',"part":' || l_partkey || '}', ',' ORDER BY l_linenumber, l_partkey)
-  || ']' AS lines FROM lineitem GROUP BY l_orderkey""",
+    """SELECT page_id, '["' || array_to_string(string_split(url, '/'), '","') || '"]' AS parts FROM pages""",
 )
 def keep_as_json(spark, sf):
-    lines = table(spark, sf, "lineitem")
-    pair = F.struct(F.col("l_linenumber").alias("line"), F.col("l_partkey").alias("part"))
-    nested = lines.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.sort_array(F.collect_list(pair)).alias("lines"))
-    return N.keep_as_json(nested)
+    return N.keep_as_json(table(spark, sf, "pages").select("page_id", F.split("url", "/").alias("parts")))
 
 
 @register(

@@ -119,8 +119,9 @@ def custom_query(spark, query: str, start=None, end=None, limit: int | None = No
     for name, frame in views.items():
         frame.createOrReplaceTempView(name)
     args = {"interval_start": start or LOWEST_TIME, "interval_end": end or HIGHEST_TIME}
-    typed = {k: F.lit(v).cast("timestamp_ntz") for k, v in args.items()}
-    return spark.sql(query.removeprefix("query:"), args={k: v for k, v in typed.items() if f":{k}" in query})
+    # Literals without a zone, like the columns they meet, so that the comparison is pushed down.
+    typed = {k: F.expr(f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'") for k, v in args.items() if f":{k}" in query}
+    return spark.sql(query.removeprefix("query:"), args=typed)
 
 
 def map_cursor(df: DataFrame, shard: str, sequence: str) -> DataFrame:
