@@ -281,6 +281,19 @@ def range_adaptive(spark, sf):
     return R.adaptive_chunks(moved, 8)
 
 
+@register(
+    "I16_range_calendar",
+    """WITH RECURSIVE b AS (SELECT CAST(min(o_orderdate) AS DATE) AS s, CAST(max(o_orderdate) AS DATE) AS e FROM orders),
+r AS (SELECT s AS chunk_start, least(CAST(s + INTERVAL 6 MONTH AS DATE), e) AS chunk_end, e FROM b
+  UNION ALL SELECT CAST(chunk_end + INTERVAL 1 DAY AS DATE),
+    least(CAST(chunk_end + INTERVAL 1 DAY + INTERVAL 6 MONTH AS DATE), e), e FROM r WHERE chunk_end < e)
+SELECT chunk_start, chunk_end FROM r""",
+)
+def range_calendar(spark, sf):
+    ends = order_bounds(spark, sf).selectExpr("to_date(start_at)", "to_date(end_at)").first()
+    return R.calendar_ranges(spark, ends[0], ends[1], 6)
+
+
 @register(
     "I17_offset_partitions",
     """WITH b AS (SELECT min(l_orderkey) AS lo, max(l_orderkey) + 1 AS hi FROM lineitem),

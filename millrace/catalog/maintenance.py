@@ -203,16 +203,16 @@ def cluster_by(spark, sf):
 
 
 @register(
-    "W14_export_single_file",
+    "W14_export_union",
     """SELECT c_custkey AS id, c_name AS name, c_mktsegment AS segment, CAST(NULL AS DOUBLE) AS balance FROM customer
 UNION ALL SELECT s_suppkey, s_name, NULL, s_acctbal FROM supplier""",
 )
-def export_single_file(spark, sf):
-    """Two frames with different columns into one CSV file, columns in first-seen order."""
+def export_union(spark, sf):
+    """Two frames with different columns into CSV, columns in first-seen order."""
     customers = table(spark, sf, "customer").selectExpr("c_custkey id", "c_name name", "c_mktsegment segment")
     suppliers = table(spark, sf, "supplier").selectExpr("s_suppkey id", "s_name name", "s_acctbal balance")
     path = scratch_path(spark, "export")
-    sink.export(M.stamp_lineage(customers, "x"), path, "csv", others=[suppliers], single_file=True)
+    sink.export(M.stamp_lineage(customers, "x"), path, "csv", others=[suppliers])
     return spark.read.csv(path, header=True, schema="id long, name string, segment string, balance double")
 
 

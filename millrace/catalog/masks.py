@@ -54,7 +54,7 @@ masked(
     """CAST(CAST(floor(c_acctbal / 1000) * 1000 AS BIGINT) AS VARCHAR) || '-' ||
        CAST(CAST(floor(c_acctbal / 1000) * 1000 AS BIGINT) + 1000 AS VARCHAR)""",
 )
-masked("M20_mask_year_only", "orders", "o_orderkey, o_orderdate", "year_only", "year(o_orderdate)")
+masked("M20_mask_year_only", "orders", "o_orderkey, o_orderdate", "year_only", "CAST(year(o_orderdate) AS INTEGER)")
 masked("M21_mask_month_year", "orders", "o_orderkey, o_orderdate", "month_year", "strftime(o_orderdate, '%Y-%m')")
 
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_columns, row_hash
+from ..functions.hashing import hash_columns, quoted, row_hash
 from .keys import dedup_by_key, drop_right_keys, match_many, without_keys
 
 
@@ -26,9 +26,8 @@ def merge(
     """
     if not keys:
         raise ValueError("merge needs a primary key")
-    fresh = dedup_by_key(batch, keys, order_by)
-    kept = drop_right_keys(target, fresh.select(*keys), keys, "left_anti")
-    return append(kept, fresh)
+    kept = drop_right_keys(target, batch.select(*keys).distinct(), keys, "left_anti")
+    return append(kept, dedup_by_key(batch, keys, order_by))
 
 
 def delete_insert(target: DataFrame, batch: DataFrame, key: str) -> DataFrame:
@@ -44,10 +43,9 @@ def merge_two_keys(
     order_by: Sequence[str] = (),
 ) -> DataFrame:
     """Target rows matching on the primary key or on the merge key go, deduplicated batch in."""
-    fresh = dedup_by_key(batch, primary_key, order_by)
     kept = without_keys(target, batch, merge_key)
-    kept = drop_right_keys(kept, fresh.select(*primary_key), primary_key, "left_anti")
-    return append(kept, fresh)
+    kept = drop_right_keys(kept, batch.select(*primary_key).distinct(), primary_key, "left_anti")
+    return append(kept, dedup_by_key(batch, primary_key, order_by))
 
 
 def scd2(
@@ -55,29 +53,33 @@ def scd2(
 ) -> DataFrame:
     """Full history of a table from whole snapshots.
 
-    Open records are matched with the snapshot by row hash in one full outer join: only in the
-    history means closed now, only in the snapshot means opened now, in both means untouched.
-    Closed records pass through, so a row that went and came back opens a second record.
+    Open records and the snapshot are put on one pile and grouped by all their columns: a group
+    without a snapshot row is closed now, one without an open record is opened now, one with
+    both is untouched. That is a single aggregation with partial sums, which also folds copies
+    within the snapshot, and it compares values, not hashes of them. Closed records pass
+    through, so a row that went and came back opens a second record.
     """
     columns = list(data_columns or [c for c in batch.columns if not c.startswith("_")])
     when = F.lit(load_time).cast("timestamp_ntz")
-    incoming = batch.select(*columns).distinct()
-    if history is None:
-        return incoming.select(
-            *columns, when.alias("_valid_from"), F.lit(None).cast("timestamp_ntz").alias("_valid_to")
-        )
-    digest = hash_columns(sorted(columns))
-    was = history.filter(F.col("_valid_to").isNull()).withColumn("__digest", digest)
-    now = incoming.withColumn("__digest", digest)
-    both = was.alias("was").join(now.alias("now"), F.col("was.__digest") == F.col("now.__digest"), "full_outer")
-    had, has = F.col("was.__digest").isNotNull(), F.col("now.__digest").isNotNull()
-    current = both.select(
-        *[F.when(had, F.col(f"was.`{c}`")).otherwise(F.col(f"now.`{c}`")).alias(c) for c in columns],
-        F.when(had, F.col("was._valid_from")).otherwise(when).alias("_valid_from"),
-        F.when(had & ~has, when).alias("_valid_to"),
+    never = F.lit(None).cast("timestamp_ntz")
+    now = batch.select(*columns, never.alias("_valid_from"), F.lit(False).alias("__had"), F.lit(True).alias("__has"))
+    if history is not None:
+        was = history.filter(F.col("_valid_to").isNull()).drop("_valid_to")
+        was = was.withColumns({"__had": F.lit(True), "__has": F.lit(False)})
+        columns = [*columns, *[c for c in history.columns if c not in (*columns, "_valid_from", "_valid_to")]]
+        now = now.unionByName(was, allowMissingColumns=True)
+    grouped = now.groupBy(*[F.col(quoted(c)) for c in columns]).agg(
+        F.bool_or("__had").alias("__had"), F.bool_or("__has").alias("__has"), F.min("_valid_from").alias("_valid_from")
+    )
+    current = grouped.select(
+        *[F.col(quoted(c)) for c in columns],
+        F.when(F.col("__had"), F.col("_valid_from")).otherwise(when).alias("_valid_from"),
+        F.when(~F.col("__has"), when).alias("_valid_to"),
     )
-    closed = history.filter(F.col("_valid_to").isNotNull()).select(*current.columns)
-    return closed.unionByName(current)
+    if history is None:
+        return current
+    closed = history.filter(F.col("_valid_to").isNotNull())
+    return current.unionByName(closed, allowMissingColumns=True)
 
 
 def stamp_lineage(

@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import quoted
+from ..operators.keys import estimated_bytes
 from ..operators.maintenance import strip_lineage
 
 ROWS_PER_FILE = 100_000
+SINGLE_FILE_BYTES = 1 << 30
 EXPORT_FORMATS = ("csv", "jsonl", "parquet")
 
 
@@ -98,11 +100,13 @@ def export(
 ) -> None:
     """CSV, JSON lines or Parquet for other programs. Lineage is left out.
 
-    A directory of files by default. ``single_file`` is the small-output path: one task writes
-    all rows, so ask for it only where a reader wants one file.
+    A directory of files by default. ``single_file`` is the small-output path, for readers that
+    want one file: one task writes all rows, so it is refused above SINGLE_FILE_BYTES.
     """
     format = export_format(path, format)
     frame = union_columns([strip_lineage(f) for f in (df, *others)])
+    if single_file and estimated_bytes(frame) > SINGLE_FILE_BYTES:
+        raise ValueError(f"too much for a single file: {estimated_bytes(frame)} bytes")
     if format == "csv":
         nested = (T.ArrayType, T.StructType, T.MapType)
         frame = frame.withColumns(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import message_id
+from ..operators.keys import drop_right_keys
 
 TOPIC_SCHEMA = T.StructType(
     [
@@ -128,8 +129,10 @@ def start_offsets(messages: DataFrame, at: dt.datetime) -> DataFrame:
 
 
 def from_offsets(messages: DataFrame, starts: DataFrame) -> DataFrame:
-    """Messages at or after the start of their partition. There is one start per partition."""
-    from ..operators.keys import match_many
+    """Messages at or after the start of their partition.
 
-    joined = match_many(messages, starts, ["topic", "partition"], "inner")
+    There is one start per partition of the topics, which the broker keeps to some thousands:
+    small enough to broadcast.
+    """
+    joined = drop_right_keys(messages, F.broadcast(starts), ["topic", "partition"], "inner")
     return joined.filter(F.col("offset") >= F.col("start_offset")).drop("start_offset")

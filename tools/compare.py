@@ -59,12 +59,30 @@ def compare(spark, con, sf_dir: str, query, sql: str | None) -> str | None:
     if not got:
         return "no rows"
     if got == want:
-        return None
+        return type_difference(frame, cursor.description)
     only_got = [r for r in got if r not in set(want)][:2]
     only_want = [r for r in want if r not in set(got)][:2]
     return f"rows {len(got)} vs {len(want)}; spark only {only_got}; sql only {only_want}"[:900]
 
 
+# Spark and DuckDB names of the types results may have.
+SAME_TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "string": "VARCHAR", "double": "DOUBLE", "timestamp_ntz": "TIMESTAMP",
+    "date": "DATE", "boolean": "BOOLEAN", "float": "FLOAT",
+}
+
+
+def type_difference(frame, description) -> str | None:
+    theirs = {d[0]: str(d[1]) for d in description}
+    wrong = []
+    for field in frame.schema.fields:
+        kind = field.dataType.simpleString()
+        expected = SAME_TYPES.get(kind, kind.upper())
+        if theirs[field.name].replace(" ", "") != expected.replace(" ", ""):
+            wrong.append(f"{field.name}: {kind} / {theirs[field.name]}")
+    return f"types differ: {wrong}" if wrong else None
+
+
 def main() -> None:
     from millrace.catalog import ORACLES, QUERIES
     from millrace.session import build_session
