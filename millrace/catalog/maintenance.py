@@ -255,11 +255,11 @@ def normalize_names(spark, sf):
 
 
 def nested_documents(spark, sf):
-    """Documents with their lines as objects, each line with its words as objects."""
+    """Documents with their lines as objects, each line with its words as objects, as files."""
     docs = table(spark, sf, "documents")
     words = "transform(split(line, ' '), w -> named_struct('word', w))"
     lines = f"transform(split(text, '\\n'), line -> named_struct('line', line, 'words', {words}))"
-    return docs.selectExpr("doc_id", "lang", f"{lines} AS lines")
+    return stage(docs.selectExpr("doc_id", "lang", f"{lines} AS lines"), "nested")
 
 
 @register(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -25,15 +25,9 @@ def will_broadcast(df: DataFrame) -> bool:
     return 0 <= estimated_bytes(df) <= limit
 
 
-def same_key(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    """Null-safe equality of all keys, planned as an equi-join."""
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & left[quoted(key)].eqNullSafe(right[quoted(key)])
-    return condition
-
-
-def match_many(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+def match_many(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_safe: bool = True
+) -> DataFrame:
     """Join many ``left`` rows to the distinct keys of ``right``.
 
     A small ``right`` is broadcast by Catalyst and ``left`` is not moved at all. Otherwise the
@@ -44,7 +38,7 @@ def match_many(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     ``right`` has one row per key. Columns of ``right`` beside the keys must not clash.
     """
     if will_broadcast(right):
-        return drop_right_keys(left, right, keys, how)
+        return drop_right_keys(left, right, keys, how, null_safe)
     fan = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     hot = (
         left.groupBy(*[F.col(quoted(k)) for k in keys])
@@ -61,18 +55,24 @@ def match_many(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str)
     ).drop("__hot")
     copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(fan - 1))).otherwise(F.array(F.lit(0)))
     salted_right = drop_right_keys(right, hot, keys, "left").withColumn("__salt", F.explode(copies)).drop("__hot")
-    return drop_right_keys(salted_left, salted_right, [*keys, "__salt"], how).drop("__salt")
+    return drop_right_keys(salted_left, salted_right, [*keys, "__salt"], how, null_safe).drop("__salt")
 
 
-def drop_right_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
-    """Null-safe join on ``keys`` that keeps the left key columns only."""
+def drop_right_keys(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_safe: bool = True
+) -> DataFrame:
+    """Equi-join on ``keys`` that keeps the left key columns only.
+
+    Null-safe by default, as merge keys are; plain equality lets bucketed tables join in place.
+    """
     renamed = right.select(
         *[F.col(quoted(k)).alias(f"__right_{i}") for i, k in enumerate(keys)],
         *[F.col(quoted(c)) for c in right.columns if c not in keys],
     )
     condition = F.lit(True)
     for i, key in enumerate(keys):
-        condition = condition & F.col(quoted(key)).eqNullSafe(F.col(f"__right_{i}"))
+        mine, theirs = F.col(quoted(key)), F.col(f"__right_{i}")
+        condition = condition & (mine.eqNullSafe(theirs) if null_safe else mine == theirs)
     joined = left.join(renamed, condition, how)
     return joined.drop(*[f"__right_{i}" for i in range(len(keys))])
 

@@ -108,4 +108,4 @@ def fan_out(parents: DataFrame, children: DataFrame, parent_key: str, child_key:
     One parent may own a large share of the children, hence the spread join.
     """
     side = parents.select(F.col(parent_key).alias(child_key), *[F.col(c).alias(f"parent_{c}") for c in carry])
-    return match_many(children, side, [child_key], "inner")
+    return match_many(children, side, [child_key], "inner", null_safe=False)
