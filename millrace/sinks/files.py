@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions.hashing import quoted
 from ..operators.keys import estimated_bytes
 from ..operators.maintenance import strip_lineage
+from ..session import stage
 
 ROWS_PER_FILE = 100_000
 SINGLE_FILE_BYTES = 1 << 30
@@ -105,8 +106,11 @@ def export(
     """
     format = export_format(path, format)
     frame = union_columns([strip_lineage(f) for f in (df, *others)])
-    if single_file and estimated_bytes(frame) > SINGLE_FILE_BYTES:
-        raise ValueError(f"too much for a single file: {estimated_bytes(frame)} bytes")
+    if single_file:
+        # The size is known once the rows are written.
+        frame = stage(frame, "export")
+        if estimated_bytes(frame) > SINGLE_FILE_BYTES:
+            raise ValueError(f"too much for a single file: {estimated_bytes(frame)} bytes")
     if format == "csv":
         nested = (T.ArrayType, T.StructType, T.MapType)
         frame = frame.withColumns(
@@ -116,5 +120,5 @@ def export(
         frame = frame.coalesce(1)
     writer = frame.write.format("json" if format == "jsonl" else format)
     if format == "csv":
-        writer = writer.option("header", True).option("emptyValue", "")
+        writer = writer.option("header", True).option("emptyValue", "").option("escape", '"')
     writer.save(path)
