@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions.hashing import hash_columns, quoted, row_hash
 from .keys import dedup_by_key, drop_right_keys, match_many, without_keys
 
+BUCKET_PREFIX = "_bucket_"
+
 
 def append(target: DataFrame, batch: DataFrame) -> DataFrame:
     """Old rows and new rows; missing columns become null."""
@@ -99,7 +101,39 @@ def stamp_lineage(
 
 
 def strip_lineage(df: DataFrame) -> DataFrame:
-    return df.drop("_load_id", "_row_id")
+    return df.drop("_load_id", "_row_id", *[c for c in df.columns if c.startswith(BUCKET_PREFIX)])
+
+
+def add_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> tuple[DataFrame, str]:
+    """A partition column from the key, so that an upsert rewrites the buckets of its keys only.
+
+    The number is part of the name. Keys are hashed as text: a key that widens from int to
+    bigint keeps its bucket.
+    """
+    name = f"{BUCKET_PREFIX}{buckets}"
+    digest = F.xxhash64(*[F.col(quoted(k)).cast("string") for k in keys])
+    return df.withColumn(name, F.pmod(digest, F.lit(buckets)).cast("int")), name
+
+
+def only_partitions(target: DataFrame, batch: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` in the partitions ``batch`` has rows for.
+
+    The values are collected: they are directories the batch was written to, which the driver
+    lists anyway, and as literals they prune the scan of the target.
+    """
+    touched = batch.select(*by).distinct().collect()
+    wanted = F.lit(False)
+    if len(by) == 1:
+        values = [r[0] for r in touched]
+        column = F.col(quoted(by[0]))
+        wanted = column.isin([v for v in values if v is not None])
+        return target.filter(wanted | column.isNull() if None in values else wanted)
+    for row in touched:
+        one = F.lit(True)
+        for name, value in zip(by, row):
+            one = one & F.col(quoted(name)).eqNullSafe(F.lit(value))
+        wanted = wanted | one
+    return target.filter(wanted)
 
 
 def fan_out(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str, carry: Sequence[str]) -> DataFrame:

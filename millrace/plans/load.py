@@ -50,7 +50,7 @@ def run_load(
     rows = shape(rows, request)
     if request.strategy == "merge" and request.primary_key:
         rows = dedup_by_key(rows, request.primary_key, [request.incremental_key] if request.incremental_key else [])
-    rows, partition = partitioned(rows, request)
+    rows, partition = partitioned(rows, request, head["partition_by"])
     if request.strategy != "scd2":
         rows = maintenance.stamp_lineage(rows, load_id, key=request.primary_key)
     if request.cluster_by:
@@ -97,11 +97,18 @@ def shape(rows: DataFrame, request: LoadRequest) -> DataFrame:
     return normalize.normalize_names(rows, request.naming)
 
 
-def partitioned(rows: DataFrame, request: LoadRequest) -> tuple[DataFrame, list[str]]:
-    if not request.partition_by:
-        return rows, []
-    rows, column = day_column(rows, request.partition_by)
-    return rows, [column]
+def partitioned(rows: DataFrame, request: LoadRequest, existing: list[str]) -> tuple[DataFrame, list[str]]:
+    """Partition columns: the ones asked for, or buckets. A table keeps the buckets it has."""
+    if request.partition_by:
+        rows, column = day_column(rows, request.partition_by)
+        return rows, [column]
+    buckets = request.buckets
+    if existing and existing[0].startswith(maintenance.BUCKET_PREFIX):
+        buckets = int(existing[0].removeprefix(maintenance.BUCKET_PREFIX))
+    if buckets and request.primary_key and request.strategy == "merge":
+        rows, column = maintenance.add_bucket(rows, request.primary_key, buckets)
+        return rows, [column]
+    return rows, []
 
 
 def next_position(table: SnapshotTable, batch: DataFrame, request: LoadRequest, cursor: dict | None) -> dict | None:
@@ -156,22 +163,21 @@ def apply_batch(
     if strategy == "delete+insert":
         if len(head["dirs"]) == 1 and head["partition_by"] == merge_key:
             # Partitioned by the key: whole partitions are exchanged, nothing else is read.
-            table.replace_partitions(normalize.evolve(target.limit(0), batch), load_id, position)
+            table.replace_partitions(normalize.evolve(target.filter(F.lit(False)), batch), load_id, position)
             return
         kept = maintenance.without_keys(target, batch, merge_key)
     else:
-        kept = maintenance.drop_right_keys(
-            target, batch.select(*request.primary_key), request.primary_key, "left_anti"
-        )
-        if merge_key:
-            kept = maintenance.without_keys(kept, batch, merge_key)
-        inside = set(head["partition_by"]) <= set(request.primary_key) and not merge_key
-        if len(head["dirs"]) == 1 and head["partition_by"] and inside:
-            # Rows cannot change partition, so only the partitions of the batch are rewritten.
-            by = head["partition_by"]
-            kept = maintenance.drop_right_keys(kept, batch.select(*by).distinct(), by, "left_semi")
+        by = head["partition_by"]
+        owned = set(by) <= set(request.primary_key) or all(c.startswith(maintenance.BUCKET_PREFIX) for c in by)
+        # Rows cannot change partition, so only the partitions of the batch are read and rewritten.
+        pruned = len(head["dirs"]) == 1 and by and owned and not merge_key and set(by) <= set(batch.columns)
+        old = maintenance.only_partitions(target, batch, by) if pruned else target
+        kept = maintenance.drop_right_keys(old, batch.select(*request.primary_key), request.primary_key, "left_anti")
+        if pruned:
             table.replace_partitions(normalize.evolve(kept, batch), load_id, position)
             return
+        if merge_key:
+            kept = maintenance.without_keys(kept, batch, merge_key)
     table.replace(normalize.evolve(kept, batch), load_id, head["partition_by"], position)
 
 

@@ -30,6 +30,8 @@ class LoadRequest:
     full_refresh: bool = False
     partition_by: str | None = None
     cluster_by: list[str] = field(default_factory=list)
+    # Parts of an upserted table without a partition of its own, by hash of the primary key.
+    buckets: int = 0
     columns: str = ""
     exclude: list[str] = field(default_factory=list)
     masks: list[str] = field(default_factory=list)

@@ -18,6 +18,16 @@ SINGLE_FILE_BYTES = 1 << 30
 EXPORT_FORMATS = ("csv", "jsonl", "parquet")
 
 
+def gathered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of a partition brought together before a partitioned write.
+
+    Without it every task writes a file to every partition it meets. Adaptive execution cuts
+    partitions that are too large into several tasks, so one that holds most rows is still
+    written by many, and joins small ones.
+    """
+    return df.hint("rebalance", *[F.col(quoted(c)) for c in columns]) if columns else df
+
+
 def write_dataset(
     df: DataFrame,
     path: str,
@@ -28,7 +38,7 @@ def write_dataset(
     **settings: str,
 ) -> None:
     """A directory of files, settings handed through to the writer."""
-    writer = df.write.format("json" if format == "jsonl" else format).mode(mode)
+    writer = gathered(df, layout).write.format("json" if format == "jsonl" else format).mode(mode)
     writer = writer.option("maxRecordsPerFile", rows_per_file).options(**settings)
     if layout:
         writer = writer.partitionBy(*layout)
@@ -38,10 +48,10 @@ def write_dataset(
 def route_tables(df: DataFrame, route: str, path: str, format: str = "parquet") -> None:
     """One stream into many tables, in one pass.
 
-    Table ``x`` is the directory ``_route=x``. Rows are not gathered by route first: each task
-    writes its share of every route, so a route holding most rows is written by all tasks.
+    Table ``x`` is the directory ``_route=x``.
     """
-    df.withColumn("_route", F.col(quoted(route))).write.format(format).partitionBy("_route").save(path)
+    routed = df.withColumn("_route", F.col(quoted(route)))
+    gathered(routed, ["_route"]).write.format(format).partitionBy("_route").save(path)
 
 
 def day_column(df: DataFrame, column: str) -> tuple[DataFrame, str]:
@@ -55,7 +65,7 @@ def day_column(df: DataFrame, column: str) -> tuple[DataFrame, str]:
 def write_partitioned(df: DataFrame, column: str, path: str, format: str = "parquet") -> None:
     """Partition hint."""
     frame, by = day_column(df, column)
-    frame.write.format(format).partitionBy(by).save(path)
+    gathered(frame, [by]).write.format(format).partitionBy(by).save(path)
 
 
 def cluster_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -143,6 +143,56 @@ def test_merge_only_rewrites_the_partitions_of_the_batch(spark, rows):
     assert table.read().count() == 30
 
 
+def test_buckets_confine_an_upsert(spark, rows):
+    path = scratch_path(spark, "buckets")
+    data = spark.range(200).selectExpr("CAST(id AS INT) AS id", "'old' AS v")
+    run_load(data, LoadRequest(source="t", target=path, strategy="merge", primary_key=["id"], buckets=8), "one")
+    table = SnapshotTable(spark, path)
+
+    def files():
+        return {bucket: set(fs) for bucket, fs in by_bucket(table.read().inputFiles()).items()}
+
+    def by_bucket(names):
+        found = {}
+        for name in names:
+            found.setdefault(name.split("_bucket_8=")[1].split("/")[0], []).append(name)
+        return found
+
+    before = files()
+    assert len(before) == 8
+    # The key has widened, and the number of buckets asked for is another one.
+    batch = spark.createDataFrame([(7, "new"), (1000, "new")], "id bigint, v string")
+    run_load(batch, LoadRequest(source="t", target=path, strategy="merge", primary_key=["id"], buckets=16), "two")
+    after = files()
+    changed = [b for b in before if before[b] != after[b]]
+    assert 1 <= len(changed) <= 2
+    out = M.strip_lineage(table.read())
+    assert out.columns == ["id", "v"] and out.count() == 201
+    assert rows(out.filter("v = 'new'"), "id") == [(1000,), (7,)]
+
+
+def test_append_to_a_partitioned_table(spark, rows):
+    path = scratch_path(spark, "parts")
+    request = LoadRequest(source="t", target=path, strategy="append", partition_by="at")
+    one = spark.createDataFrame([(1, dt.datetime(2024, 1, 1, 5)), (2, None)], "id int, at timestamp_ntz")
+    run_load(one, request, "one")
+    run_load(one.withColumn("extra", F.lit("x")), request, "two")
+    table = SnapshotTable(spark, path)
+    assert len(table.head()["dirs"]) == 2
+    assert rows(table.read(), "id", "at_day", "extra") == [
+        (1, dt.date(2024, 1, 1), "x"), (1, dt.date(2024, 1, 1), None), (2, None, "x"), (2, None, None),
+    ]
+
+
+def test_merge_in_null_partitions(spark, rows):
+    path = scratch_path(spark, "nulls")
+    data = spark.createDataFrame([(1, None, "old"), (2, "a", "old"), (3, "b", "old")], "id int, part string, v string")
+    request = LoadRequest(source="t", target=path, strategy="merge", primary_key=["id", "part"], partition_by="part")
+    run_load(data, request, "one")
+    run_load(data.filter("id < 3").withColumn("v", F.lit("new")), request, "two")
+    assert rows(SnapshotTable(spark, path).read(), "id", "part", "v") == [(1, None, "new"), (2, "a", "new"), (3, "b", "old")]
+
+
 def test_new_column_and_new_type_in_an_append(spark, rows):
     path = scratch_path(spark, "evolving")
     request = LoadRequest(source="t", target=path, strategy="append")
