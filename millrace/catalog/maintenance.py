@@ -254,11 +254,12 @@ def normalize_names(spark, sf):
     return N.normalize_names(raw)
 
 
-def nested_documents(spark, sf):
-    """Documents with their lines as objects, each line with its words as objects, as files."""
+def nested_documents(spark, sf, with_words=False):
+    """Documents with their lines as objects, and if asked each line's words as objects, as files."""
     docs = table(spark, sf, "documents")
     words = "transform(split(line, ' '), w -> named_struct('word', w))"
-    lines = f"transform(split(text, '\\n'), line -> named_struct('line', line, 'words', {words}))"
+    line = f"named_struct('line', line, 'words', {words})" if with_words else "named_struct('line', line)"
+    lines = f"transform(split(text, '\\n'), line -> {line})"
     return stage(docs.selectExpr("doc_id", "lang", f"{lines} AS lines"), "nested")
 
 
@@ -285,7 +286,7 @@ SELECT lang, line_no, count(*) AS words, sum(length(word))::BIGINT AS letters FR
 )
 def shred_two_levels(spark, sf):
     """Words below lines below documents, linked upwards by id."""
-    tables = N.shred_nested(nested_documents(spark, sf), "documents", key=["doc_id"], levels=2)
+    tables = N.shred_nested(nested_documents(spark, sf, with_words=True), "documents", key=["doc_id"], levels=2)
     words = tables["documents__lines__words"].select(F.col("_parent_id").alias("line_id"), "word")
     per_line = words.groupBy("line_id").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("word")).alias("k"))
     lines = tables["documents__lines"].select(

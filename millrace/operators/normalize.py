@@ -167,6 +167,20 @@ def wider(left: T.DataType, right: T.DataType) -> T.DataType | None:
     return max((left, right), key=lambda k: WIDENING.index(k.simpleString().split("(")[0]))
 
 
+# Types a Parquet file may have when it is read as another one.
+READ_AS = {
+    ("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"), ("smallint", "int"), ("smallint", "bigint"),
+    ("int", "bigint"), ("int", "double"), ("float", "double"),
+}
+
+
+def readable_as(files: T.StructType, schema: T.StructType) -> bool:
+    """Whether files with these columns can be read with that schema as they are."""
+    wanted = {f.name: f.dataType.simpleString() for f in schema.fields}
+    have = {f.name: f.dataType.simpleString() for f in files.fields}
+    return all(n in wanted and (k == wanted[n] or (k, wanted[n]) in READ_AS) for n, k in have.items())
+
+
 def evolve(target: DataFrame, batch: DataFrame) -> DataFrame:
     """Union in which new columns appear, missing ones are null and types widen.
 

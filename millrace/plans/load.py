@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import json
 import uuid
 from collections.abc import Callable
 
@@ -13,7 +12,6 @@ from pyspark.sql import functions as F
 from ..functions.hashing import quoted
 from ..operators import cursors, maintenance, masking, normalize
 from ..operators.keys import dedup_by_key
-from ..session import scratch_path
 from ..sinks.files import cluster_by, day_column
 from ..sinks.tables import SnapshotTable
 from .request import LoadRequest
@@ -150,13 +148,9 @@ def apply_batch(
     if fresh_start or strategy == "replace":
         table.commit(load_id, [name], batch.schema, partition, position)
         return
-    head, stored = table.head(), table.schema()
+    head = table.head()
     if strategy in ("append", "none"):
-        merged = normalize.evolve(table.read(), batch)
-        if compatible(stored, batch.schema):
-            table.commit(load_id, [*head["dirs"], name], merged.schema, head["partition_by"], position)
-        else:
-            table.replace(merged, load_id, head["partition_by"], position)
+        append_batch(table, batch, name, load_id, position)
         return
     target = table.read()
     merge_key = request.merge_key or ([request.incremental_key] if strategy == "delete+insert" else [])
@@ -181,14 +175,15 @@ def apply_batch(
     table.replace(normalize.evolve(kept, batch), load_id, head["partition_by"], position)
 
 
-def compatible(stored, incoming) -> bool:
-    """Whether files with ``incoming`` columns can be read with the stored schema beside old ones."""
-    known = {f.name: f.dataType for f in stored.fields}
-    return all(f.name not in known or known[f.name] == f.dataType for f in incoming.fields)
-
-
-def head_json(table: SnapshotTable) -> str:
-    return json.dumps(table.head(), indent=1)
-
+def append_batch(table: SnapshotTable, batch: DataFrame, name: str, load_id: str, position: dict | None) -> None:
+    """Add the batch at the cost of the batch: old files are rewritten only if they cannot be
+    read with the new schema, which a new column or a wider number does not cause."""
+    head, target = table.head(), table.read()
+    merged = normalize.evolve(target, batch)
+    if not normalize.readable_as(table.schema(), merged.schema):
+        table.replace(merged, load_id, head["partition_by"], position)
+    elif normalize.readable_as(batch.schema, merged.schema):
+        table.commit(load_id, [*head["dirs"], name], merged.schema, head["partition_by"], position)
+    else:
+        table.append(normalize.evolve(target.filter(F.lit(False)), batch), load_id, position)
 
-__all__ = ["run_load", "scratch_path"]

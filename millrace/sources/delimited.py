@@ -59,8 +59,7 @@ def scan_csv_headless(
 ) -> DataFrame:
     """No header; names as given, else ``unknown_col_0`` and so on. The first line is data."""
     if names is None:
-        files = hadoop.matching_files(spark, path)
-        first = next((line for line in hadoop.first_lines(spark, files[:1]) if line is not None), "")
+        first = hadoop.first_line(spark, hadoop.matching_files(spark, path)) or ""
         names = [f"unknown_col_{i}" for i in range(len(header_of(first, delimiter)))]
     return spark.read.schema(text_schema(names)).option("sep", delimiter).options(**options).csv(path)
 
@@ -72,8 +71,7 @@ def sniff_delimiter(line: str) -> str:
 
 def scan_csv_sniffed(spark: SparkSession, path: str, **options: str) -> DataFrame:
     """Delimiter from the first header, types from the data."""
-    files = hadoop.matching_files(spark, path)
-    first = next((line for line in hadoop.first_lines(spark, files[:1]) if line is not None), None)
+    first = hadoop.first_line(spark, hadoop.matching_files(spark, path))
     if first is None:
         return spark.createDataFrame([], T.StructType([]))
     return scan_csv(spark, path, sniff_delimiter(first), infer=True, **options)

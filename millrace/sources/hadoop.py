@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
@@ -77,3 +78,23 @@ def first_lines(spark: SparkSession, files: list[str], threads: int = 32) -> lis
 
     with ThreadPoolExecutor(max_workers=threads) as pool:
         return list(pool.map(peek, files))
+
+
+def first_line(spark: SparkSession, files: list[str], step: int = 32) -> str | None:
+    """The first line of the first file that has one; empty files are passed over."""
+    for i in range(0, len(files), step):
+        found = next((line for line in first_lines(spark, files[i : i + step]) if line is not None), None)
+        if found is not None:
+            return found
+    return None
+
+
+def old_folders(spark: SparkSession, path: str, hours: float) -> list[str]:
+    """Names of the folders in ``path`` last changed more than ``hours`` ago."""
+    limit = (time.time() - hours * 3600) * 1000
+    children = _fs(spark, path).listStatus(_path(spark, path))
+    return [c.getPath().getName() for c in children if c.isDirectory() and c.getModificationTime() < limit]
+
+
+def delete_folder(spark: SparkSession, path: str) -> None:
+    _fs(spark, path).delete(_path(spark, path), True)

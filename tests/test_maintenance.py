@@ -199,6 +199,8 @@ def test_new_column_and_new_type_in_an_append(spark, rows):
     run_load(spark.createDataFrame([(1, 5)], "id int, n int"), request, "one")
     run_load(spark.createDataFrame([(2, 5_000_000_000, "x")], "id int, n bigint, extra string"), request, "two")
     run_load(spark.createDataFrame([(3, "many")], "id int, n string"), request, "three")
+    # No file was written twice.
+    assert len(SnapshotTable(spark, path).head()["dirs"]) == 3
     table = SnapshotTable(spark, path).read()
     assert rows(table, "id", "n", "extra", "n__v_text") == [
         (1, 5, None, None), (2, 5_000_000_000, "x", None), (3, None, None, "many"),
@@ -325,3 +327,57 @@ def test_two_keys(spark, rows):
     batch = spark.createDataFrame([(1, "fri", "new"), (9, "tue", "new"), (9, "tue", "new")], target.schema)
     got = M.merge_two_keys(target, batch, ["id"], ["day"])
     assert rows(got) == [(1, "fri", "new"), (3, "wed", "old"), (9, "tue", "new")]
+
+
+def test_text_comes_first_then_numbers(spark, rows):
+    """The table holds text: numbers of the batch are turned into text, old files stay."""
+    path = scratch_path(spark, "texts")
+    request = LoadRequest(source="t", target=path, strategy="append")
+    run_load(spark.createDataFrame([("x",)], "v string"), request, "one")
+    run_load(spark.createDataFrame([(2,)], "v int"), request, "two")
+    run_load(spark.createDataFrame([(True,)], "flag boolean"), request, "three")
+    table = SnapshotTable(spark, path)
+    assert len(table.head()["dirs"]) == 3
+    assert rows(table.read(), "v", "flag") == [("2", None), ("x", None), (None, True)]
+
+
+def test_a_type_that_files_cannot_be_read_as(spark, rows):
+    path = scratch_path(spark, "rewritten")
+    request = LoadRequest(source="t", target=path, strategy="append")
+    run_load(spark.createDataFrame([(5,)], "v bigint"), request, "one")
+    run_load(spark.createDataFrame([(0.5,)], "v double"), request, "two")
+    table = SnapshotTable(spark, path)
+    assert len(table.head()["dirs"]) == 1
+    assert rows(table.read(), "v", "_load_id") == [(0.5, "two"), (5.0, "one")]
+
+
+def test_expired_snapshots_go(spark, rows):
+    table = SnapshotTable(spark, scratch_path(spark, "expiring"))
+    for i in range(3):
+        table.replace(spark.range(i + 1), f"load-{i}")
+    assert table.expire(hours=1) == []
+    assert len(table.expire(hours=-1)) == 2
+    assert table.read().count() == 3
+
+
+def test_bucketed_tables_join_in_place(spark, no_broadcast):
+    from millrace.operators.keys import drop_right_keys
+    from millrace.sinks.files import write_bucketed
+
+    write_bucketed(spark.range(100).selectExpr("id AS k", "id AS a"), "bucketed_left", ["k"], 4)
+    write_bucketed(spark.range(50).selectExpr("id AS k", "id AS b"), "bucketed_right", ["k"], 4)
+    joined = drop_right_keys(spark.table("bucketed_left"), spark.table("bucketed_right"), ["k"], "inner", null_safe=False)
+    assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 50
+
+
+@pytest.mark.parametrize("format", ["parquet", "jsonl"])
+def test_dataset_formats(spark, rows, tmp_path, format):
+    from millrace.sinks.files import write_dataset
+
+    data = spark.range(10).selectExpr("id", "id % 2 AS part")
+    write_dataset(data, str(tmp_path / "d"), format, rows_per_file=2, layout=["part"], compression="gzip")
+    reader = spark.read.schema("id long, part long")
+    back = reader.parquet(str(tmp_path / "d")) if format == "parquet" else reader.json(str(tmp_path / "d"))
+    assert rows(back) == rows(data)
+    assert len(back.inputFiles()) == 6

@@ -43,6 +43,8 @@ def test_csv_quoted_header_and_bom(spark, put, rows):
 
 
 def test_headless_names(spark, put, rows):
+    put("a-empty.csv", "")
+    assert len(delimited.scan_csv_headless(spark, put("h.csv", "1,x\n2,y\n")).columns) == 2
     folder = put("h.csv", "1,x\n2,y\n")
     assert delimited.scan_csv_headless(spark, folder + "/h.csv").columns == ["unknown_col_0", "unknown_col_1"]
     named = delimited.scan_csv_headless(spark, folder + "/h.csv", ["id", "kind"])
