@@ -40,6 +40,8 @@ MASKS: dict[str, Mask] = {
 # Masks over the distinct values of a column rather than over one cell.
 TOKEN_MASKS = ("uuid", "sequential")
 UNSTABLE = ("date_shift", "noise", "random", "uuid")
+# Sequential numbers are the same for the same table, but not for the next batch of it.
+PER_RUN = (*UNSTABLE, "sequential")
 
 
 def required_key(key: str | None) -> str:

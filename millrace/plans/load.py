@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 import uuid
 from collections.abc import Callable
@@ -42,10 +43,14 @@ def run_load(
     fresh_start = full_refresh or request.full_refresh or not head["dirs"]
     cursor = None if fresh_start else head["cursor"]
 
-    rows = new_rows(source, request, cursor)
+    rows = source
     for transform in transforms:
         rows = rows.transform(transform)
-    rows = shape(rows, request)
+    rows, request = typed_rows(rows, request)
+    rows = new_rows(rows, request, cursor)
+    if request.masks:
+        rows = masking.mask_table(rows, request.masks)
+    rows = without_seen(rows, request, cursor)
     if request.strategy == "merge" and request.primary_key:
         rows = dedup_by_key(rows, request.primary_key, [request.incremental_key] if request.incremental_key else [])
     rows, partition = partitioned(rows, request, head["partition_by"])
@@ -65,21 +70,34 @@ def run_load(
     return load_id
 
 
-def new_rows(source: DataFrame, request: LoadRequest, cursor: dict | None) -> DataFrame:
+def typed_rows(source: DataFrame, request: LoadRequest) -> tuple[DataFrame, LoadRequest]:
+    """Columns under their final names and types, and the request naming them so."""
+    rows = normalize.exclude_columns(source, request.exclude) if request.exclude else source
+    renamed = normalize.normalize_names(rows, request.naming)
+    final = dict(zip(rows.columns, renamed.columns))
+    request = dataclasses.replace(
+        request,
+        incremental_key=final.get(request.incremental_key, request.incremental_key),
+        primary_key=[final.get(k, k) for k in request.primary_key],
+        merge_key=[final.get(k, k) for k in request.merge_key],
+        cluster_by=[final.get(k, k) for k in request.cluster_by],
+        partition_by=final.get(request.partition_by, request.partition_by),
+        masks=[":".join([final.get(m.split(":")[0], m.split(":")[0]), *m.split(":")[1:]]) for m in request.masks],
+    )
+    if request.columns:
+        hints = {final.get(n, n): kind for n, kind in normalize.parse_columns(request.columns).items()}
+        renamed = normalize.apply_column_types(renamed, hints)
+    return renamed, request
+
+
+def new_rows(rows: DataFrame, request: LoadRequest, cursor: dict | None) -> DataFrame:
+    """Rows of the interval, or from the position on, that row included; the filter reaches the scan."""
     key = request.incremental_key
-    rows = source
-    if request.exclude:
-        rows = normalize.exclude_columns(rows, request.exclude)
     if request.interval_end is not None and key:
         # A closed-off interval is a backfill: it neither uses the position nor moves it.
         return cursors.interval_filter(rows, key, request.interval_start, request.interval_end, request.bounds)
     if key and cursor:
-        last = cursors.literal_of(rows, key, cursor["last"])
-        if request.strategy == "delete+insert":
-            rows = rows.filter(F.col(quoted(key)) >= last)
-        else:
-            seen = source.sparkSession.read.schema("key_hash string").parquet(cursor["seen"])
-            rows = cursors.read_after(rows, key, last, seen, request.primary_key)
+        rows = rows.filter(F.col(quoted(key)) >= cursors.literal_of(rows, key, cursor["last"]))
     elif key and request.interval_start is not None:
         rows = cursors.interval_filter(rows, key, request.interval_start, None, request.bounds)
     if request.limit is not None:
@@ -87,12 +105,25 @@ def new_rows(source: DataFrame, request: LoadRequest, cursor: dict | None) -> Da
     return rows
 
 
-def shape(rows: DataFrame, request: LoadRequest) -> DataFrame:
-    if request.masks:
-        rows = masking.mask_table(rows, request.masks)
-    if request.columns:
-        rows = normalize.apply_column_types(rows, request.columns)
-    return normalize.normalize_names(rows, request.naming)
+def without_seen(rows: DataFrame, request: LoadRequest, cursor: dict | None) -> DataFrame:
+    """Rows at the position that the last run loaded go, unless their whole day is replaced anyway.
+
+    What was loaded is remembered in its final form, so this comes after the masks.
+    """
+    key = request.incremental_key
+    if not (key and cursor) or request.interval_end is not None or request.strategy == "delete+insert":
+        return rows
+    seen = rows.sparkSession.read.schema("key_hash string").parquet(cursor["seen"])
+    last = cursors.literal_of(rows, key, cursor["last"])
+    return cursors.read_after(rows, key, last, seen, identity(rows, request))
+
+
+def identity(rows: DataFrame, request: LoadRequest) -> list[str]:
+    """What tells a row: its key, or its data as far as that is the same on every run."""
+    if request.primary_key:
+        return request.primary_key
+    changing = {m.split(":")[0] for m in request.masks if m.split(":")[1].strip().lower() in masking.PER_RUN}
+    return sorted(c for c in rows.columns if c not in changing and not c.startswith("_"))
 
 
 def partitioned(rows: DataFrame, request: LoadRequest, existing: list[str]) -> tuple[DataFrame, list[str]]:
@@ -118,7 +149,7 @@ def next_position(table: SnapshotTable, batch: DataFrame, request: LoadRequest,
     if highest is None:
         return cursor
     text = batch.sparkSession.sql("SELECT CAST(? AS STRING) t", args=[highest]).first()["t"]
-    hashes = cursors.key_hashes(batch, key, highest, request.primary_key)
+    hashes = cursors.key_hashes(batch, key, highest, identity(batch, request))
     if cursor and cursor["last"] == text:
         old = batch.sparkSession.read.schema("key_hash string").parquet(cursor["seen"])
         hashes = hashes.union(old).distinct()

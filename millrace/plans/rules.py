@@ -5,7 +5,7 @@ from __future__ import annotations
 import dataclasses
 import datetime as dt
 
-from ..operators.masking import unstable_masks
+from ..operators.masking import PER_RUN, unstable_masks
 from .request import FORMATS, SINK_KINDS, SOURCE_KINDS, STRATEGIES, LoadError, LoadRequest
 
 
@@ -53,6 +53,11 @@ def check(request: LoadRequest, now: dt.datetime | None = None) -> None:
         refuse(
             unstable_masks(r.masks), f"scd2 with masks that change per run: {', '.join(unstable_masks(r.masks))}"
         )
+    # A position or a key that a mask has changed finds nothing on the next run.
+    masked = {m.split(":")[0]: m.split(":")[1].strip().lower() for m in r.masks if ":" in m}
+    refuse(r.incremental_key in masked, "the incremental key cannot be masked")
+    lost = [k for k in r.primary_key if masked.get(k) in PER_RUN]
+    refuse(lost, f"the mask of the key {', '.join(lost)} changes per run")
     # V07
     refuse(r.multiple_tables and r.sink_kind == "single_file", "several tables do not fit in one file; select one")
     # V08

@@ -351,6 +351,33 @@ def test_a_type_that_files_cannot_be_read_as(spark, rows):
     assert rows(table.read(), "v", "_load_id") == [(0.5, "two"), (5.0, "one")]
 
 
+@pytest.mark.parametrize("key", [["User Id"], []])
+def test_names_types_and_masks_around_the_position(spark, rows, key):
+    """Keys are given by source names; the key is masked, the cursor arrives as text."""
+    path = scratch_path(spark, "shaped")
+    schema = "`User Id` int, `updatedAt` string, secret string, note string"
+    data = [(1, "2024-01-01T00:00:00", "a", "x"), (2, "2024-01-02T00:00:00", "b", "x")]
+    request = LoadRequest(
+        source="t", target=path, strategy="append", incremental_key="updatedAt", primary_key=key, naming="snake_case",
+        columns="updatedAt:timestamp", masks=["User Id:sha256", "secret:random"], exclude=["note"],
+    )
+    run_load(spark.createDataFrame(data, schema), request, "one")
+    more = [*data, (3, "2024-01-02T00:00:00", "c", "x"), (4, "2024-01-10T00:00:00", "d", "x")]
+    run_load(spark.createDataFrame(more, schema), request, "two")
+    run_load(spark.createDataFrame(more, schema), request, "three")
+    table = SnapshotTable(spark, path).read()
+    assert [c for c in table.columns if not c.startswith("_")] == ["user_id", "updated_at", "updated_at__v_text", "secret"]
+    assert table.count() == 4 and table.select("user_id").distinct().count() == 4
+    assert dict(rows(SnapshotTable(spark, path).load_counts())) == {"one": 2, "two": 2}
+
+
+def test_transforms_and_limit(spark, rows):
+    path = scratch_path(spark, "limited")
+    request = LoadRequest(source="t", target=path, incremental_key="id", limit=3)
+    run_load(spark.range(10), request, "one", transforms=(lambda df: df.withColumn("double", F.col("id") * 2),))
+    assert rows(SnapshotTable(spark, path).read(), "id", "double") == [(0, 0), (1, 2), (2, 4)]
+
+
 def test_expired_snapshots_go(spark, rows):
     table = SnapshotTable(spark, scratch_path(spark, "expiring"))
     for i in range(3):

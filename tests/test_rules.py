@@ -24,6 +24,8 @@ REFUSED = {
     "V04 limit": dict(GOOD, strategy="scd2", limit=5),
     "V05 uuid": dict(GOOD, strategy="scd2", masks=["name:uuid"]),
     "V05 noise": dict(GOOD, strategy="scd2", masks=["a:sha256", "n:noise:0.1"]),
+    "masked cursor": dict(GOOD, incremental_key="d", masks=["d:year_only"]),
+    "masked key": dict(GOOD, strategy="merge", primary_key=["id"], masks=["id:sequential"]),
     "V07": dict(GOOD, multiple_tables=True, sink_kind="single_file"),
     "V08": dict(GOOD, format="avro"),
     "V09 cursor": dict(GOOD, source_kind="queue", incremental_key="d"),
