@@ -118,9 +118,17 @@ def load_merge_two_keys(spark, sf):
 T1, T2, T3 = (dt.datetime(2024, m, 1) for m in (1, 2, 3))
 
 
-@register(
-    "W06_load_scd2",
-    """WITH marked AS (SELECT *, coalesce(c_mktsegment = 'MACHINERY' AND c_acctbal < 0, false) AS gone,
+def customer_snapshots(spark, sf):
+    """The customers, then some gone and some changed, then the customers again."""
+    customer = table(spark, sf, "customer")
+    changed = F.col("c_mktsegment") == "BUILDING"
+    second = customer.filter("NOT (c_mktsegment = 'MACHINERY' AND c_acctbal < 0)").withColumn(
+        "c_acctbal", F.when(changed, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
+    )
+    return customer, second, customer
+
+
+HISTORY = """WITH marked AS (SELECT *, coalesce(c_mktsegment = 'MACHINERY' AND c_acctbal < 0, false) AS gone,
                        coalesce(c_mktsegment = 'BUILDING', false) AS changed FROM customer),
 t AS (SELECT TIMESTAMP '2024-01-01 00:00:00' AS t1, TIMESTAMP '2024-02-01 00:00:00' AS t2,
              TIMESTAMP '2024-03-01 00:00:00' AS t3, CAST(NULL AS TIMESTAMP) AS none)
@@ -128,18 +136,25 @@ SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, t1 AS _valid_fro
        CASE WHEN gone OR changed THEN t2 END AS _valid_to FROM marked, t
 UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal + 1, c_mktsegment, t2, t3 FROM marked, t WHERE changed
 UNION ALL SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment, t3, none FROM marked, t
-          WHERE gone OR changed""",
-)
+          WHERE gone OR changed"""
+
+
+@register("W06_load_scd2", HISTORY)
 def load_scd2(spark, sf):
     """Three snapshots: some rows go and come back, some change and change back."""
-    customer = table(spark, sf, "customer")
-    changed = F.col("c_mktsegment") == "BUILDING"
-    second = customer.filter("NOT (c_mktsegment = 'MACHINERY' AND c_acctbal < 0)").withColumn(
-        "c_acctbal", F.when(changed, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))
-    )
-    history = M.scd2(None, customer, T1)
-    history = stage(M.scd2(history, second, T2), "history")
-    return M.scd2(history, customer, T3)
+    first, second, third = customer_snapshots(spark, sf)
+    history = stage(M.scd2(M.scd2(None, first, T1), second, T2), "history")
+    return M.scd2(history, third, T3)
+
+
+@register("W06_history_load", HISTORY)
+def history_load(spark, sf):
+    """The same as loads of a table, closed records in folders that are not written again."""
+    path = scratch_path(spark, "history")
+    request = LoadRequest(source="customer", target=path, strategy="scd2")
+    for frame, at in zip(customer_snapshots(spark, sf), (T1, T2, T3)):
+        run_load(frame, request, f"at-{at:%Y-%m-%d}", load_time=at)
+    return SnapshotTable(spark, path).read()
 
 
 @register("W08_full_refresh", "SELECT event_id, ts, user_id, event_type, value, props FROM events")

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import hash_columns, quoted, row_hash
 from .keys import dedup_by_key, drop_right_keys, match_many, without_keys
+from .widening import align, cast_like
 
 BUCKET_PREFIX = "_bucket_"
 
@@ -69,6 +70,7 @@ def scd2(
         was = history.filter(F.col("_valid_to").isNull()).drop("_valid_to")
         was = was.withColumns({"__had": F.lit(True), "__has": F.lit(False)})
         columns = [*columns, *[c for c in history.columns if c not in (*columns, "_valid_from", "_valid_to")]]
+        now, was = align(now, was)
         now = now.unionByName(was, allowMissingColumns=True)
     grouped = now.groupBy(*[F.col(quoted(c)) for c in columns]).agg(
         F.bool_or("__had").alias("__had"), F.bool_or("__has").alias("__has"), F.min("_valid_from").alias("_valid_from")
@@ -80,7 +82,7 @@ def scd2(
     )
     if history is None:
         return current
-    closed = history.filter(F.col("_valid_to").isNotNull())
+    closed = cast_like(history.filter(F.col("_valid_to").isNotNull()), current.schema)
     return current.unionByName(closed, allowMissingColumns=True)
 
 

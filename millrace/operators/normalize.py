@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.hashing import quoted
 from .maintenance import stamp_lineage
+from .widening import wider
 
 # Type names of column hints.
 TYPE_NAMES = {
@@ -28,9 +29,6 @@ TYPE_NAMES = {
     "wei": "decimal(38,0)",
 }
 
-# Each type widens to any later one; text holds everything.
-WIDENING = ("boolean", "tinyint", "smallint", "int", "bigint", "decimal", "float", "double", "string")
-
 VARIANT_NAMES = {"string": "text", "double": "double", "bigint": "bigint", "boolean": "bool", "date": "date"}
 
 
@@ -153,20 +151,6 @@ def keep_as_json(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
     return df.withColumns({c: F.to_json(F.col(quoted(c))) for c in chosen}) if chosen else df
 
 
-def wider(left: T.DataType, right: T.DataType) -> T.DataType | None:
-    """The type both fit in by plain widening, or None."""
-    if left == right:
-        return left
-    ranks = [k.simpleString().split("(")[0] for k in (left, right)]
-    if not all(r in WIDENING[1:-1] for r in ranks):
-        return None
-    if isinstance(left, T.DecimalType) and isinstance(right, T.DecimalType):
-        scale = max(left.scale, right.scale)
-        whole = max(left.precision - left.scale, right.precision - right.scale)
-        return T.DecimalType(min(whole + scale, 38), scale)
-    return max((left, right), key=lambda k: WIDENING.index(k.simpleString().split("(")[0]))
-
-
 # Types a Parquet file may have when it is read as another one.
 READ_AS = {
     ("tinyint", "smallint"), ("tinyint", "int"), ("tinyint", "bigint"), ("smallint", "int"), ("smallint", "bigint"),

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.hashing import quoted
 from ..operators import cursors, maintenance, masking, normalize
 from ..operators.keys import dedup_by_key
+from ..operators.widening import cast_like
 from ..sinks.files import cluster_by, day_column
 from ..sinks.tables import SnapshotTable
 from .request import LoadRequest
@@ -145,11 +146,10 @@ def next_position(table: SnapshotTable, batch: DataFrame, request: LoadRequest,
     key = request.incremental_key
     if not key or request.interval_end is not None:
         return table.head()["cursor"] if request.interval_end is not None else None
-    highest = batch.agg(F.max(quoted(key)).alias("m")).first()["m"]
-    if highest is None:
+    text = batch.agg(F.max(quoted(key)).cast("string").alias("m")).first()["m"]
+    if text is None:
         return cursor
-    text = batch.sparkSession.sql("SELECT CAST(? AS STRING) t", args=[highest]).first()["t"]
-    hashes = cursors.key_hashes(batch, key, highest, identity(batch, request))
+    hashes = cursors.key_hashes(batch, key, text, identity(batch, request))
     if cursor and cursor["last"] == text:
         old = batch.sparkSession.read.schema("key_hash string").parquet(cursor["seen"])
         hashes = hashes.union(old).distinct()
@@ -171,10 +171,8 @@ def apply_batch(
 ) -> None:
     strategy = request.strategy
     if strategy == "scd2":
-        history = None if fresh_start else table.read()
         when = load_time or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        data = [c for c in batch.columns if not c.startswith("_")]
-        table.replace(maintenance.scd2(history, batch, when, data), load_id, partition, position)
+        apply_snapshot(table, batch, load_id, fresh_start, partition, position, when)
         return
     if fresh_start or strategy == "replace":
         table.commit(load_id, [name], batch.schema, partition, position)
@@ -206,6 +204,36 @@ def apply_batch(
     table.replace(normalize.evolve(kept, batch), load_id, head["partition_by"], position)
 
 
+def apply_snapshot(
+    table: SnapshotTable,
+    batch: DataFrame,
+    load_id: str,
+    fresh_start: bool,
+    partition: list[str],
+    position: dict | None,
+    when: dt.datetime,
+) -> None:
+    """SCD2: only open records are compared, and closed ones are left where they are."""
+    data = [c for c in batch.columns if not c.startswith("_")]
+    if fresh_start:
+        opened = maintenance.scd2(None, batch, when, data)
+        table.replace_open_records(opened, load_id, opened.filter(F.lit(False)), partition, position)
+        return
+    dirs = table.open_dirs()
+    current = maintenance.scd2(table.read(dirs) if dirs else None, batch, when, data)
+    merged = normalize.evolve(table.read().filter(F.lit(False)), current).schema
+    closed = None
+    if not normalize.readable_as(table.schema(), current.schema):
+        # Columns gone from the source stay in the schema, as nulls; changed types are rewritten.
+        known = {f.name: f.dataType.simpleString() for f in current.schema.fields}
+        missing = [f.name for f in merged.fields if f.name not in known]
+        current = current.withColumns({n: F.lit(None).cast(merged[n].dataType) for n in missing})
+        if not normalize.readable_as(table.schema(), current.schema):
+            earlier = table.closed_dirs()
+            closed = cast_like(table.read(earlier), current.schema) if earlier else current.filter(F.lit(False))
+    table.replace_open_records(current, load_id, closed, partition, position)
+
+
 def append_batch(table: SnapshotTable, batch: DataFrame, name: str, load_id: str, position: dict | None) -> None:
     """Add the batch at the cost of the batch: old files are rewritten only if they cannot be
     read with the new schema, which a new column or a wider number does not cause."""

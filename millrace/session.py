@@ -15,6 +15,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Size of the pieces a gathered write is cut into, and so of its files.
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     # Stream state beyond the memory of an executor, with checkpoints that hold changes only.
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"

@@ -234,6 +234,40 @@ def test_history_load_end_to_end(spark, rows):
     ]
 
 
+def test_closed_records_are_not_written_again(spark, rows):
+    path = scratch_path(spark, "long-history")
+    request = LoadRequest(source="people", target=path, strategy="scd2")
+    table = SnapshotTable(spark, path)
+    snapshots = [[(1, "a", "x"), (2, "b", "y")], [(1, "a", "z"), (2, "b", "y")], [], [(1, "a", "z")], [(1, "a", "z"), (3, "c", "w")]]
+    expected = None
+    for i, snapshot in enumerate(snapshots):
+        at = T1 + dt.timedelta(days=i)
+        frame = spark.createDataFrame(snapshot, PEOPLE)
+        run_load(frame, request, f"load-{i}", load_time=at)
+        expected = M.scd2(expected, frame, at)
+        columns = ("id", "city", "_valid_from", "_valid_to")
+        assert rows(table.read(), *columns) == rows(expected, *columns)
+        if i == 1:
+            closed = table.closed_dirs()
+        if i > 1:
+            assert set(closed) <= set(table.head()["dirs"])
+    before = rows(table.read())
+    assert table.expire(hours=-1)
+    assert rows(table.read()) == before
+
+
+def test_history_of_a_table_that_changes_shape(spark, rows):
+    path = scratch_path(spark, "changing-history")
+    request = LoadRequest(source="people", target=path, strategy="scd2")
+    run_load(spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string"), request, "one", load_time=T1)
+    run_load(spark.createDataFrame([(1, "a")], "id int, v string"), request, "two", load_time=T2)
+    # A column more, and a key that is text now: open records are new versions.
+    run_load(spark.createDataFrame([("1", "a", 5)], "id string, v string, n int"), request, "three", load_time=T3)
+    assert rows(SnapshotTable(spark, path).read(), "id", "v", "n", "_valid_from", "_valid_to") == [
+        ("1", "a", 5, T3, None), ("1", "a", None, T1, T3), ("2", "b", None, T1, T2),
+    ]
+
+
 cells = st.tuples(st.integers(0, 5), st.sampled_from(["x", "y", None]), st.integers(0, 3))
 frames = st.lists(cells, max_size=12)
 law = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -408,3 +442,20 @@ def test_dataset_formats(spark, rows, tmp_path, format):
     back = reader.parquet(str(tmp_path / "d")) if format == "parquet" else reader.json(str(tmp_path / "d"))
     assert rows(back) == rows(data)
     assert len(back.inputFiles()) == 6
+
+
+def test_a_route_with_most_rows_is_written_by_many_tasks(spark, tmp_path):
+    from millrace.sinks.files import route_tables
+
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        data = spark.range(0, 60000, 1, 6).selectExpr("id", "uuid() AS body", "IF(id % 3 < 2, 'hot', concat('r', id % 4)) AS kind")
+        route_tables(data, "kind", str(tmp_path / "routes"))
+    finally:
+        spark.conf.set(key, before)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "routes").iterdir() if d.is_dir()}
+    assert files["_route=hot"] > 4
+    back = spark.read.parquet(str(tmp_path / "routes"))
+    assert back.count() == back.select("id").distinct().count() == 60000
