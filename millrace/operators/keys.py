@@ -13,6 +13,7 @@ from ..functions.hashing import quoted
 # Keys looked at for spreading. Every key beyond the first HOT_KEYS holds less than
 # 1 / HOT_KEYS of the rows, so it needs no spreading.
 HOT_KEYS = 256
+SAMPLE_SHARE = 0.01
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -32,21 +33,14 @@ def match_many(
 
     A small ``right`` is broadcast by Catalyst and ``left`` is not moved at all. Otherwise the
     most frequent left keys are spread over all shuffle partitions, with their few right rows
-    copied to each, so a key holding a third of ``left`` does not end up in one task. The list
-    of frequent keys has at most HOT_KEYS rows, which is what makes it safe to broadcast.
+    copied to each, so a key holding a third of ``left`` does not end up in one task.
 
     ``right`` has one row per key. Columns of ``right`` beside the keys must not clash.
     """
     if will_broadcast(right):
         return drop_right_keys(left, right, keys, how, null_safe)
     fan = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = (
-        left.groupBy(*[F.col(quoted(k)) for k in keys])
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .orderBy(F.desc("__n"), *[F.col(quoted(k)) for k in keys])
-        .limit(HOT_KEYS)
-        .select(*[F.col(quoted(k)) for k in keys], F.lit(True).alias("__hot"))
-    )
+    hot = frequent_keys(left, keys).withColumn("__hot", F.lit(True))
     hot = F.broadcast(hot)
     marked = drop_right_keys(left, hot, keys, "left")
     # The partition number is fixed per task, so a retried task salts its rows alike.
@@ -58,6 +52,18 @@ def match_many(
     return drop_right_keys(salted_left, salted_right, [*keys, "__salt"], how, null_safe).drop("__salt")
 
 
+def frequent_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The most frequent keys, HOT_KEYS rows at most, which is what makes them safe to broadcast.
+
+    A sample tells them: it decides only which keys are spread, and a key it misses is joined
+    like any other. The list is fetched, so that both sides of the join go by the same one.
+    """
+    columns = [F.col(quoted(k)) for k in keys]
+    counted = df.select(*columns).sample(SAMPLE_SHARE, seed=1).groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
+    top = counted.orderBy(F.desc("__n"), *columns).limit(HOT_KEYS).drop("__n")
+    return df.sparkSession.createDataFrame(top.collect(), top.schema)
+
+
 def drop_right_keys(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_safe: bool = True
 ) -> DataFrame:
