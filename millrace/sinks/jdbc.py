@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 # The schema a destination uses when the table name has none.
 DEFAULT_SCHEMAS = {"sqlite": "main"}
@@ -21,17 +21,42 @@ def split_table(name: str, scheme: str = "") -> tuple[str, str]:
 
 
 def write_jdbc(
-    df: DataFrame, url: str, table: str, mode: str = "append", batch_size: int = 10_000, **properties: str
+    df: DataFrame, url: str, table: str, replace: bool = False, batch_size: int = 10_000, **properties: str
 ) -> None:
-    """Rows into a staging table of the destination, named ``<table>__staging``.
+    """Rows into ``<table>__staging`` in parallel, then into the table in one transaction.
 
-    The swap is the destination's own statement (rename, or insert from staging), run by the
-    caller in one transaction. A retried task may send rows twice, so staging is overwritten on a
-    rerun and never read before the job has ended.
+    A task that is repeated may send its rows twice, so the table itself is never written in
+    parallel: staging is made anew by every attempt of the load and read after it has ended.
     """
     schema, name = split_table(table, url.split(":")[1] if url.startswith("jdbc:") else "")
-    target = f"{schema}.{name}" if mode == "append" else f"{schema}.{name}__staging"
-    df.write.jdbc(url, target, "append" if mode == "append" else "overwrite", writer_properties(batch_size, properties))
+    staging = f"{schema}.{name}__staging"
+    df.write.jdbc(url, staging, "overwrite", writer_properties(batch_size, properties))
+    run_statements(df.sparkSession, url, finish_statements(f"{schema}.{name}", staging, df.columns, replace), properties)
+
+
+def finish_statements(table: str, staging: str, columns: Sequence[str], replace: bool) -> list[str]:
+    """What moves the staged rows into the table."""
+    names = ", ".join('"' + c.replace('"', '""') + '"' for c in columns)
+    move = f"INSERT INTO {table} ({names}) SELECT {names} FROM {staging}"
+    return [*([f"DELETE FROM {table}"] if replace else []), move]
+
+
+def run_statements(spark: SparkSession, url: str, statements: Sequence[str], properties: Mapping[str, str]) -> None:
+    """Run statements on the database in one transaction."""
+    settings = spark._jvm.java.util.Properties()
+    for key, value in properties.items():
+        settings.setProperty(key, value)
+    connection = spark._jvm.java.sql.DriverManager.getConnection(url, settings)
+    try:
+        connection.setAutoCommit(False)
+        for statement in statements:
+            connection.createStatement().executeUpdate(statement)
+        connection.commit()
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
 
 
 def writer_properties(batch_size: int, properties: Mapping[str, str]) -> dict[str, str]:

@@ -459,3 +459,20 @@ def test_a_route_with_most_rows_is_written_by_many_tasks(spark, tmp_path):
     assert files["_route=hot"] > 4
     back = spark.read.parquet(str(tmp_path / "routes"))
     assert back.count() == back.select("id").distinct().count() == 60000
+
+
+@pytest.mark.parametrize("strategy", ["append", "merge"])
+def test_newer_rows_come_in_and_older_ones_do_not(spark, rows, strategy):
+    """A thousand rows, a thousand newer ones, a thousand older ones."""
+
+    def frame(first, at):
+        return spark.range(first, first + 1000).selectExpr("id", "id * 0.5 AS value", f"TIMESTAMP_NTZ '{at}' AS date")
+
+    path = scratch_path(spark, "frames")
+    request = LoadRequest(source="t", target=path, strategy=strategy, incremental_key="date", primary_key=["id"])
+    run_load(frame(0, "2024-02-01 00:00:00"), request, "one")
+    run_load(frame(1000, "2024-03-01 00:00:00"), request, "two")
+    run_load(frame(2000, "2024-01-01 00:00:00"), request, "three")
+    table = SnapshotTable(spark, path)
+    assert table.read().count() == 2000
+    assert dict(rows(table.load_counts())) == {"one": 1000, "two": 1000}

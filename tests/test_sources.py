@@ -275,3 +275,23 @@ def test_jdbc_options():
     assert jdbc_sink.split_table("t", "sqlite") == ("main", "t")
     with pytest.raises(ValueError):
         jdbc_sink.split_table("t", "postgresql")
+
+
+def test_jdbc_staging():
+    assert jdbc_sink.finish_statements("s.t", "s.t__staging", ["a", 'b"c'], replace=True) == [
+        "DELETE FROM s.t", 'INSERT INTO s.t ("a", "b""c") SELECT "a", "b""c" FROM s.t__staging',
+    ]
+    assert len(jdbc_sink.finish_statements("s.t", "x", ["a"], replace=False)) == 1
+
+
+def test_jdbc_reaches_the_driver(spark):
+    """Without a driver the reads and writes get as far as asking for one."""
+    url = "jdbc:nosuch://host/db"
+    with pytest.raises(Exception, match="(?i)driver"):
+        jdbc.scan_jdbc(spark, url, "s.t", partition_column="id", bounds=(0, 100), partitions=4)
+    with pytest.raises(Exception, match="(?i)driver"):
+        jdbc.scan_jdbc(spark, url, "s.t", predicates=["id < 5", "id >= 5"])
+    with pytest.raises(Exception, match="(?i)driver"):
+        jdbc.scan_jdbc_query(spark, url, "SELECT 1")
+    with pytest.raises(Exception, match="(?i)driver"):
+        jdbc_sink.write_jdbc(spark.range(1), url, "s.t")
