@@ -10,7 +10,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ..operators import cursors as C
 from ..operators import maintenance as M
 from ..operators import normalize as N
 from ..operators.keys import dedup_by_key

@@ -188,11 +188,18 @@ def uuid_token(value: Column, kind: T.DataType, salt: str) -> Column:
     )
 
 
+def whole(number: Column) -> Column:
+    """A double as bigint, the ends of the type for what lies beyond."""
+    low, high = F.lit(-(2**63)).cast("bigint"), F.lit(2**63 - 1).cast("bigint")
+    return F.coalesce(number.try_cast("bigint"), F.when(number > 0, high).when(number < 0, low))
+
+
 def noise(value: Column, kind: T.DataType, level: float = 0.1) -> Column:
     number = value.try_cast("double")
     moved = number + (F.rand() * 2 - 1) * F.lit(level) * F.abs(number)
     if isinstance(kind, T.IntegralType):
-        return F.when(moved >= 0, F.floor(moved)).otherwise(F.ceil(moved)).cast(kind)
+        # A number near the end of its type may move past it.
+        return whole(moved - moved % 1)
     if isinstance(kind, T.NumericType):
         return moved.cast(kind)
     return F.coalesce(moved.cast("string"), text(value, kind))
@@ -217,7 +224,7 @@ def random_value(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.IntegralType):
         size = F.length(F.abs(value.cast("decimal(20,0)")).cast("string"))
         low = F.pow(F.lit(10.0), (size - 1).cast("double"))
-        return F.when(value.isNotNull(), F.floor(low + F.rand() * (low * 9)).cast(kind))
+        return F.when(value.isNotNull(), whole(F.round(low + F.rand() * (low * 9 - 1))))
     if isinstance(kind, (T.FloatType, T.DoubleType)):
         return F.when(value.isNotNull(), (F.rand() * F.abs(value) * 2).cast(kind))
     if isinstance(kind, T.StringType):

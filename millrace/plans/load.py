@@ -221,16 +221,13 @@ def apply_snapshot(
         return
     dirs = table.open_dirs()
     current = maintenance.scd2(table.read(dirs) if dirs else None, batch, when, data)
-    merged = normalize.evolve(table.read().filter(F.lit(False)), current).schema
+    # Columns gone from the source stay in the table, as nulls.
+    gone = {f.name: F.lit(None).cast(f.dataType) for f in table.schema().fields if f.name not in current.columns}
+    current = current.withColumns(gone) if gone else current
     closed = None
     if not normalize.readable_as(table.schema(), current.schema):
-        # Columns gone from the source stay in the schema, as nulls; changed types are rewritten.
-        known = {f.name: f.dataType.simpleString() for f in current.schema.fields}
-        missing = [f.name for f in merged.fields if f.name not in known]
-        current = current.withColumns({n: F.lit(None).cast(merged[n].dataType) for n in missing})
-        if not normalize.readable_as(table.schema(), current.schema):
-            earlier = table.closed_dirs()
-            closed = cast_like(table.read(earlier), current.schema) if earlier else current.filter(F.lit(False))
+        earlier = table.closed_dirs()
+        closed = cast_like(table.read(earlier), current.schema) if earlier else current.filter(F.lit(False))
     table.replace_open_records(current, load_id, closed, partition, position)
 
 

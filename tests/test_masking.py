@@ -116,6 +116,17 @@ def test_random_masks_keep_shape(spark):
     assert 500 <= noisy <= 1500
 
 
+def test_numbers_at_the_end_of_their_type(spark):
+    for kind, value in (("int", 2**31 - 1), ("bigint", 2**63 - 1), ("bigint", -(2**63)), ("smallint", 32767)):
+        values = [value] * 50
+        shown = mask(spark, values, kind, "random")
+        assert all(len(str(n)) == len(str(abs(value))) for n in shown)
+        moved = mask(spark, values, kind, "noise:0.5")
+        assert all(0.49 * abs(value) <= abs(n) <= 1.51 * abs(value) for n in moved)
+    small = mask(spark, [-7] * 20, "int", "noise:0.5")
+    assert all(-11 <= n <= -3 for n in small)
+
+
 @pytest.mark.parametrize("config", ["v", "v:a:b:c", "v:rot13", ":sha256", "v:hmac"])
 def test_bad_configurations(spark, config):
     with pytest.raises(ValueError):
