@@ -1,6 +1,6 @@
 """The queries of the operators, by name."""
 
-from . import minhash_dedup  # noqa: F401  (registers)
+from . import decontaminate, minhash_dedup  # noqa: F401  (they register)
 from .common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
