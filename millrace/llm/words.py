@@ -20,7 +20,8 @@ OTHER, LETTER, NUMBER, SPACE, UNSURE = 0, 1, 2, 3, 4
 BATCH_CHARS = 1 << 20
 
 BASE = np.uint64(0x9E3779B97F4A7C15)
-WHITE = "\t\n\v\f\r \x85\xa0     　" + "".join(map(chr, range(0x2000, 0x200B)))
+# White space as regular expressions have it.
+WHITE = "\t\n\v\f\r \x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
