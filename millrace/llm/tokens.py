@@ -25,7 +25,7 @@ import numpy as np
 from .words import BATCH_CHARS, LETTER, SPACE, UNSURE, batches, classes, code_points, prefix_sums, span_hashes
 
 # Distinct pre-tokens remembered by a worker before it starts afresh.
-REMEMBERED = 300_000
+REMEMBERED = 1_000_000
 
 # The pattern of byte-level pre-tokens (a fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -65,6 +65,14 @@ def proven_whole(path: str) -> frozenset[int]:
     return frozenset(i for s, i in model["vocab"].items() if i not in added and merged(list(s), rank) == [s])
 
 
+def _readable(data: bytes) -> bool:
+    try:
+        data.decode()
+    except UnicodeDecodeError:
+        return False
+    return True
+
+
 class Tokens:
     """The encoder of one file; ``not_whole`` are the ids that ``proven_whole`` left out."""
 
@@ -86,10 +94,11 @@ class Tokens:
             and not cutter.get("add_prefix_space")
             and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix"))
         )
-        self.whole, self.merge, self.known = {}, None, {}
+        self.whole, self.merge, self.line_end = {}, None, None
+        self._forget()
         if self.plain:
             ranks = {bytes(byte[c] for c in s): i for s, i in model["vocab"].items() if i not in added}
-            self.whole = {b: i for b, i in ranks.items() if i not in not_whole}
+            self.whole = {b.decode(): i for b, i in ranks.items() if i not in not_whole and _readable(b)}
             by_rank = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
             ids = [model["vocab"]["".join(m)] for m in by_rank]
             if not not_whole and ids == sorted(ids):
@@ -98,14 +107,38 @@ class Tokens:
                 self.merge = tiktoken.Encoding(
                     "file", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}
                 ).encode_ordinary
-
-    def _ids(self, piece: str) -> bytes:
-        """Ids of one pre-token, as 32-bit numbers."""
-        one = self.whole.get(piece.encode())
-        if one is not None:
-            return one.to_bytes(4, "little")
-        ids = self.merge(piece) if self.merge else self.library.encode(piece, add_special_tokens=False).ids
-        return np.array(ids, dtype="<u4").tobytes()
+                self.line_end = ranks[b"\n"]
+
+    def _forget(self) -> None:
+        """Hash, place and number of ids of the pre-tokens met; one entry that no hash equals starts the arrays."""
+        self.keys = np.array([2**64 - 1], dtype=np.uint64)
+        self.begin, self.size = np.zeros(1, dtype=np.int64), np.zeros(1, dtype=np.int64)
+        self.flat = np.zeros(0, dtype="<u4")
+
+    def _merged(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of distinct pre-tokens in a row, and how many each has."""
+        sizes = np.ones(len(pieces), dtype=np.int64)
+        ids = [self.whole.get(p) for p in pieces]
+        rest = [i for i, found in enumerate(ids) if found is None]
+        if not self.merge:
+            made = [self._by_library(pieces[i]) for i in rest]
+        else:
+            # A line end between pre-tokens without white space is a token of its own: one call for all.
+            black = [i for i in rest if not pieces[i].isspace()]
+            row = np.array(self.merge("\n".join(pieces[i] for i in black)), dtype="<u4")
+            cuts = np.flatnonzero(row == self.line_end)
+            parts = np.split(row, cuts)
+            by_place = {i: part[k > 0 :] for k, (i, part) in enumerate(zip(black, parts))}
+            made = [by_place[i] if i in by_place else np.array(self.merge(pieces[i]), dtype="<u4") for i in rest]
+        sizes[rest] = [len(m) for m in made]
+        flat = np.zeros(sizes.sum(), dtype="<u4")
+        direct = np.ones(len(pieces), dtype=bool)
+        direct[rest] = False
+        begin = np.cumsum(sizes) - sizes
+        flat[begin[direct]] = [found for found in ids if found is not None]
+        if rest:
+            flat[np.repeat(~direct, sizes)] = np.concatenate(made)
+        return flat, sizes
 
     def _by_library(self, text: str) -> np.ndarray:
         return np.array(self.library.encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -118,21 +151,23 @@ class Tokens:
             return np.zeros(0, dtype="<u4"), np.zeros(len(texts) + 1, dtype=np.int64)
         hashes = span_hashes(prefix_sums(points.astype(np.uint64) + np.uint64(1)), starts, np.append(starts[1:], len(points)))
         keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
-        joined, ends = "".join(texts), np.append(starts[1:], len(points))
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known, made = self.known, []
-        for key, a, b in zip(keys.tolist(), starts[first].tolist(), ends[first].tolist()):
-            ids = known.get(key)
-            if ids is None:
-                ids = known[key] = self._ids(joined[a:b])
-            made.append(ids)
-        sizes = np.array([len(m) for m in made], dtype=np.int64) // 4
-        flat = np.frombuffer(b"".join(made), dtype="<u4")
-        begin = np.cumsum(sizes) - sizes
-        size = sizes[which]
+        if len(self.keys) > REMEMBERED:
+            self._forget()
+        place = np.searchsorted(self.keys, keys)
+        new = np.flatnonzero(self.keys[np.minimum(place, len(self.keys) - 1)] != keys)
+        if len(new):
+            joined, ends = "".join(texts), np.append(starts[1:], len(points))
+            pieces = [joined[a:b] for a, b in zip(starts[first[new]].tolist(), ends[first[new]].tolist())]
+            flat, sizes = self._merged(pieces)
+            at = place[new]
+            self.begin = np.insert(self.begin, at, len(self.flat) + np.cumsum(sizes) - sizes)
+            self.size = np.insert(self.size, at, sizes)
+            self.keys = np.insert(self.keys, at, keys[new])
+            self.flat = np.concatenate([self.flat, flat])
+            place = np.searchsorted(self.keys, keys)
+        size = self.size[place][which]
         upto = np.concatenate([[0], np.cumsum(size)])
-        ids = flat[np.repeat(begin[which] - upto[:-1], size) + np.arange(upto[-1])]
+        ids = self.flat[np.repeat(self.begin[place][which] - upto[:-1], size) + np.arange(upto[-1])]
         return ids, upto[np.searchsorted(starts, bounds)]
 
     def encode(self, texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
