@@ -1,6 +1,6 @@
 """The queries of the operators, by name."""
 
-from . import decontaminate, minhash_dedup, nearest, packing, token_counts  # noqa: F401  (they register)
+from . import decontaminate, minhash_dedup, nearest, packing, quality, token_counts  # noqa: F401  (they register)
 from .common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

@@ -51,6 +51,17 @@ def word_classes() -> np.ndarray:
     return (table == LETTER) | (table == NUMBER) | (table == UNSURE)
 
 
+@functools.cache
+def lower_case() -> np.ndarray:
+    """The lower-case form of each code point, where that is one code point."""
+    table = np.arange(sys.maxunicode + 1, dtype=np.uint64)
+    for point in range(0x20000):
+        form = chr(point).lower()
+        if len(form) == 1:
+            table[point] = ord(form)
+    return table
+
+
 @functools.cache
 def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     inverse = np.uint64(pow(int(BASE), -1, 1 << 64))
@@ -126,16 +137,16 @@ def batches(texts: list[str], size: int = BATCH_CHARS) -> Iterator[tuple[int, li
 
 
 def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Words of one batch: hash, start, end in the joined texts, and the number of words before each text."""
+    """Words of one batch: hash of the lower-case form, start, end in the joined texts, and the number of words before each text."""
     points, bounds = code_points(texts)
     starts, ends = runs(word_classes()[points], bounds)
-    hashes = span_hashes(prefix_sums(points.astype(np.uint64) + np.uint64(1)), starts, ends)
+    hashes = span_hashes(prefix_sums(lower_case()[points] + np.uint64(1)), starts, ends)
     return hashes, starts, ends, np.searchsorted(starts, bounds)
 
 
 def word_hashes(texts: list[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Hashes of the lower-case words of whole texts, by batch: index of the first text, hashes, bounds by text."""
-    for first, batch in batches([t.lower() for t in texts]):
+    for first, batch in batches(texts):
         if len(batch) == 1 and len(batch[0]) > BATCH_CHARS:
             hashes = np.concatenate([words([p])[0] for p in pieces(batch[0])])
             yield first, hashes, np.array([0, len(hashes)])
