@@ -1,6 +1,6 @@
 """The queries of the operators, by name."""
 
-from . import backoff, decontaminate, minhash_dedup, nearest, packing, private, quality, repeats, token_counts  # noqa: F401  (they register)
+from . import backoff, decontaminate, minhash_dedup, nearest, packing, private, quality, repeats, revisits, token_counts  # noqa: F401  (they register)
 from .common import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
