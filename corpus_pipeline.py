@@ -1,19 +1,56 @@
-"""The corpus pipeline: stages over documents, each written and read again by the next."""
+"""The corpus pipeline: stages over documents, each written and read again by the next.
+
+A stage takes (spark, docs, sf_dir) and works on all that its predecessor kept. All but the last return the
+columns of documents; the last gives the packed pieces.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from millrace.llm.decontaminate import drop_contaminated
 from millrace.llm.minhash_dedup import drop_near_duplicates
+from millrace.llm.packing import pack
+from millrace.llm.private import sanitised
+from millrace.llm.quality import drop_low_quality, train
+from millrace.llm.token_counts import default_tokenizer
 from millrace.session import scratch_path
 
 
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learnt from the labels, does not reject."""
+    return drop_low_quality(docs, train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
     return drop_near_duplicates(docs)
 
 
-STAGES = [("near_dedup", near_dedup)]
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no item of the benchmark."""
+    return drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without personal data and the terms that give it away."""
+    clean = sanitised(docs)
+    return clean.withColumn("n_chars", F.length("text").cast("long")) if "n_chars" in docs.columns else clean
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents' tokens in sequences, a row for each piece."""
+    return pack(docs, default_tokenizer())
+
+
+STAGES = [
+    ("quality", quality),
+    ("near_dedup", near_dedup),
+    ("decontaminate", decontaminate),
+    ("private", private),
+    ("packing", packing),
+]
 
 # Similarity search, learned scores and tokenizers are no SQL: tests/llm compares with brute force.
 ORACLE_SQL = None
