@@ -16,9 +16,9 @@ from millrace.session import build_session
 
 HEADLINE = (
     "W03_load_merge W04_load_delete_insert W06_load_scd2 W09_dedup_by_key T15_queue_dedup_merge "
-    "W01_load_replace W02_load_append W05_load_merge_two_keys W11_route_tables W12_partition_by W13_cluster_by "
+    "W06_history_load W08_full_refresh W22_commit_then_ack T16_ack_after_commit W01_load_replace W02_load_append W05_load_merge_two_keys W11_route_tables W12_partition_by W13_cluster_by "
     "W15_write_dataset W19_shred_nested W21_evolve_schema I01_read_incremental I02_boundary_dedup I05_custom_query "
-    "I14_lookback I17_offset_partitions S01_scan_csv S05_scan_json S08_scan_xml S16_scan_arrow_ipc "
+    "I14_lookback I17_offset_partitions S01_scan_csv S05_scan_json S08_scan_xml "
     "M01_mask_sha256 M03_mask_hmac M06_mask_credit_card M12_mask_partial M17_mask_sequential M22_mask_table "
     "T01_drain_topic T02_envelope_v1 T15_stream_dedup R03_unwrap_nodes R08_unnest_series R09_map_to_rows "
     "R10_rollup_nested R15_repair_dates R21_fan_out R34_link_rows"

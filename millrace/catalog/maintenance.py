@@ -73,6 +73,62 @@ def load_append(spark, sf):
     return M.strip_lineage(SnapshotTable(spark, path).read())
 
 
+@register("W02_underscore_identity", "SELECT event_id AS _id, ts, user_id, event_type, value, props FROM events")
+def underscore_identity(spark, sf):
+    """Without a key the data tells rows apart, columns with a leading underscore too."""
+    events = table(spark, sf, "events").withColumnRenamed("event_id", "_id")
+    path = scratch_path(spark, "identity")
+    request = LoadRequest(source="events", target=path, strategy="append", incremental_key="ts")
+    last = events.filter("ts <= TIMESTAMP_NTZ '2024-01-15 00:00:00'").agg(F.max("ts")).first()[0]
+    # The first run has half of the rows at its last time only.
+    run_load(events.filter((F.col("ts") < F.lit(last)) | (F.col("ts") == F.lit(last)) & (F.col("_id") % 2 == 0)), request, "first")
+    run_load(events, request, "second")
+    return SnapshotTable(spark, path).data()
+
+
+@register("W01_replace_with_cursor", "SELECT * FROM events")
+def replace_with_cursor(spark, sf):
+    """A replacement takes the whole source, however far an earlier one came."""
+    events = table(spark, sf, "events")
+    path = scratch_path(spark, "replace-cursor")
+    request = LoadRequest(source="events", target=path, strategy="replace", incremental_key="ts")
+    run_load(events, request, "first")
+    run_load(events, request, "second")
+    return SnapshotTable(spark, path).data()
+
+
+@register("I06_limit_progress", "SELECT * FROM events")
+def limit_progress(spark, sf):
+    """Limited loads, one after the other, reach every row, also where many share a time."""
+    events = table(spark, sf, "events").withColumn("ts", F.date_trunc("month", "ts").cast("timestamp_ntz"))
+    path = scratch_path(spark, "limits")
+    n = events.count()
+    request = LoadRequest(
+        source="events", target=path, strategy="append", incremental_key="ts", primary_key=["event_id"], limit=n // 3 + 1
+    )
+    for i in range(4):
+        run_load(events, request, f"run-{i}")
+    loaded = SnapshotTable(spark, path).data().drop("ts")
+    return loaded.join(table(spark, sf, "events").select("event_id", "ts"), "event_id").select(table(spark, sf, "events").columns)
+
+
+@register(
+    "W03_bucket_widen",
+    f"""WITH m AS ({MERGED_ORDERS}) SELECT * REPLACE (CAST(CASE WHEN o_orderdate > TIMESTAMP '2000-12-01 00:00:00'
+  THEN o_custkey + 0.5 ELSE o_custkey END AS DECIMAL(12, 1)) AS o_custkey) FROM m""",
+)
+def bucket_widen(spark, sf):
+    """An upsert into buckets whose batch widens a column: files that cannot be read so are written again."""
+    past, recent = order_batches(spark, sf)
+    past = past.withColumn("o_custkey", F.col("o_custkey").cast("int"))
+    path = scratch_path(spark, "bucket-widen")
+    request = LoadRequest(source="orders", target=path, strategy="merge", primary_key=["o_orderkey"], buckets=8)
+    run_load(past, request, "first")
+    half = (F.col("o_custkey") + F.expr("0.5")).cast("decimal(12,1)")
+    run_load(recent.withColumn("o_custkey", half), request, "second")
+    return SnapshotTable(spark, path).data()
+
+
 @register(
     "W04_load_delete_insert",
     """WITH past AS (SELECT * FROM lineitem WHERE l_shipdate <= TIMESTAMP '2000-06-30 00:00:00'),
@@ -156,6 +212,16 @@ def history_load(spark, sf):
     return SnapshotTable(spark, path).read()
 
 
+@register("W06_underscore_columns", HISTORY.replace("SELECT c_custkey,", "SELECT c_custkey AS _id,"))
+def underscore_columns(spark, sf):
+    """A history of rows whose id begins with an underscore, as ids of documents do."""
+    path = scratch_path(spark, "underscore")
+    request = LoadRequest(source="customer", target=path, strategy="scd2")
+    for frame, at in zip(customer_snapshots(spark, sf), (T1, T2, T3)):
+        run_load(frame.withColumnRenamed("c_custkey", "_id"), request, f"at-{at:%Y-%m-%d}", load_time=at)
+    return SnapshotTable(spark, path).read()
+
+
 @register("W08_full_refresh", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def full_refresh(spark, sf):
     """A refresh forgets the cursor: rows older than it are loaded too, and old data is gone."""
@@ -335,7 +401,26 @@ def evolve_schema(spark, sf):
     return N.evolve(target, batch)
 
 
-@register("W22_commit_then_ack", MERGED_ORDERS + "")
+@register(
+    "W21_widen_exact",
+    """SELECT o_orderkey, CAST(CASE WHEN past THEN o_custkey ELSE o_totalprice END AS DECIMAL(12, 2)) AS whole_or_part,
+  CASE WHEN past THEN o_custkey END AS whole, CASE WHEN NOT past THEN o_totalprice END AS whole__v_double,
+  CAST(CASE WHEN past THEN o_custkey % 90 + 0.25 ELSE o_custkey + 1000000 END AS DECIMAL(12, 2)) AS part FROM (
+    SELECT *, o_orderdate <= TIMESTAMP '2000-12-31 00:00:00' AS past FROM orders)""",
+)
+def widen_exact(spark, sf):
+    """Whole numbers meet fractions: digits are added, and what no type holds exactly gets a column of its own."""
+    orders = table(spark, sf, "orders")
+    past = orders.filter(PAST).selectExpr(
+        "o_orderkey", "CAST(o_custkey AS INT) whole_or_part", "o_custkey whole", "CAST(o_custkey % 90 + 0.25 AS DECIMAL(4, 2)) part"
+    )
+    recent = orders.filter(f"NOT ({PAST})").selectExpr(
+        "o_orderkey", "CAST(o_totalprice AS DECIMAL(12, 2)) whole_or_part", "o_totalprice whole", "CAST(o_custkey + 1000000 AS INT) part"
+    )
+    return N.evolve(past, recent)
+
+
+@register("W22_commit_then_ack", MERGED_ORDERS)
 def commit_then_ack(spark, sf):
     """The position moves after the swap only: a load that dies before is repeated without harm."""
     past, recent = order_batches(spark, sf)

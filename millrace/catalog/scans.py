@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from ..operators.normalize import apply_column_types
 from ..session import scratch_path
 from ..sources import columnar, delimited, documents, grids, jsonfiles, listing, markup, repair
-from ..sources.arrowfiles import decode_arrow
 from .common import register, table
 
 
@@ -144,25 +143,6 @@ def scan_xml(spark, sf):
     return rows.select(F.col("@id").alias("id"), "status", "note", F.array_join("tag", "+").alias("tags"))
 
 
-@register(
-    "S09_scan_yaml",
-    """SELECT c_custkey AS id, c_name AS name, c_nationkey AS nation FROM customer
-UNION ALL SELECT s_suppkey, s_name, s_nationkey FROM supplier""",
-)
-def scan_yaml(spark, sf):
-    """Customers as a document each, suppliers as one list per file, a null document before both."""
-    path = scratch_path(spark, "yaml")
-    customers = table(spark, sf, "customer").selectExpr(
-        "concat('id: ', c_custkey, '\\nname: \"', c_name, '\"\\nnation: ', c_nationkey, '\\n---') AS value"
-    )
-    bracketed(customers, "---\n---", "", "").write.text(path)
-    suppliers = table(spark, sf, "supplier").selectExpr(
-        "concat('- id: ', s_suppkey, '\\n  name: \"', s_name, '\"\\n  nation: ', s_nationkey) AS value"
-    )
-    bracketed(suppliers, "---", "", "").write.mode("append").text(path)
-    return markup.scan_yaml(spark, path, "id long, name string, nation int")
-
-
 @register(
     "S10_grid_to_table",
     """SELECT CAST(o_orderkey AS VARCHAR) AS "Order", CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_orderstatus END AS col_2,
@@ -224,27 +204,6 @@ def repair_source_types(spark, sf):
     )
 
 
-@register("S16_scan_arrow_ipc", "SELECT l_orderkey, l_quantity, l_returnflag FROM lineitem WHERE l_orderkey >= 5000")
-def scan_arrow_ipc(spark, sf):
-    """Each batch of rows as Arrow stream bytes, decoded again, then filtered by a cursor."""
-    import pyarrow as pa
-
-    from ..operators.cursors import read_incremental
-
-    rows = table(spark, sf, "lineitem").select("l_orderkey", "l_quantity", "l_returnflag")
-
-    def encode(batches):
-        for batch in batches:
-            sink = pa.BufferOutputStream()
-            with pa.ipc.new_stream(sink, batch.schema) as writer:
-                writer.write_batch(batch)
-            yield pa.RecordBatch.from_pydict({"content": pa.array([sink.getvalue().to_pybytes()], pa.binary())})
-
-    path = scratch_path(spark, "arrow")
-    rows.mapInArrow(encode, "content binary").write.parquet(path)
-    return read_incremental(decode_arrow(spark.read.parquet(path), rows.schema), "l_orderkey", 5000)
-
-
 @register(
     "S17_find_documents",
     """SELECT doc_id, lang, n_chars FROM documents WHERE lang IN ('en', 'fr') AND n_chars >= 100 AND doc_id >= 10

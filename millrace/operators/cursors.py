@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import hash_columns, quoted, row_hash
-from .keys import drop_right_keys, match_many
+from .keys import drop_right_keys, match_many, sortable
 
 EPOCH = dt.datetime(1970, 1, 1)
 # Bounds a custom query gets when the interval is open.
@@ -40,18 +40,31 @@ def literal_of(df: DataFrame, column: str, value) -> Column:
     return F.lit(value).cast(kind)
 
 
-def interval_filter(df: DataFrame, column: str, start=None, end=None, bounds: str = "[]") -> DataFrame:
-    """Rows inside the interval; ``bounds`` says which ends belong to it."""
+def interval_condition(df: DataFrame, column: str, start=None, end=None, bounds: str = "[]") -> Column:
+    """Whether a row is inside the interval; ``bounds`` says which ends belong to it."""
     if bounds not in ("[]", "[)", "(]", "()"):
         raise ValueError(f"bounds must be one of [] [) (] (), got {bounds!r}")
-    cursor = F.col(quoted(column))
+    cursor, inside = F.col(quoted(column)), F.lit(True)
     if start is not None:
         low = literal_of(df, column, start)
-        df = df.filter(cursor >= low if bounds[0] == "[" else cursor > low)
+        inside = inside & (cursor >= low if bounds[0] == "[" else cursor > low)
     if end is not None:
         high = literal_of(df, column, end)
-        df = df.filter(cursor <= high if bounds[1] == "]" else cursor < high)
-    return df
+        inside = inside & (cursor <= high if bounds[1] == "]" else cursor < high)
+    return inside
+
+
+def interval_filter(df: DataFrame, column: str, start=None, end=None, bounds: str = "[]") -> DataFrame:
+    """Rows inside the interval."""
+    return df.filter(interval_condition(df, column, start, end, bounds))
+
+
+def with_cursor(df: DataFrame, column: str) -> DataFrame:
+    """A row without a cursor value ends the load: it is on no side of any position, so it would be loaded by
+    some runs and not by others."""
+    cursor = F.col(quoted(column))
+    missing = F.raise_error(F.lit(f"a row has no value in the cursor column {column}")).cast(df.schema[column].dataType)
+    return df.withColumn(column, F.coalesce(cursor, missing))
 
 
 def read_incremental(
@@ -105,7 +118,8 @@ def read_after(
 def lowest(df: DataFrame, n: int, column: str | None = None, tiebreak: Sequence[str] = ()) -> DataFrame:
     """The first ``n`` rows by cursor; each task keeps its own best ``n``."""
     if column:
-        df = df.orderBy(F.col(quoted(column)), *[F.col(quoted(c)) for c in tiebreak])
+        ties = [c for c in tiebreak if c != column and sortable(df.schema[c].dataType)]
+        df = df.orderBy(F.col(quoted(column)), *[F.col(quoted(c)) for c in ties])
     return df.limit(n)
 
 

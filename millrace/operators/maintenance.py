@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.hashing import hash_columns, quoted, row_hash
+from ..functions.hashing import LINEAGE_COLUMNS, VALIDITY_COLUMNS, hash_columns, quoted, row_hash
 from .keys import dedup_by_key, drop_right_keys, match_many, without_keys
 from .widening import align, cast_like
 
@@ -62,7 +62,10 @@ def scd2(
     within the snapshot, and it compares values, not hashes of them. Closed records pass
     through, so a row that went and came back opens a second record.
     """
-    columns = list(data_columns or [c for c in batch.columns if not c.startswith("_")])
+    columns = list(data_columns or batch.columns)
+    clash = sorted({*columns} & {*VALIDITY_COLUMNS, "__had", "__has"})
+    if clash:
+        raise ValueError(f"a history has columns of its own with the names {', '.join(clash)}")
     when = F.lit(load_time).cast("timestamp_ntz")
     never = F.lit(None).cast("timestamp_ntz")
     now = batch.select(*columns, never.alias("_valid_from"), F.lit(False).alias("__had"), F.lit(True).alias("__has"))
@@ -102,8 +105,13 @@ def stamp_lineage(
     return df.withColumns({"_load_id": F.lit(load_id), "_row_id": digest})
 
 
-def strip_lineage(df: DataFrame) -> DataFrame:
-    return df.drop("_load_id", "_row_id", *[c for c in df.columns if c.startswith(BUCKET_PREFIX)])
+def strip_lineage(df: DataFrame, buckets: int = 0) -> DataFrame:
+    """Without the columns a load adds: its two, and the one of a table cut into ``buckets``."""
+    return df.drop(*LINEAGE_COLUMNS, *([bucket_column(buckets)] if buckets else []))
+
+
+def bucket_column(buckets: int) -> str:
+    return f"{BUCKET_PREFIX}{buckets}"
 
 
 def add_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> tuple[DataFrame, str]:
@@ -112,32 +120,13 @@ def add_bucket(df: DataFrame, keys: Sequence[str], buckets: int) -> tuple[DataFr
     The number is part of the name. Keys are hashed as text: a key that widens from int to
     bigint keeps its bucket.
     """
-    name = f"{BUCKET_PREFIX}{buckets}"
+    name = bucket_column(buckets)
+    if name in df.columns:
+        raise ValueError(f"the data has a column {name} of its own")
     digest = F.xxhash64(*[F.col(quoted(k)).cast("string") for k in keys])
     return df.withColumn(name, F.pmod(digest, F.lit(buckets)).cast("int")), name
 
 
-def only_partitions(target: DataFrame, batch: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows of ``target`` in the partitions ``batch`` has rows for.
-
-    The values are collected: they are directories the batch was written to, which the driver
-    lists anyway, and as literals they prune the scan of the target.
-    """
-    touched = batch.select(*by).distinct().collect()
-    wanted = F.lit(False)
-    if len(by) == 1:
-        values = [r[0] for r in touched]
-        column = F.col(quoted(by[0]))
-        wanted = column.isin([v for v in values if v is not None])
-        return target.filter(wanted | column.isNull() if None in values else wanted)
-    for row in touched:
-        one = F.lit(True)
-        for name, value in zip(by, row):
-            one = one & F.col(quoted(name)).eqNullSafe(F.lit(value))
-        wanted = wanted | one
-    return target.filter(wanted)
-
-
 def fan_out(parents: DataFrame, children: DataFrame, parent_key: str, child_key: str, carry: Sequence[str]) -> DataFrame:
     """Each child row carries columns of its parent. Parents are unique by key.
 

@@ -8,22 +8,33 @@ from pyspark.sql import types as T
 
 from ..functions.hashing import quoted
 
-# Each type widens to any later one; text holds everything.
-WIDENING = ("boolean", "tinyint", "smallint", "int", "bigint", "decimal", "float", "double", "string")
+# Digits of whole numbers, and whole numbers up to which a fraction type is exact, by kind (fixed values).
+DIGITS = {"tinyint": 3, "smallint": 5, "int": 10, "bigint": 19}
+EXACT_IN = {"float": ("tinyint", "smallint"), "double": ("tinyint", "smallint", "int", "float")}
 
 
 def wider(left: T.DataType, right: T.DataType) -> T.DataType | None:
-    """The type both fit in by plain widening, or None."""
+    """The type that holds every value of both unchanged, or None if there is none."""
     if left == right:
         return left
-    ranks = [k.simpleString().split("(")[0] for k in (left, right)]
-    if not all(r in WIDENING[1:-1] for r in ranks):
-        return None
     if isinstance(left, T.DecimalType) and isinstance(right, T.DecimalType):
-        scale = max(left.scale, right.scale)
-        whole = max(left.precision - left.scale, right.precision - right.scale)
-        return T.DecimalType(min(whole + scale, 38), scale)
-    return max((left, right), key=lambda k: WIDENING.index(k.simpleString().split("(")[0]))
+        return decimal_of(max(left.precision - left.scale, right.precision - right.scale), max(left.scale, right.scale))
+    names = [k.simpleString() for k in (left, right)]
+    if all(n in DIGITS for n in names):
+        return max((left, right), key=lambda k: DIGITS[k.simpleString()])
+    for one, other in ((left, right), (right, left)):
+        whole, name = DIGITS.get(one.simpleString()), other.simpleString()
+        if isinstance(other, T.DecimalType) and whole:
+            return decimal_of(max(whole, other.precision - other.scale), other.scale)
+        if one.simpleString() in EXACT_IN.get(name, ()):
+            return other
+    if set(names) == {"int", "float"}:
+        return T.DoubleType()
+    return None
+
+
+def decimal_of(whole: int, scale: int) -> T.DecimalType | None:
+    return T.DecimalType(whole + scale, scale) if whole + scale <= 38 else None
 
 
 def cast_like(df: DataFrame, schema: T.StructType) -> DataFrame:

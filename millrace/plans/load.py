@@ -40,9 +40,10 @@ def run_load(
     request = resolve(request)
     load_id = load_id or uuid.uuid4().hex
     table = SnapshotTable(source.sparkSession, request.target)
-    head = table.head()
+    head = table.begin()
     fresh_start = full_refresh or request.full_refresh or not head["dirs"]
-    cursor = None if fresh_start else head["cursor"]
+    # A replacement is whole: it neither starts at the position nor leaves out what was there.
+    cursor = None if fresh_start or request.strategy == "replace" else head["cursor"]
 
     rows = source
     for transform in transforms:
@@ -51,10 +52,14 @@ def run_load(
     rows = new_rows(rows, request, cursor)
     if request.masks:
         rows = masking.mask_table(rows, request.masks)
-    rows = without_seen(rows, request, cursor)
+    told_by = identity(rows, request)
+    rows = without_seen(rows, request, cursor, told_by)
+    if request.limit is not None:
+        # Of what is not yet loaded, so that every run gets on.
+        rows = cursors.lowest(rows, request.limit, request.incremental_key, told_by)
     if request.strategy == "merge" and request.primary_key:
         rows = dedup_by_key(rows, request.primary_key, [request.incremental_key] if request.incremental_key else [])
-    rows, partition = partitioned(rows, request, head["partition_by"])
+    rows, partition, buckets = partitioned(rows, request, head)
     if request.strategy != "scd2":
         rows = maintenance.stamp_lineage(rows, load_id, key=request.primary_key)
     if request.cluster_by:
@@ -64,8 +69,8 @@ def run_load(
     # files as they are; the other strategies read them back with their true size known.
     name = table.write_files(rows, f"batch-{load_id}", partition)
     batch = table.spark.read.schema(rows.schema).parquet(f"{table.path}/{name}")
-    position = next_position(table, batch, request, cursor)
-    apply_batch(table, batch, name, request, load_id, fresh_start, partition, position, load_time)
+    position = next_position(table, batch, request, cursor, told_by)
+    apply_batch(table, batch, name, request, load_id, fresh_start, partition, buckets, position, load_time)
     if on_commit:
         on_commit(load_id)
     return load_id
@@ -92,21 +97,24 @@ def typed_rows(source: DataFrame, request: LoadRequest) -> tuple[DataFrame, Load
 
 
 def new_rows(rows: DataFrame, request: LoadRequest, cursor: dict | None) -> DataFrame:
-    """Rows of the interval, or from the position on, that row included; the filter reaches the scan."""
+    """Rows of the interval, or from the position on, that row included; the filter reaches the scan.
+
+    A row without a cursor value passes every filter here, and ends the load.
+    """
     key = request.incremental_key
-    if request.interval_end is not None and key:
+    if not key:
+        return rows
+    if request.interval_end is not None:
         # A closed-off interval is a backfill: it neither uses the position nor moves it.
-        return cursors.interval_filter(rows, key, request.interval_start, request.interval_end, request.bounds)
-    if key and cursor:
-        rows = rows.filter(F.col(quoted(key)) >= cursors.literal_of(rows, key, cursor["last"]))
-    elif key and request.interval_start is not None:
-        rows = cursors.interval_filter(rows, key, request.interval_start, None, request.bounds)
-    if request.limit is not None:
-        rows = cursors.lowest(rows, request.limit, key)
-    return rows
+        inside = cursors.interval_condition(rows, key, request.interval_start, request.interval_end, request.bounds)
+    elif cursor:
+        inside = F.col(quoted(key)) >= cursors.literal_of(rows, key, cursor["last"])
+    else:
+        inside = cursors.interval_condition(rows, key, request.interval_start, None, request.bounds)
+    return cursors.with_cursor(rows.filter(inside | F.col(quoted(key)).isNull()), key)
 
 
-def without_seen(rows: DataFrame, request: LoadRequest, cursor: dict | None) -> DataFrame:
+def without_seen(rows: DataFrame, request: LoadRequest, cursor: dict | None, told_by: list[str]) -> DataFrame:
     """Rows at the position that the last run loaded go, unless their whole day is replaced anyway.
 
     What was loaded is remembered in its final form, so this comes after the masks.
@@ -116,32 +124,35 @@ def without_seen(rows: DataFrame, request: LoadRequest, cursor: dict | None) ->
         return rows
     seen = rows.sparkSession.read.schema("key_hash string").parquet(cursor["seen"])
     last = cursors.literal_of(rows, key, cursor["last"])
-    return cursors.read_after(rows, key, last, seen, identity(rows, request))
+    return cursors.read_after(rows, key, last, seen, told_by)
 
 
 def identity(rows: DataFrame, request: LoadRequest) -> list[str]:
-    """What tells a row: its key, or its data as far as that is the same on every run."""
+    """What tells a row: its key, or its data as far as that is the same on every run.
+
+    ``rows`` has not yet got the columns that the load adds.
+    """
     if request.primary_key:
         return request.primary_key
     changing = {m.split(":")[0] for m in request.masks if m.split(":")[1].strip().lower() in masking.PER_RUN}
-    return sorted(c for c in rows.columns if c not in changing and not c.startswith("_"))
+    return sorted(c for c in rows.columns if c not in changing)
 
 
-def partitioned(rows: DataFrame, request: LoadRequest, existing: list[str]) -> tuple[DataFrame, list[str]]:
-    """Partition columns: the ones asked for, or buckets. A table keeps the buckets it has."""
+def partitioned(rows: DataFrame, request: LoadRequest, head: dict) -> tuple[DataFrame, list[str], int]:
+    """Partition columns: the ones asked for, or buckets and their number. A table keeps the buckets it has."""
     if request.partition_by:
         rows, column = day_column(rows, request.partition_by)
-        return rows, [column]
-    buckets = request.buckets
-    if existing and existing[0].startswith(maintenance.BUCKET_PREFIX):
-        buckets = int(existing[0].removeprefix(maintenance.BUCKET_PREFIX))
+        return rows, [column], 0
+    buckets = head["buckets"] or request.buckets
     if buckets and request.primary_key and request.strategy == "merge":
         rows, column = maintenance.add_bucket(rows, request.primary_key, buckets)
-        return rows, [column]
-    return rows, []
+        return rows, [column], buckets
+    return rows, [], 0
 
 
-def next_position(table: SnapshotTable, batch: DataFrame, request: LoadRequest, cursor: dict | None) -> dict | None:
+def next_position(
+    table: SnapshotTable, batch: DataFrame, request: LoadRequest, cursor: dict | None, told_by: list[str]
+) -> dict | None:
     """Highest cursor value, and the key hashes of the rows that hold it, kept as a table."""
     key = request.incremental_key
     if not key or request.interval_end is not None:
@@ -149,7 +160,7 @@ def next_position(table: SnapshotTable, batch: DataFrame, request: LoadRequest,
     text = batch.agg(F.max(quoted(key)).cast("string").alias("m")).first()["m"]
     if text is None:
         return cursor
-    hashes = cursors.key_hashes(batch, key, text, identity(batch, request))
+    hashes = cursors.key_hashes(batch, key, text, told_by)
     if cursor and cursor["last"] == text:
         old = batch.sparkSession.read.schema("key_hash string").parquet(cursor["seen"])
         hashes = hashes.union(old).distinct()
@@ -166,6 +177,7 @@ def apply_batch(
     load_id: str,
     fresh_start: bool,
     partition: list[str],
+    buckets: int,
     position: dict | None,
     load_time: dt.datetime | None,
 ) -> None:
@@ -175,33 +187,41 @@ def apply_batch(
         apply_snapshot(table, batch, load_id, fresh_start, partition, position, when)
         return
     if fresh_start or strategy == "replace":
-        table.commit(load_id, [name], batch.schema, partition, position)
+        table.commit(load_id, [name], batch.schema, partition, position, buckets)
         return
     head = table.head()
     if strategy in ("append", "none"):
         append_batch(table, batch, name, load_id, position)
         return
-    target = table.read()
     merge_key = request.merge_key or ([request.incremental_key] if strategy == "delete+insert" else [])
+    by, known = head["partition_by"], table.schema()
+    final = normalize.evolve(empty_like(table), batch).schema
+    # Rows cannot change partition, and files that stay can be read as the table will be.
+    settled = partition == by and bool(by) and normalize.readable_as(known, final)
+    if strategy == "delete+insert":
+        pruned = settled and len(merge_key) == 1 and by in ([merge_key[0]], [f"{merge_key[0]}_day"])
+    else:
+        pruned = settled and not merge_key and (bool(buckets) or set(by) <= set(request.primary_key))
+    if pruned:
+        touched, _ = table.split_dirs(name)
+        old = table.read(touched) if touched else empty_like(table)
+    else:
+        old = table.read()
     if strategy == "delete+insert":
-        if len(head["dirs"]) == 1 and head["partition_by"] == merge_key:
-            # Partitioned by the key: whole partitions are exchanged, nothing else is read.
-            table.replace_partitions(normalize.evolve(target.filter(F.lit(False)), batch), load_id, position)
-            return
-        kept = maintenance.without_keys(target, batch, merge_key)
+        kept = maintenance.without_keys(old, batch, merge_key)
     else:
-        by = head["partition_by"]
-        owned = set(by) <= set(request.primary_key) or all(c.startswith(maintenance.BUCKET_PREFIX) for c in by)
-        # Rows cannot change partition, so only the partitions of the batch are read and rewritten.
-        pruned = len(head["dirs"]) == 1 and by and owned and not merge_key and set(by) <= set(batch.columns)
-        old = maintenance.only_partitions(target, batch, by) if pruned else target
         kept = maintenance.drop_right_keys(old, batch.select(*request.primary_key), request.primary_key, "left_anti")
-        if pruned:
-            table.replace_partitions(normalize.evolve(kept, batch), load_id, position)
-            return
         if merge_key:
             kept = maintenance.without_keys(kept, batch, merge_key)
-    table.replace(normalize.evolve(kept, batch), load_id, head["partition_by"], position)
+    rows = normalize.evolve(kept, batch)
+    if pruned:
+        table.replace_partitions(rows, load_id, position)
+    else:
+        table.replace(rows, load_id, by, position)
+
+
+def empty_like(table: SnapshotTable) -> DataFrame:
+    return table.spark.createDataFrame([], table.schema())
 
 
 def apply_snapshot(
@@ -214,7 +234,7 @@ def apply_snapshot(
     when: dt.datetime,
 ) -> None:
     """SCD2: only open records are compared, and closed ones are left where they are."""
-    data = [c for c in batch.columns if not c.startswith("_")]
+    data = batch.columns
     if fresh_start:
         opened = maintenance.scd2(None, batch, when, data)
         table.replace_open_records(opened, load_id, opened.filter(F.lit(False)), partition, position)
@@ -241,5 +261,5 @@ def append_batch(table: SnapshotTable, batch: DataFrame, name: str, load_id: str
     elif normalize.readable_as(batch.schema, merged.schema):
         table.commit(load_id, [*head["dirs"], name], merged.schema, head["partition_by"], position)
     else:
-        table.append(normalize.evolve(target.filter(F.lit(False)), batch), load_id, position)
+        table.append(normalize.evolve(empty_like(table), batch), load_id, position)
 

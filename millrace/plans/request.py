@@ -7,7 +7,7 @@ from dataclasses import dataclass, field
 
 STRATEGIES = ("replace", "append", "merge", "delete+insert", "scd2", "none")
 SOURCE_KINDS = ("table", "files", "queue", "documents")
-SINK_KINDS = ("table", "single_file", "documents")
+SINK_KINDS = ("table", "documents")
 FORMATS = ("parquet", "jsonl", "csv")
 
 

@@ -1,4 +1,4 @@
-"""File writers: datasets, routes, partitions, clustering and single-file export."""
+"""File writers: datasets, routes, partitions, clustering and export."""
 
 from __future__ import annotations
 
@@ -9,12 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import quoted
-from ..operators.keys import estimated_bytes
 from ..operators.maintenance import strip_lineage
-from ..session import stage
 
-ROWS_PER_FILE = 100_000
-SINGLE_FILE_BYTES = 1 << 30
 EXPORT_FORMATS = ("csv", "jsonl", "parquet")
 
 
@@ -32,26 +28,26 @@ def write_dataset(
     df: DataFrame,
     path: str,
     format: str = "parquet",
-    rows_per_file: int = ROWS_PER_FILE,
+    rows_per_file: int | None = None,
     layout: Sequence[str] = (),
     mode: str = "append",
     **settings: str,
 ) -> None:
     """A directory of files, settings handed through to the writer."""
     writer = gathered(df, layout).write.format("json" if format == "jsonl" else format).mode(mode)
-    writer = writer.option("maxRecordsPerFile", rows_per_file).options(**settings)
+    writer = writer.option("maxRecordsPerFile", rows_per_file or 0).options(**settings)
     if layout:
         writer = writer.partitionBy(*layout)
     writer.save(path)
 
 
-def route_tables(df: DataFrame, route: str, path: str, format: str = "parquet") -> None:
+def route_tables(df: DataFrame, route: str, path: str, format: str = "parquet", mode: str = "append") -> None:
     """One stream into many tables, in one pass.
 
-    Table ``x`` is the directory ``_route=x``.
+    Table ``x`` is the directory ``_route=x``. A later batch is added to the tables.
     """
     routed = df.withColumn("_route", F.col(quoted(route)))
-    gathered(routed, ["_route"]).write.format(format).partitionBy("_route").save(path)
+    gathered(routed, ["_route"]).write.format(format).mode(mode).partitionBy("_route").save(path)
 
 
 def day_column(df: DataFrame, column: str) -> tuple[DataFrame, str]:
@@ -62,10 +58,10 @@ def day_column(df: DataFrame, column: str) -> tuple[DataFrame, str]:
     return df, column
 
 
-def write_partitioned(df: DataFrame, column: str, path: str, format: str = "parquet") -> None:
-    """Partition hint."""
+def write_partitioned(df: DataFrame, column: str, path: str, format: str = "parquet", mode: str = "append") -> None:
+    """Partition hint. A later batch is added."""
     frame, by = day_column(df, column)
-    gathered(frame, [by]).write.format(format).partitionBy(by).save(path)
+    gathered(frame, [by]).write.format(format).mode(mode).partitionBy(by).save(path)
 
 
 def cluster_by(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -102,32 +98,15 @@ def export_format(path: str, hint: str | None) -> str:
     return format
 
 
-def export(
-    df: DataFrame,
-    path: str,
-    format: str | None = None,
-    others: Sequence[DataFrame] = (),
-    single_file: bool = False,
-) -> None:
-    """CSV, JSON lines or Parquet for other programs. Lineage is left out.
-
-    A directory of files by default. ``single_file`` is the small-output path, for readers that
-    want one file: one task writes all rows, so it is refused above SINGLE_FILE_BYTES.
-    """
+def export(df: DataFrame, path: str, format: str | None = None, others: Sequence[DataFrame] = ()) -> None:
+    """CSV, JSON lines or Parquet for other programs, a directory of files. Lineage is left out."""
     format = export_format(path, format)
     frame = union_columns([strip_lineage(f) for f in (df, *others)])
-    if single_file:
-        # The size is known once the rows are written.
-        frame = stage(frame, "export")
-        if estimated_bytes(frame) > SINGLE_FILE_BYTES:
-            raise ValueError(f"too much for a single file: {estimated_bytes(frame)} bytes")
     if format == "csv":
         nested = (T.ArrayType, T.StructType, T.MapType)
         frame = frame.withColumns(
             {f.name: F.to_json(quoted(f.name)) for f in frame.schema.fields if isinstance(f.dataType, nested)}
         )
-    if single_file:
-        frame = frame.coalesce(1)
     writer = frame.write.format("json" if format == "jsonl" else format)
     if format == "csv":
         writer = writer.option("header", True).option("emptyValue", "").option("escape", '"')

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import SparkSession
@@ -28,20 +29,32 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """Write beside the file, then rename over it: readers see the old text or the new one."""
-    fresh = f"{path}.new"
-    stream = _fs(spark, fresh).create(_path(spark, fresh), True)
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """Write beside, then rename to a name that must be free: of two writers one fails, and no reader sees half."""
+    fresh = f"{path}.{uuid.uuid4().hex}"
+    stream = _fs(spark, fresh).create(_path(spark, fresh), False)
     stream.write(bytearray(text.encode("utf-8")))
     stream.close()
     jvm, gateway = spark._jvm, spark.sparkContext._gateway
-    rename = getattr(jvm.org.apache.hadoop.fs, "Options$Rename")
-    flags = gateway.new_array(rename, 1)
-    flags[0] = rename.OVERWRITE
+    flags = gateway.new_array(getattr(jvm.org.apache.hadoop.fs, "Options$Rename"), 0)
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
         _path(spark, fresh).toUri(), spark._jsc.hadoopConfiguration()
     )
-    context.rename(_path(spark, fresh), _path(spark, path), flags)
+    try:
+        context.rename(_path(spark, fresh), _path(spark, path), flags)
+    except Exception as error:
+        delete_folder(spark, fresh)
+        if exists(spark, path):
+            raise FileExistsError(path) from error
+        raise
+
+
+def names_in(spark: SparkSession, path: str, folders: bool) -> list[str]:
+    """Names of the folders, or of the files, in ``path``; none if it is not there."""
+    if not exists(spark, path):
+        return []
+    children = _fs(spark, path).listStatus(_path(spark, path))
+    return sorted(c.getPath().getName() for c in children if c.isDirectory() == folders)
 
 
 def matching_files(spark: SparkSession, pattern: str) -> list[str]:

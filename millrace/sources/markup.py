@@ -1,16 +1,12 @@
-"""XML and YAML files."""
+"""XML files."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import quoted
-from .listing import require_files
 
 
 def blank_to_null(value: Column, kind: T.DataType) -> Column:
@@ -43,47 +39,3 @@ def scan_xml(spark: SparkSession, path: str, tagname: str, schema: T.StructType
     )
     rows = (reader.schema(schema) if schema else reader).load(path)
     return rows.select(*[blank_to_null(F.col(quoted(f.name)), f.dataType).alias(f.name) for f in rows.schema.fields])
-
-
-def yaml_records(content: bytes) -> Iterator[str]:
-    """The records of one file as JSON text: a list gives one each, a null document none."""
-    import base64
-    import json
-
-    import yaml
-
-    def plain(value):
-        if isinstance(value, bytes):
-            return base64.b64encode(value).decode("ascii")
-        if isinstance(value, (set, frozenset)):
-            return sorted(value, key=str)
-        return value.isoformat() if hasattr(value, "isoformat") else str(value)
-
-    loader = getattr(yaml, "CSafeLoader", yaml.SafeLoader)
-    for document in yaml.load_all(content, Loader=loader):
-        if document is None:
-            continue
-        for record in document if isinstance(document, list) else [document]:
-            yield json.dumps(record if isinstance(record, dict) else {"value": record}, default=plain)
-
-
-def scan_yaml(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame:
-    """Every document of every file; a task takes whole files, one after the other."""
-    if not require_files(spark, path):
-        return spark.createDataFrame([], schema)
-
-    def decode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for content in batch["content"]:
-                chunk: list[str] = []
-                for record in yaml_records(bytes(content)):
-                    chunk.append(record)
-                    if len(chunk) == 10_000:
-                        yield pd.DataFrame({"record": chunk})
-                        chunk = []
-                if chunk:
-                    yield pd.DataFrame({"record": chunk})
-
-    files = spark.read.format("binaryFile").load(path).select("content")
-    records = files.mapInPandas(decode, "record string")
-    return records.select(F.from_json("record", schema, {"mode": "FAILFAST"}).alias("r")).select("r.*")

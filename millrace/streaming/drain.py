@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import maintenance, normalize
+from ..operators import maintenance
 from ..operators.keys import dedup_by_key
 from ..sinks.tables import SnapshotTable
 
@@ -35,22 +35,18 @@ def drain_to_files(stream: DataFrame, path: str, checkpoint: str, *partition_by:
 def merge_into(table: SnapshotTable, key: str, order_by: str | None = None, on_commit=None) -> Apply:
     """Upsert each slice by message id, idempotent by slice number.
 
-    A slice is written once, then merged from its files. A slice that was committed before the
-    checkpoint moved is known by its number in the table's head and is not applied again.
+    A slice is added as files of its own, whatever the table holds; readers see the latest row of each
+    id. Once the slices added since outweigh the rest, the table is written anew without what
+    they replaced, so that a row is rewritten a few times at most over the life of the table. A slice
+    that was committed before the checkpoint moved is known by its number in the table's
+    head and is not applied again.
     """
 
     def apply(slice_: DataFrame, number: int) -> None:
-        load_id = f"slice-{number}"
-        head = table.head()
-        if load_id not in head["loads"]:
+        head = table.begin()
+        if number > head.get("slice", -1):
             rows = dedup_by_key(slice_, [key], [order_by] if order_by else [])
-            name = table.write_files(rows, load_id)
-            if not head["dirs"]:
-                table.commit(load_id, [name], rows.schema)
-            else:
-                batch = table.spark.read.schema(rows.schema).parquet(f"{table.path}/{name}")
-                kept = maintenance.drop_right_keys(table.read(), batch.select(key), [key], "left_anti")
-                table.replace(normalize.evolve(kept, batch), load_id)
+            table.upsert(rows, key, number)
         if on_commit:
             on_commit(number)
 
@@ -60,17 +56,17 @@ def merge_into(table: SnapshotTable, key: str, order_by: str | None = None, on_c
 def insert_new(table: SnapshotTable, key: str, on_commit=None) -> Apply:
     """T15 where a redelivered message never differs: only unseen ids are added.
 
-    Files already in the table stay as they are, so a slice costs what it brings, not what the
-    table holds.
+    Files already in the table stay as they are, so a slice writes what it brings; it reads the ids
+    of the table.
     """
 
     def apply(slice_: DataFrame, number: int) -> None:
         load_id = f"slice-{number}"
-        if load_id not in table.head()["loads"]:
+        if number > table.begin().get("slice", -1):
             rows = dedup_by_key(slice_, [key])
             if table.exists():
                 rows = maintenance.drop_right_keys(rows, table.read().select(key), [key], "left_anti")
-            table.append(rows, load_id)
+            table.append(rows, load_id, slice_=number)
         if on_commit:
             on_commit(number)
 

@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# How much of a queue one run takes.
-MAX_MESSAGES = 100_000
+# How many messages come at once, and how long a drain waits for more.
 BATCH_SIZE = 500
 IDLE_TIMEOUT_MS = 2_000
 
@@ -33,6 +32,10 @@ def queue_envelope(messages: DataFrame, schema: str | None = None, text: bool =
     return rows.select("_mqb_id", "_mqb_metadata", "__p.*", F.col("__plain").alias("value"))
 
 
-def bounded_slice(messages: DataFrame, order_by: str = "id", max_messages: int = MAX_MESSAGES) -> DataFrame:
-    """The first messages of a queue, as many as one run may take."""
-    return messages.orderBy(order_by).limit(max_messages)
+def bounded_slice(messages: DataFrame, order_by: str = "id", max_messages: int | None = None, after=None) -> DataFrame:
+    """The messages beyond the position ``after``; the first ``max_messages`` of them if that is given.
+
+    The next slice begins after the last message of this one, so that slices reach every message.
+    """
+    rest = messages if after is None else messages.filter(F.col(order_by) > F.lit(after))
+    return rest if max_messages is None else rest.orderBy(order_by).limit(max_messages)

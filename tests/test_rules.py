@@ -14,7 +14,6 @@ REFUSED = {
     "V01 no target, three parts": dict(source="a.b.c"),
     "V02 not files": dict(GOOD, file_incremental=True),
     "V02 no times": dict(GOOD, source_kind="files", file_incremental=True, files_have_times=False),
-    "V02 single file": dict(GOOD, source_kind="files", file_incremental=True, sink_kind="single_file"),
     "V02 replace": dict(GOOD, source_kind="files", file_incremental=True, strategy="replace"),
     "V02 no state": dict(GOOD, source_kind="files", file_incremental=True, durable_state=False),
     "V03 merge": dict(GOOD, source_kind="files", strategy="merge", primary_key=["id"]),
@@ -26,7 +25,8 @@ REFUSED = {
     "V05 noise": dict(GOOD, strategy="scd2", masks=["a:sha256", "n:noise:0.1"]),
     "masked cursor": dict(GOOD, incremental_key="d", masks=["d:year_only"]),
     "masked key": dict(GOOD, strategy="merge", primary_key=["id"], masks=["id:sequential"]),
-    "V07": dict(GOOD, multiple_tables=True, sink_kind="single_file"),
+    "single file": dict(GOOD, sink_kind="single_file"),
+    "V10 future": dict(GOOD, interval_end=dt.datetime(2999, 1, 1)),
     "V08": dict(GOOD, format="avro"),
     "V09 cursor": dict(GOOD, source_kind="queue", incremental_key="d"),
     "V09 key": dict(GOOD, source_kind="queue", primary_key=["id"]),
