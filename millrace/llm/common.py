@@ -30,10 +30,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def staged(df: DataFrame, label: str) -> DataFrame:
-    """Write to the shared folder and read back: computed once, and safe from lost executors."""
+# Tasks that write a table of known size: at least so many, each of up to so many bytes.
+LEAST_TASKS = 12
+TASK_BYTES = 1 << 24
+
+
+def gathered(df: DataFrame, rows: int, width: int = 48) -> DataFrame:
+    """At most as many partitions as ``rows`` rows of about ``width`` bytes need, so that small tables cost few tasks."""
+    return df.coalesce(max(LEAST_TASKS, rows * width // TASK_BYTES))
+
+
+def staged(df: DataFrame, label: str, rows: int | None = None, width: int = 48) -> DataFrame:
+    """Write to the shared folder and read back: computed once, and safe from lost executors.
+
+    ``rows``, where a bound of the size is known, keeps the number of tasks in proportion.
+    """
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    (df if rows is None else gathered(df, rows, width)).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

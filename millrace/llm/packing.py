@@ -84,7 +84,7 @@ class Packer:
             self.stacks[level + size].append(pieces)
             self.levels[level + size] += 1
         if self.open > OPEN:
-            self.flush()
+            self.flush(last=False)
 
     def emit(self, pieces: list) -> None:
         sequence, offset = self.sequence(), 0
@@ -92,8 +92,11 @@ class Packer:
             self.out.append((doc, start, data, sequence, offset))
             offset += len(data) // 4
 
-    def flush(self) -> None:
-        """Close all open windows: their pieces in a row, cut at window ends."""
+    def flush(self, last: bool = True) -> None:
+        """Close all open windows: their pieces in a row, cut at window ends.
+
+        What fills no window at the end stays open, unless this is the ``last`` time.
+        """
         row, room = [], self.window
         for stack in self.stacks:
             for doc, start, data in (p for pieces in stack for p in pieces):
@@ -106,10 +109,13 @@ class Packer:
                         self.emit(row)
                         row, room = [], self.window
             stack.clear()
-        if row:
-            self.emit(row)
         self.levels[:] = 0
         self.open = 0
+        if row and last:
+            self.emit(row)
+        elif row:
+            self.stacks[self.window - room].append(row)
+            self.levels[self.window - room] = self.open = 1
 
 
 def pack(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW) -> DataFrame:

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bitmap import bitmap, wanted
+from .bitmap import may_have
 from .common import per_batch, register, staged, table
 from .words import mix, prefix_sums, span_hashes
 
@@ -254,16 +254,6 @@ def repeated_ranges(keyed: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def may_have(keyed: DataFrame, keys: DataFrame, no: bool = False) -> DataFrame:
-    """Rows whose key may be among ``keys`` (or, with ``no``, those whose key is not)."""
-    bits = bitmap(keys)
-
-    def pick(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array(wanted(bits, batch.column("k").to_numpy()) != no))
-
-    return keyed.mapInArrow(per_batch(pick), keyed.schema)
-
-
 def kept(text: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, int, int]:
     """The remaining bytes, the number removed, and the number of maximal removed runs."""
     out, done, runs, removed, reach = [], 0, 0, 0, -1

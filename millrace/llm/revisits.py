@@ -18,8 +18,8 @@ has no time), "no validator" (the two have neither entity tags nor modification
 "validator mismatch" (tags differ, weak marks aside; or, without two tags, times differ), "merged" (has
 headers). Earlier means a smaller time, then a smaller id, then response before revisit; null ids come
 first. Responses without a time never serve. Repeated records each count. Header names are compared in
-lower case, of equal names the first stays; null headers are none. Empty tables give empty results. Further columns are
-not looked at.
+lower case, of equal names the first in order of code points stays; null headers are none. Empty tables
+give empty results. Further columns are not looked at.
 """
 
 from __future__ import annotations
@@ -47,8 +47,8 @@ def canonical_url(url: Column) -> Column:
 
 
 def lower_names(headers: Column) -> Column:
-    """Headers by lower-case name; of equal names the first."""
-    entries = F.transform(F.map_entries(headers), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
+    """Headers by lower-case name; of names equal then, the first in order of code points."""
+    entries = F.transform(F.array_sort(F.map_entries(headers)), lambda e: F.struct(F.lower(e["key"]).alias("key"), e["value"].alias("value")))
     names = F.transform(entries, lambda e: e["key"])
     first = F.filter(entries, lambda e, i: F.array_position(names, e["key"]) == i + 1)
     return F.coalesce(F.map_from_entries(first), F.map_from_arrays(F.array().cast("array<string>"), F.array().cast("array<string>")))
