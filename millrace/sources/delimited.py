@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import quoted
-from . import hadoop
-from .listing import require_files
+from ..operators.widening import align
+from .listing import first_lines, lookup, require_files
 
 # Delimiters looked for when none is named, the likeliest first.
 DELIMITERS = (",", "\t", ";", "|")
@@ -25,43 +25,56 @@ def header_of(line: str, delimiter: str) -> tuple[str, ...]:
     return tuple(next(csv.reader([line], delimiter=delimiter)))
 
 
+def read_groups(
+    spark: SparkSession, groups: dict[tuple[str, tuple[str, ...]], list[str]], infer: bool, options: dict[str, str]
+) -> DataFrame:
+    """Files by delimiter and header, joined together by column name; a type that differs becomes text."""
+    whole = None
+    for (delimiter, header), files in groups.items():
+        reader = spark.read.option("header", True).option("sep", delimiter).options(**options)
+        reader = reader.option("inferSchema", True) if infer else reader.schema(text_schema(header))
+        frame = reader.csv(files)
+        if whole is not None:
+            whole, frame = align(whole, frame)
+        whole = frame if whole is None else whole.unionByName(frame, allowMissingColumns=True)
+    return spark.createDataFrame([], T.StructType([])) if whole is None else whole
+
+
+def by_header(spark: SparkSession, path: str, delimiter_of) -> dict[tuple[str, tuple[str, ...]], list[str]]:
+    groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
+    if require_files(spark, path):
+        for row in first_lines(spark, path).orderBy("line").toLocalIterator():
+            delimiter = delimiter_of(row.line)
+            groups.setdefault((delimiter, header_of(row.line, delimiter)), []).extend(row.files)
+    return groups
+
+
 def scan_csv(
     spark: SparkSession, path: str, delimiter: str = ",", infer: bool = False, **options: str
 ) -> DataFrame:
-    """Every file with its own header, joined together by column name.
+    """Every file with its own header, joined together by column name; folders to any depth.
 
     One read over files with different headers would map columns by position. The files are
-    grouped by header (first lines only are looked at), and each group is one read with a known
-    schema, so without ``infer`` the data is passed over once.
+    grouped by header, which one pass over the files' lines tells, and each group is one read.
     """
-    if not require_files(spark, path):
-        return spark.createDataFrame([], T.StructType([]))
-    files = hadoop.matching_files(spark, path)
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for file, line in zip(files, hadoop.first_lines(spark, files)):
-        if line is not None:
-            groups.setdefault(header_of(line, delimiter), []).append(file)
-    if not groups:
-        return spark.createDataFrame([], T.StructType([]))
-    frames = []
-    for header, members in groups.items():
-        reader = spark.read.option("header", True).option("sep", delimiter).options(**options)
-        reader = reader.option("inferSchema", True) if infer else reader.schema(text_schema(header))
-        frames.append(reader.csv(members))
-    whole = frames[0]
-    for frame in frames[1:]:
-        whole = whole.unionByName(frame, allowMissingColumns=True)
-    return whole
+    return read_groups(spark, by_header(spark, path, lambda line: delimiter), infer, options)
 
 
 def scan_csv_headless(
     spark: SparkSession, path: str, names: Sequence[str] | None = None, delimiter: str = ",", **options: str
 ) -> DataFrame:
-    """No header; names as given, else ``unknown_col_0`` and so on. The first line is data."""
+    """No header; names as given, else ``unknown_col_0`` and so on, as many as the widest line has cells.
+
+    The first line is data.
+    """
+    root, lookups = lookup(path)
     if names is None:
-        first = hadoop.first_line(spark, hadoop.matching_files(spark, path)) or ""
-        names = [f"unknown_col_{i}" for i in range(len(header_of(first, delimiter)))]
-    return spark.read.schema(text_schema(names)).option("sep", delimiter).options(**options).csv(path)
+        plain = F.regexp_replace("value", r'"([^"]|"")*"', "")
+        cells = F.length(plain) - F.length(F.replace(plain, F.lit(delimiter), F.lit(""))) + F.lit(len(delimiter))
+        lines = spark.read.options(**lookups).text(root)
+        widest = lines.filter(F.trim("value") != "").agg(F.max(cells)).first()[0]
+        names = [f"unknown_col_{i}" for i in range((widest or 0) // len(delimiter))]
+    return spark.read.schema(text_schema(names)).option("sep", delimiter).options(**lookups).options(**options).csv(root)
 
 
 def sniff_delimiter(line: str) -> str:
@@ -70,11 +83,8 @@ def sniff_delimiter(line: str) -> str:
 
 
 def scan_csv_sniffed(spark: SparkSession, path: str, **options: str) -> DataFrame:
-    """Delimiter from the first header, types from the data."""
-    first = hadoop.first_line(spark, hadoop.matching_files(spark, path))
-    if first is None:
-        return spark.createDataFrame([], T.StructType([]))
-    return scan_csv(spark, path, sniff_delimiter(first), infer=True, **options)
+    """Each file's delimiter from its own header, types from the data."""
+    return read_groups(spark, by_header(spark, path, sniff_delimiter), True, options)
 
 
 def clean_csv_rows(df: DataFrame) -> DataFrame:

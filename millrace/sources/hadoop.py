@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import time
 import uuid
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import SparkSession
 
 
@@ -57,51 +55,6 @@ def names_in(spark: SparkSession, path: str, folders: bool) -> list[str]:
     return sorted(c.getPath().getName() for c in children if c.isDirectory() == folders)
 
 
-def matching_files(spark: SparkSession, pattern: str) -> list[str]:
-    """Files of a glob, or of a directory, leaving out names starting with ``_`` or ``.``."""
-    found = _fs(spark, pattern).globStatus(_path(spark, pattern)) or []
-    files: list[str] = []
-    for status in found:
-        if status.isFile():
-            files.append(status.getPath().toString())
-            continue
-        for child in _fs(spark, pattern).listStatus(status.getPath()):
-            if child.isFile() and child.getPath().getName()[0] not in "_.":
-                files.append(child.getPath().toString())
-    return sorted(files)
-
-
-def first_lines(spark: SparkSession, files: list[str], threads: int = 32) -> list[str | None]:
-    """The first line of each file that is not blank; a header is all that crosses the driver."""
-
-    def peek(file: str) -> str | None:
-        stream = _fs(spark, file).open(_path(spark, file))
-        codec = spark._jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
-            spark._jsc.hadoopConfiguration()
-        ).getCodec(_path(spark, file))
-        source = codec.createInputStream(stream) if codec else stream
-        reader = spark._jvm.java.io.BufferedReader(spark._jvm.java.io.InputStreamReader(source, "UTF-8"))
-        try:
-            line = reader.readLine()
-            while line is not None and not line.strip("﻿ \t\r"):
-                line = reader.readLine()
-            return None if line is None else line.lstrip("﻿")
-        finally:
-            reader.close()
-
-    with ThreadPoolExecutor(max_workers=threads) as pool:
-        return list(pool.map(peek, files))
-
-
-def first_line(spark: SparkSession, files: list[str], step: int = 32) -> str | None:
-    """The first line of the first file that has one; empty files are passed over."""
-    for i in range(0, len(files), step):
-        found = next((line for line in first_lines(spark, files[i : i + step]) if line is not None), None)
-        if found is not None:
-            return found
-    return None
-
-
 def old_folders(spark: SparkSession, path: str, hours: float) -> list[str]:
     """Names of the folders in ``path`` last changed more than ``hours`` ago."""
     limit = (time.time() - hours * 3600) * 1000

@@ -3,49 +3,57 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.normalize import evolve
-from . import hadoop
-from .listing import require_files
+from .listing import first_lines, require_files
 
 
 def is_lines(first_line: str) -> bool:
-    """Whether a file holds one record per line, told from its first line."""
-    if not first_line.lstrip().startswith("{"):
-        return False
+    """Whether each line of a file holds whole records (an object, or a list of them), told from its first line."""
     try:
-        json.loads(first_line)
+        return isinstance(json.loads(first_line), (dict, list))
     except ValueError:
         return False
-    return True
+
+
+def one_document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Raise for a file that goes on after its first JSON document, which a reader would pass over."""
+    decoder = json.JSONDecoder()
+    for batch in batches:
+        for file, text in zip(batch["file"], batch["value"]):
+            body = text.lstrip("\ufeff \t\r\n")
+            if body and body[decoder.raw_decode(body)[1] :].strip():
+                raise ValueError(f"{file}: text after the first JSON document")
+        yield batch[["file"]].iloc[:0]
 
 
 def scan_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """An object, an array of objects, or lines; each file is read the way it is written.
+    """An object, an array of objects, or lines of either; each file is read the way it is written.
 
     Reading lines as one document would give their first record only, hence the look at each
-    file's first line. A record that does not parse ends the load.
+    file's first line. A record that does not parse ends the load, and so does text after the one
+    document of a file. Folders are read to any depth.
     """
-    if not require_files(spark, path):
-        return spark.createDataFrame([], schema or T.StructType([]))
-    files = hadoop.matching_files(spark, path)
-    lines: list[str] = []
-    whole: list[str] = []
-    for file, first in zip(files, hadoop.first_lines(spark, files)):
-        if first is not None:
-            (lines if is_lines(first) else whole).append(file)
+    groups: dict[bool, list[str]] = {True: [], False: []}
+    if require_files(spark, path):
+        for row in first_lines(spark, path).toLocalIterator():
+            groups[is_lines(row.line)].extend(row.files)
     reader = spark.read.option("mode", "FAILFAST")
     reader = reader.schema(schema) if schema else reader
     frames = []
-    if lines:
-        frames.append(reader.json(lines))
-    if whole:
-        frames.append(reader.option("multiLine", True).json(whole))
+    if groups[True]:
+        frames.append(reader.json(sorted(groups[True])))
+    if groups[False]:
+        files = sorted(groups[False])
+        texts = spark.read.text(files, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
+        texts.mapInPandas(one_document, "file string").count()
+        frames.append(reader.option("multiLine", True).json(files))
     if not frames:
         return spark.createDataFrame([], schema or T.StructType([]))
     return frames[0] if len(frames) == 1 else evolve(frames[0], frames[1])

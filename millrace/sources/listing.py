@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -67,11 +68,43 @@ def cursor_key(namespace: str, bucket: str, pattern: str) -> str:
     return hashlib.sha256("\0".join((namespace, clean, pattern)).encode()).hexdigest()
 
 
+def lookup(path: str) -> tuple[str, dict[str, str]]:
+    """Where a reader starts, and its options: folders are read to any depth, and so is ``**``."""
+    if "**" in path:
+        root, _, rest = path.partition("**")
+        name = rest.strip("/") or "*"
+        if "/" in name:
+            raise ValueError(f"after ** only a file name may follow: {path}")
+        return root.rstrip("/") or "/", {"recursiveFileLookup": "true", "pathGlobFilter": name}
+    return path, {"recursiveFileLookup": "true"}
+
+
 def require_files(spark: SparkSession, path: str) -> bool:
     """A named path without a file is an error, a glob without a match an empty success."""
-    from .hadoop import matching_files
-
-    found = matching_files(spark, path)
+    root, options = lookup(path)
+    try:
+        found = not spark.read.format("binaryFile").options(**options).load(root).select("path").isEmpty()
+    except AnalysisException as error:
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        found = False
     if not found and not any(c in path for c in "*?["):
         raise FileNotFoundError(f"no file at {path}")
-    return bool(found)
+    return found
+
+
+def first_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(line, files): the first line of each file that is not blank, and the files that begin with it.
+
+    One pass by the executors; the driver opens no file. Lines are as many as there are kinds of
+    file, and the files' names go to the reader, which lists them anyway.
+    """
+    root, options = lookup(path)
+    lines = spark.read.options(**options).text(root).select(
+        F.col("_metadata.file_path").alias("file"), "value", F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
+    black = lines.filter(F.length(F.trim(F.translate("value", "\ufeff\t\r", ""))) > 0)
+    # Lines of a block are in order; blocks by where they start.
+    first = black.groupBy("file").agg(F.min_by("value", F.struct("block", "place")).alias("line"))
+    return first.groupBy(F.ltrim(F.col("line"), F.lit("\ufeff")).alias("line")).agg(F.sort_array(F.collect_list("file")).alias("files"))

@@ -265,3 +265,26 @@ def test_jdbc_reaches_the_driver(spark):
         jdbc.scan_jdbc_query(spark, url, "SELECT 1")
     with pytest.raises(Exception, match="(?i)driver"):
         jdbc_sink.write_jdbc(spark.range(1), url, "s.t")
+
+
+def test_csv_at_any_depth_width_and_dialect(spark, tmp_path, rows):
+    for name, content in (("a.csv", "x,y\n1,2\n"), ("in/b.csv", "x;y\n3;4\n"), ("in/deep/c.csv", "y\tx\n6\t5\n")):
+        (tmp_path / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / name).write_text(content)
+    for path in (str(tmp_path), f"{tmp_path}/**/*.csv"):
+        assert rows(delimited.scan_csv_sniffed(spark, path), "x", "y") == [(1, 2), (3, 4), (5, 6)]
+    assert delimited.scan_csv(spark, f"{tmp_path}/in").count() == 2
+    (tmp_path / "in" / "wide").mkdir()
+    (tmp_path / "in" / "wide" / "w.csv").write_text('1,2\n3,"a,b",5\n')
+    got = delimited.scan_csv_headless(spark, f"{tmp_path}/in/wide")
+    assert rows(got) == [("1", "2", None), ("3", "a,b", "5")]
+
+
+def test_json_records_beyond_the_first(spark, put, tmp_path, rows):
+    put("lists.json", '[{"a":1},{"a":2}]\n[{"a":3}]\n')
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "b.json").write_text('{\n"a": 4\n}\n')
+    assert rows(jsonfiles.scan_json(spark, str(tmp_path), "a int")) == [(1,), (2,), (3,), (4,)]
+    (tmp_path / "in" / "two.json").write_text('{\n"a": 4\n}\n{\n"a": 5\n}\n')
+    with pytest.raises(Exception, match="after the first JSON document"):
+        jsonfiles.scan_json(spark, str(tmp_path), "a int")
