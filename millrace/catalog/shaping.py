@@ -505,12 +505,7 @@ UNION ALL SELECT DISTINCT 'supplier', l_orderkey, l_suppkey FROM lineitem""",
 def link_rows(spark, sf):
     """Links stated twice, as both sides of an association often do."""
     raw = table(spark, sf, "lineitem").selectExpr("l_orderkey", "array(l_partkey, l_partkey) AS parts", "array(l_suppkey) AS suppliers")
-    links = S.link_rows(raw, "l_orderkey", {"part": "parts", "supplier": "suppliers"})
-    tagged = [
-        frame.select(F.lit(kind).alias("kind"), "l_orderkey", F.col(f"{kind}_id").alias("other_id"))
-        for kind, frame in links.items()
-    ]
-    return tagged[0].unionByName(tagged[1])
+    return S.link_table(raw, "l_orderkey", {"part": "parts", "supplier": "suppliers"})
 
 
 @register(

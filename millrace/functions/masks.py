@@ -20,7 +20,12 @@ DATE_FORMS = (
     "MM/dd/yyyy",
     "yyyyMMdd",
     "MMMM d, yyyy",
+    "MMM d, yyyy",
     "d MMM yyyy",
+    "d MMMM yyyy",
+    "d MMM yy",
+    "dd.MM.yyyy",
+    "yyyy-MM-dd'T'HH:mm:ssXXX",
 )
 
 
@@ -131,19 +136,16 @@ def all_stars(value: Column, kind: T.DataType) -> Column:
 
 
 def rounded(value: Column, kind: T.DataType, precision: int = 10) -> Column:
-    """Half-even to a multiple of ``precision``. Text that is no number is returned as it is."""
+    """Half-even to a multiple of ``precision``. Text that is no number becomes null."""
     number = value.try_cast("double")
     result = (F.bround(number / F.lit(precision)) * F.lit(precision)).cast("long")
-    if isinstance(kind, T.NumericType):
-        return result
-    return F.coalesce(result.cast("string"), text(value, kind))
+    return result if isinstance(kind, T.NumericType) else result.cast("string")
 
 
 def bucketed(value: Column, kind: T.DataType, size: int = 100) -> Column:
     number = value.try_cast("double")
     low = (F.floor(number / F.lit(size)) * F.lit(size)).cast("long")
-    label = F.concat(low.cast("string"), F.lit("-"), (low + F.lit(size)).cast("string"))
-    return F.coalesce(label, text(value, kind))
+    return F.concat(low.cast("string"), F.lit("-"), (low + F.lit(size)).cast("string"))
 
 
 def as_date(value: Column, kind: T.DataType) -> Column:
@@ -158,16 +160,15 @@ def is_time(kind: T.DataType) -> bool:
 
 
 def year_only(value: Column, kind: T.DataType) -> Column:
-    """The year as a number; text that is no date keeps the column text and is returned as it is."""
+    """The year as a number, or as text where the column is text; text that is no date becomes null."""
     year = F.year(as_date(value, kind))
-    return year if is_time(kind) else F.coalesce(year.cast("string"), text(value, kind))
+    return year if is_time(kind) else year.cast("string")
 
 
 def month_year(value: Column, kind: T.DataType) -> Column:
     day = as_date(value, kind)
     label = F.concat_ws("-", F.lpad(F.year(day).cast("string"), 4, "0"), F.lpad(F.month(day).cast("string"), 2, "0"))
-    label = F.when(day.isNotNull(), label)
-    return label if is_time(kind) else F.coalesce(label, text(value, kind))
+    return F.when(day.isNotNull(), label)
 
 
 def uuid_token(value: Column, kind: T.DataType, salt: str) -> Column:
@@ -202,7 +203,7 @@ def noise(value: Column, kind: T.DataType, level: float = 0.1) -> Column:
         return whole(moved - moved % 1)
     if isinstance(kind, T.NumericType):
         return moved.cast(kind)
-    return F.coalesce(moved.cast("string"), text(value, kind))
+    return moved.cast("string")
 
 
 def date_shift(value: Column, kind: T.DataType, days: int = 30) -> Column:
@@ -212,8 +213,7 @@ def date_shift(value: Column, kind: T.DataType, days: int = 30) -> Column:
         return F.date_add(value, shift)
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
         return value + F.make_dt_interval(days=shift)
-    moved = F.date_format(F.date_add(as_date(value, kind), shift), "yyyy-MM-dd")
-    return F.coalesce(moved, text(value, kind))
+    return F.date_format(F.date_add(as_date(value, kind), shift), "yyyy-MM-dd")
 
 
 def random_value(value: Column, kind: T.DataType) -> Column:
@@ -230,7 +230,16 @@ def random_value(value: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
         seed = F.uuid()
         return F.when(value.isNull(), None).when(value == "", "").otherwise(random_text(F.length(value), seed))
-    return text(value, kind)
+    if isinstance(kind, T.DecimalType):
+        return F.when(value.isNotNull(), (F.rand().cast(T.DecimalType(18, 17)) * F.abs(value)).try_cast(kind))
+    # Any day or time of a century, whatever the value was.
+    day = F.date_add(F.lit("1950-01-01").cast("date"), F.floor(F.rand() * 36525).cast("int"))
+    if isinstance(kind, T.DateType):
+        return F.when(value.isNotNull(), day)
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType)):
+        return F.when(value.isNotNull(), (day.cast("timestamp_ntz") + F.make_dt_interval(secs=F.floor(F.rand() * 86400))).cast(kind))
+    # Nothing random of such a type is known; null gives nothing away.
+    return F.lit(None).cast("string")
 
 
 def random_text(size: Column, seed: Column) -> Column:

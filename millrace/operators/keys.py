@@ -10,58 +10,20 @@ from pyspark.sql import types as T
 
 from ..functions.hashing import quoted
 
-# Keys looked at for spreading. Every key beyond the first HOT_KEYS holds less than
-# 1 / HOT_KEYS of the rows, so it needs no spreading.
-HOT_KEYS = 256
-SAMPLE_SHARE = 0.01
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate: file sizes, reduced by projections only, so an upper bound."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def will_broadcast(df: DataFrame) -> bool:
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= estimated_bytes(df) <= limit
-
-
 def match_many(
     left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, null_safe: bool = True
 ) -> DataFrame:
     """Join many ``left`` rows to the distinct keys of ``right``.
 
-    A small ``right`` is broadcast by Catalyst and ``left`` is not moved at all. Otherwise the
-    most frequent left keys are spread over all shuffle partitions, with their few right rows
-    copied to each, so a key holding a third of ``left`` does not end up in one task.
+    A small ``right`` is broadcast by Catalyst and ``left`` is not moved at all. Otherwise both sides
+    are shuffled by an exchange of the join's own, so that adaptive execution can cut a partition of
+    ``left`` that one key fills, by its size, and hand each piece that key's row of ``right``. Nothing
+    runs before the query does.
 
     ``right`` has one row per key. Columns of ``right`` beside the keys must not clash.
     """
-    if will_broadcast(right):
-        return drop_right_keys(left, right, keys, how, null_safe)
-    fan = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hot = frequent_keys(left, keys).withColumn("__hot", F.lit(True))
-    hot = F.broadcast(hot)
-    marked = drop_right_keys(left, hot, keys, "left")
-    # The partition number is fixed per task, so a retried task salts its rows alike.
-    salted_left = marked.withColumn(
-        "__salt", F.when(F.col("__hot"), F.spark_partition_id() % fan).otherwise(F.lit(0))
-    ).drop("__hot")
-    copies = F.when(F.col("__hot"), F.sequence(F.lit(0), F.lit(fan - 1))).otherwise(F.array(F.lit(0)))
-    salted_right = drop_right_keys(right, hot, keys, "left").withColumn("__salt", F.explode(copies)).drop("__hot")
-    return drop_right_keys(salted_left, salted_right, [*keys, "__salt"], how, null_safe).drop("__salt")
-
-
-def frequent_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The most frequent keys, HOT_KEYS rows at most, which is what makes them safe to broadcast.
-
-    A sample tells them: it decides only which keys are spread, and a key it misses is joined
-    like any other. The list is fetched, so that both sides of the join go by the same one.
-    """
-    columns = [F.col(quoted(k)) for k in keys]
-    counted = df.select(*columns).sample(SAMPLE_SHARE, seed=1).groupBy(*columns).agg(F.count(F.lit(1)).alias("__n"))
-    top = counted.orderBy(F.desc("__n"), *columns).limit(HOT_KEYS).drop("__n")
-    return df.sparkSession.createDataFrame(top.collect(), top.schema)
+    # An aggregation right below the join would tie its partitions to its own; so they are dealt anew.
+    return drop_right_keys(left, right.hint("rebalance"), keys, how, null_safe)
 
 
 def drop_right_keys(

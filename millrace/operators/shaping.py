@@ -255,6 +255,19 @@ def stable_dictionary(old: DataFrame | None, new: DataFrame) -> DataFrame:
     return joined.select("field", "code", F.coalesce("__old", "__new").alias("label"))
 
 
+def link_table(df: DataFrame, key: str, associations: Mapping[str, str]) -> DataFrame:
+    """R34 for all kinds in one scan: distinct (kind, object, other_id); ids of unlike types become text."""
+    kinds = {df.schema[column].dataType.elementType.simpleString() for column in associations.values()}
+    one = kinds.pop() if len(kinds) == 1 else "string"
+
+    def tag(kind: str):
+        return lambda x: F.struct(F.lit(kind).alias("kind"), x.cast(one).alias("other_id"))
+
+    tagged = [F.transform(F.coalesce(c(column), F.array()), tag(kind)) for kind, column in associations.items()]
+    links = df.select(c(key), F.explode(F.concat(*tagged)).alias("__link"))
+    return links.select("__link.kind", c(key), "__link.other_id").distinct()
+
+
 def link_rows(df: DataFrame, key: str, associations: Mapping[str, str]) -> dict[str, DataFrame]:
     """Per kind of association a link table of distinct (object, other) pairs.
 

@@ -312,26 +312,32 @@ def lopsided(spark, n=3000):
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_anti", "left_semi"])
-def test_spread_join_equals_plain_join(spark, rows, no_broadcast, how):
-    left = lopsided(spark)
-    right = spark.range(0, 3000, 7).selectExpr("id AS k", "id * 10 AS r").union(spark.createDataFrame([(None, -1)], "k long, r long"))
-    spread = match_many(left, right, ["k"], how)
-    pieces = spread._jdf.queryExecution().executedPlan().toString()
-    assert "__salt" in pieces
-    side = right.withColumnRenamed("k", "rk")
-    plain = left.join(side, left.k.eqNullSafe(side.rk), how).drop("rk")
-    assert rows(spread.select(sorted(spread.columns))) == rows(plain.select(sorted(plain.columns)))
-
-
-def test_hot_key_is_spread_over_tasks(spark, no_broadcast):
-    left = lopsided(spark)
-    right = spark.range(0, 3000, 7).selectExpr("id AS k").union(spark.createDataFrame([(7,)], "k long")).distinct()
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
+def test_a_hot_key_is_cut_by_adaptive_execution(spark, rows, no_broadcast, how):
+    """Half of the rows have one key, the right side comes from an aggregation, and no job runs beforehand."""
+    sizes = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k",
+    }
+    before = {k: spark.conf.get(k) for k in sizes}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
     try:
-        tasks = match_many(left, right, ["k"], "inner").filter("k = 7").select(F.spark_partition_id()).distinct().count()
+        left = spark.range(20_000).repartition(6).selectExpr("CASE WHEN id % 2 = 0 THEN 7 WHEN id % 50 = 1 THEN NULL ELSE id END AS k", "id AS payload")
+        keys = spark.range(0, 20_000, 3).selectExpr("IF(id = 6, 7, id) AS k")
+        right = keys.union(spark.createDataFrame([(None,)], "k long")).groupBy("k").agg(F.max(F.lit(1)).alias("r"))
+        spark.sparkContext.setJobGroup(f"planning-{how}", "none")
+        joined = match_many(left, right, ["k"], how)
+        assert not spark.sparkContext.statusTracker().getJobIdsForGroup(f"planning-{how}")
+        side = right.withColumnRenamed("k", "rk")
+        plain = left.join(side, left.k.eqNullSafe(side.rk), how).drop("rk")
+        got = joined.select(sorted(joined.columns))
+        assert rows(got) == rows(plain.select(sorted(plain.columns)))
+        assert "skew=true" in got._jdf.queryExecution().executedPlan().toString() or how == "left_anti"
     finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert tasks > 1
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        for k, v in before.items():
+            spark.conf.set(k, v)
 
 
 def test_without_keys_on_a_hot_day(spark, rows, no_broadcast):

@@ -4,6 +4,7 @@ import datetime as dt
 import hashlib
 import hmac
 import random
+from decimal import Decimal
 
 import pytest
 
@@ -40,10 +41,14 @@ CASES = [
     ("redact", "x", "REDACTED"),
     ("fixed", None, "MASKED"),
     ("fixed:gone", "x", "gone"),
-    ("round:10", "no number", "no number"),
-    ("range:100", "n/a", "n/a"),
+    ("round:10", "no number", None),
+    ("range:100", "n/a", None),
     ("year_only", "2024-03-15", "2024"),
-    ("year_only", "someday", "someday"),
+    ("year_only", "someday", None),
+    ("year_only", "5 Mar 24", "2024"),
+    ("month_year", "05.03.2024", "2024-03"),
+    ("date_shift", "someday", None),
+    ("noise:0.5", "much", None),
     ("month_year", "2024-03-15", "2024-03"),
     ("month_year", "March 5, 2024", "2024-03"),
     ("sha256", "test@example.com", hashlib.sha256(b"test@example.com").hexdigest()),
@@ -116,6 +121,13 @@ def test_random_masks_keep_shape(spark):
     assert 500 <= noisy <= 1500
 
 
+def test_random_masks_of_other_types_show_nothing(spark):
+    for kind, value in (("decimal(10,2)", Decimal("1234.56")), ("date", dt.date(2024, 1, 31)), ("timestamp_ntz", dt.datetime(2024, 1, 31, 5))):
+        shown = mask(spark, [value] * 30 + [None], kind, "random")
+        assert shown[-1] is None and len({str(s) for s in shown}) > 20
+        assert str(value) not in {str(s) for s in shown}
+
+
 def test_numbers_at_the_end_of_their_type(spark):
     for kind, value in (("int", 2**31 - 1), ("bigint", 2**63 - 1), ("bigint", -(2**63)), ("smallint", 32767)):
         values = [value] * 50
