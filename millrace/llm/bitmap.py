@@ -31,8 +31,8 @@ def bitmap(keys: DataFrame) -> bytes:
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
     )
     out = np.zeros(1 << (SLOT_BITS - 6), dtype=np.uint64)
-    for row in words.toLocalIterator():
-        out[row["at"]] = np.uint64(row["bits"] & 0xFFFFFFFFFFFFFFFF)
+    found = words.toArrow()
+    out[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return out.tobytes()
 
 
