@@ -10,11 +10,15 @@ connected component of links.
   soon as its next arrival comes after the last first arrival of all registers.
 * Documents with equal weights are one node; copies never meet as pairs.
 * 24 bands of four registers: a pair of similarity 0.8 shares no band with a probability of 3e-6.
-* Within a bucket each node is compared with one centre. Buckets that then still hold several
-  components get other centres, and at last every node outside the bucket's main component is
-  compared with all nodes of other components, so that no link between components is missed.
-* A pair whose signatures agree in fewer than 55 % of the registers (six standard errors below 0.8)
-  is not verified; all others are, on whole texts.
+* Within a bucket each node is compared with six centres. Where a bucket then still holds several
+  components, every node outside its main component is compared with all nodes of other components
+  that share another band with it (at 0.8 a pair shares two bands but for a probability of 5e-5),
+  so that no link between components is missed.
+* Pairs of which one has so many shingles of its own, found nowhere else, that they cannot be similar
+  enough are left out everywhere: a bound, not a guess. It keeps groups of loosely similar documents
+  from meeting in all pairs.
+* A pair whose signatures agree in fewer than 62 % of the registers (more than four standard errors
+  below 0.8) is not verified; all others are, on whole texts.
 
 Defined results: null text counts as empty. Texts without a word belong together if they are equal.
 Texts of fewer than five words are one shingle. Rows of equal id and equal text are one document as
@@ -32,7 +36,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_batch, register, staged, table, text_hash, texts_of
+from .bitmap import may_have
+from .common import gathered, per_batch, register, staged, table, text_hash, texts_of
 from .components import connected
 from .words import mix, shingles, word_hashes
 
@@ -40,10 +45,15 @@ WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
-LEAST_AGREEMENT = 0.55
+LEAST_AGREEMENT = 0.62
+LEAST_SHARED = 2
+# Centres of a bucket that each of its nodes is compared with first.
+CENTRES = 6
 # Shingle ids within a batch: the text's number above 52 bits of hash.
 ID_BITS = np.uint64(52)
 ID_MASK = np.uint64((1 << 52) - 1)
+# Bytes of a row with a signature, and of one with a text, as far as the number of tasks goes.
+WIDE, TEXT = 700, 4000
 
 
 def weighted(hashes: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -103,7 +113,7 @@ def node_ids(owner: np.ndarray, ids: np.ndarray, weight: np.ndarray, texts: list
 
 
 def sketches(id_column: str):
-    """Arrow batches of (id, thash, text) to (id, thash, node, bands, signature)."""
+    """Arrow batches of (id, thash, k, text) to (id, thash, k, node, wordless, bands, signature)."""
 
     def sketch(batch: pa.RecordBatch) -> pa.Table:
         texts = texts_of(batch)
@@ -122,6 +132,7 @@ def sketches(id_column: str):
                     {
                         id_column: batch.column(id_column).slice(first, count),
                         "thash": batch.column("thash").slice(first, count),
+                        "k": batch.column("k").slice(first, count),
                         "node": pa.array(node),
                         "wordless": pa.array(wordless),
                         "bands": bands,
@@ -163,6 +174,26 @@ def _verified(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     return batch.select(["a", "b"]).filter(pa.array(good))
 
 
+def _weights(batch: pa.RecordBatch) -> pa.Table:
+    nodes, parts = batch.column("node").to_numpy(), []
+    for first, hashes, bounds in word_hashes(texts_of(batch)):
+        owner, ids, weight = weighted(hashes, bounds)
+        parts.append(pa.table({"node": nodes[first + owner], "shingle": ids.view(np.int64), "weight": weight.astype(np.int64)}))
+    return pa.concat_tables(parts)
+
+
+def _sizes(batch: pa.RecordBatch) -> pa.Table:
+    nodes, parts = batch.column("node").to_numpy(), []
+    for first, hashes, bounds in word_hashes(texts_of(batch)):
+        owner, _, weight = weighted(hashes, bounds)
+        n = len(bounds) - 1
+        most = np.zeros(n, dtype=np.int64)
+        np.maximum.at(most, owner, weight)
+        size = np.bincount(owner, weights=weight, minlength=n).astype(np.int64)
+        parts.append(pa.table({"node": nodes[first : first + n], "size": size, "plain": most == 1}))
+    return pa.concat_tables(parts)
+
+
 def _alike(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     a, b = (
         np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint32).reshape(-1, REGISTERS)
@@ -171,117 +202,133 @@ def _alike(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     return batch.select(["a", "b"]).filter(pa.array((a == b).mean(axis=1) >= LEAST_AGREEMENT))
 
 
+# Shingles that only one of the two has leave at most so much to share. Of sets, the similarity is the
+# Jaccard index, and what is shared must be 0.8 / 1.8 of both; of weights, neither may lack more than a fifth.
+ROOM = f"""
+    CASE WHEN m.plain AND c.plain
+    THEN least(m.size - m.alone, c.size - c.alone) >= {THRESHOLD} / (1 + {THRESHOLD}) * (m.size + c.size) - 1e-6
+    ELSE m.alone <= {1 - THRESHOLD} * m.size + 1e-6 AND c.alone <= {1 - THRESHOLD} * c.size + 1e-6 END"""
+
+
+def _pair():
+    return F.least("m.node", "c.node").alias("a"), F.greatest("m.node", "c.node").alias("b")
+
+
 class _Search:
     """Nodes, their buckets and their texts, and the links found so far."""
 
     def __init__(self, docs: DataFrame, id_column: str, rows: DataFrame):
-        self.docs, self.id_column = docs, id_column
-        # One row a node: its signature, and one document that has its text.
         self.nodes = staged(
             rows.where("not wordless")
             .groupBy("node")
-            .agg(F.min(F.struct(id_column, "thash", "bands", "signature")).alias("d"))
-            .select("node", f"d.{id_column}", "d.thash", "d.bands", "d.signature"),
+            .agg(F.min_by(F.struct("k", "bands", "signature"), "k").alias("d"))
+            .select("node", "d.k", "d.bands", "d.signature"),
             "nodes",
+            rows.count(),
+            WIDE,
         )
+        size = self.nodes.count()
         members = self.nodes.select("node", F.explode("bands").alias("bucket"))
         crowded = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        crowded = staged(crowded.where("low <> high").select("bucket", "low"), "crowded")
-        self.members = staged(members.join(crowded, "bucket").select("bucket", "node", "low"), "members")
-        self.texts = None
+        crowded = staged(crowded.where("low <> high").select("bucket"), "crowded", size * BANDS, 24)
+        met = staged(members.join(crowded, "bucket"), "met", size * BANDS, 24)
+        self.n_members = met.count()
+        # Only nodes that share a bucket are looked at from here on.
+        wanted = staged(self.nodes.select("node", "k").join(met.select("node").distinct(), "node"), "wanted", size, 24)
+        self.size = wanted.count()
+        texts = docs.select(F.xxhash64(id_column, F.coalesce("text", F.lit(""))).alias("k"), "text")
+        texts = may_have(texts, wanted.select("k")).join(wanted, "k").select("node", "text")
+        self.texts = staged(texts.dropDuplicates(["node"]), "texts", self.size, TEXT)
+        self.members = staged(met.join(self.alone(), "node"), "members", self.n_members, 64)
+
+    def alone(self) -> DataFrame:
+        """(node, size, alone, plain): all weight, that of shingles no other node of these has, and whether all weigh one."""
+        one = self.texts.mapInArrow(per_batch(_weights), "node long, shingle long, weight long")
+        rare = one.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.min("weight").alias("w"))
+        rare = rare.where("n = 1").groupBy("node").agg(F.sum("w").alias("alone"))
+        rare = staged(rare, "rare", self.size, 24)
+        whole = self.texts.mapInArrow(per_batch(_sizes), "node long, size long, plain boolean")
+        return staged(whole.join(rare, "node", "left").fillna(0, ["alone"]), "alone", self.size, 32)
 
     def verify(self, pairs: DataFrame) -> DataFrame:
-        """The links among (a, b)."""
-        pairs = staged(pairs, "pairs")
+        """The links among the staged table of pairs (a, b)."""
+        n = pairs.count()
+        if not n:
+            return pairs
         sig = self.nodes.select("node", "signature")
         alike = (
             pairs.join(sig.toDF("a", "sig_a"), "a")
             .join(sig.toDF("b", "sig_b"), "b")
             .select("a", "b", "sig_a", "sig_b")
-            .mapInArrow(per_batch(_alike), "a long, b long")
         )
+        alike = gathered(alike, n, 2 * WIDE).mapInArrow(per_batch(_alike), "a long, b long")
         alike = staged(alike, "alike")
-        wanted = alike.select(F.col("a").alias("node")).unionByName(alike.select(F.col("b").alias("node"))).distinct()
-        found = self.nodes.join(wanted, "node").select("node", F.col(self.id_column).alias("did"), "thash")
-        found = staged(found, "wanted")
-        source = self.docs.select(F.col(self.id_column).alias("did"), text_hash().alias("thash"), "text")
-        on = source["did"].eqNullSafe(found["did"]) & (source["thash"] == found["thash"])
-        texts = staged(source.join(found, on).select("node", "text").dropDuplicates(["node"]), "texts")
         checked = (
-            alike.join(texts.toDF("a", "text_a"), "a")
-            .join(texts.toDF("b", "text_b"), "b")
+            alike.join(self.texts.toDF("a", "text_a"), "a")
+            .join(self.texts.toDF("b", "text_b"), "b")
             .select("a", "b", "text_a", "text_b")
-            .mapInArrow(per_batch(_verified), "a long, b long")
         )
-        return staged(checked, "verified")
+        return staged(gathered(checked, alike.count(), 2 * TEXT).mapInArrow(per_batch(_verified), "a long, b long"), "verified")
 
     def links(self) -> DataFrame:
-        star = self.members.where("node <> low").select(F.col("low").alias("a"), F.col("node").alias("b")).distinct()
-        links = compared = None
-        pairs, step = star, 0
-        while True:
-            pairs = staged(pairs, "compared")
-            found = self.verify(pairs)
-            links = found if links is None else links.unionByName(found)
-            compared = pairs if compared is None else compared.unionByName(pairs)
-            component = staged(connected(links), "component")
-            mixed, cross = self.mixed(component)
-            size = mixed.count()
-            if not size:
-                return component
-            step += 1
-            if cross > 4 * size and step < 8:
-                centre = mixed.groupBy("bucket").agg(
-                    F.min_by(F.struct("node", "component"), F.xxhash64("node", F.lit(step))).alias("c")
-                )
-                centre = staged(centre.select("bucket", "c.node", "c.component"), "centre")
-                pairs = (
-                    mixed.alias("m")
-                    .join(centre.alias("c"), "bucket")
-                    .where("m.component <> c.component")
-                    .select(F.least("m.node", "c.node").alias("a"), F.greatest("m.node", "c.node").alias("b"))
-                )
-                last = False
-            else:
-                outside = mixed.where("component <> main")
-                pairs = (
-                    outside.alias("m")
-                    .join(mixed.alias("c"), "bucket")
-                    .where("m.component <> c.component and (c.component = c.main or m.node < c.node)")
-                    .select(F.least("m.node", "c.node").alias("a"), F.greatest("m.node", "c.node").alias("b"))
-                )
-                last = True
-            pairs = pairs.distinct().join(compared, ["a", "b"], "left_anti")
-            if last:
-                found = self.verify(pairs)
-                return connected(links.unionByName(found))
+        """(node, component) of all nodes with a link."""
+        if not self.n_members:
+            return self.nodes.select("node", F.col("node").alias("component")).limit(0)
+        # Centres: the node with the least share of shingles of its own, the smallest, and some by hash.
+        node = F.struct("node", "size", "alone", "plain")
+        ranks = [F.struct(F.col("alone") / F.col("size"), "node"), F.struct(F.lit(0.0), "node")]
+        ranks += [F.struct(F.xxhash64("node", "bucket", F.lit(i)).cast("double"), "node") for i in range(CENTRES - 2)]
+        centres = self.members.groupBy("bucket").agg(*[F.min_by(node, r).alias(f"c{i}") for i, r in enumerate(ranks)])
+        centres = centres.select("bucket", F.explode(F.array_distinct(F.array(*[f"c{i}" for i in range(CENTRES)]))).alias("c"))
+        centres = staged(centres.select("bucket", "c.*"), "centres", self.n_members, 48)
+        pairs = self.members.alias("m").join(centres.alias("c"), "bucket").where("m.node <> c.node").where(ROOM)
+        compared = staged(pairs.select(*_pair()).distinct(), "pairs", self.n_members, 24)
+        links = self.verify(compared)
+        component = staged(connected(links), "component", self.size, 24)
+        mixed, cross = self.mixed(component)
+        if not mixed.count():
+            return component
+        # Each pair once, in the first band it shares, and only if it shares another and its
+        # shingles leave room for the similarity.
+        bands = mixed.join(self.nodes.select("node", "bands"), "node")
+        bands = staged(bands, "mixed-bands", self.n_members, 300)
+        pairs = bands.where("component <> main").alias("m").join(bands.alias("c"), "bucket")
+        pairs = pairs.where("m.component <> c.component and (c.component = c.main or m.node < c.node)").where(ROOM)
+        shared = F.zip_with("m.bands", "c.bands", lambda x, y: x == y)
+        pairs = pairs.where(F.element_at("m.bands", F.array_position(shared, True).cast("int")) == F.col("bucket"))
+        pairs = pairs.where(F.size(F.filter(shared, lambda x: x)) >= LEAST_SHARED)
+        rest = pairs.select(*_pair()).distinct().join(compared, ["a", "b"], "left_anti")
+        found = self.verify(staged(rest, "pairs", cross, 24))
+        return component if found.isEmpty() else connected(links.unionByName(found))
 
     def mixed(self, component: DataFrame) -> tuple[DataFrame, int]:
         """Members of buckets that hold several components, and how many pairs lie across components."""
         members = (
             self.members.alias("m")
             .join(component.alias("c"), F.col("m.node") == F.col("c.node"), "left")
-            .select("bucket", "m.node", F.coalesce("component", "m.node").alias("component"))
+            .select("m.*", F.coalesce("component", "m.node").alias("component"))
         )
-        members = staged(members, "labelled")
+        members = staged(members, "labelled", self.n_members, 72)
         sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
         buckets = sizes.groupBy("bucket").agg(
             F.max_by("component", F.struct("n", "component")).alias("main"),
             F.count("*").alias("parts"),
             ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("cross"),
         )
-        buckets = staged(buckets.where("parts > 1"), "mixed")
+        buckets = staged(buckets.where("parts > 1"), "mixed", self.n_members)
         cross = buckets.agg(F.sum("cross")).first()[0] or 0
-        return staged(members.join(buckets.select("bucket", "main"), "bucket"), "mixed-members"), cross
+        found = members.join(buckets.select("bucket", "main"), "bucket")
+        return staged(found, "mixed-members", self.n_members, 80), int(cross)
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row a document: id, class_id, class_size (documents), thash and keep (of each class, its first)."""
     docs = docs.select(F.col(id_column), F.col(text_column).alias("text"))
     kind = docs.schema[id_column].dataType.simpleString()
-    rows = docs.select(id_column, text_hash().alias("thash"), "text").mapInArrow(
+    key = F.xxhash64(id_column, F.coalesce("text", F.lit("")))
+    rows = docs.select(id_column, text_hash().alias("thash"), key.alias("k"), "text").mapInArrow(
         sketches(id_column),
-        f"`{id_column}` {kind}, thash long, node long, wordless boolean, bands array<long>, signature binary",
+        f"`{id_column}` {kind}, thash long, k long, node long, wordless boolean, bands array<long>, signature binary",
     )
     rows = staged(rows, "sketches")
     component = _Search(docs, id_column, rows).links()
@@ -290,14 +337,13 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
         F.min(id_column).alias("low_id"),
         F.min(F.struct(F.col(id_column).isNull().alias("none"), id_column, "thash")).alias("first"),
     )
-    classes = staged(
-        nodes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node")), "classes"
-    )
+    nodes = nodes.join(component, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    classes = staged(nodes, "classes", rows.count(), 96)
     heads = classes.groupBy("component").agg(
         F.sum("n").alias("class_size"), F.min("low_id").alias("class_id"), F.min("first").alias("head")
     )
-    heads = staged(heads, "heads")
-    of_node = staged(classes.select("node", "component").join(heads, "component"), "of-node")
+    heads = staged(heads, "heads", rows.count(), 96)
+    of_node = staged(classes.select("node", "component").join(heads, "component"), "of-node", rows.count(), 96)
     return rows.join(of_node, "node").select(
         id_column,
         "class_id",
