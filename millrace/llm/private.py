@@ -7,18 +7,19 @@ entity's information content, is
 
     (log p(e|t) - log p(e)) / -log p(e)
 
-where p(e|t) is the share of the term's documents in which it stands within 50 words of the entity. Terms
-of a share of at least ``REVEALS`` are disclosing: within the reach of that entity they are spans of the
-kind "term". Evidence must come from two different texts at least, so that a document does not accuse itself,
-and copies of it neither. A document without an identifier has no spans.
+where p(e|t) is the share of the term's documents in which it stands within 50 words of the entity. Documents
+of equal text count once, so that copies add no evidence. Little evidence counts less: p(e|t) is smoothed towards
+p(e) by ``PRIOR`` documents, (n_et + PRIOR p(e)) / (n_t + PRIOR). Terms whose smoothed share is at least
+``REVEALS`` are disclosing: within the reach of that entity they are spans of the kind "term". A single text is
+evidence enough in a corpus of some 90 texts or more (0.8 ** -20 texts). A document without an identifier has no spans.
 
 ``sanitised`` writes the result: identifiers give way to the name of their kind, fully disclosing terms
-(a share of one) are removed, others are generalised to [WORD], [NAME] (a capital first) or [NUMBER].
+(a share of one before smoothing) are removed, others are generalised to [WORD], [NAME] (a capital first) or [NUMBER].
 
-Counting takes two passes over the texts. The first finds identifiers and the words near them. Words that
-have the evidence go into a bitmap of fixed size (2 MB), by which the second pass counts the
-documents of these words only; a word that is counted without need changes nothing. No text is
-shuffled but by ``sanitised``.
+Counting takes two passes over the texts. The first finds identifiers and the words near them. These words
+go into a bitmap of fixed size (2 MB), by which the second pass counts the texts of these words only; a word
+that is counted without need changes nothing. Texts that may have copies, by a bitmap too, are shuffled by
+their hash and counted once each; no other text is shuffled but by ``sanitised``.
 
 Defined results: null text counts as empty. Rows of equal id and equal text are the same document
 and get the same spans. Ids may be null or repeat. Empty tables give empty results. Further columns
@@ -36,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bitmap import bitmap, wanted
+from .bitmap import bitmap, may_have, wanted
 from .common import per_batch, register, staged, table, text_hash, texts_of
 from .words import word_hashes, words
 
@@ -44,6 +45,7 @@ KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
 REACH = 50
 REVEALS = 0.95
+PRIOR = 0.25
 
 # Each pattern begins where a run begins, and never gives back: what it finds is what the plain
 # pattern finds leftmost, in time that grows with the text only.
@@ -158,10 +160,12 @@ def _scan(id_column: str):
     return per_batch(scan)
 
 
-def _counter(bits: bytes):
-    """Documents of each word whose slot is set, by batch."""
+def _counter(bits: bytes, copied: bytes | None = None):
+    """Texts of each word whose slot is set, by batch; without those that may have copies, if ``copied`` tells them."""
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
+        if copied is not None:
+            batch = batch.filter(pa.array(~wanted(copied, batch.column("k").to_numpy())))
         parts = [np.zeros(0, dtype=np.uint64)]
         for _, hashes, bounds in word_hashes(texts_of(batch)):
             owner = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
@@ -195,29 +199,23 @@ class Findings:
             ),
             "identifiers",
         )
-        total = self.base.count()
+        total = self.base.select("thash").distinct().count()
         found = self.base.where(F.size("near.entities") > 0)
-        entities = found.select(F.explode("near.entities").alias("e")).groupBy("e").agg(F.count("*").alias("n_e"))
-        near = found.select(F.col(id_column), "thash", F.explode("near.words").alias("w"))
-        pairs = near.groupBy(F.col("w.e").alias("e"), F.col("w.t").alias("t")).agg(
-            F.count("*").alias("n_et"), F.min("thash").alias("low"), F.max("thash").alias("high")
-        )
-        pairs = staged(pairs.where("low <> high").select("e", "t", "n_et"), "pairs")
-        times = (
-            docs.select(F.col(text_column).alias("text"))
-            .mapInArrow(_counter(bitmap(pairs.select("t"))), "t long, n long")
-            .groupBy("t")
-            .agg(F.sum("n").alias("n_t"))
+        entities = (
+            found.select("thash", F.explode("near.entities").alias("e")).distinct().groupBy("e").agg(F.count("*").alias("n_e"))
         )
-        times, entities = staged(times, "word-counts"), staged(entities, "entities")
-        share = (F.log(F.col("n_et") / F.col("n_t")) - F.log(F.col("n_e") / F.lit(total))) / -F.log(F.col("n_e") / F.lit(total))
+        near = found.select(F.col(id_column), "thash", F.explode("near.words").alias("w"))
+        pairs = near.select("thash", "w.e", "w.t").distinct().groupBy("e", "t").agg(F.count("*").alias("n_et"))
+        pairs = staged(pairs, "pairs")
+        times = staged(self._times(source, pairs.select("t")), "word-counts")
+        p_e = F.col("n_e") / F.lit(total)
+        smooth = (F.col("n_et") + F.lit(PRIOR) * p_e) / (F.col("n_t") + F.lit(PRIOR))
         self.disclosing = staged(
             pairs.join(times, "t")
-            .join(entities, "e")
+            .join(staged(entities, "entities"), "e")
             .where(F.col("n_e") < total)
-            .withColumn("share", share)
-            .where(F.col("share") >= reveals - 1e-12)
-            .select("e", "t", "share"),
+            .where((F.log(smooth) - F.log(p_e)) / -F.log(p_e) >= reveals - 1e-12)
+            .select("e", "t", ((F.log(F.col("n_et") / F.col("n_t")) - F.log(p_e)) / -F.log(p_e)).alias("share")),
             "disclosing",
         )
         # Each place once, with the largest share of those it discloses.
@@ -233,6 +231,16 @@ class Findings:
             "terms",
         )
 
+    def _times(self, source: DataFrame, keys: DataFrame) -> DataFrame:
+        """For the words of ``keys``, and some more: the number of different texts they stand in."""
+        bits = bitmap(keys)
+        keyed = source.select(F.col("thash").alias("k"), "text")
+        copies = self.base.groupBy("thash").agg(F.count("*").alias("n")).where("n > 1").select(F.col("thash").alias("k"))
+        copies = staged(copies, "copies")
+        once = keyed.mapInArrow(_counter(bits, bitmap(copies)), "t long, n long")
+        more = may_have(keyed, copies).dropDuplicates(["k"]).mapInArrow(_counter(bits), "t long, n long")
+        return once.union(more).groupBy("t").agg(F.sum("n").alias("n_t"))
+
     def spans(self) -> DataFrame:
         """id, counts by kind, base_sha256, all spans, and n_term."""
         b, t = self.base.alias("b"), self.terms.alias("t")

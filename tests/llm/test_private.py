@@ -106,6 +106,24 @@ def test_sanitised_texts(spark, letters):
     assert rows[2] == letters[2][1] and rows[51] == "" and None in [r.text for r in found.collect()]
 
 
+@pytest.fixture(scope="module")
+def single():
+    """An identifier of one text only, in 400 texts; copies of texts, and a word that is as rare but stands elsewhere."""
+    rows = [(i, f"common words of text n{i % 7} m{i % 11} and k{i % 13} z{i}") for i in range(400)]
+    rows[5] = (5, "common words Zebulon writes from jo@ex.org and k5 rare")
+    rows[6] = (6, "common words and rare")
+    # Copies of the second text of a word are one text: it stands in two, not in 31.
+    return rows + [(5, rows[5][1])] + [(400 + i, rows[5][1]) for i in range(30)] + [(None, rows[6][1])]
+
+
+def test_an_identifier_of_a_single_text_has_disclosing_terms(spark, single):
+    found = {(r.doc_id, r.spans, r.n_term) for r in P.Findings(spark.createDataFrame(single, "doc_id long, text string")).spans().collect()}
+    text = single[5][1]
+    marked = {text[int(a) : int(b)] for i, s, _ in found if i == 5 for k, a, b in (p.split(":") for p in s.split(",")) if k == "term"}
+    assert marked == {"Zebulon", "writes", "from"}
+    assert {n for i, _, n in found if i == 5 or (i or 0) >= 400} == {3} and {n for i, _, n in found if i is None or i in (6, 7)} == {0}
+
+
 def test_overlapping_identifiers_are_all_taken_out():
     text = "x 1.2.3.4111111111111111 y +1 234 567 8901@a.b z"
     clean = P.rewritten(text, [(0, 1, 1.0), (25, 26, 0.97)])
