@@ -7,19 +7,22 @@ entity's information content, is
 
     (log p(e|t) - log p(e)) / -log p(e)
 
-where p(e|t) is the share of the term's documents in which it stands within 50 words of the entity. Documents
-of equal text count once, so that copies add no evidence. Little evidence counts less: p(e|t) is smoothed towards
+where p(e|t) is the share of the term's documents in which the entity stands too, anywhere. Documents of equal
+text count once, so that copies add no evidence. Little evidence counts less: p(e|t) is smoothed towards
 p(e) by ``PRIOR`` documents, (n_et + PRIOR p(e)) / (n_t + PRIOR). Terms whose smoothed share is at least
-``REVEALS`` are disclosing: within the reach of that entity they are spans of the kind "term". A single text is
-evidence enough in a corpus of some 90 texts or more (0.8 ** -20 texts). A document without an identifier has no spans.
+``REVEALS`` are disclosing: wherever they stand outside identifiers, in documents without an identifier too, they
+are spans of the kind "term". A single text is evidence enough in a corpus of some 90 texts or more (0.8 ** -20 texts).
 
 ``sanitised`` writes the result: identifiers give way to the name of their kind, fully disclosing terms
 (a share of one before smoothing) are removed, others are generalised to [WORD], [NAME] (a capital first) or [NUMBER].
 
-Counting takes two passes over the texts. The first finds identifiers and the words near them. These words
-go into a bitmap of fixed size (2 MB), by which the second pass counts the texts of these words only; a word
+There are three passes over the texts. The first finds identifiers and the words of the texts that hold some. These
+words go into a bitmap of fixed size (2 MB), by which the second pass counts the texts of these words only; a word
 that is counted without need changes nothing. Texts that may have copies, by a bitmap too, are shuffled by
-their hash and counted once each; no other text is shuffled but by ``sanitised``.
+their hash and counted once each; no other text is shuffled but by ``sanitised``. A term of an entity of n_e texts
+stands in at most (n_e + PRIOR p(e)) / p(e) ** (1 - REVEALS) - PRIOR texts, else its share is too small whatever
+the texts are; only pairs within that bound are made, and entities of the same texts are one, as their shares are
+equal. The third pass finds the places of the disclosing words, by a bitmap and a join that settles it.
 
 Defined results: null text counts as empty. Rows of equal id and equal text are the same document
 and get the same spans. Ids may be null or repeat. Empty tables give empty results. Further columns
@@ -34,15 +37,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import bitmap, may_have, wanted
 from .common import per_batch, register, staged, table, text_hash, texts_of
-from .words import word_hashes, words
+from .words import BATCH_CHARS, batches, pieces, word_hashes, words
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
+# The window in which the tests' brute force looks for terms; here they are looked for in whole documents.
 REACH = 50
 REVEALS = 0.95
 PRIOR = 0.25
@@ -103,48 +108,46 @@ def entity_hash(kind: str, value: str) -> int:
     return int.from_bytes(hashlib.blake2b(f"{kind}:{value}".encode(), digest_size=8).digest(), "little", signed=True)
 
 
-def near_words(text: str, spans: list[tuple[str, int, int, str]]) -> dict[tuple[int, int], set[tuple[int, int]]]:
-    """For (entity, word hash): where the word stands within reach of the entity, outside all identifiers."""
-    hashes, starts, ends, _ = words([text])
+def outside(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[str, int, int, str]]) -> np.ndarray:
+    """Which words of a text stand outside all its identifiers."""
     free = np.ones(len(starts), dtype=bool)
     for _, start, end, _ in spans:
         free[np.searchsorted(ends, start, "right") : np.searchsorted(starts, end)] = False
-    out: dict[tuple[int, int], set[tuple[int, int]]] = {}
-    for kind, start, end, value in spans:
-        entity = entity_hash(kind, value)
-        left, right = np.searchsorted(ends, start, "right"), np.searchsorted(starts, end)
-        for i in range(max(0, left - REACH), min(len(starts), right + REACH)):
-            if free[i]:
-                word = int(hashes[i : i + 1].view(np.int64)[0])
-                out.setdefault((entity, word), set()).add((int(starts[i]), int(ends[i])))
-    return out
+    return free
+
+
+def placed(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Words of the texts, by batch: number of the text, hash, and start and end in that text."""
+    for first, batch in batches(texts):
+        if len(batch) == 1 and len(batch[0]) > BATCH_CHARS:
+            done = 0
+            for piece in pieces(batch[0]):
+                hashes, starts, ends, _ = words([piece])
+                yield np.full(len(hashes), first), hashes, starts + done, ends + done
+                done += len(piece)
+        else:
+            hashes, starts, ends, bounds = words(batch)
+            owner = np.repeat(np.arange(len(batch)), np.diff(bounds))
+            begins = np.cumsum([0] + [len(t) for t in batch])[owner]
+            yield first + owner, hashes, starts - begins, ends - begins
 
 
 def _scan(id_column: str):
-    """Per document: base spans, and for each entity the words near it (as lists)."""
+    """Per document: base spans, the entities, and if there are any the words outside identifiers, each once."""
 
     def scan(batch: pa.RecordBatch) -> pa.RecordBatch:
         counts = {k: [] for k in KINDS}
-        digest, base, near = [], [], []
+        digest, base, entities, terms = [], [], [], []
         for text in texts_of(batch):
             spans = base_spans(text)
             for kind in KINDS:
                 counts[kind].append(sum(s[0] == kind for s in spans))
             base.append(spelled(spans))
             digest.append(hashlib.sha256(base[-1].encode()).hexdigest())
-            found = near_words(text, spans) if spans else {}
-            entities = sorted({entity_hash(k, v) for k, _, _, v in spans})
-            near.append(
-                {
-                    "entities": entities,
-                    "words": [
-                        {"e": e, "t": t, "spans": [{"a": a, "b": b} for a, b in sorted(at)]} for (e, t), at in found.items()
-                    ],
-                }
-            )
-        span = pa.struct([("a", pa.int64()), ("b", pa.int64())])
-        word = pa.struct([("e", pa.int64()), ("t", pa.int64()), ("spans", pa.list_(span))])
-        kind = pa.struct([("entities", pa.list_(pa.int64())), ("words", pa.list_(word))])
+            entities.append(sorted({entity_hash(k, v) for k, _, _, v in spans}))
+            found = [hashes[outside(a, b, spans)] for _, hashes, a, b in placed([text])] if spans else []
+            terms.append(np.unique(np.concatenate(found)).view(np.int64) if found else [])
+        longs = pa.list_(pa.int64())
         return pa.RecordBatch.from_arrays(
             [
                 batch.column(id_column),
@@ -152,14 +155,51 @@ def _scan(id_column: str):
                 *[pa.array(counts[k], type=pa.int64()) for k in KINDS],
                 pa.array(digest),
                 pa.array(base),
-                pa.array(near, type=kind),
+                pa.array(entities, type=longs),
+                pa.array(terms, type=longs),
             ],
-            [id_column, "thash", *[f"n_{k}" for k in KINDS], "base_sha256", "base", "near"],
+            [id_column, "thash", *[f"n_{k}" for k in KINDS], "base_sha256", "base", "entities", "words"],
         )
 
     return per_batch(scan)
 
 
+def _rare(bits: bytes):
+    """A row for each word of a text whose slot is set."""
+
+    def pick(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = batch.column("words")
+        owner, flat = pc.list_parent_indices(found).to_numpy(), found.flatten().to_numpy()
+        mine = wanted(bits, flat)
+        return pa.RecordBatch.from_arrays([batch.column("thash").take(pa.array(owner[mine])), pa.array(flat[mine])], ["thash", "t"])
+
+    return per_batch(pick)
+
+
+def _marker(id_column: str, bits: bytes):
+    """Where words whose slot is set stand outside identifiers, by document."""
+
+    def mark(batch: pa.RecordBatch) -> pa.RecordBatch:
+        texts = texts_of(batch)
+        parts = [(np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64))]
+        for found in placed(texts):
+            mine = wanted(bits, found[1])
+            owner, hashes, starts, ends = (x[mine] for x in found)
+            edges = np.flatnonzero(np.diff(owner, prepend=-1, append=-1))
+            free = [outside(starts[a:b], ends[a:b], base_spans(texts[owner[a]])) for a, b in zip(edges[:-1], edges[1:])]
+            if free:
+                free = np.concatenate(free)
+                parts.append((owner[free], hashes[free], starts[free], ends[free]))
+        owner, hashes, starts, ends = (np.concatenate(x) for x in zip(*parts))
+        at = pa.array(owner)
+        return pa.RecordBatch.from_arrays(
+            [batch.column(id_column).take(at), batch.column("thash").take(at), pa.array(hashes.view(np.int64)), pa.array(starts), pa.array(ends)],
+            ["did", "thash", "t", "a", "b"],
+        )
+
+    return per_batch(mark)
+
+
 def _counter(bits: bytes, copied: bytes | None = None):
     """Texts of each word whose slot is set, by batch; without those that may have copies, if ``copied`` tells them."""
 
@@ -183,7 +223,7 @@ def _counter(bits: bytes, copied: bytes | None = None):
 
 
 class Findings:
-    """Base spans by document, and the disclosing words within reach of them."""
+    """Base spans by document, and the places of disclosing words."""
 
     def __init__(self, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", reveals: float = REVEALS):
         kind = docs.schema[id_column].dataType.simpleString()
@@ -194,40 +234,50 @@ class Findings:
                 _scan(id_column),
                 f"`{id_column}` {kind}, thash long, "
                 + ", ".join(f"n_{k} long" for k in KINDS)
-                + ", base_sha256 string, base string, near struct<entities:array<long>,"
-                "words:array<struct<e:long,t:long,spans:array<struct<a:long,b:long>>>>>",
+                + ", base_sha256 string, base string, entities array<long>, words array<long>",
             ),
             "identifiers",
         )
         total = self.base.select("thash").distinct().count()
-        found = self.base.where(F.size("near.entities") > 0)
-        entities = (
-            found.select("thash", F.explode("near.entities").alias("e")).distinct().groupBy("e").agg(F.count("*").alias("n_e"))
-        )
-        near = found.select(F.col(id_column), "thash", F.explode("near.words").alias("w"))
-        pairs = near.select("thash", "w.e", "w.t").distinct().groupBy("e", "t").agg(F.count("*").alias("n_et"))
-        pairs = staged(pairs, "pairs")
-        times = staged(self._times(source, pairs.select("t")), "word-counts")
+        held = self.base.where(F.size("entities") > 0)
+        times = staged(self._times(source, held.select(F.explode("words").alias("t"))), "word-counts")
+        # Entities of the same texts have the same shares: one stands for all of them.
+        holds = held.select("thash", F.explode("entities").alias("e")).distinct()
         p_e = F.col("n_e") / F.lit(total)
+        entities = staged(
+            holds.groupBy("e")
+            .agg(F.count("*").alias("n_e"), F.bit_xor("thash").alias("x"), F.bit_xor(F.xxhash64("thash")).alias("y"))
+            .where(F.col("n_e") < total)
+            .groupBy("n_e", "x", "y")
+            .agg(F.min("e").alias("e"))
+            .select("e", "n_e", ((F.col("n_e") + PRIOR * p_e) / F.pow(p_e, F.lit(1 - reveals)) - PRIOR + 1e-6).alias("most")),
+            "entities",
+        )
+        rare = times.join(entities.agg(F.max("most").alias("most")), F.col("n_t") <= F.col("most")).select("t", "n_t")
+        rare = staged(rare, "rare-words")
+        near = held.select("thash", "words").mapInArrow(_rare(bitmap(rare.select("t"))), "thash long, t long").distinct()
+        pairs = (
+            near.join(rare, "t")
+            .join(holds.join(entities, "e"), "thash")
+            .where(F.col("n_t") <= F.col("most"))
+            .groupBy("e", "t")
+            .agg(F.count("*").alias("n_et"), F.max("n_t").alias("n_t"), F.max("n_e").alias("n_e"))
+        )
         smooth = (F.col("n_et") + F.lit(PRIOR) * p_e) / (F.col("n_t") + F.lit(PRIOR))
+        # Each word once, with the largest share of those it discloses.
         self.disclosing = staged(
-            pairs.join(times, "t")
-            .join(staged(entities, "entities"), "e")
-            .where(F.col("n_e") < total)
-            .where((F.log(smooth) - F.log(p_e)) / -F.log(p_e) >= reveals - 1e-12)
-            .select("e", "t", ((F.log(F.col("n_et") / F.col("n_t")) - F.log(p_e)) / -F.log(p_e)).alias("share")),
+            pairs.where((F.log(smooth) - F.log(p_e)) / -F.log(p_e) >= reveals - 1e-12)
+            .groupBy("t")
+            .agg(F.max((F.log(F.col("n_et") / F.col("n_t")) - F.log(p_e)) / -F.log(p_e)).alias("share")),
             "disclosing",
         )
-        # Each place once, with the largest share of those it discloses.
+        marks = source.mapInArrow(
+            _marker(id_column, bitmap(self.disclosing.select("t"))), f"did {kind}, thash long, t long, a long, b long"
+        )
         self.terms = staged(
-            near.select(F.col(id_column).alias("did"), "thash", "w.e", "w.t", "w.spans")
-            .distinct()
-            .join(self.disclosing, ["e", "t"])
-            .select("did", "thash", "share", F.explode("spans").alias("s"))
-            .groupBy("did", "thash", "s.a", "s.b")
-            .agg(F.max("share").alias("share"))
+            marks.join(self.disclosing, "t")
             .groupBy("did", "thash")
-            .agg(F.sort_array(F.collect_list(F.struct("a", "b", "share"))).alias("terms")),
+            .agg(F.sort_array(F.collect_set(F.struct("a", "b", "share"))).alias("terms")),
             "terms",
         )
 

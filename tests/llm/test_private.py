@@ -124,6 +124,38 @@ def test_an_identifier_of_a_single_text_has_disclosing_terms(spark, single):
     assert {n for i, _, n in found if i == 5 or (i or 0) >= 400} == {3} and {n for i, _, n in found if i is None or i in (6, 7)} == {0}
 
 
+def test_disclosing_words_are_marked_wherever_they_stand(spark):
+    filler = " ".join(f"w{i}" for i in range(60))
+    rows = [(i, f"{filler} v{i % 3}") for i in range(3000)]
+    rows[1] = (1, f"jo@ex.org Zebra {filler} Zebra {filler} Far")
+    rows[2] = (2, f"jo@ex.org {filler} far and a zebra, zebra@ex.org")
+    rows = [(i, t if i in (1, 2) else f"{t} u{i}") for i, t in rows]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = {r.doc_id: r.spans for r in P.Findings(frame).spans().where("n_term > 0").collect()}
+    marked = {
+        i: [rows[i][1][int(a) : int(b)] for k, a, b in (p.split(":") for p in s.split(",")) if k == "term"] for i, s in spans.items()
+    }
+    assert {1, 2} <= set(marked) and marked[1] == ["Zebra", "Zebra", "Far"] and marked[2] == ["far", "and", "a", "zebra"]
+    clean = {r.doc_id: r.text for r in P.sanitised(frame).collect()}
+    assert "Zebra" not in clean[1] and "Far" not in clean[1]
+
+
+def test_a_disclosing_word_is_marked_in_a_document_without_the_identifier(spark):
+    rows = [(i, f"plain text u{i}") for i in range(3000)]
+    rows[:9] = [(i, f"jo@ex.org Zebra u{i}") for i in range(9)]
+    rows[9] = (9, "plain text with Zebra u9")
+    spans = {r.doc_id: r.spans for r in P.Findings(spark.createDataFrame(rows, "doc_id long, text string")).spans().collect()}
+    assert spans[9] == "term:16:21" and spans[10] == ""
+
+
+def test_words_of_long_texts_are_placed(monkeypatch):
+    text = "one two jo@ex.org " * 20 + "end"
+    monkeypatch.setattr(P, "pieces", lambda t: [t[:18], t[18:]])
+    monkeypatch.setattr(P, "BATCH_CHARS", 100)
+    found = [(int(i), text[a:b]) for owner, _, starts, ends in P.placed([text]) for i, a, b in zip(owner, starts, ends)]
+    assert found == [(0, m.group()) for m in re.finditer(r"[^\W_]+", text)]
+
+
 def test_overlapping_identifiers_are_all_taken_out():
     text = "x 1.2.3.4111111111111111 y +1 234 567 8901@a.b z"
     clean = P.rewritten(text, [(0, 1, 1.0), (25, 26, 0.97)])
