@@ -1,4 +1,9 @@
-"""A bitmap of fixed size that tells which keys may be wanted: what it lets through is settled by a join."""
+"""A bitmap that tells which keys may be wanted: what it lets through is settled by a join.
+
+It has eight to sixteen slots for each key, from 128 kB up to 32 MB (``MOST_BITS``, the bound of what reaches
+the driver and each worker). Up to 32 million keys at most one key in eight passes without need; beyond, the share
+grows (half of all at 190 million keys) and the joins behind it carry more rows, but none is lost.
+"""
 
 from __future__ import annotations
 
@@ -10,19 +15,21 @@ from pyspark.sql import functions as F
 from .common import per_batch
 from .words import mix
 
-SLOT_BITS = 24
+LEAST_BITS, MOST_BITS = 20, 28
 
 
-def slots(keys: np.ndarray) -> np.ndarray:
-    return mix(keys.view(np.uint64)) >> np.uint64(64 - SLOT_BITS)
+def slots(keys: np.ndarray, bits: int) -> np.ndarray:
+    return mix(keys.view(np.uint64)) >> np.uint64(64 - bits)
 
 
-def bitmap(keys: DataFrame) -> bytes:
-    """2 MB with a bit set for each key in the one column of ``keys``; the driver gets 2**18 rows at most."""
+def bitmap(keys: DataFrame, count: int | None = None) -> bytes:
+    """A bit set for each key in the one column of ``keys``, a staged table; ``count``: how many they are."""
     name = keys.columns[0]
+    count = keys.count() if count is None else count
+    size = min(max(int(8 * count).bit_length(), LEAST_BITS), MOST_BITS)
 
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = np.unique(slots(batch.column(name).to_numpy()))
+        found = np.unique(slots(batch.column(name).to_numpy(), size))
         return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["slot"])
 
     words = (
@@ -30,7 +37,7 @@ def bitmap(keys: DataFrame) -> bytes:
         .groupBy(F.shiftright("slot", 6).alias("at"))
         .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))
     )
-    out = np.zeros(1 << (SLOT_BITS - 6), dtype=np.uint64)
+    out = np.zeros(1 << (size - 6), dtype=np.uint64)
     found = words.toArrow()
     out[found["at"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
     return out.tobytes()
@@ -38,7 +45,7 @@ def bitmap(keys: DataFrame) -> bytes:
 
 def wanted(bits: bytes, keys: np.ndarray) -> np.ndarray:
     """Which keys have their bit set."""
-    slot = slots(keys)
+    slot = slots(keys, len(bits).bit_length() + 2)
     words = np.frombuffer(bits, dtype=np.uint64)
     return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
 
