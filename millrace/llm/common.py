@@ -70,6 +70,20 @@ def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
     return [t or "" for t in batch.column(column).to_pylist()]
 
 
+def refuse_names(column: str, *taken: str) -> None:
+    """An id column may not be named like a column that the operator adds."""
+    if column.lower() in taken:
+        raise ValueError(f"{column} is a column of the result or of its making: rename the id column")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, made longer until no column of ``df`` has it."""
+    there = {c.lower() for c in df.columns}
+    while name.lower() in there:
+        name += "_"
+    return name
+
+
 def text_hash(column: str = "text"):
     """Tells rows of one id apart by their text."""
     return F.xxhash64(F.coalesce(F.col(column), F.lit("")))

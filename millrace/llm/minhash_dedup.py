@@ -11,14 +11,14 @@ connected component of links.
 * Documents with equal weights are one node; copies never meet as pairs.
 * 24 bands of four registers: a pair of similarity 0.8 shares no band with a probability of 3e-6.
 * Within a bucket each node is compared with six centres. Where a bucket then still holds several
-  components, every node outside its main component is compared with all nodes of other components
-  that share another band with it (at 0.8 a pair shares two bands but for a probability of 5e-5),
-  so that no link between components is missed.
-* Pairs of which one has so many shingles of its own, found nowhere else, that they cannot be similar
-  enough are left out everywhere: a bound, not a guess. It keeps groups of loosely similar documents
-  from meeting in all pairs.
-* A pair whose signatures agree in fewer than 62 % of the registers (more than four standard errors
-  below 0.8) is not verified; all others are, on whole texts.
+  components, every node outside its main component meets all nodes of other components, so that no link
+  between components is missed.
+* Pairs that cannot be similar enough are left out there by two bounds, not guesses: one of the two has too many
+  shingles found nowhere else, or the parities of their shingles, counted in 1,024 classes, differ in more classes than
+  the difference of two similar documents has shingles. They keep families of loosely similar documents from
+  becoming all pairs.
+* A pair whose signatures agree in fewer than 55 % of the registers (six standard errors below 0.8) is not
+  verified; all others are, on whole texts.
 
 Defined results: null text counts as empty. Texts without a word belong together if they are equal.
 Texts of fewer than five words are one shingle. Rows of equal id and equal text are one document as
@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import may_have
-from .common import gathered, per_batch, register, staged, table, text_hash, texts_of
+from .common import free_name, gathered, per_batch, refuse_names, register, staged, table, text_hash, texts_of
 from .components import connected
 from .words import mix, shingles, word_hashes
 
@@ -45,8 +45,9 @@ WIDTH = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 4
 REGISTERS = BANDS * ROWS
-LEAST_AGREEMENT = 0.62
-LEAST_SHARED = 2
+LEAST_AGREEMENT = 0.55
+# Classes of shingles whose parities tell documents apart, in words of 64 bits.
+MARKS = 16
 # Centres of a bucket that each of its nodes is compared with first.
 CENTRES = 6
 # Shingle ids within a batch: the text's number above 52 bits of hash.
@@ -185,15 +186,28 @@ def _weights(batch: pa.RecordBatch) -> pa.Table:
 def _sizes(batch: pa.RecordBatch) -> pa.Table:
     nodes, parts = batch.column("node").to_numpy(), []
     for first, hashes, bounds in word_hashes(texts_of(batch)):
-        owner, _, weight = weighted(hashes, bounds)
+        owner, ids, weight = weighted(hashes, bounds)
         n = len(bounds) - 1
         most = np.zeros(n, dtype=np.int64)
         np.maximum.at(most, owner, weight)
         size = np.bincount(owner, weights=weight, minlength=n).astype(np.int64)
-        parts.append(pa.table({"node": nodes[first : first + n], "size": size, "plain": most == 1}))
+        marks = pa.FixedSizeListArray.from_arrays(pa.array(parities(owner, ids, weight, n).ravel()), MARKS)
+        marks = marks.cast(pa.list_(pa.int64()))
+        parts.append(pa.table({"node": nodes[first : first + n], "size": size, "plain": most == 1, "marks": marks}))
     return pa.concat_tables(parts)
 
 
+def parities(owner: np.ndarray, ids: np.ndarray, weight: np.ndarray, count: int) -> np.ndarray:
+    """For each set, the parity of its elements in each of ``64 * MARKS`` classes, as bits.
+
+    A shingle of weight three is three elements. Two sets differ in at least as many elements as their bits differ.
+    """
+    nth = np.arange(weight.sum()) - np.repeat(np.cumsum(weight) - weight, weight)
+    place = mix(mix(np.repeat(ids, weight)) + nth.astype(np.uint64)) >> np.uint64(64 - (64 * MARKS).bit_length() + 1)
+    found = np.bincount(np.repeat(owner, weight) * (MARKS * 64) + place.astype(np.int64), minlength=count * MARKS * 64)
+    return np.packbits((found & 1).astype(np.uint8).reshape(count, -1), axis=1).view(np.int64)
+
+
 def _alike(batch: pa.RecordBatch) -> pa.RecordBatch | None:
     a, b = (
         np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.uint32).reshape(-1, REGISTERS)
@@ -210,6 +224,14 @@ ROOM = f"""
     ELSE m.alone <= {1 - THRESHOLD} * m.size + 1e-6 AND c.alone <= {1 - THRESHOLD} * c.size + 1e-6 END"""
 
 
+# Elements in which two sets differ: of sets, a ninth of both; of weights, what a total variation of a fifth
+# between their shares and the difference in size allow.
+APART = f"""
+    {" + ".join(f"bit_count(m.marks[{i}] ^ c.marks[{i}])" for i in range(MARKS))} <= CASE WHEN m.plain AND c.plain
+    THEN {1 - THRESHOLD} / (1 + {THRESHOLD}) * (m.size + c.size)
+    ELSE {2 * (1 - THRESHOLD)} * least(m.size, c.size) + abs(m.size - c.size) END + 1e-6"""
+
+
 def _pair():
     return F.least("m.node", "c.node").alias("a"), F.greatest("m.node", "c.node").alias("b")
 
@@ -247,8 +269,10 @@ class _Search:
         rare = one.groupBy("shingle").agg(F.count("*").alias("n"), F.min("node").alias("node"), F.min("weight").alias("w"))
         rare = rare.where("n = 1").groupBy("node").agg(F.sum("w").alias("alone"))
         rare = staged(rare, "rare", self.size, 24)
-        whole = self.texts.mapInArrow(per_batch(_sizes), "node long, size long, plain boolean")
-        return staged(whole.join(rare, "node", "left").fillna(0, ["alone"]), "alone", self.size, 32)
+        whole = self.texts.mapInArrow(per_batch(_sizes), "node long, size long, plain boolean, marks array<long>")
+        whole = staged(whole.join(rare, "node", "left").fillna(0, ["alone"]), "alone", self.size, 160)
+        self.marks = whole.select("node", "marks")
+        return whole.drop("marks")
 
     def verify(self, pairs: DataFrame) -> DataFrame:
         """The links among the staged table of pairs (a, b)."""
@@ -288,15 +312,13 @@ class _Search:
         mixed, cross = self.mixed(component)
         if not mixed.count():
             return component
-        # Each pair once, in the first band it shares, and only if it shares another and its
-        # shingles leave room for the similarity.
-        bands = mixed.join(self.nodes.select("node", "bands"), "node")
-        bands = staged(bands, "mixed-bands", self.n_members, 300)
-        pairs = bands.where("component <> main").alias("m").join(bands.alias("c"), "bucket")
-        pairs = pairs.where("m.component <> c.component and (c.component = c.main or m.node < c.node)").where(ROOM)
-        shared = F.zip_with("m.bands", "c.bands", lambda x, y: x == y)
-        pairs = pairs.where(F.element_at("m.bands", F.array_position(shared, True).cast("int")) == F.col("bucket"))
-        pairs = pairs.where(F.size(F.filter(shared, lambda x: x)) >= LEAST_SHARED)
+        # Each pair once, in the first band it shares, and only if its shingles leave room for the similarity.
+        bands = mixed.join(self.nodes.select("node", "bands"), "node").join(self.marks, "node")
+        bands = staged(bands, "mixed-bands", self.n_members, 400)
+        once = F.element_at("m.bands", F.array_position(F.zip_with("m.bands", "c.bands", lambda x, y: x == y), True).cast("int"))
+        apart = F.expr("m.component <> c.component and (c.component = c.main or m.node < c.node)")
+        condition = (F.col("m.bucket") == F.col("c.bucket")) & apart & F.expr(ROOM) & F.expr(APART) & (once == F.col("m.bucket"))
+        pairs = bands.where("component <> main").alias("m").join(bands.alias("c"), condition)
         rest = pairs.select(*_pair()).distinct().join(compared, ["a", "b"], "left_anti")
         found = self.verify(staged(rest, "pairs", cross, 24))
         return component if found.isEmpty() else connected(links.unionByName(found))
@@ -323,6 +345,7 @@ class _Search:
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row a document: id, class_id, class_size (documents), thash and keep (of each class, its first)."""
+    refuse_names(id_column, "class_id", "class_size", "thash", "keep", "text", "k", "node", "wordless", "bands", "signature")
     docs = docs.select(F.col(id_column), F.col(text_column).alias("text"))
     kind = docs.schema[id_column].dataType.simpleString()
     key = F.xxhash64(id_column, F.coalesce("text", F.lit("")))
@@ -355,12 +378,12 @@ def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str
 
 def drop_near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """The documents without all but the first of each class; all columns stay."""
-    dropped = near_duplicates(docs, id_column, text_column)
-    kept = dropped.where("keep").select(F.col(id_column).alias("__id"), F.col("thash").alias("__thash")).distinct()
-    kept = staged(kept, "kept")
-    keyed = docs.withColumn("__thash", text_hash(text_column)).withColumn("__id", F.col(id_column))
-    on = F.col("d.__id").eqNullSafe(F.col("k.__id")) & (F.col("d.__thash") == F.col("k.__thash"))
-    return keyed.alias("d").join(kept.alias("k"), on, "left_semi").dropDuplicates(["__id", "__thash"]).select(docs.columns)
+    classes = near_duplicates(docs, id_column, text_column)
+    kept = staged(classes.where("keep").select(F.struct(F.col(id_column).alias("id"), "thash").alias("of")).distinct(), "kept")
+    of = free_name(docs, "of")
+    keyed = docs.withColumn(of, F.struct(F.col(id_column).alias("id"), text_hash(text_column).alias("thash")))
+    on = F.col(f"d.{of}.id").eqNullSafe(F.col("k.of.id")) & (F.col(f"d.{of}.thash") == F.col("k.of.thash"))
+    return keyed.alias("d").join(kept.alias("k"), on, "left_semi").dropDuplicates([of]).select(*[f"`{c}`" for c in docs.columns])
 
 
 @register("op1_minhash_dedup")

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import per_batch, register, staged, table, texts_of
-from .words import BATCH_CHARS, batches, code_points, mix, pieces, prefix_sums, span_hashes, word_classes, classes, SPACE
+from .words import BATCH_CHARS, batches, code_points, mix, pieces, run_hashes, word_classes, classes, SPACE
 
 BITS = 18
 SAMPLE = 20_000
@@ -67,7 +67,7 @@ def _tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     starts, ends = edges[:-1], edges[1:]
     solid = ~blank[starts] if len(starts) else np.zeros(0, dtype=bool)
     starts, ends = starts[solid], ends[solid]
-    hashes = span_hashes(prefix_sums(points.astype(np.uint64) + np.uint64(1)), starts, ends)
+    hashes = run_hashes(points, starts, ends)
 
     def count(flags: np.ndarray) -> np.ndarray:
         sums = np.concatenate([[0], np.cumsum(flags)])

@@ -37,7 +37,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import may_have
-from .common import per_batch, register, staged, table
+from .bytewords import buffers
+from .common import per_batch, refuse_names, register, staged, table
 from .words import mix, prefix_sums, span_hashes
 
 LENGTH = 400
@@ -116,8 +117,25 @@ def anchors(parts: list[bytes]) -> tuple[np.ndarray, ...]:
     return part, anchor - shift, low - shift, high - shift, grams[anchor], spans
 
 
-def encoded(batch: pa.RecordBatch) -> list[bytes]:
-    return [(t or "").encode("utf-8", "surrogatepass") for t in batch.column("text").to_pylist()]
+# Bytes of text whose rows a task makes at once.
+SLICE = 1 << 22
+
+
+def encoded(batch: pa.RecordBatch) -> list[memoryview]:
+    """The texts' bytes, where they lie in the batch."""
+    data, bounds = buffers(batch.column("text"))
+    view = memoryview(np.ascontiguousarray(data))
+    return [view[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+
+
+def by_size(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about ``SLICE`` bytes of text."""
+    _, bounds = buffers(batch.column("text"))
+    first = 0
+    while first < batch.num_rows:
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + SLICE, "right")) - 1)
+        yield batch.slice(first, last - first)
+        first = last
 
 
 def _anchors(batch: pa.RecordBatch) -> pa.Table | None:
@@ -141,14 +159,17 @@ def _anchors(batch: pa.RecordBatch) -> pa.Table | None:
     return pa.concat_tables(made) if made else None
 
 
-def _around(batch: pa.RecordBatch) -> pa.Table | None:
+def _around(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The bytes around each anchor asked for."""
-    rows = []
-    for text, asked in zip(encoded(batch), batch.column("asked").to_pylist()):
-        for q in asked:
-            rows.append({**q, "around": text[q["low"] : q["high"] + LENGTH]})
-    kind = [("uid", pa.int64()), ("g", pa.int64()), ("k", pa.int64()), ("a", pa.int64()), ("low", pa.int64()), ("high", pa.int64())]
-    return pa.Table.from_pylist(rows, schema=pa.schema([*kind, ("around", pa.binary())]))
+    for batch in batches:
+        for part in by_size(batch):
+            lists = part.column("asked")
+            asked = lists.flatten()
+            owner = np.repeat(np.arange(part.num_rows), lists.value_lengths().to_numpy(zero_copy_only=False))
+            columns = {c: asked.field(c) for c in ("uid", "g", "k", "a", "low", "high")}
+            texts, low, high = encoded(part), columns["low"].to_numpy(), columns["high"].to_numpy()
+            around = [bytes(texts[i][a : b + LENGTH]) for i, a, b in zip(owner.tolist(), low.tolist(), high.tolist())]
+            yield pa.RecordBatch.from_arrays([*columns.values(), pa.array(around, type=pa.binary())], [*columns, "around"])
 
 
 def _refine(width: int):
@@ -241,7 +262,7 @@ def repeated_ranges(keyed: DataFrame) -> DataFrame:
     places = staged(places, "places")
     texts = may_have(keyed, places.select("k")).join(places, "k").select("text", "asked")
     kind = "uid long, g long, k long, a long, low long, high long, around binary"
-    around = staged(texts.mapInArrow(per_batch(_around), kind).dropDuplicates(["uid"]), "around")
+    around = staged(texts.mapInArrow(_around, kind).dropDuplicates(["uid"]), "around")
     for width in RANGES:
         asked = ask.groupBy("uid").agg(F.collect_list(F.struct("x", "y")).alias("asked"))
         rows = staged(around.join(asked, "uid").mapInArrow(_refine(width), REFINED), "refined")
@@ -254,53 +275,66 @@ def repeated_ranges(keyed: DataFrame) -> DataFrame:
     return out.distinct()
 
 
-def kept(text: bytes, ranges: list[tuple[int, int]]) -> tuple[bytes, int, int]:
-    """The remaining bytes, the number removed, and the number of maximal removed runs."""
-    out, done, runs, removed, reach = [], 0, 0, 0, -1
+def remaining(size: int, ranges: list[tuple[int, int]]) -> tuple[list[tuple[int, int]], int]:
+    """The parts of a text of ``size`` bytes outside the ranges, and the number of maximal removed runs."""
+    out, done, runs, reach = [], 0, 0, -1
     for start, end in sorted(ranges):
         if start > reach:
             runs += 1
-            out.append(text[done:start])
-        new = max(start, done)
-        if end > new:
-            removed += end - new
-            done = end
-        reach = max(reach, end)
-    out.append(text[done:])
-    return b"".join(out), removed, runs
-
-
-def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """id, n_bytes, n_removed, n_spans, kept_sha256 and the kept bytes of each document."""
+            if start > done:
+                out.append((done, start))
+        done, reach = max(done, end), max(reach, end)
+    if size > done:
+        out.append((done, size))
+    return out, runs
+
+
+def _cut(id_column: str, with_kept: bool):
+    """Texts and their ranges to what is left of them."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in by_size(batch):
+                texts = encoded(part)
+                ranges = part.column("ranges").to_pylist() if "ranges" in part.schema.names else [None] * len(texts)
+                made = [remaining(len(t), [(r["start"], r["end"]) for r in f or ()]) for t, f in zip(texts, ranges)]
+                digests, whole = [], []
+                for text, (places, _) in zip(texts, made):
+                    digest = hashlib.sha256()
+                    for a, b in places:
+                        digest.update(text[a:b])
+                    digests.append(digest.hexdigest())
+                    if with_kept:
+                        whole.append(b"".join(text[a:b] for a, b in places))
+                size = np.array([len(t) for t in texts])
+                left = np.array([sum(b - a for a, b in places) for places, _ in made])
+                columns = [part.column(id_column), pa.array(size), pa.array(size - left), pa.array([runs for _, runs in made]), pa.array(digests)]
+                names = [id_column, "n_bytes", "n_removed", "n_spans", "kept_sha256"]
+                if with_kept:
+                    columns.append(pa.array(whole, type=pa.binary()))
+                    names.append("kept")
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    return run
+
+
+def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", with_kept: bool = True) -> DataFrame:
+    """id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, the kept bytes of each document."""
+    refuse_names(id_column, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "text", "ranges", "k")
     kind = docs.schema[id_column].dataType.simpleString()
     text = F.coalesce(F.col(text_column), F.lit(""))
     keyed = docs.select(F.col(id_column), F.xxhash64(F.col(id_column), text).alias("k"), text.alias("text"))
     ranges = repeated_ranges(keyed.select("k", "text"))
     lists = staged(ranges.groupBy("k").agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "ranges")
-
-    def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = encoded(batch)
-        found = batch.column("ranges").to_pylist() if "ranges" in batch.schema.names else [None] * len(texts)
-        made = [kept(t, [(r["start"], r["end"]) for r in f or []]) for t, f in zip(texts, found)]
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column(id_column),
-                pa.array([len(t) for t in texts], type=pa.int64()),
-                pa.array([m[1] for m in made], type=pa.int64()),
-                pa.array([m[2] for m in made], type=pa.int64()),
-                pa.array([hashlib.sha256(m[0]).hexdigest() for m in made]),
-                pa.array([m[0] for m in made], type=pa.binary()),
-            ],
-            [id_column, "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
-        )
-
-    schema = f"`{id_column}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
+    schema = f"`{id_column}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema += ", kept binary" if with_kept else ""
     keys = lists.select("k")
     touched = may_have(keyed, keys).join(lists, "k", "left").select(id_column, "text", "ranges")
     whole = may_have(keyed, keys, no=True).select(id_column, "text")
-    return touched.mapInArrow(per_batch(cut), schema).unionByName(whole.mapInArrow(per_batch(cut), schema))
+    cut = _cut(id_column, with_kept)
+    return touched.mapInArrow(cut, schema).unionByName(whole.mapInArrow(cut, schema))
 
 
 @register("op10_repeats")
 def op10(spark, sf_dir):
-    return without_repeats(table(spark, sf_dir, "documents")).drop("kept")
+    return without_repeats(table(spark, sf_dir, "documents"), with_kept=False)

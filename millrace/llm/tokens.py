@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-from .words import BATCH_CHARS, LETTER, SPACE, UNSURE, batches, classes, code_points, prefix_sums, span_hashes
+from .words import BATCH_CHARS, LETTER, SPACE, UNSURE, batches, classes, code_points, run_hashes
 
 # Distinct pre-tokens remembered by a worker before it starts afresh.
 REMEMBERED = 1_000_000
@@ -149,7 +149,7 @@ class Tokens:
         starts = pre_tokens(points, bounds)
         if not len(starts):
             return np.zeros(0, dtype="<u4"), np.zeros(len(texts) + 1, dtype=np.int64)
-        hashes = span_hashes(prefix_sums(points.astype(np.uint64) + np.uint64(1)), starts, np.append(starts[1:], len(points)))
+        hashes = run_hashes(points, starts, np.append(starts[1:], len(points)))
         keys, first, which = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) > REMEMBERED:
             self._forget()

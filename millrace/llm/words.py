@@ -84,12 +84,32 @@ def prefix_sums(values: np.ndarray) -> np.ndarray:
 
 
 def span_hashes(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """Hash of each span [start, end) by its content and length, wherever it stands."""
+    """Hash of each span [start, end) by its content and length, wherever it stands.
+
+    For spans of at most some hundred values, which may overlap: from 1,024 values on there are different spans that
+    a polynomial modulo 2**64 never tells apart, whatever its base.
+    """
     _, down = powers(len(sums))
     raw = (sums[ends] - sums[starts]) * down[starts]
     return mix(raw + (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
 
 
+def run_hashes(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Hash of each span [start, end) of values below 2**21, of any length; spans that do not overlap cost their length.
+
+    Each value is mixed with its place in the span before the sum, so that no rule of the text makes sums meet.
+    """
+    sizes = ends - starts
+    at = np.zeros(len(sizes) + 1, dtype=np.int64)
+    np.cumsum(sizes, out=at[1:])
+    row = np.arange(at[-1])
+    place = row - np.repeat(at[:-1], sizes)
+    found = values[row + np.repeat(starts - at[:-1], sizes)].astype(np.uint64)
+    sums = np.zeros(len(row) + 1, dtype=np.uint64)
+    np.cumsum(mix(found + (place.astype(np.uint64) + np.uint64(1) << np.uint64(21))), out=sums[1:])
+    return mix((sums[at[1:]] - sums[at[:-1]]) ^ np.uint64(0xD6E8FEB86659FD93))
+
+
 def code_points(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """All texts in a row, and where each begins (one entry more than texts)."""
     points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
@@ -140,7 +160,7 @@ def words(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     """Words of one batch: hash of the lower-case form, start, end in the joined texts, and the number of words before each text."""
     points, bounds = code_points(texts)
     starts, ends = runs(word_classes()[points], bounds)
-    hashes = span_hashes(prefix_sums(lower_case()[points] + np.uint64(1)), starts, ends)
+    hashes = run_hashes(lower_case()[points], starts, ends)
     return hashes, starts, ends, np.searchsorted(starts, bounds)
 
 
@@ -166,4 +186,9 @@ def shingles(hashes: np.ndarray, bounds: np.ndarray, width: int) -> tuple[np.nda
     np.cumsum(made, out=out[1:])
     starts = np.repeat(bounds[:-1] - out[:-1], made) + np.arange(out[-1])
     ends = np.minimum(starts + width, np.repeat(bounds[1:], made))
-    return span_hashes(prefix_sums(hashes), starts, ends), out
+    found = mix((ends - starts).astype(np.uint64))
+    for i in range(width):
+        mine = starts + i < ends
+        more = mix(found * BASE + hashes[np.where(mine, starts + i, 0)]) if len(hashes) else found
+        found = more if mine.all() else np.where(mine, more, found)
+    return found, out

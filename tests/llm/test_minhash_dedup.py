@@ -1,3 +1,4 @@
+import random
 import re
 from collections import Counter
 
@@ -86,13 +87,87 @@ def test_signatures_estimate_the_probability_jaccard():
     assert np.mean(agree) == pytest.approx(true, abs=0.03)
 
 
-def test_a_large_group_of_near_copies_is_one_class(spark):
-    base = [f"w{i}" for i in range(100)]
-    rows = []
-    for i in range(40):
+def family(seed, copies):
+    """Copies of one text with some of 120 words put in place of others, from few words a place: similar at 0.5 to 1."""
+    rng = random.Random(seed)
+    base = [f"w{i}" for i in range(120)]
+    out = []
+    for i in range(copies):
         words = list(base)
-        for k in range(2):
-            words[(i * 7 + k * 31) % 100] = f"e{i}"
-        rows.append((i, " ".join(words)))
-    found = M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
-    assert sorted((r.doc_id, r.class_id, r.class_size) for r in found) == expected(rows)
+        for place in rng.sample(range(0, 120, 5), rng.randrange(8)):
+            words[place] = f"e{place}x{rng.randrange(3)}"
+        out.append((i, " ".join(words)))
+    return out
+
+
+def fast_classes(rows):
+    sets = [set(shingle_counts(t)) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both / (len(sets[i]) + len(sets[j]) - both) >= 0.8 - 1e-9:
+                parent[root(i)] = root(j)
+    groups = {}
+    for i in range(len(rows)):
+        groups.setdefault(root(i), []).append(rows[i][0])
+    return {frozenset(g) for g in groups.values()}
+
+
+@pytest.mark.parametrize("centres", [M.CENTRES, 1])
+def test_a_family_of_near_copies(spark, monkeypatch, centres):
+    """Hundreds of texts that share buckets, some linked and some not quite: a large class and many small ones."""
+    monkeypatch.setattr(M, "CENTRES", centres)
+    rows = family(1, 300)
+    want = fast_classes(rows)
+    assert max(map(len, want)) > 100 and len(want) > 20
+    found = {}
+    for r in M.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        found.setdefault(r.class_id, set()).add(r.doc_id)
+    assert {frozenset(g) for g in found.values()} == want
+
+
+def test_parities_bound_the_difference():
+    rng = np.random.default_rng(4)
+    sets = [Counter(rng.integers(0, 300, rng.integers(1, 200)).tolist()) for _ in range(30)]
+    owner = np.concatenate([np.full(len(s), i) for i, s in enumerate(sets)])
+    ids = np.concatenate([np.array(sorted(s), dtype=np.uint64) for s in sets])
+    weight = np.concatenate([[s[k] for k in sorted(s)] for s in sets])
+    marks = M.parities(owner, ids, weight, len(sets)).view(np.uint64)
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets):
+            apart = sum(abs(a[k] - b[k]) for k in set(a) | set(b))
+            assert np.bitwise_count(marks[i] ^ marks[j]).sum() <= apart
+            if similarity(a, b) >= 0.8:
+                assert apart <= 0.4 * min(a.total(), b.total()) + abs(a.total() - b.total()) + 1e-6
+
+
+def test_long_words_that_no_polynomial_tells_apart(spark):
+    row = [0]
+    while len(row) < 2048:
+        row += [1 - x for x in row]
+    texts = [" ".join(["".join(two[x] for x in row)] * 6) for two in ("ab", "ba")]
+    found = M.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.class_size) for r in found} == {(0, 1), (1, 1)}
+
+
+def test_texts_longer_than_a_batch(spark):
+    rng = random.Random(8)
+    words = [f"word{rng.randrange(10**6)}" for _ in range(150_000)]
+    near, other = list(words), words[::-1]
+    near[1000:1500] = ["x"] * 500
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate((words, near, other))], "doc_id long, text string")
+    assert {(r.doc_id, r.class_id) for r in M.near_duplicates(frame).collect()} == {(0, 0), (1, 0), (2, 2)}
+
+
+def test_columns_of_any_name_stay(spark):
+    frame = spark.createDataFrame([(1, "a b c", "x", 7, "y"), (2, "a b c", "z", 8, "u")], "doc_id long, text string, of string, __thash long, __id string")
+    assert [tuple(r) for r in M.drop_near_duplicates(frame).collect()] == [(1, "a b c", "x", 7, "y")]
+    with pytest.raises(ValueError):
+        M.near_duplicates(frame.withColumnRenamed("doc_id", "class_id"), "class_id")

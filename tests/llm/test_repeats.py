@@ -59,5 +59,14 @@ def test_long_texts_are_cut_into_blocks_that_overlap():
     assert all(x <= a <= x + R.OFFSETS - 1 + (y - x) and a <= y + R.OFFSETS - 1 and a >= y for a, x, y in found)
 
 
+def test_a_text_longer_than_a_block(spark):
+    rng = random.Random(9)
+    words = [f"{rng.randrange(10**9)}" for _ in range(130_000)]
+    text = " ".join(words)
+    rows = [(1, text), (2, "x" + text[700_000:701_500] + "y"), (3, text[-450:])]
+    found = R.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).drop("kept").collect()
+    assert sorted(map(tuple, found)) == sorted(brute(rows, R.LENGTH))
+
+
 def test_nothing(nothing):
     assert R.without_repeats(nothing).count() == 0

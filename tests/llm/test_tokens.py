@@ -9,6 +9,13 @@ from millrace.llm import packing, token_counts, tokens
 PATH = token_counts.default_tokenizer()
 
 
+def thue_morse(size):
+    row = [0]
+    while len(row) < size:
+        row += [1 - x for x in row]
+    return "".join("ab"[x] for x in row), "".join("ba"[x] for x in row)
+
+
 @pytest.fixture(scope="module")
 def library():
     from tokenizers import Tokenizer
@@ -34,6 +41,16 @@ def test_ids_equal_the_library(library, corpus):
     assert seen == len(texts)
 
 
+@pytest.mark.parametrize("size", [1024, 2048, 4096])
+def test_strings_that_no_polynomial_tells_apart(spark, library, size):
+    texts = thue_morse(size)
+    found = token_counts.token_counts(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), PATH)
+    want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [r.n_tokens for r in found.orderBy("doc_id").collect()] == [len(ids) for ids in want]
+    (_, ids, bounds), = tokens.tokens(PATH, tokens.not_whole(PATH)).encode(list(texts))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == want
+
+
 def test_long_texts_are_cut_where_a_token_begins(library, monkeypatch):
     monkeypatch.setattr(tokens, "BATCH_CHARS", 500)
     text = " ".join(odd_texts()[:300]).replace("<|endoftext|>", "") + "x" * 700 + " " * 700

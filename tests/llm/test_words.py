@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pytest
 
 from millrace.llm import words as W
 
@@ -38,3 +39,16 @@ def test_no_text_at_all():
     assert list(W.word_hashes([])) == []
     _, hashes, bounds = next(W.word_hashes([""]))
     assert len(hashes) == 0 and bounds.tolist() == [0, 0]
+
+
+def thue_morse(size):
+    row = [0]
+    while len(row) < size:
+        row += [1 - x for x in row]
+    return "".join("ab"[x] for x in row), "".join("ba"[x] for x in row)
+
+
+@pytest.mark.parametrize("size", [1024, 2048, 4096])
+def test_strings_that_no_polynomial_tells_apart(size):
+    _, hashes, _ = next(W.word_hashes([*thue_morse(size)]))
+    assert len(np.unique(hashes)) == 2
