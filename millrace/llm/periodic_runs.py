@@ -24,6 +24,9 @@ columns, whatever their names, are not read.
 from __future__ import annotations
 
 import functools
+import zlib
+from collections.abc import Callable, Iterator
+from dataclasses import replace
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytewords import SPACES, Slice, byte_set, dense_ids, joined_words, slices
-from .common import per_batch, register, table
+from .common import refuse_names, register, table
 from .words import mix
 
 # A difference cover: every number modulo 31 is a difference of two of these (fixed values).
@@ -40,7 +43,7 @@ NEAR = 8
 LEAST_WORDS, LEAST_PERIODS = 6, 4
 STEP = LEAST_PERIODS - 1
 # Pairs of the grid looked at at once.
-PAIRS = 1 << 19
+PAIRS = 1 << 18
 
 WHITE = byte_set(SPACES)
 
@@ -197,7 +200,7 @@ def runs_of(ids: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return text[order], start[order], (end - start)[order], q[order]
 
 
-def _collapsed(found: Slice, ids_column: pa.Array, names: list[str]) -> pa.RecordBatch:
+def _collapsed(found: Slice, own: pa.Array, names: list[str]) -> pa.RecordBatch:
     rows = len(found.cuts) - 1
     text, start, length, period = runs_of(dense_ids(found), found.cuts)
     # Words in a run after its first period.
@@ -209,38 +212,51 @@ def _collapsed(found: Slice, ids_column: pa.Array, names: list[str]) -> pa.Recor
     bounds = np.searchsorted(text, np.arange(rows + 1))
     parts = pa.StructArray.from_arrays([pa.array(c) for c in (start, length, period)], ["start", "length", "period"])
     runs = pa.ListArray.from_arrays(pa.array(bounds, type=pa.int32()), parts)
-    columns = [ids_column.slice(found.first, rows), pa.array(np.diff(found.cuts)), runs, joined_words(found, kept)]
+    columns = [own, pa.array(np.diff(found.cuts)), runs, joined_words(found, kept)]
     return pa.RecordBatch.from_arrays(columns, names)
 
 
-def without_runs(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """id, n_words, runs (start, length and period, by start and period) and collapsed: the words, each run cut to one period."""
-    if id_column in ("n_words", "runs", "collapsed"):
-        raise ValueError(f"{id_column} is a column of the result: rename the id")
+def without_runs(
+    docs: DataFrame,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    rewrite: Callable[[Slice, pa.Array], Slice] | None = None,
+) -> DataFrame:
+    """id, n_words, runs (start, length and period, by start and period) and collapsed: the words, each run cut to one period.
+
+    ``rewrite`` may put other words of a slice in the place of its words; it gets the ids of the slice's texts too.
+    """
+    refuse_names(id_column, "n_words", "runs", "collapsed", "text")
     names = [id_column, "n_words", "runs", "collapsed"]
 
-    def collapse(batch: pa.RecordBatch) -> pa.Table:
-        return pa.Table.from_batches([_collapsed(s, batch.column(0), names) for s in slices(batch.column(1), WHITE)])
+    def collapse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for found in slices(batch.column(1), WHITE):
+                own = batch.column(0).slice(found.first, len(found.cuts) - 1)
+                yield _collapsed(rewrite(found, own) if rewrite else found, own, names)
 
     kind = docs.schema[id_column].dataType.simpleString()
     schema = f"`{id_column}` {kind}, n_words long, runs array<struct<start:long,length:long,period:long>>, collapsed string"
-    return docs.select(id_column, F.col(text_column).alias("text" if id_column != "text" else "texts")).mapInArrow(per_batch(collapse), schema)
+    return docs.select(id_column, F.col(text_column).alias("text")).mapInArrow(collapse, schema)
 
 
-def with_planted_periods(docs: DataFrame) -> DataFrame:
-    """doc_id and text; of one document in ten, by the checksum of its id, words repeat from some word on. A null id plants nothing."""
-    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
-    h = F.crc32(F.col("doc_id").cast("string"))
-    planted = docs.select("doc_id", "text", h.alias("h"), F.when(h % 10 == 0, words).alias("words"))
-    planted = planted.selectExpr("doc_id", "text", "words", "h div 10 g", "size(words) n")
-    planted = planted.selectExpr("*", "if(n > 0, g % n, 0) a").selectExpr("*", "1 + (n - a) div (3 + g % 8) p")
-    again = "array_join(transform(sequence(0, n - 1), i -> words[int(if(i < a, i, a + (i - a) % p))]), ' ')"
-    return planted.select("doc_id", F.expr(f"if(n > 0, {again}, text)").alias("text"))
+def planted(found: Slice, ids: pa.Array) -> Slice:
+    """In one text of ten, by the checksum of its id, words repeat from some word on. A null id plants nothing."""
+    place = np.arange(len(found.starts))
+    for i, name in enumerate(ids.to_pylist()):
+        begin, end = found.cuts[i], found.cuts[i + 1]
+        h = 1 if name is None else zlib.crc32(str(name).encode())
+        if h % 10 == 0 and end > begin:
+            n, g = int(end - begin), h // 10
+            a = g % n
+            p = 1 + (n - a) // (3 + g % 8)
+            place[begin + a : end] = begin + a + np.arange(n - a) % p
+    return replace(found, starts=found.starts[place], ends=found.ends[place])
 
 
 @register("op12_periodic_runs")
 def op12(spark, sf_dir):
-    found = without_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    found = without_runs(table(spark, sf_dir, "documents"), rewrite=planted)
     longer = "r.length * b.period > b.length * r.period or r.length * b.period = b.length * r.period and (r.start < b.start or r.start = b.start and r.period < b.period)"
     best = f"aggregate(runs, runs[0], (b, r) -> if({longer}, r, b))"
     lines = "array_join(transform(runs, r -> concat(r.start, ',', r.length, ',', r.period, '\\n')), '')"
