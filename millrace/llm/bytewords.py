@@ -8,7 +8,7 @@ meet; ``equal_words`` and ``dense_ids`` compare bytes where the answer must not
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -19,6 +19,7 @@ from .words import mix
 
 # Bytes of text handled at once; a longer text is a slice of its own.
 SLICE_BYTES = 1 << 20
+# Places in a word whose bytes' values lie in a table.
 PLACES = 64
 
 SPACES = b" \t\n\x0b\x0c\r"
@@ -77,6 +78,19 @@ def slices(column: pa.Array, separators: np.ndarray, size: int = SLICE_BYTES) ->
         first = last
 
 
+def by_slice(function: Callable[[pa.RecordBatch, Slice], pa.RecordBatch | None], separators: np.ndarray):
+    """A function for mapInArrow over batches with a column text, which works on a slice at a time."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for found in slices(batch.column("text"), separators):
+                made = function(batch, found)
+                if made is not None and made.num_rows:
+                    yield made
+
+    return run
+
+
 def cut(first: int, data: np.ndarray, bounds: np.ndarray, separators: np.ndarray) -> Slice:
     inside = np.zeros(len(data) + 2, dtype=bool)
     inside[1:-1] = ~separators[data]
@@ -96,19 +110,25 @@ def gathered_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tu
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
-    """64-bit hash of each span by its bytes."""
-    row, at = gathered_bytes(data, starts, ends)
-    place = np.arange(len(row)) - np.repeat(at[:-1], np.diff(at))
-    key = place * 256 + row
-    near = place < PLACES
-    value = _mixed()[np.where(near, key, 0)]
-    if not near.all():
+    """64-bit hash of each span (of one byte or more) by its bytes."""
+    if not len(starts):
+        return np.zeros(0, dtype=np.uint64)
+    sizes = (ends - starts).astype(np.int32)
+    at = np.cumsum(sizes, dtype=np.int32) - sizes
+    place = np.arange(int(sizes.sum(dtype=np.int64)), dtype=np.int32)
+    # Where each byte lies in the data, and in its word.
+    row = data[place + np.repeat(starts.astype(np.int32) - at, sizes)]
+    place -= np.repeat(at, sizes)
+    key = (place << 8) + row
+    if int(sizes.max()) <= PLACES:
+        value = _mixed()[key]
+    else:
+        near = place < PLACES
+        value = _mixed()[np.where(near, key, 0)]
         far = np.flatnonzero(~near)
         value[far] = mix(key[far].astype(np.uint64) + np.uint64(1))
-    sums = np.zeros(len(row) + 1, dtype=np.uint64)
-    np.cumsum(value, out=sums[1:])
     salt = np.uint64((seed * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) % (1 << 64))
-    return mix((sums[at[1:]] - sums[at[:-1]]) ^ salt)
+    return mix(np.add.reduceat(value, at) ^ salt)
 
 
 def equal_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, other: np.ndarray) -> np.ndarray:

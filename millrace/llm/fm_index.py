@@ -7,6 +7,7 @@ counts at every 64 bits: about 1.5 bits for each bit of entropy. Number 0 ends a
 from __future__ import annotations
 
 import heapq
+import itertools
 
 import numpy as np
 
@@ -43,9 +44,9 @@ class WaveletTree:
 
     def __init__(self, row: np.ndarray, kinds: int):
         self.lengths = code_lengths(np.bincount(row, minlength=kinds))
-        codes = canonical(self.lengths)
+        self.codes = codes = canonical(self.lengths)
         self.depth = int(self.lengths.max())
-        self.levels, self.start, self.base, self.bit = [], [], [], []
+        self.levels, self.start, self.base = [], [], []
         code, length = codes[row], self.lengths[row]
         for level in range(self.depth):
             ahead = np.uint64(self.depth - level)
@@ -63,7 +64,6 @@ class WaveletTree:
             start = np.searchsorted(prefix, codes >> ahead)
             self.start.append(start.astype(np.int32))
             self.base.append(self._ones(level, start).astype(np.int32))
-            self.bit.append(((codes >> (ahead - np.uint64(1))) & np.uint64(1)).astype(bool))
             more = length > level + 1
             code, length = code[more], length[more]
 
@@ -74,18 +74,22 @@ class WaveletTree:
         return before[word] + np.bitwise_count(words[word] & mask)
 
     def rank(self, symbol: np.ndarray, at: np.ndarray) -> np.ndarray:
-        """How often ``symbol`` stands before place ``at``."""
-        out = at.astype(np.int64)
-        length = self.lengths[symbol]
-        live = np.arange(len(symbol))
+        """How often each ``symbol`` stands before its places: ``at`` has a row of places for each question."""
+        # Long codes first, so that the symbols still open at a level are the first ones.
+        order = np.argsort(-self.lengths[symbol], kind="stable")
+        symbol, out = symbol[order], at[:, order].astype(np.int32)
+        code, length = self.codes[symbol], -self.lengths[symbol]
         for level in range(self.depth):
-            live = live[length[live] > level]
-            if not len(live):
+            live = int(np.searchsorted(length, -level))
+            if not live:
                 break
-            own, place = symbol[live], out[live]
+            own, place = symbol[:live], out[:, :live]
             ones = self._ones(level, self.start[level][own] + place) - self.base[level][own]
-            out[live] = np.where(self.bit[level][own], ones, place - ones)
-        return out
+            bit = (code[:live] >> np.uint64(self.depth - 1 - level)) & np.uint64(1) > 0
+            out[:, :live] = np.where(bit, ones, place - ones)
+        found = np.empty(at.shape, dtype=np.int64)
+        found[:, order] = out
+        return found
 
 
 def suffix_order(ids: np.ndarray) -> np.ndarray:
@@ -118,8 +122,8 @@ class FMIndex:
 
     def backward(self, symbol: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The suffixes that begin with ``symbol`` and go on as one of those between ``low`` and ``high``."""
-        both = self.tree.rank(np.concatenate([symbol, symbol]), np.concatenate([low, high]))
-        return self.below[symbol] + both[: len(low)], self.below[symbol] + both[len(low) :]
+        low, high = self.below[symbol] + self.tree.rank(symbol, np.stack([low, high]))
+        return low, high
 
     def match_lengths(self, stream: np.ndarray, ends: np.ndarray, most: np.ndarray, least: int) -> np.ndarray:
         """Matching statistics: of the words of ``stream`` before each end, how many the index holds in a row
@@ -130,7 +134,8 @@ class FMIndex:
         step = 0
         while len(live):
             step += 1
-            a, b = self.backward(stream[ends[live] - step], low[live], high[live])
+            symbol = stream[ends[live] - step]
+            a, b = self.backward(symbol, low[live], high[live]) if step > 1 else (self.below[symbol], self.below[symbol + 1])
             good = self.weight[b] - self.weight[a] >= least
             live, a, b = live[good], a[good], b[good]
             low[live], high[live], out[live] = a, b, step
@@ -140,17 +145,29 @@ class FMIndex:
     def repeated(self, stream: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, least: int = 2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each segment of ``stream`` the matches of ``length`` words and more: segment, start and end in it.
 
-        They hold every such match: after one that begins at s the next that is not in it ends before s + length.
+        Together they hold every such match. What is left of a segment is searched from both ends in turn: a match
+        that ends at the right end is reported as long as it is, and one that should begin at the left end and breaks off at
+        some word shows that none begins before that word.
         """
         found = []
-        own, at = np.arange(len(starts)), ends.copy()
-        while True:
-            more = at - starts[own] >= length
-            own, at = own[more], at[more]
+        own, low, high = np.arange(len(starts)), starts.copy(), ends.copy()
+
+        def report(hit: np.ndarray, begin: np.ndarray, end: np.ndarray) -> None:
+            found.append(np.stack([own[hit], (begin - starts[own])[hit], (end - starts[own])[hit]]))
+
+        for turn in itertools.cycle((True, False)):
+            more = high - low >= length
+            own, low, high = own[more], low[more], high[more]
             if not len(own):
                 break
-            size = self.match_lengths(stream, at, at - starts[own], least)
-            hit = size >= length
-            found.append(np.stack([own[hit], (at - size - starts[own])[hit], (at - starts[own])[hit]]))
-            at = np.where(hit, at - size + length - 1, at - 1)
+            if turn:
+                size = self.match_lengths(stream, high, high - low, least)
+                hit = size >= length
+                report(hit, high - size, high)
+                high = np.where(hit, high - size + length - 1, high - 1)
+            else:
+                size = self.match_lengths(stream, low + length, np.full(len(low), length), least)
+                hit = size == length
+                report(hit, low, low + length)
+                low = np.where(hit, low + 1, low + length - size)
         return tuple(np.concatenate(found, axis=1)) if found else (np.zeros(0, dtype=np.int64),) * 3

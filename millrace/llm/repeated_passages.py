@@ -4,11 +4,11 @@ A window is 35 consecutive words of a document. A word is removed if a window th
 anywhere else as well, in the same document or another.
 
 * Shards are made by content, so that a document is streamed past the shards alone that can match it. Every window has
-  an anchor: the 16-word gram of least hash in it. Equal windows have equal anchors at equal places. The words of the
+  an anchor: the 10-word gram of least hash in it. Equal windows have equal anchors at equal places. The words of the
   windows around an anchor are a segment of at most 54 words.
-* First pass: anchors are counted. Segments whose anchor stands nowhere else cannot match.
-* Second pass: equal segments are one, with a weight (``kinds``), so a passage that a third of all documents share
-  is a sum. Third pass: the text of one segment of each kind.
+* Anchors are counted. Segments whose anchor stands nowhere else cannot match. Equal segments are one, with a
+  weight (``kinds``), so a passage that a third of all documents share is a sum. A second pass over the texts fetches the
+  words of one segment of each kind.
 * A shard is what comes, sorted by anchor, until it has ``SHARD_WORDS`` words; an anchor's segments stay together.
   ``FMIndex`` holds it, and its segments are streamed past it: backward search from a segment's end gives how
   far back the words have a weight of two, and matches of 35 words and more are reported.
@@ -34,14 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import bitmap, may_have, wanted
-from .bytewords import SPACES, byte_set, cut, dense_ids, joined_words, slices
-from .common import per_batch, register, staged, table
+from .bytewords import SPACES, Slice, by_slice, byte_set, cut, dense_ids, gathered_bytes, joined_words, slices
+from .common import per_batch, refuse_names, register, staged, table
 from .fm_index import FMIndex
 from .repeats import window_minima
 from .words import mix, prefix_sums, span_hashes
 
 LENGTH = 35
-GRAM = 16
+GRAM = 10
 OFFSETS = LENGTH - GRAM + 1
 PLACE_BITS = 28
 PLACE = np.uint64((1 << PLACE_BITS) - 1)
@@ -77,50 +77,30 @@ def place_key(k: np.ndarray, low: np.ndarray) -> np.ndarray:
     return mix(k.view(np.uint64) + mix(low.astype(np.uint64) + np.uint64(1))).view(np.int64)
 
 
-def _anchor_counts(batch: pa.RecordBatch) -> pa.Table:
-    made = [anchors(s.hashes(), s.cuts)[3] for s in slices(batch.column("text"), WHITE)]
-    g, n = np.unique(np.concatenate(made), return_counts=True)
-    return pa.table({"g": g.view(np.int64), "n": n})
+def _anchors(batch: pa.RecordBatch, s: Slice) -> pa.RecordBatch:
+    text, low, _, g, segment = anchors(s.hashes(), s.cuts)
+    columns = [g.view(np.int64), segment.view(np.int64), batch.column("k").to_numpy()[s.first + text], low]
+    return pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["g", "s", "k", "low"])
 
 
-def _segments(bits: bytes):
+def _with_anchor(bits: bytes):
     """Segments whose anchor may stand elsewhere."""
-
-    def run(batch: pa.RecordBatch) -> pa.Table:
-        keys, made = batch.column("k").to_numpy(), []
-        for s in slices(batch.column("text"), WHITE):
-            text, low, _, g, segment = anchors(s.hashes(), s.cuts)
-            mine = np.flatnonzero(wanted(bits, g))
-            made.append([g[mine].view(np.int64), segment[mine].view(np.int64), keys[s.first + text[mine]], low[mine]])
-        return pa.table({c: np.concatenate(v) for c, v in zip(("g", "s", "k", "low"), zip(*made))})
-
-    return per_batch(run)
+    return per_batch(lambda batch: batch.filter(pa.array(wanted(bits, batch.column("g").to_numpy()))))
 
 
 def _texts(bits: bytes):
     """The words of the segments asked for (and of a few more): their places may be in the bitmap."""
 
-    def run(batch: pa.RecordBatch) -> pa.Table:
-        keys, made = batch.column("k").to_numpy(), []
-        for s in slices(batch.column("text"), WHITE):
-            text, low, size, _, _ = anchors(s.hashes(), s.cuts)
-            mine = np.flatnonzero(wanted(bits, place_key(keys[s.first + text], low)))
-            text, low, size = text[mine], low[mine], size[mine]
-            begin = s.cuts[text] + low
-            made.append(
-                pa.table(
-                    {
-                        "k": keys[s.first + text],
-                        "low": low,
-                        "words": pa.array(
-                            [s.data[a:b].tobytes() for a, b in zip(s.starts[begin], s.ends[begin + size - 1])], type=pa.binary()
-                        ),
-                    }
-                )
-            )
-        return pa.concat_tables(made)
+    def run(batch: pa.RecordBatch, s: Slice) -> pa.RecordBatch:
+        text, low, size, _, _ = anchors(s.hashes(), s.cuts)
+        k = batch.column("k").to_numpy()[s.first + text]
+        mine = np.flatnonzero(wanted(bits, place_key(k, low)))
+        begin = s.cuts[text[mine]] + low[mine]
+        row, at = gathered_bytes(s.data, s.starts[begin], s.ends[begin + size[mine] - 1])
+        words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(mine), [None, pa.py_buffer(at), pa.py_buffer(row)])
+        return pa.RecordBatch.from_arrays([pa.array(k[mine]), pa.array(low[mine]), words.cast(pa.binary())], ["k", "low", "words"])
 
-    return per_batch(run)
+    return run
 
 
 COVERS = "g long, s long, x long, y long"
@@ -183,12 +163,11 @@ def _windows(batch: pa.RecordBatch) -> pa.Table:
 
 def repeated_words(keyed: DataFrame) -> DataFrame:
     """(k, start, end): words of the text of key k that lie in a repeated window; ranges may overlap."""
-    seen = keyed.mapInArrow(per_batch(_anchor_counts), "g long, n long").groupBy("g").agg(F.sum("n").alias("n"))
-    seen = staged(seen.where("n > 1").select("g"), "anchors")
-    rows = keyed.mapInArrow(_segments(bitmap(seen)), "g long, s long, k long, low long")
-    rows = staged(rows, "segments")
-    kinds = rows.groupBy("g", "s").agg(F.count("*").alias("n"), F.min(F.struct("k", "low")).alias("of"))
-    kinds = staged(kinds.select("g", "s", "n", "of.*"), "kinds")
+    rows = staged(keyed.mapInArrow(by_slice(_anchors, WHITE), "g long, s long, k long, low long"), "anchors")
+    seen = staged(rows.groupBy("g").agg(F.count("*").alias("n")).where("n > 1").select("g"), "seen")
+    rows = staged(rows.mapInArrow(_with_anchor(bitmap(seen)), rows.schema), "segments")
+    kinds = rows.groupBy("g", "s").agg(F.count("*").alias("n"), F.min_by("low", "k").alias("low"), F.min("k").alias("k"))
+    kinds = staged(kinds, "kinds")
     met = kinds.groupBy("g").agg(F.sum("n").alias("all"), F.count("*").alias("kinds"))
     met = staged(met.where("all > 1").select("g", (F.col("kinds") > MOST_KINDS).alias("many")), "met")
     asked = staged(kinds.join(met, "g"), "asked")
@@ -197,7 +176,7 @@ def repeated_words(keyed: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(place_key(*(batch.column(c).to_numpy() for c in ("k", "low"))))], ["p"])
 
     places = bitmap(asked.select("k", "low").mapInArrow(per_batch(place), "p long"), asked.count())
-    words = keyed.mapInArrow(_texts(places), "k long, low long, words binary")
+    words = keyed.mapInArrow(by_slice(_texts(places), WHITE), "k long, low long, words binary")
     words = staged(asked.join(words, ["k", "low"]).select("g", "s", "n", "many", "words"), "texts")
     few = words.where("not many").select("g", "s", "n", "words")
     covers = few.repartition("g").sortWithinPartitions("g").mapInArrow(_searched, COVERS)
@@ -246,8 +225,7 @@ def _cut(id_column: str):
 
 def without_passages(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """id, n_words, n_removed and kept (the remaining words, joined by one space) of each document."""
-    if id_column in ("n_words", "n_removed", "kept", "text", "ranges", "k"):
-        raise ValueError(f"{id_column} is a column of the result or of its making: rename the id")
+    refuse_names(id_column, "n_words", "n_removed", "kept", "text", "ranges", "k")
     text = F.coalesce(F.col(text_column), F.lit(""))
     keyed = docs.select(F.col(id_column), F.xxhash64(F.col(id_column), text).alias("k"), text.alias("text"))
     ranges = repeated_words(keyed.select("k", "text")).distinct()

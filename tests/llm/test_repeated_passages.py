@@ -90,7 +90,7 @@ def test_index_equals_search(kinds):
     index = X.FMIndex(ids, weights)
     tree = X.WaveletTree(ids, kinds + 1)
     symbol, at = rng.integers(0, kinds + 1, 500), rng.integers(0, len(ids) + 1, 500)
-    assert tree.rank(symbol, at).tolist() == [int((ids[:a] == c).sum()) for c, a in zip(symbol, at)]
+    assert tree.rank(symbol, at[None, :])[0].tolist() == [int((ids[:a] == c).sum()) for c, a in zip(symbol, at)]
 
     def weight(pattern):
         return sum(weights[i] for i in range(len(ids) - len(pattern) + 1) if (ids[i : i + len(pattern)] == pattern).all())
