@@ -7,6 +7,8 @@ grows (half of all at 190 million keys) and the joins behind it carry more rows,
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -50,11 +52,19 @@ def wanted(bits: bytes, keys: np.ndarray) -> np.ndarray:
     return (words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) > 0
 
 
-def may_have(keyed: DataFrame, keys: DataFrame, no: bool = False) -> DataFrame:
-    """Rows whose key may be among ``keys`` (or, with ``no``, those whose key is not)."""
-    bits = bitmap(keys)
+def may_have(keyed: DataFrame, keys: DataFrame, bits: bytes | None = None) -> DataFrame:
+    """Rows whose key ``k`` may be among ``keys``; ``bits``: their bitmap, if it is made already."""
+    bits = bitmap(keys) if bits is None else bits
 
     def pick(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return batch.filter(pa.array(wanted(bits, batch.column("k").to_numpy()) != no))
+        return batch.filter(pa.array(wanted(bits, batch.column("k").to_numpy())))
 
     return keyed.mapInArrow(per_batch(pick), keyed.schema)
+
+
+def without(bits: bytes, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose key is surely not in the bitmap; for use in a task, as two Python steps in a row are two workers."""
+    for batch in batches:
+        rest = batch.filter(pa.array(~wanted(bits, batch.column("k").to_numpy())))
+        if rest.num_rows:
+            yield rest

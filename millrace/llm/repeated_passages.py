@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bitmap import bitmap, may_have, wanted
+from .bitmap import bitmap, may_have, wanted, without
 from .bytewords import SPACES, Slice, by_slice, byte_set, cut, dense_ids, gathered_bytes, joined_words, slices
 from .common import per_batch, refuse_names, register, staged, table
 from .fm_index import FMIndex
@@ -45,7 +45,7 @@ GRAM = 10
 OFFSETS = LENGTH - GRAM + 1
 PLACE_BITS = 28
 PLACE = np.uint64((1 << PLACE_BITS) - 1)
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 MOST_KINDS = 1 << 14
 
 WHITE = byte_set(SPACES)
@@ -192,11 +192,11 @@ def repeated_words(keyed: DataFrame) -> DataFrame:
     return found.select("k", (F.col("low") + F.col("x")).alias("start"), (F.col("low") + F.col("y")).alias("end"))
 
 
-def _cut(id_column: str):
-    """Texts and their ranges to what is kept of them."""
+def _cut(id_column: str, bits: bytes | None = None):
+    """Texts and their ranges to what is kept of them; with ``bits``, texts whose key is not in there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batches if bits is None else without(bits, batches):
             ranges = batch.column("ranges") if "ranges" in batch.schema.names else None
             for s in slices(batch.column("text"), WHITE):
                 rows = len(s.cuts) - 1
@@ -212,7 +212,7 @@ def _cut(id_column: str):
                 gone = np.concatenate([[0], np.cumsum(~kept)])[s.cuts]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column(0).slice(s.first, rows),
+                        batch.column(id_column).slice(s.first, rows),
                         pa.array(np.diff(s.cuts)),
                         pa.array(np.diff(gone)),
                         joined_words(s, kept),
@@ -231,10 +231,9 @@ def without_passages(docs: DataFrame, id_column: str = "doc_id", text_column: st
     ranges = repeated_words(keyed.select("k", "text")).distinct()
     lists = staged(ranges.groupBy("k").agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "ranges")
     schema = f"`{id_column}` {docs.schema[id_column].dataType.simpleString()}, n_words long, n_removed long, kept string"
-    keys = lists.select("k")
-    touched = may_have(keyed, keys).join(lists, "k", "left").select(id_column, "text", "ranges")
-    whole = may_have(keyed, keys, no=True).select(id_column, "text")
-    return touched.mapInArrow(_cut(id_column), schema).unionByName(whole.mapInArrow(_cut(id_column), schema))
+    bits = bitmap(lists.select("k"))
+    touched = may_have(keyed, lists, bits).join(lists, "k", "left").select(id_column, "text", "ranges")
+    return touched.mapInArrow(_cut(id_column), schema).unionByName(keyed.mapInArrow(_cut(id_column, bits), schema))
 
 
 @register("op13_repeated_passages")

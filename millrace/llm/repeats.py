@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .bitmap import may_have
+from .bitmap import bitmap, may_have, without
 from .bytewords import buffers
 from .common import per_batch, refuse_names, register, staged, table
 from .words import mix, prefix_sums, span_hashes
@@ -289,11 +289,11 @@ def remaining(size: int, ranges: list[tuple[int, int]]) -> tuple[list[tuple[int,
     return out, runs
 
 
-def _cut(id_column: str, with_kept: bool):
-    """Texts and their ranges to what is left of them."""
+def _cut(id_column: str, with_kept: bool, bits: bytes | None = None):
+    """Texts and their ranges to what is left of them; with ``bits``, texts whose key is not in there."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in batches if bits is None else without(bits, batches):
             for part in by_size(batch):
                 texts = encoded(part)
                 ranges = part.column("ranges").to_pylist() if "ranges" in part.schema.names else [None] * len(texts)
@@ -328,11 +328,10 @@ def without_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     lists = staged(ranges.groupBy("k").agg(F.collect_list(F.struct("start", "end")).alias("ranges")), "ranges")
     schema = f"`{id_column}` {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     schema += ", kept binary" if with_kept else ""
-    keys = lists.select("k")
-    touched = may_have(keyed, keys).join(lists, "k", "left").select(id_column, "text", "ranges")
-    whole = may_have(keyed, keys, no=True).select(id_column, "text")
-    cut = _cut(id_column, with_kept)
-    return touched.mapInArrow(cut, schema).unionByName(whole.mapInArrow(cut, schema))
+    bits = bitmap(lists.select("k"))
+    touched = may_have(keyed, lists, bits).join(lists, "k", "left").select(id_column, "text", "ranges")
+    whole = keyed.mapInArrow(_cut(id_column, with_kept, bits), schema)
+    return touched.mapInArrow(_cut(id_column, with_kept), schema).unionByName(whole)
 
 
 @register("op10_repeats")
