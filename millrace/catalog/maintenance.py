@@ -6,6 +6,7 @@ over the cut, as a second incremental run does.
 
 from __future__ import annotations
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import functions as F
@@ -17,7 +18,8 @@ from ..plans.load import run_load
 from ..plans.request import LoadRequest
 from ..session import scratch_path, stage
 from ..sinks import files as sink
-from ..sinks.tables import SnapshotTable
+from ..sinks.documents import DocumentStore
+from ..sinks.tables import SnapshotTable, TableGroup
 from .common import register, table
 
 PAST = "o_orderdate <= TIMESTAMP_NTZ '2000-12-31 00:00:00'"
@@ -263,6 +265,25 @@ def route_tables(spark, sf):
     )
 
 
+@register("W11_route_load", "SELECT *, event_type AS route FROM events")
+def route_load(spark, sf):
+    """Two loads into a table per event type, and between them one that dies after the first table's head."""
+    events = table(spark, sf, "events")
+    path = scratch_path(spark, "routed")
+    request = LoadRequest(source="events", target=path, strategy="append", multiple_tables=True, route="event_type", primary_key=["event_id"])
+    early = F.col("ts") <= F.lit(dt.datetime(2024, 1, 15)).cast("timestamp_ntz")
+    run_load(events.filter(early), request, "first")
+    group = TableGroup(spark, path)
+    broken = group.begin(group.names()[:1])[0]
+    broken.append(broken.read(), "broken")
+    run_load(events.filter(~early), request, "second")
+    out = None
+    for name in group.names():
+        rows = group.table(name).data().withColumn("route", F.lit(name))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 @register(
     "W12_partition_by",
     """SELECT CAST(ts AS DATE) AS ts_day, count(*) AS n, count(DISTINCT user_id) AS users FROM events GROUP BY 1""",
@@ -420,6 +441,23 @@ def widen_exact(spark, sf):
     return N.evolve(past, recent)
 
 
+@register(
+    "W22_loads_log",
+    """SELECT row_number() OVER (ORDER BY r_regionkey, month) AS version, 'load-' || r_regionkey || '-' || month AS load_id,
+  CAST((SELECT count(*) FROM region) AS BIGINT) AS rows FROM region, (SELECT unnest(range(1, 31)) AS month)""",
+)
+def loads_log(spark, sf):
+    """150 loads, and among them an expiry: the log has them all, each with its rows."""
+    region = table(spark, sf, "region")
+    target = SnapshotTable(spark, scratch_path(spark, "log"))
+    keys = sorted(r[0] for r in region.select("r_regionkey").collect())
+    for key in keys:
+        for month in range(1, 31):
+            target.replace(region, f"load-{key}-{month}")
+        target.expire(hours=-1)
+    return target.loads().select("version", "load_id", "rows")
+
+
 @register("W22_commit_then_ack", MERGED_ORDERS)
 def commit_then_ack(spark, sf):
     """The position moves after the swap only: a load that dies before is repeated without harm."""
@@ -436,12 +474,18 @@ def commit_then_ack(spark, sf):
 
 @register(
     "W24_upsert_documents",
-    """SELECT CAST(doc_id AS VARCHAR) AS _id, doc_id, lang, source, n_chars + 1 AS n_chars, text FROM documents""",
+    """SELECT CAST(doc_id AS VARCHAR) AS _id, doc_id, lang, source, n_chars + CASE WHEN lang = 'en' THEN 1 ELSE 0 END AS n_chars, text
+FROM documents""",
 )
 def upsert_documents(spark, sf):
-    from ..sinks.documents import shape_documents, upsert
-
+    """A collection replaced twice, then upserted: documents of one language change, those of another are new, the rest stay."""
     docs = table(spark, sf, "documents")
-    stored = shape_documents(M.stamp_lineage(docs, "x"), id_fields=["doc_id"])
-    changed = shape_documents(docs.withColumn("n_chars", F.col("n_chars") + 1), id_fields=["doc_id"])
-    return upsert(stored, changed)
+    path = scratch_path(spark, "collection")
+    request = LoadRequest(source="documents", target=path, sink_kind="documents", strategy="replace", primary_key=["doc_id"])
+    run_load(docs.withColumn("text", F.lit("gone")), request, "first")
+    run_load(docs.filter("lang <> 'fr' OR lang IS NULL"), request, "second")
+    upsert = dataclasses.replace(request, strategy="merge")
+    changed = docs.withColumn("n_chars", F.col("n_chars") + F.when(F.col("lang") == "en", 1).otherwise(0))
+    run_load(changed.filter("lang IN ('en', 'fr')"), upsert, "third")
+    fields = "_id string, doc_id long, lang string, source string, n_chars long, text string"
+    return DocumentStore(spark, path).read(fields)

@@ -256,6 +256,29 @@ def queue_dedup_merge(spark, sf):
     return target.read()
 
 
+@register(
+    "T15_changed_redelivery",
+    """SELECT CAST(event_id AS VARCHAR) AS _mqb_id, ts, user_id, event_type,
+  CASE WHEN event_type IN ('click', 'view') THEN value + 1 ELSE value END AS value,
+  CASE WHEN event_type IN ('click', 'view') THEN 2 ELSE 1 END AS edition FROM events""",
+)
+def changed_redelivery(spark, sf):
+    """Messages come again: some in a later edition, in slices of their own, and all in an older one, last of all."""
+    frame = table(spark, sf, "events").selectExpr(
+        "CAST(event_id AS STRING) AS _mqb_id", "ts", "user_id", "event_type", "value", "1 AS edition"
+    )
+    later = frame.filter("event_type IN ('click', 'view')").withColumns({"value": F.col("value") + 1, "edition": F.lit(2)})
+    older = frame.withColumns({"value": F.col("value") - 1, "edition": F.lit(0)})
+    target = SnapshotTable(spark, scratch_path(spark, "editions"))
+    checkpoint = scratch_path(spark, "checkpoint")
+    path = scratch_path(spark, "queue")
+    for part in (frame, later, older):
+        part.repartitionByRange(2, "ts").write.mode("append").parquet(path)
+        stream = spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(path)
+        drain.drain(stream, drain.merge_into(target, "_mqb_id", "edition", parts=4), checkpoint)
+    return target.read()
+
+
 @register("T15_insert_new", ONCE)
 def queue_insert_new(spark, sf):
     path, schema = redelivered(spark, sf)

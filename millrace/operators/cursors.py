@@ -115,12 +115,93 @@ def read_after(
     return later.unionByName(unseen)
 
 
+# Keys that are put in order at once, once the place of the last row is known that closely.
+FEW = 10_000
+
+
 def lowest(df: DataFrame, n: int, column: str | None = None, tiebreak: Sequence[str] = ()) -> DataFrame:
-    """The first ``n`` rows by cursor; each task keeps its own best ``n``."""
-    if column:
-        ties = [c for c in tiebreak if c != column and sortable(df.schema[c].dataType)]
-        df = df.orderBy(F.col(quoted(column)), *[F.col(quoted(c)) for c in ties])
-    return df.limit(n)
+    """The first ``n`` rows by cursor and then by ``tiebreak``, as a filter.
+
+    The key of row ``n`` is found by counts: the rows are counted by ranges of the key, the one range that row lies in
+    is counted by ranges again, until few keys are left. No task sorts or gets all of the ``n`` rows, however large ``n`` is.
+    Of rows equal in all of these columns it takes as many as belong to the ``n``.
+    """
+    if not column:
+        return df.limit(n)
+    keys = [column, *[c for c in tiebreak if c != column and isinstance(df.schema[c].dataType, T.AtomicType) and sortable(df.schema[c].dataType)]]
+    if n <= 0:
+        return df.filter(F.lit(False))
+    key = F.struct(*[F.col(quoted(c)).alias(f"k{i}") for i, c in enumerate(keys)])
+    spread = [F.col(f"key.k{i}") for i in range(len(keys))]
+    within, rest = df.select(key.alias("key")), n
+    total = within.count()
+    if total <= n:
+        return df
+    while total > FEW:
+        cut = min(200, 2 + total // FEW)
+        ranges = within.repartitionByRange(cut, *spread).groupBy(F.spark_partition_id().alias("range"))
+        found = ranges.agg(F.count(F.lit(1)).alias("n"), F.min("key").alias("low"), F.max("key").alias("high"))
+        before = 0
+        # One row a range, in the order of the ranges; sampling may cut them differently each time, which the counts tell.
+        for row in sorted(found.collect(), key=lambda r: r["range"]):
+            if before + row["n"] >= rest:
+                break
+            before += row["n"]
+        rest -= before
+        if row["low"] == row["high"]:
+            return _up_to(df, keys, row["low"], rest)
+        if rest == row["n"]:
+            return df.filter(~_beyond(df, keys, row["high"]))
+        within = within.filter(~_beyond_key(within, row["high"]) & ~_before_key(within, row["low"]))
+        if row["n"] == total:
+            # A key with nearly all rows may leave one range: its rows are counted by themselves.
+            below = within.filter(_before_key(within, row["high"]))
+            rest_below = below.count()
+            if rest > rest_below:
+                return _up_to(df, keys, row["high"], rest - rest_below)
+            within, total = below, rest_below
+        else:
+            total = row["n"]
+    few = [r["key"] for r in within.sort(*spread).collect()]
+    last = few[rest - 1]
+    return _up_to(df, keys, last, rest - sum(1 for k in few[: rest - 1] if k != last))
+
+
+def _up_to(df: DataFrame, keys: Sequence[str], last, more: int) -> DataFrame:
+    """Rows before the key ``last``, and ``more`` of those that have it."""
+    here = df.filter(~_beyond(df, keys, last) & ~_before(df, keys, last))
+    if here.count() > more:
+        return df.filter(_before(df, keys, last)).unionByName(here.limit(more))
+    return df.filter(~_beyond(df, keys, last))
+
+
+def _compared(parts: Sequence[tuple[Column, T.DataType]], values: Sequence, later: bool) -> Column:
+    """Whether a row's key comes after (or before) ``values``, part by part; nulls come first."""
+    out = F.lit(False)
+    for (part, kind), value in reversed(list(zip(parts, values))):
+        if value is None:
+            beyond = part.isNotNull() if later else F.lit(False)
+        else:
+            bound = F.lit(value).cast(kind)
+            beyond = F.coalesce(part > bound, F.lit(False)) if later else part.isNull() | F.coalesce(part < bound, F.lit(False))
+        out = beyond | (part.eqNullSafe(F.lit(value).cast(kind)) & out)
+    return out
+
+
+def _beyond(df: DataFrame, keys: Sequence[str], values) -> Column:
+    return _compared([(F.col(quoted(k)), df.schema[k].dataType) for k in keys], values, True)
+
+
+def _before(df: DataFrame, keys: Sequence[str], values) -> Column:
+    return _compared([(F.col(quoted(k)), df.schema[k].dataType) for k in keys], values, False)
+
+
+def _beyond_key(within: DataFrame, values) -> Column:
+    return _compared([(F.col(f"key.{f.name}"), f.dataType) for f in within.schema["key"].dataType], values, True)
+
+
+def _before_key(within: DataFrame, values) -> Column:
+    return _compared([(F.col(f"key.{f.name}"), f.dataType) for f in within.schema["key"].dataType], values, False)
 
 
 def custom_query(spark, query: str, start=None, end=None, limit: int | None = None, **views: DataFrame) -> DataFrame:

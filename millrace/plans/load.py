@@ -7,23 +7,25 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.hashing import quoted
 from ..operators import cursors, maintenance, masking, normalize
 from ..operators.keys import dedup_by_key
 from ..operators.widening import cast_like
+from ..sinks.documents import DocumentStore, shape_documents
 from ..sinks.files import cluster_by, day_column
-from ..sinks.tables import SnapshotTable
-from .request import LoadRequest
+from ..sinks.tables import FOLD, SnapshotTable, TableGroup
+from ..sources.filescan import LISTED, FileScan
+from .request import LoadError, LoadRequest
 from .rules import resolve
 
 Transform = Callable[[DataFrame], DataFrame]
 
 
 def run_load(
-    source: DataFrame,
+    source: DataFrame | FileScan,
     request: LoadRequest,
     load_id: str | None = None,
     transforms: tuple[Transform, ...] = (),
@@ -36,19 +38,39 @@ def run_load(
     The head of the target table names both its data and the read position, so both move in one
     step. A load that dies before leaves the table and the position as they were.
     ``on_commit`` runs after that step, to acknowledge what was read.
+
+    Files come as a ``FileScan``. With ``file_incremental`` only those are read that the table's list of
+    loaded files leaves; the list is part of the same head.
     """
     request = resolve(request)
     load_id = load_id or uuid.uuid4().hex
-    table = SnapshotTable(source.sparkSession, request.target)
+    files = isinstance(source, FileScan)
+    if request.file_incremental and not files:
+        raise LoadError("file_incremental needs the files: hand over a FileScan, not rows")
+    spark = source.spark if files else source.sparkSession
+    if request.multiple_tables or request.sink_kind == "documents":
+        rows = source.rows(source.listing()) if files else source
+        if rows is not None:
+            write = route_load if request.multiple_tables else document_load
+            write(spark, rows, request, load_id, transforms, full_refresh)
+        if on_commit:
+            on_commit(load_id)
+        return load_id
+    table = SnapshotTable(spark, request.target)
     head = table.begin()
     fresh_start = full_refresh or request.full_refresh or not head["dirs"]
     # A replacement is whole: it neither starts at the position nor leaves out what was there.
     cursor = None if fresh_start or request.strategy == "replace" else head["cursor"]
 
-    rows = source
-    for transform in transforms:
-        rows = rows.transform(transform)
-    rows, request = typed_rows(rows, request)
+    rows, table.files_next = (source, None) if not files else file_rows(table, source, request, fresh_start)
+    if rows is None:
+        # No new file: the table stays as it is, and the log says so.
+        if not fresh_start:
+            table.commit(load_id, head["dirs"], table.schema(), head["partition_by"], head["cursor"], loaded=0)
+        if on_commit:
+            on_commit(load_id)
+        return load_id
+    rows, request = prepared(rows, request, transforms)
     rows = new_rows(rows, request, cursor)
     if request.masks:
         rows = masking.mask_table(rows, request.masks)
@@ -69,6 +91,7 @@ def run_load(
     # files as they are; the other strategies read them back with their true size known.
     name = table.write_files(rows, f"batch-{load_id}", partition)
     batch = table.spark.read.schema(rows.schema).parquet(f"{table.path}/{name}")
+    table.loaded_next = batch.count()
     position = next_position(table, batch, request, cursor, told_by)
     apply_batch(table, batch, name, request, load_id, fresh_start, partition, buckets, position, load_time)
     if on_commit:
@@ -76,6 +99,91 @@ def run_load(
     return load_id
 
 
+def file_rows(
+    table: SnapshotTable, scan: FileScan, request: LoadRequest, fresh_start: bool
+) -> tuple[DataFrame | None, list[dict] | None]:
+    """Rows of the files to load, and the lists of loaded files as they are after that.
+
+    The list of this load is written before anything is read, so that what is read and what is listed agree.
+    """
+    if not request.file_incremental:
+        return scan.rows(scan.listing()), None
+    lists = [] if fresh_start else table.head()["files"]
+    mine = [e for e in lists if e["key"] == scan.key]
+    done = table.spark.read.schema(LISTED).parquet(*[f"{table.path}/{e['dir']}" for e in mine]) if mine else None
+    name = f"files-{uuid.uuid4().hex[:12]}"
+    fresh = scan.unread(done)
+    # After many loads one list takes the place of all.
+    whole = len(mine) >= FOLD
+    (fresh.withColumn("fresh", F.lit(True)).unionByName(done.withColumn("fresh", F.lit(False))) if whole else fresh.withColumn("fresh", F.lit(True))).coalesce(1).write.parquet(f"{table.path}/{name}")
+    fresh = table.spark.read.schema(f"{LISTED}, fresh boolean").parquet(f"{table.path}/{name}").filter("fresh")
+    others = [e for e in lists if not whole or e["key"] != scan.key]
+    return scan.rows(fresh), [*others, {"dir": name, "key": scan.key}]
+
+
+def prepared(rows: DataFrame, request: LoadRequest, transforms: tuple[Transform, ...]) -> tuple[DataFrame, LoadRequest]:
+    """Rows after the transforms of the request's author, under their final names and types."""
+    for transform in transforms:
+        rows = rows.transform(transform)
+    return typed_rows(rows, request)
+
+
+ROUTE = "__table"
+
+
+def route_load(
+    spark: SparkSession, rows: DataFrame, request: LoadRequest, load_id: str, transforms: tuple[Transform, ...], full_refresh: bool
+) -> None:
+    """Rows into the tables that the route column names, in one write and with one commit.
+
+    Each table takes its folder of that write. Either all tables have the load or none has, also if it dies between two heads.
+    A replacement empties tables that it has no rows for.
+    """
+    rows, request = prepared(rows, request, transforms)
+    if request.masks:
+        rows = masking.mask_table(rows, request.masks)
+    if ROUTE in rows.columns:
+        raise LoadError(f"the data has a column {ROUTE} of its own")
+    missing = F.raise_error(F.lit(f"a row has no table in the column {request.route}")).cast("string")
+    route = F.coalesce(F.col(quoted(request.route)).cast("string"), missing)
+    rows = maintenance.stamp_lineage(rows, load_id, key=request.primary_key)
+    # Folders are named by digest, as a table's name may hold what a folder's cannot.
+    rows = rows.withColumn(ROUTE, F.substring(F.sha2(route, 256), 1, 32))
+    group = TableGroup(spark, request.target)
+    writer = SnapshotTable(spark, request.target)
+    top = writer.write_files(rows, f"batch-{load_id}", [ROUTE])
+    schema = rows.drop(ROUTE).schema
+    written = spark.read.schema(rows.schema).option("basePath", f"{writer.path}/{top}").parquet(f"{writer.path}/{top}")
+    # One row a table.
+    found = {r[0]: (r[1], r[2]) for r in written.groupBy(F.col(quoted(request.route)).cast("string")).agg(F.first(ROUTE), F.count(F.lit(1))).collect()}
+    whole = full_refresh or request.full_refresh or request.strategy == "replace"
+    names = sorted(found.keys() | set(group.names()) if whole else found)
+    tables = group.begin(names)
+    for name, table in zip(names, tables):
+        folder, n = found.get(name, (None, 0))
+        dirs = [f"{top}/{ROUTE}={folder}"] if folder else []
+        table.loaded_next = n
+        if whole or not table.exists():
+            table.commit(load_id, dirs, schema)
+        else:
+            batch = spark.read.schema(schema).parquet(*[f"{table.path}/{d}" for d in dirs])
+            append_batch(table, batch, dirs[0], load_id, None)
+    group.commit(tables)
+
+
+def document_load(
+    spark: SparkSession, rows: DataFrame, request: LoadRequest, load_id: str, transforms: tuple[Transform, ...], full_refresh: bool
+) -> None:
+    """Documents into the collection at the target, replaced as a whole or upserted by ``_id``."""
+    rows, request = prepared(rows, request, transforms)
+    if request.masks:
+        rows = masking.mask_table(rows, request.masks)
+    if request.limit is not None:
+        rows = cursors.lowest(rows, request.limit, None, request.primary_key)
+    replace = request.strategy == "replace" or full_refresh or request.full_refresh
+    DocumentStore(spark, request.target).write(shape_documents(rows, request.primary_key), load_id, replace)
+
+
 def typed_rows(source: DataFrame, request: LoadRequest) -> tuple[DataFrame, LoadRequest]:
     """Columns under their final names and types, and the request naming them so."""
     rows = normalize.exclude_columns(source, request.exclude) if request.exclude else source
@@ -85,6 +193,7 @@ def typed_rows(source: DataFrame, request: LoadRequest) -> tuple[DataFrame, Load
         request,
         incremental_key=final.get(request.incremental_key, request.incremental_key),
         primary_key=[final.get(k, k) for k in request.primary_key],
+        route=final.get(request.route, request.route),
         merge_key=[final.get(k, k) for k in request.merge_key],
         cluster_by=[final.get(k, k) for k in request.cluster_by],
         partition_by=final.get(request.partition_by, request.partition_by),

@@ -42,6 +42,8 @@ class LoadRequest:
     sink_kind: str = "table"
     # Set where the source brings its own way of writing (a queue merges on the message id).
     source_strategy: str | None = None
+    # One stream into many tables: the column ``route`` names the table of each row.
     multiple_tables: bool = False
+    route: str | None = None
     files_have_times: bool = True
     durable_state: bool = True

@@ -57,8 +57,21 @@ def check(request: LoadRequest, now: dt.datetime | None = None) -> None:
     refuse(r.incremental_key in masked, "the incremental key cannot be masked")
     lost = [k for k in r.primary_key if masked.get(k) in PER_RUN]
     refuse(lost, f"the mask of the key {', '.join(lost)} changes per run")
+    # V07
+    refuse(r.multiple_tables and r.sink_kind == "documents", "a document collection holds one table")
+    refuse(r.multiple_tables and not r.route, "rows of several tables need a column that names the table (route)")
+    refuse(r.route and not r.multiple_tables, "a route makes several tables; say so with multiple_tables")
+    if r.multiple_tables:
+        refuse(r.strategy not in (None, "replace", "append"), f"{r.strategy} works on one table; routed rows are appended or replaced")
+        single = [n for n in ("incremental_key", "limit", "partition_by", "cluster_by", "buckets", "file_incremental") if getattr(r, n)]
+        refuse(single, f"{', '.join(single)} belongs to a load of one table")
+        refuse(r.route in {m.split(":")[0] for m in r.masks}, "the route cannot be masked")
     # V08
     refuse(r.format is not None and r.format not in FORMATS, f"unknown format {r.format!r}")
+    refuse(
+        r.format not in (None, "parquet"),
+        f"a table is stored as Parquet; for {r.format} write it out with sinks.files.export",
+    )
     # V09
     refuse(
         r.source_kind == "queue" and (r.incremental_key or r.primary_key),
@@ -71,7 +84,10 @@ def check(request: LoadRequest, now: dt.datetime | None = None) -> None:
         r.sink_kind == "documents" and r.strategy == "merge" and not r.primary_key,
         "a document upsert needs a primary key",
     )
-    refuse(r.sink_kind == "documents" and r.strategy == "append", "document sinks take replace or merge")
+    refuse(r.sink_kind == "documents" and r.strategy not in (None, "replace", "merge"), "document sinks take replace or merge")
+    if r.sink_kind == "documents":
+        kept = [n for n in ("incremental_key", "partition_by", "cluster_by", "buckets", "file_incremental") if getattr(r, n)]
+        refuse(kept, f"a document collection has no place for {', '.join(kept)}")
     refuse(r.strategy == "merge" and r.sink_kind == "table" and not r.primary_key, "merge needs a primary key")
     refuse(r.strategy == "delete+insert" and not r.incremental_key, "delete+insert needs an incremental key")
 

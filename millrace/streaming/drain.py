@@ -32,13 +32,12 @@ def drain_to_files(stream: DataFrame, path: str, checkpoint: str, *partition_by:
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
-def merge_into(table: SnapshotTable, key: str, order_by: str | None = None, on_commit=None) -> Apply:
+def merge_into(table: SnapshotTable, key: str, order_by: str | None = None, on_commit=None, parts: int = 0) -> Apply:
     """Upsert each slice by message id, idempotent by slice number.
 
-    A slice is added as files of its own, whatever the table holds; readers see the latest row of each
-    id. Once the slices added since outweigh the rest, the table is written anew without what
-    they replaced, so that a row is rewritten a few times at most over the life of the table. A slice
-    that was committed before the checkpoint moved is known by its number in the table's
+    A slice is added as files of its own, a few rows or many, and merged level by level (``SnapshotTable.upsert``).
+    Of the messages with one id the highest ``order_by`` counts, in whichever slice it came; without it, the
+    last slice. A slice that was committed before the checkpoint moved is known by its number in the table's
     head and is not applied again.
     """
 
@@ -46,7 +45,7 @@ def merge_into(table: SnapshotTable, key: str, order_by: str | None = None, on_c
         head = table.begin()
         if number > head.get("slice", -1):
             rows = dedup_by_key(slice_, [key], [order_by] if order_by else [])
-            table.upsert(rows, key, number)
+            table.upsert(rows, key, number, order_by, parts)
         if on_commit:
             on_commit(number)
 

@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# How many messages come at once, and how long a drain waits for more.
+from ..operators.cursors import lowest
+
+# A fixed value: how many messages come at once.
 BATCH_SIZE = 500
-IDLE_TIMEOUT_MS = 2_000
 
 
 def queue_envelope(messages: DataFrame, schema: str | None = None, text: bool = False) -> DataFrame:
@@ -35,7 +36,8 @@ def queue_envelope(messages: DataFrame, schema: str | None = None, text: bool =
 def bounded_slice(messages: DataFrame, order_by: str = "id", max_messages: int | None = None, after=None) -> DataFrame:
     """The messages beyond the position ``after``; the first ``max_messages`` of them if that is given.
 
-    The next slice begins after the last message of this one, so that slices reach every message.
+    The next slice begins after the last message of this one, so that slices reach every message. The end of a slice is
+    found by counts (``cursors.lowest``), so a slice may be large.
     """
     rest = messages if after is None else messages.filter(F.col(order_by) > F.lit(after))
-    return rest if max_messages is None else rest.orderBy(order_by).limit(max_messages)
+    return rest if max_messages is None else lowest(rest, max_messages, order_by)

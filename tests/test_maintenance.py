@@ -482,3 +482,178 @@ def test_newer_rows_come_in_and_older_ones_do_not(spark, rows, strategy):
     table = SnapshotTable(spark, path)
     assert table.read().count() == 2000
     assert dict(rows(table.load_counts())) == {"one": 1000, "two": 1000}
+
+
+# ---- files, groups of tables, the log
+
+
+def csv_file(folder, name, at, *ids):
+    import os
+
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("id\n" + "".join(f"{i}\n" for i in ids))
+    os.utime(folder / name, (at, at))
+
+
+def file_load(spark, scan_root, target, pattern="*.csv", namespace="", **options):
+    from millrace.sources.filescan import FileScan
+
+    def read(found):
+        return spark.read.schema("id int").option("header", True).csv(found)
+
+    scan = FileScan(spark=spark, root=str(scan_root), read=read, pattern=pattern, namespace=namespace)
+    request = LoadRequest(source="files", target=target, source_kind="files", file_incremental=True)
+    run_load(scan, request, **options)
+    return scan
+
+
+def test_files_are_loaded_once(spark, rows, tmp_path):
+    target = scratch_path(spark, "files")
+    csv_file(tmp_path / "in", "a.csv", 1_700_000_000, 1, 2)
+    for _ in range(2):
+        file_load(spark, tmp_path / "in", target)
+        assert rows(SnapshotTable(spark, target).read(), "id") == [(1,), (2,)]
+    # A file of the same time, one older, and one changed since.
+    csv_file(tmp_path / "in", "b.csv", 1_700_000_000, 3)
+    csv_file(tmp_path / "in", "old.csv", 1_600_000_000, 4)
+    file_load(spark, tmp_path / "in", target)
+    assert rows(SnapshotTable(spark, target).read(), "id") == [(1,), (2,), (3,)]
+    csv_file(tmp_path / "in", "a.csv", 1_700_000_500, 5)
+    file_load(spark, tmp_path / "in", target)
+    assert rows(SnapshotTable(spark, target).read(), "id") == [(1,), (2,), (3,), (5,)]
+    log = SnapshotTable(spark, target).loads().orderBy("version")
+    assert [r.rows for r in log.collect()] == [2, 0, 1, 1]
+    # A refresh reads everything, older files too.
+    file_load(spark, tmp_path / "in", target, full_refresh=True)
+    assert rows(SnapshotTable(spark, target).read(), "id") == [(3,), (4,), (5,)]
+    file_load(spark, tmp_path / "in", target)
+    assert SnapshotTable(spark, target).read().count() == 3
+
+
+def test_globs_and_stores_have_positions_of_their_own(spark, rows, tmp_path):
+    target = scratch_path(spark, "globs")
+    csv_file(tmp_path / "new", "n.csv", 1_700_000_100, 1)
+    csv_file(tmp_path / "old", "o.csv", 1_700_000_000, 2)
+    file_load(spark, tmp_path / "new", target)
+    file_load(spark, tmp_path / "old", target)
+    assert rows(SnapshotTable(spark, target).read(), "id") == [(1,), (2,)]
+    file_load(spark, tmp_path / "old", target, namespace="another")
+    assert rows(SnapshotTable(spark, target).read(), "id") == [(1,), (2,), (2,)]
+
+
+def test_a_load_that_dies_has_read_no_file(spark, tmp_path):
+    target = scratch_path(spark, "dying")
+    csv_file(tmp_path / "in", "a.csv", 1_700_000_000, 1)
+    file_load(spark, tmp_path / "in", target)
+    csv_file(tmp_path / "in", "b.csv", 1_700_000_100, 2)
+    with pytest.raises(Exception, match="died"):
+        file_load(spark, tmp_path / "in", target, transforms=(lambda df: df.withColumn("id", F.raise_error(F.lit("died")).cast("int")),))
+    file_load(spark, tmp_path / "in", target)
+    assert SnapshotTable(spark, target).read().count() == 2
+
+
+def test_many_file_loads_fold_their_lists(spark, tmp_path):
+    from millrace.sinks.tables import FOLD
+
+    target = scratch_path(spark, "many")
+    for i in range(FOLD + 3):
+        csv_file(tmp_path / "in", f"{i}.csv", 1_700_000_000 + i // 2, i)
+        file_load(spark, tmp_path / "in", target)
+    table = SnapshotTable(spark, target)
+    assert table.read().count() == FOLD + 3 and len(table.head()["files"]) <= 4
+
+
+def test_rows_are_no_files(spark):
+    request = LoadRequest(source="t", target=scratch_path(spark, "x"), source_kind="files", file_incremental=True)
+    with pytest.raises(ValueError, match="FileScan"):
+        run_load(spark.range(3), request)
+
+
+ROUTED = dict(source="t", strategy="append", multiple_tables=True, route="kind")
+
+
+def routed(spark, path):
+    from millrace.sinks.tables import TableGroup
+
+    group = TableGroup(spark, path)
+    return {n: sorted(r.id for r in group.table(n).read().select("id").collect()) for n in group.names()}
+
+
+def test_one_load_into_many_tables(spark):
+    path = scratch_path(spark, "routes")
+    data = spark.range(8).selectExpr("id", "CASE WHEN id < 3 THEN 'a/b c%' WHEN id < 6 THEN '' || '1e5' ELSE 'ä' END AS kind")
+    run_load(data, LoadRequest(target=path, **ROUTED), "one")
+    assert routed(spark, path) == {"a/b c%": [0, 1, 2], "1e5": [3, 4, 5], "ä": [6, 7]}
+    more = spark.range(8, 10).selectExpr("id", "'ä' AS kind", "id AS extra")
+    run_load(more, LoadRequest(target=path, **ROUTED), "two")
+    assert routed(spark, path)["ä"] == [6, 7, 8, 9]
+    replaced = LoadRequest(target=path, **{**ROUTED, "strategy": "replace"})
+    run_load(more, replaced, "three")
+    assert routed(spark, path) == {"ä": [8, 9]}
+    with pytest.raises(Exception, match="no table"):
+        run_load(data.withColumn("kind", F.nullif("kind", F.lit("ä"))), LoadRequest(target=path, **ROUTED), "four")
+    assert routed(spark, path) == {"ä": [8, 9]}
+
+
+def test_tables_commit_together_or_not_at_all(spark):
+    from millrace.sinks.tables import ConcurrentLoadError, TableGroup
+
+    path = scratch_path(spark, "together")
+    data = spark.range(4).selectExpr("id", "concat('t', id % 2) AS kind")
+    run_load(data, LoadRequest(target=path, **ROUTED), "one")
+    group = TableGroup(spark, path)
+    # A load that dies between two heads, and one that goes on after another has ruled it out.
+    dead = group.begin(["t0", "t1"])
+    dead[0].append(dead[0].read(), "dead")
+    assert routed(spark, path) == {"t0": [0, 2], "t1": [1, 3]}
+    slow = group.begin(["t0", "t1"])
+    for table in slow:
+        table.append(table.read(), "slow")
+    run_load(spark.range(4, 6).selectExpr("id", "'t0' AS kind"), LoadRequest(target=path, **ROUTED), "two")
+    with pytest.raises(ConcurrentLoadError):
+        group.commit(slow)
+    assert routed(spark, path) == {"t0": [0, 2, 4, 5], "t1": [1, 3]}
+    assert [r.load_id for r in group.table("t0").loads().orderBy("version").collect()] == ["one", "two"]
+    group.expire(hours=-1)
+    assert routed(spark, path) == {"t0": [0, 2, 4, 5], "t1": [1, 3]}
+
+
+def test_the_log_outlives_its_heads_and_heads_do_not_grow(spark):
+    from pathlib import Path
+
+    from millrace.sinks import tables
+
+    table = SnapshotTable(spark, scratch_path(spark, "log"))
+    sizes = []
+    for i in range(45):
+        table.append(spark.range(i % 3).selectExpr("id", "id AS part"), f"load-{i}")
+        head = max(Path(table.path.removeprefix("file:")).glob("_heads/*.json"))
+        sizes.append(head.stat().st_size)
+    table.expire(hours=-1)
+    assert len(table.versions()) == tables.KEPT_HEADS
+    log = table.loads().orderBy("version").collect()
+    assert [(r.version, r.load_id, r.rows) for r in log] == [(i + 1, f"load-{i}", i % 3) for i in range(45)]
+    assert max(sizes[tables.FOLD :]) - min(sizes[tables.FOLD :]) < 60 * tables.FOLD
+    assert table.read().count() == sum(i % 3 for i in range(45))
+    wide = SnapshotTable(spark, scratch_path(spark, "wide"))
+    wide.replace(spark.range(300).selectExpr("id", "id AS part"), "x", ["part"])
+    one = max(Path(wide.path.removeprefix("file:")).glob("_heads/*.json")).stat().st_size
+    wide.replace_partitions(spark.range(2).selectExpr("id", "id AS part"), "y")
+    two = max(Path(wide.path.removeprefix("file:")).glob("_heads/*.json")).stat().st_size
+    assert two < one + 200 and wide.read().count() == 300
+
+
+@pytest.mark.parametrize("few", [10_000, 5])
+def test_the_first_rows_by_counts(spark, monkeypatch, few):
+    from millrace.operators import cursors
+
+    monkeypatch.setattr(cursors, "FEW", few)
+    values = [(i, None if i % 11 == 0 else (7 if i % 3 else i % 29), f"s{i % 5}" if i % 7 else None) for i in range(300)]
+    frame = spark.createDataFrame(values, "id int, at int, s string").repartition(5)
+    ranked = sorted(values, key=lambda r: ((r[1] is not None, r[1] or 0), (r[2] is not None, r[2] or ""), r[0]))
+    for n in (0, 1, 27, 28, 150, 299, 300, 1000):
+        found = cursors.lowest(frame, n, "at", ["s", "id"])
+        assert sorted(r.id for r in found.collect()) == sorted(r[0] for r in ranked[:n])
+        assert "TakeOrdered" not in found._jdf.queryExecution().executedPlan().toString()
+    # Equal rows: as many of them as belong.
+    assert cursors.lowest(frame.select("at"), 200, "at").count() == 200

@@ -2,13 +2,16 @@
 
 import datetime as dt
 import os
+import sys
 
 import pytest
+from pyspark import cloudpickle
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.operators import cursors as C
 from millrace.operators import maintenance as M
+from millrace.session import scratch_path
 from millrace.sinks import documents as doc_sink
 from millrace.sinks import files as sink
 from millrace.sinks import jdbc as jdbc_sink
@@ -211,17 +214,91 @@ def test_document_keys(spark):
         doc_sink.shape_documents(frame, ["id"]).collect()
 
 
-def test_documents_go_out_in_batches(spark, tmp_path):
-    target = str(tmp_path)
+# Tasks cannot import this module.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
+class Folder:
+    """A database of files: what is staged, and collections of which the highest number counts."""
+
+    def __init__(self, path, poison=None):
+        self.path, self.poison = path, poison
 
-    def send(batch):
+    def _put(self, folder, documents):
+        import json
+        import os
         import uuid
 
-        with open(f"{target}/{uuid.uuid4()}", "w") as file:
-            file.write(str(len(batch)))
+        if any(d["_id"] == self.poison for d in documents):
+            raise ConnectionError("refused")
+        os.makedirs(f"{self.path}/{folder}", exist_ok=True)
+        with open(f"{self.path}/{folder}/{uuid.uuid4()}", "w") as file:
+            file.write(json.dumps(documents))
+
+    def stage(self, run, documents):
+        self._put(f"staged-{run}", documents)
+
+    def upsert(self, documents):
+        self._put("live", documents)
+
+    def swap(self, run):
+        import os
 
-    doc_sink.write_documents(spark.range(25).coalesce(1), send, batch_size=10)
-    assert sorted(int(f.read_text()) for f in tmp_path.iterdir()) == [5, 10, 10]
+        if os.path.exists(f"{self.path}/live"):
+            os.rename(f"{self.path}/live", f"{self.path}/old-{run}")
+        os.rename(f"{self.path}/staged-{run}", f"{self.path}/live")
+
+    def discard(self, run):
+        import shutil
+
+        shutil.rmtree(f"{self.path}/staged-{run}", ignore_errors=True)
+
+    def batches(self, folder="live"):
+        import json
+        from pathlib import Path
+
+        return [json.loads(f.read_text()) for f in Path(f"{self.path}/{folder}").iterdir()]
+
+
+def test_documents_go_out_in_batches(spark, tmp_path):
+    client = Folder(str(tmp_path))
+    frame = spark.range(25).selectExpr("CAST(id AS STRING) AS _id", "named_struct('n', id, 'none', CAST(null AS INT)) AS v")
+    doc_sink.write_documents(frame.coalesce(1), client, batch_size=10)
+    assert sorted(map(len, client.batches())) == [5, 10, 10]
+    assert {"_id": "7", "v": {"n": 7, "none": None}} in [d for b in client.batches() for d in b]
+
+
+def test_a_collection_is_replaced_once_or_not_at_all(spark, tmp_path):
+    path = str(tmp_path)
+    frame = spark.range(0, 20, 1, 4).selectExpr("CAST(id AS STRING) AS _id")
+    doc_sink.write_documents(frame, Folder(path), replace=True)
+    assert sum(map(len, Folder(path).batches())) == 20
+    with pytest.raises(Exception, match="refused"):
+        doc_sink.write_documents(frame.filter("_id <> '3'"), Folder(path, poison="13"), replace=True)
+    assert sum(map(len, Folder(path).batches())) == 20
+    assert not [p.name for p in tmp_path.iterdir() if p.name.startswith("staged")]
+    doc_sink.write_documents(frame.filter("_id < '2'"), Folder(path), replace=True)
+    assert {d["_id"] for b in Folder(path).batches() for d in b} == {"0", "1", *(f"1{i}" for i in range(10))}
+
+
+def test_a_collection_of_documents(spark):
+    store = doc_sink.DocumentStore(spark, scratch_path(spark, "collection"))
+
+    def put(rows, **options):
+        store.write(spark.createDataFrame(rows, "_id string, v int"), "x", **options)
+
+    put([("a", 1), ("b", 1), ("b", 1)], replace=True, parts=2)
+    put([("b", 2), ("c", 2)])
+    put([("b", 2), ("c", 2)])
+    assert sorted(map(tuple, store.read("_id string, v int").collect())) == [("a", 1), ("b", 2), ("c", 2)]
+    store.write(spark.createDataFrame([("b", "text", 1.5)], "_id string, v string, w double"), "x")
+    assert store.read().filter("_id = 'b'").first().document == '{"_id":"b","v":"text","w":1.5}'
+    broken = spark.createDataFrame([("z", 1)], "_id string, v int").withColumn("v", F.raise_error(F.lit("died")).cast("int"))
+    with pytest.raises(Exception, match="died"):
+        store.write(broken, "x", replace=True)
+    assert store.read().count() == 3
+    put([("q", 1)], replace=True)
+    assert [tuple(r) for r in store.read("_id string, v int").collect()] == [("q", 1)]
 
 
 def test_export(spark, tmp_path):
