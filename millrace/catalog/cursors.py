@@ -10,8 +10,12 @@ from ..operators import cursors as C
 from ..operators import maintenance as M
 from ..operators import normalize as N
 from ..operators import ranges as R
+from ..plans.load import run_load
+from ..plans.request import LoadRequest
 from ..session import scratch_path
+from ..sinks.tables import SnapshotTable
 from ..sources import listing
+from ..sources.filescan import FileScan
 from .common import register, table
 
 MID = dt.datetime(2024, 1, 15)
@@ -345,3 +349,31 @@ def cursor_fallback(spark, sf):
         "CASE WHEN quality = 0 THEN '2023-01-01' END AS inserted",
     )
     return C.cursor_fallback(raw, "updated", ["inserted"]).select("doc_id", "updated")
+
+
+@register("I09_load_twice", "SELECT * FROM events")
+def load_files_twice(spark, sf):
+    """Folders of files loaded again and again, each with a position of its own, and files that come later."""
+    events = table(spark, sf, "events")
+    root, target = scratch_path(spark, "landing"), scratch_path(spark, "landed")
+    request = LoadRequest(source="events", target=target, source_kind="files", file_incremental=True)
+
+    def arrive(folder, rows):
+        rows.write.mode("append").parquet(f"{root}/{folder}")
+
+    def load(folder):
+        scan = FileScan(
+            spark=spark, root=f"{root}/{folder}", pattern="*.parquet",
+            read=lambda found: spark.read.schema(events.schema).parquet(*found),
+        )
+        run_load(scan, request)
+
+    day = F.dayofmonth("ts")
+    arrive("early", events.filter(day < 10).repartitionByRange(3, "event_id"))
+    arrive("late", events.filter(day > 20).repartitionByRange(2, "event_id"))
+    for folder in ("early", "early", "late", "early", "late"):
+        load(folder)
+    arrive("early", events.filter((day >= 10) & (day <= 20)))
+    load("early")
+    load("early")
+    return SnapshotTable(spark, target).data()
