@@ -7,7 +7,7 @@ grows (half of all at 190 million keys) and the joins behind it carry more rows,
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,14 +24,17 @@ def slots(keys: np.ndarray, bits: int) -> np.ndarray:
     return mix(keys.view(np.uint64)) >> np.uint64(64 - bits)
 
 
-def bitmap(keys: DataFrame, count: int | None = None) -> bytes:
-    """A bit set for each key in the one column of ``keys``, a staged table; ``count``: how many they are."""
-    name = keys.columns[0]
+def bitmap(keys: DataFrame, count: int | None = None, key: Callable[[pa.RecordBatch], np.ndarray] | None = None) -> bytes:
+    """A bit set for each key of ``keys``, a staged table: its one column, or what ``key`` makes of its columns.
+
+    ``count``: how many they are, if it is known.
+    """
+    key = key or (lambda batch: batch.column(0).to_numpy())
     count = keys.count() if count is None else count
     size = min(max(int(8 * count).bit_length(), LEAST_BITS), MOST_BITS)
 
     def place(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = np.unique(slots(batch.column(name).to_numpy(), size))
+        found = np.unique(slots(key(batch), size))
         return pa.RecordBatch.from_arrays([pa.array(found.view(np.int64))], ["slot"])
 
     words = (

@@ -11,8 +11,9 @@ connected component of links.
 * Documents with equal weights are one node; copies never meet as pairs.
 * 24 bands of four registers: a pair of similarity 0.8 shares no band with a probability of 3e-6.
 * Within a bucket each node is compared with six centres. Where a bucket then still holds several
-  components, every node outside its main component meets all nodes of other components, so that no link
-  between components is missed.
+  components, the nodes outside its main component are held against all nodes of other components, in blocks: first each
+  names the one it differs least from, round after round while that finds links; then all pairs left are compared, so that
+  no link between components is missed.
 * Pairs that cannot be similar enough are left out there by two bounds, not guesses: one of the two has too many
   shingles found nowhere else, or the parities of their shingles, counted in 1,024 classes, differ in more classes than
   the difference of two similar documents has shingles. They keep families of loosely similar documents from
@@ -48,6 +49,8 @@ REGISTERS = BANDS * ROWS
 LEAST_AGREEMENT = 0.55
 # Classes of shingles whose parities tell documents apart, in words of 64 bits.
 MARKS = 16
+# Nodes of a bucket that are compared in one task.
+BLOCK = 4096
 # Centres of a bucket that each of its nodes is compared with first.
 CENTRES = 6
 # Shingle ids within a batch: the text's number above 52 bits of hash.
@@ -224,12 +227,60 @@ ROOM = f"""
     ELSE m.alone <= {1 - THRESHOLD} * m.size + 1e-6 AND c.alone <= {1 - THRESHOLD} * c.size + 1e-6 END"""
 
 
-# Elements in which two sets differ: of sets, a ninth of both; of weights, what a total variation of a fifth
-# between their shares and the difference in size allow.
-APART = f"""
-    {" + ".join(f"bit_count(m.marks[{i}] ^ c.marks[{i}])" for i in range(MARKS))} <= CASE WHEN m.plain AND c.plain
-    THEN {1 - THRESHOLD} / (1 + {THRESHOLD}) * (m.size + c.size)
-    ELSE {2 * (1 - THRESHOLD)} * least(m.size, c.size) + abs(m.size - c.size) END + 1e-6"""
+def may_be_similar(left: dict[str, np.ndarray], right: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Which pairs (left by right) both bounds allow, and in how many classes of ``parities`` each pair differs.
+
+    Two similar sets differ in a ninth of both at most; two similar weights in what a total variation of a fifth between
+    their shares and their difference in size allow.
+    """
+    apart = np.zeros((len(left["size"]), len(right["size"])), dtype=np.int16)
+    for i in range(MARKS):
+        apart += np.bitwise_count(left["marks"][:, i, None] ^ right["marks"][None, :, i])
+    a, b = left["size"][:, None].astype(float), right["size"][None, :].astype(float)
+    alone_a, alone_b = left["alone"][:, None], right["alone"][None, :]
+    plain = left["plain"][:, None] & right["plain"][None, :]
+    most = np.where(plain, (1 - THRESHOLD) / (1 + THRESHOLD) * (a + b), 2 * (1 - THRESHOLD) * np.minimum(a, b) + np.abs(a - b))
+    room = np.where(
+        plain,
+        np.minimum(a - alone_a, b - alone_b) >= THRESHOLD / (1 + THRESHOLD) * (a + b) - 1e-6,
+        (alone_a <= (1 - THRESHOLD) * a + 1e-6) & (alone_b <= (1 - THRESHOLD) * b + 1e-6),
+    )
+    return room & (apart <= most + 1e-6), apart
+
+
+def _candidates(best: bool):
+    """Pairs of a block of a bucket that lie in different components and may be similar.
+
+    With ``best`` each node outside the main component names one of another component, the one that differs least;
+    else all pairs, each in the first bucket that it shares.
+    """
+
+    def run(table: pa.Table) -> pa.Table:
+        whole = {c: table[c].to_numpy() for c in ("node", "component", "main", "size", "alone", "plain", "left", "bucket")}
+        # Unsigned: of a negative number the bits of its absolute value would be counted.
+        whole["marks"] = table["marks"].combine_chunks().flatten().to_numpy().reshape(-1, MARKS).view(np.uint64)
+        whole["bands"] = table["bands"].combine_chunks().flatten().to_numpy().reshape(-1, BANDS)
+        left, right = ({c: v[whole["left"] == side] for c, v in whole.items()} for side in (True, False))
+        found = []
+        for first in range(0, len(left["node"]), 256):
+            some = {c: v[first : first + 256] for c, v in left.items()}
+            good, apart = may_be_similar(some, right)
+            good &= some["component"][:, None] != right["component"][None, :]
+            if best:
+                share = np.where(good, apart / (some["size"][:, None] + right["size"][None, :]), np.inf)
+                x = np.flatnonzero(good.any(axis=1))
+                y = share[x].argmin(axis=1) if len(x) else x
+            else:
+                good &= (right["component"] == right["main"])[None, :] | (some["node"][:, None] < right["node"][None, :])
+                x, y = np.nonzero(good)
+                same = some["bands"][x] == right["bands"][y]
+                once = some["bands"][x, same.argmax(axis=1)] == some["bucket"][x]
+                x, y = x[once], y[once]
+            found.append((some["node"][x], right["node"][y]))
+        a, b = (np.concatenate(c) for c in zip(*found)) if found else (np.zeros(0, dtype=np.int64),) * 2
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    return run
 
 
 def _pair():
@@ -309,22 +360,46 @@ class _Search:
         compared = staged(pairs.select(*_pair()).distinct(), "pairs", self.n_members, 24)
         links = self.verify(compared)
         component = staged(connected(links), "component", self.size, 24)
-        mixed, cross = self.mixed(component)
-        if not mixed.count():
-            return component
-        # Each pair once, in the first band it shares, and only if its shingles leave room for the similarity.
-        bands = mixed.join(self.nodes.select("node", "bands"), "node").join(self.marks, "node")
-        bands = staged(bands, "mixed-bands", self.n_members, 400)
-        once = F.element_at("m.bands", F.array_position(F.zip_with("m.bands", "c.bands", lambda x, y: x == y), True).cast("int"))
-        apart = F.expr("m.component <> c.component and (c.component = c.main or m.node < c.node)")
-        condition = (F.col("m.bucket") == F.col("c.bucket")) & apart & F.expr(ROOM) & F.expr(APART) & (once == F.col("m.bucket"))
-        pairs = bands.where("component <> main").alias("m").join(bands.alias("c"), condition)
-        rest = pairs.select(*_pair()).distinct().join(compared, ["a", "b"], "left_anti")
-        found = self.verify(staged(rest, "pairs", cross, 24))
+        while True:
+            blocks = self.blocks(component)
+            if blocks is None:
+                return component
+            # Components that belong together grow together by a link a node; what is then still apart is compared whole.
+            named = self.named(blocks, True, compared)
+            found = self.verify(named)
+            if found.isEmpty():
+                break
+            compared = staged(compared.unionByName(named), "compared")
+            links = staged(links.unionByName(found), "all-links")
+            component = staged(connected(links), "component", self.size, 24)
+        found = self.verify(self.named(blocks, False, compared))
         return component if found.isEmpty() else connected(links.unionByName(found))
 
-    def mixed(self, component: DataFrame) -> tuple[DataFrame, int]:
-        """Members of buckets that hold several components, and how many pairs lie across components."""
+    def named(self, blocks: DataFrame, best: bool, compared: DataFrame) -> DataFrame:
+        """The pairs (a, b) of the blocks that are still to be compared."""
+        pairs = blocks.groupBy("bucket", "i", "j").applyInArrow(_candidates(best), "a long, b long").distinct()
+        return staged(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
+
+    def blocks(self, component: DataFrame) -> DataFrame | None:
+        """Members of buckets that hold several components, in blocks (bucket, i, j): nodes outside the main component on the
+        left, all on the right. A bucket of up to ``BLOCK`` nodes is one block, a larger one as many as its nodes on the left
+        and right need to meet."""
+        mixed = self.mixed(component)
+        if mixed is None:
+            return None
+        rows = mixed.join(self.nodes.select("node", "bands"), "node").join(self.marks, "node")
+        cuts = F.ceil(F.col("n") / BLOCK).cast("int")
+        own = F.pmod(F.xxhash64("node"), cuts).cast("int")
+        rows = rows.withColumns({"own": own, "other": F.sequence(F.lit(0), cuts - 1)})
+        left = rows.where("component <> main").withColumn("other", F.explode("other")).withColumn("left", F.lit(True))
+        right = rows.withColumn("other", F.explode("other")).withColumn("left", F.lit(False))
+        columns = ["bucket", "node", "component", "main", "size", "alone", "plain", "marks", "bands", "left"]
+        left = left.select(F.col("own").alias("i"), F.col("other").alias("j"), *columns)
+        right = right.select(F.col("other").alias("i"), F.col("own").alias("j"), *columns)
+        return staged(left.unionByName(right), "blocks", 2 * self.n_members, 400)
+
+    def mixed(self, component: DataFrame) -> DataFrame | None:
+        """Members of buckets that hold several components, with the largest one and the number of members."""
         members = (
             self.members.alias("m")
             .join(component.alias("c"), F.col("m.node") == F.col("c.node"), "left")
@@ -333,14 +408,10 @@ class _Search:
         members = staged(members, "labelled", self.n_members, 72)
         sizes = members.groupBy("bucket", "component").agg(F.count("*").alias("n"))
         buckets = sizes.groupBy("bucket").agg(
-            F.max_by("component", F.struct("n", "component")).alias("main"),
-            F.count("*").alias("parts"),
-            ((F.sum("n") * F.sum("n") - F.sum(F.col("n") * F.col("n"))) / 2).alias("cross"),
+            F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("n")
         )
-        buckets = staged(buckets.where("parts > 1"), "mixed", self.n_members)
-        cross = buckets.agg(F.sum("cross")).first()[0] or 0
-        found = members.join(buckets.select("bucket", "main"), "bucket")
-        return staged(found, "mixed-members", self.n_members, 80), int(cross)
+        buckets = staged(buckets.where("parts > 1").select("bucket", "main", "n"), "mixed", self.n_members)
+        return None if buckets.isEmpty() else members.join(buckets, "bucket")
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:

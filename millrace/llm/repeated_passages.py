@@ -172,10 +172,7 @@ def repeated_words(keyed: DataFrame) -> DataFrame:
     met = staged(met.where("all > 1").select("g", (F.col("kinds") > MOST_KINDS).alias("many")), "met")
     asked = staged(kinds.join(met, "g"), "asked")
 
-    def place(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(place_key(*(batch.column(c).to_numpy() for c in ("k", "low"))))], ["p"])
-
-    places = bitmap(asked.select("k", "low").mapInArrow(per_batch(place), "p long"), asked.count())
+    places = bitmap(asked.select("k", "low"), key=lambda batch: place_key(batch.column(0).to_numpy(), batch.column(1).to_numpy()))
     words = keyed.mapInArrow(by_slice(_texts(places), WHITE), "k long, low long, words binary")
     words = staged(asked.join(words, ["k", "low"]).select("g", "s", "n", "many", "words"), "texts")
     few = words.where("not many").select("g", "s", "n", "words")
