@@ -378,6 +378,27 @@ def shred_nested(spark, sf):
     return child.join(parent, "_parent_id")
 
 
+@register(
+    "W19_nested_merge",
+    """WITH d AS (SELECT doc_id, lang, string_split(text, chr(10)) AS lines FROM documents WHERE doc_id IS NOT NULL)
+SELECT doc_id, CASE WHEN lang = 'en' THEN 'new' ELSE 'old' END AS edition, unnest(range(len(kept))) AS list_idx, unnest(kept) AS line
+FROM (SELECT doc_id, lang, CASE WHEN lang = 'en' THEN lines[1:1] ELSE lines END AS kept FROM d)""",
+)
+def nested_merge(spark, sf):
+    """Documents with their lines as a child table; those of one language come again with their first line only."""
+    docs = table(spark, sf, "documents").selectExpr("doc_id", "lang", "'old' AS edition", "split(text, '\\n') AS lines")
+    path = scratch_path(spark, "records")
+    request = LoadRequest(source="documents", target=path, strategy="merge", primary_key=["doc_id"], nesting=1)
+    docs = docs.filter("doc_id IS NOT NULL")
+    run_load(docs, request, "first")
+    again = docs.filter("lang = 'en'").withColumns({"lines": F.slice("lines", 1, 1), "edition": F.lit("new")})
+    run_load(again, request, "second")
+    group = TableGroup(spark, path)
+    roots = group.table("documents").read().select(F.col("_row_id").alias("_root_id"), "doc_id", "edition")
+    lines = group.table("documents__lines").read().select("_root_id", F.col("_list_idx").cast("long").alias("list_idx"), F.col("value").alias("line"))
+    return lines.join(roots, "_root_id").drop("_root_id")
+
+
 @register(
     "W19_shred_two_levels",
     """WITH d AS (SELECT doc_id, lang, string_split(text, chr(10)) AS lines FROM documents),

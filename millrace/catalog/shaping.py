@@ -70,7 +70,8 @@ BAG = """array(named_struct('label', 'Full Name', 'value', c_name, 'type', 'text
 
 @register(
     "R04_pivot_label_bag",
-    """SELECT c_custkey, c_name AS full_name, c_mktsegment AS segment, CAST(c_nationkey AS VARCHAR) AS home_nation FROM customer""",
+    """SELECT c_custkey, c_name AS full_name, c_mktsegment AS segment, CAST(c_nationkey AS VARCHAR) AS home_nation,
+  CAST(NULL AS VARCHAR) AS __other FROM customer""",
 )
 def pivot_label_bag(spark, sf):
     bags = table(spark, sf, "customer").selectExpr("c_custkey", f"{BAG} AS attributes")
@@ -78,6 +79,22 @@ def pivot_label_bag(spark, sf):
     return S.pivot_label_bag(bags, "attributes", {k: S.label_name(None, k) for k in labels})
 
 
+@register(
+    "R04_open_label_bag",
+    """SELECT c_custkey, 'first' AS run, c_name AS full_name, CAST(NULL AS VARCHAR) AS segment, CAST(NULL AS VARCHAR) AS home_nation,
+  '[{"label":"Segment","value":"' || c_mktsegment || '","type":"text"},{"label":"Home Nation","value":"' || c_nationkey || '","type":"text"}]' AS __other
+FROM customer
+UNION ALL SELECT c_custkey, 'second', c_name, c_mktsegment, CAST(c_nationkey AS VARCHAR), NULL FROM customer""",
+)
+def open_label_bag(spark, sf):
+    """A first run that knows one label keeps the others whole; the second has columns for all it found."""
+    bags = table(spark, sf, "customer").selectExpr("c_custkey", f"{BAG} AS attributes")
+    known = spark.createDataFrame([("label", "Full Name", "full_name")], "field string, code string, label string")
+    first = S.pivot_label_bag(bags, "attributes", S.names_of(known)).withColumn("run", F.lit("first"))
+    second = S.pivot_label_bag(bags, "attributes", S.names_of(S.found_labels(bags, "attributes", known)))
+    return first.unionByName(second.withColumn("run", F.lit("second")), allowMissingColumns=True)
+
+
 @register(
     "R05_map_codes",
     """SELECT o_orderkey, CASE o_orderstatus WHEN 'O' THEN 'open' WHEN 'F' THEN 'filled' ELSE o_orderstatus END AS kept,
@@ -474,7 +491,8 @@ def partition_date(spark, sf):
 
 @register(
     "R32_lift_properties",
-    """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, user_id AS distinct_id, event_type AS city FROM events""",
+    """SELECT event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k, user_id AS distinct_id, event_type AS city,
+  '{"city":"plain"}' AS __other FROM events""",
 )
 def lift_properties(spark, sf):
     """Properties with and without a dollar sign; the one with it wins."""
@@ -484,6 +502,19 @@ def lift_properties(spark, sf):
     return S.lift_properties(raw, "properties", {"k": "bigint", "distinct_id": "bigint", "city": "string"})
 
 
+@register(
+    "R32_open_properties",
+    """SELECT event_id, CASE event_type WHEN 'view' THEN NULL ELSE CAST(json_extract_string(props, '$.k') AS BIGINT) END AS k,
+  event_type AS city, CASE event_type WHEN 'view' THEN '{"k":"many"}' END AS __other FROM events""",
+)
+def open_properties(spark, sf):
+    """Properties found in the data; of one, some values are not of its type."""
+    props = """to_json(map('k', IF(event_type = 'view', 'many', get_json_object(props, '$.k')), '$city', event_type))"""
+    raw = table(spark, sf, "events").selectExpr("event_id", f"{props} AS properties")
+    names = S.names_of(S.found_properties(raw, "properties"), "property")
+    return S.lift_properties(raw, "properties", {n: "bigint" if n == "k" else "string" for n in names})
+
+
 @register(
     "R33_map_values_to_rows",
     """SELECT event_id AS id, ts AS at, value FROM events

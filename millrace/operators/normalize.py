@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.hashing import quoted
 from .maintenance import stamp_lineage
+from ..session import stage
 from .widening import wider
 
 # Type names of column hints.
@@ -96,8 +97,8 @@ def normalize_names(df: DataFrame, naming: str = "snake_case") -> DataFrame:
     return df.toDF(*names)
 
 
-def is_object_list(kind: T.DataType) -> bool:
-    return isinstance(kind, T.ArrayType) and isinstance(kind.elementType, T.StructType)
+def is_list(kind: T.DataType) -> bool:
+    return isinstance(kind, T.ArrayType)
 
 
 def flatten_structs(df: DataFrame, separator: str = "__") -> DataFrame:
@@ -122,24 +123,35 @@ def flatten_structs(df: DataFrame, separator: str = "__") -> DataFrame:
 def shred_nested(
     df: DataFrame, name: str, key: Sequence[str] = (), levels: int = 1, load_id: str = "load"
 ) -> dict[str, DataFrame]:
-    """Lists of objects become child tables ``<name>__<column>``, down to ``levels``.
+    """Lists become child tables ``<name>__<column>``, down to ``levels``; a list of plain values has the column ``value``.
 
-    A child row holds ``_parent_id`` and ``_list_idx``. Ids come from the parent's content or
-    key, so the branches agree without being run together. Lists left at the last level are
-    kept as JSON. Every level is a projection; no shuffle.
+    A child row holds ``_parent_id``, ``_list_idx`` and, for the maintenance of whole records, ``_root_id``. Ids come from the
+    key. Without one, the place of a row tells equal rows apart, and rows are staged with their ids, so that
+    all tables agree on them. Lists left at the last level are kept as JSON. Every level is a projection; no shuffle.
     """
-    rows = flatten_structs(df if "_row_id" in df.columns else stamp_lineage(df, load_id, key=key).drop("_load_id"))
-    lists = [f.name for f in rows.schema.fields if is_object_list(f.dataType)]
+    if "_row_id" not in df.columns:
+        df = stamp_lineage(df, load_id, key=key, unique=not key).drop("_load_id")
+        df = df if key else stage(df, "with-ids")
+    return _shredded(df, name, levels, root=True)
+
+
+def _shredded(df: DataFrame, name: str, levels: int, root: bool) -> dict[str, DataFrame]:
+    rows = flatten_structs(df)
+    lists = [f.name for f in rows.schema.fields if is_list(f.dataType)]
     if levels == 0 or not lists:
         return {name: keep_as_json(rows, lists)}
     tables = {name: rows.drop(*lists)}
     for column in lists:
         child = rows.select(
-            F.col("_row_id").alias("_parent_id"), F.posexplode(F.col(quoted(column))).alias("_list_idx", "__item")
+            F.col("_row_id").alias("_parent_id"),
+            F.col("_row_id" if root else "_root_id").alias("_root_id"),
+            F.posexplode(F.col(quoted(column))).alias("_list_idx", "__item"),
         )
         item_id = F.sha2(F.concat_ws(":", "_parent_id", F.lit(column), F.col("_list_idx").cast("string")), 256)
-        child = child.select("_parent_id", "_list_idx", "__item.*", item_id.alias("_row_id"))
-        tables.update(shred_nested(child, f"{name}__{column}", levels=levels - 1))
+        kind = rows.schema[column].dataType.elementType
+        item = "__item.*" if isinstance(kind, T.StructType) else F.col("__item").alias("value")
+        child = child.select("_parent_id", "_root_id", "_list_idx", item, item_id.alias("_row_id"))
+        tables.update(_shredded(child, f"{name}__{column}", levels - 1, root=False))
     return tables
 
 

@@ -89,20 +89,62 @@ def unwrap_nodes(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
-def pivot_label_bag(df: DataFrame, bag: str, names: Mapping[str, str], dates: Sequence[str] = ()) -> DataFrame:
+def found_labels(df: DataFrame, bag: str, known: DataFrame | None = None, field: str = "label") -> DataFrame:
+    """The dictionary (field, code, label) of a bag after a look at the data: old columns stay, new labels come in.
+
+    One partial aggregation of the labels; a label's column is its ``universal_id`` where the bag has that, else its text in
+    lower case with underscores.
+    """
+    entry = df.select(F.explode(c(bag)).alias("e"))
+    own = F.lower(F.replace(F.col("e.label"), F.lit(" "), F.lit("_")))
+    kind = df.schema[bag].dataType.elementType
+    if "universal_id" in kind.names:
+        own = F.coalesce(F.nullif(F.col("e.universal_id"), F.lit("")), own)
+    found = entry.where("e.label is not null").groupBy(F.lit(field).alias("field"), F.col("e.label").alias("code"))
+    return stable_dictionary(known, found.agg(F.min(own).alias("label")))
+
+
+def names_of(dictionary: DataFrame, field: str = "label") -> dict[str, str]:
+    """The dictionary of one bag as a mapping from label to column: as many as the wide table has columns."""
+    return {r.code: r.label for r in dictionary.where(F.col("field") == field).orderBy("code").collect()}
+
+
+def pivot_label_bag(
+    df: DataFrame, bag: str, names: Mapping[str, str], dates: Sequence[str] = (), other: str | None = "__other"
+) -> DataFrame:
     """A list of ``{label, value, type}`` becomes columns.
 
-    ``names`` maps label to column, from the field dictionary (R06), so no pass over the data
-    finds them and no shuffle brings them together. Labels in ``dates`` are typed as times.
+    ``names`` maps label to column, from the field dictionary (``found_labels``), so no pass over the data
+    finds them here and no shuffle brings them together. Labels in ``dates`` are typed as times. What has no column, comes a
+    second time, or is no time though its label says so, is kept in ``other`` as JSON, for the next run's dictionary.
     """
     kept = [n for n in df.columns if n != bag]
-    refuse_clash([*kept, *names.values()])
+    refuse_clash([*kept, *names.values(), *([other] if other else [])])
+
+    def first_of(label: str) -> Column:
+        return F.get(F.filter(c(bag), lambda x: x["label"] == F.lit(label)), F.lit(0))
 
     def value_of(label: str) -> Column:
-        found = F.get(F.filter(c(bag), lambda x: x["label"] == F.lit(label)), F.lit(0))
-        return times.parse_iso(found["value"]) if label in dates else found["value"]
+        value = first_of(label)["value"]
+        return times.parse_iso(value) if label in dates else value
+
+    out = [value_of(k).alias(v) for k, v in names.items()]
+    if other:
+        place = F.transform(c(bag), lambda x, i: F.struct(x.alias("x"), i.alias("i")))
+        labels = F.transform(c(bag), lambda x: x["label"])
+        known = F.array(*[F.lit(k) for k in names]) if names else F.array().cast("array<string>")
+
+        def lifted(e: Column) -> Column:
+            first = F.array_position(labels, e["x"]["label"]) == e["i"] + 1
+            read = F.lit(True)
+            for label in dates:
+                unread = (e["x"]["label"] == F.lit(label)) & e["x"]["value"].isNotNull() & times.parse_iso(e["x"]["value"]).isNull()
+                read = read & ~F.coalesce(unread, F.lit(False))
+            return F.coalesce(F.array_contains(known, e["x"]["label"]) & first & read, F.lit(False))
 
-    return df.select(*[c(n) for n in kept], *[value_of(k).alias(v) for k, v in names.items()])
+        rest = F.transform(F.filter(place, lambda e: ~lifted(e)), lambda e: e["x"])
+        out.append(F.when(F.size(rest) > 0, F.to_json(rest)).alias(other))
+    return df.select(*[c(n) for n in kept], *out)
 
 
 def label_name(universal_id: str | None, label: str) -> str:
@@ -256,16 +298,18 @@ def stable_dictionary(old: DataFrame | None, new: DataFrame) -> DataFrame:
 
 
 def link_table(df: DataFrame, key: str, associations: Mapping[str, str]) -> DataFrame:
-    """R34 for all kinds in one scan: distinct (kind, object, other_id); ids of unlike types become text."""
+    """R34 for all kinds in one scan: distinct (kind, object, other_id); ids of unlike types become text.
+
+    Lists are made distinct in the row first, so links stated twice neither make rows nor travel; and links of unlike kinds
+    never meet, so each kind is distinct by itself.
+    """
     kinds = {df.schema[column].dataType.elementType.simpleString() for column in associations.values()}
     one = kinds.pop() if len(kinds) == 1 else "string"
-
-    def tag(kind: str):
-        return lambda x: F.struct(F.lit(kind).alias("kind"), x.cast(one).alias("other_id"))
-
-    tagged = [F.transform(F.coalesce(c(column), F.array()), tag(kind)) for kind, column in associations.items()]
-    links = df.select(c(key), F.explode(F.concat(*tagged)).alias("__link"))
-    return links.select("__link.kind", c(key), "__link.other_id").distinct()
+    lists = [F.transform(F.array_distinct(c(column)), lambda x: x.cast(one)) for column in associations.values()]
+    # One map entry a kind: the kinds are exploded as a few lists, the links without a struct each.
+    pairs = F.array(*[F.struct(F.lit(kind).alias("kind"), ids.alias("ids")) for kind, ids in zip(associations, lists)])
+    rows = df.select(c(key), F.explode(pairs).alias("__k")).select(F.col("__k.kind").alias("kind"), c(key), F.explode("__k.ids").alias("other_id"))
+    return rows.distinct()
 
 
 def link_rows(df: DataFrame, key: str, associations: Mapping[str, str]) -> dict[str, DataFrame]:
@@ -463,21 +507,44 @@ def extract_json_paths(df: DataFrame, column: str, paths: Mapping[str, str]) ->
     return df.withColumns({name: F.get_json_object(c(column), path) for name, path in paths.items()})
 
 
-def lift_properties(df: DataFrame, column: str, names: Mapping[str, str], profile: bool = False) -> DataFrame:
+def found_properties(df: DataFrame, column: str, known: DataFrame | None = None, field: str = "property") -> DataFrame:
+    """The dictionary (field, code, label) of a property map's keys, a leading ``$`` stripped; old ones stay."""
+    keys = df.select(F.explode(F.map_keys(F.from_json(c(column), "map<string,string>"))).alias("k"))
+    name = F.regexp_replace("k", r"^\$", "")
+    return stable_dictionary(known, keys.select(F.lit(field).alias("field"), name.alias("code"), name.alias("label")).distinct())
+
+
+def lift_properties(
+    df: DataFrame, column: str, names: Mapping[str, str], profile: bool = False, other: str | None = "__other"
+) -> DataFrame:
     """A JSON property map to typed columns, a leading ``$`` of the key stripped.
 
-    The profile form looks at keys with ``$`` only and sets ``distinct_id``.
+    The profile form looks at keys with ``$`` only and sets ``distinct_id``. Properties without a column, a plain one that gives
+    way to one with ``$``, and values that are not of the column's type are kept in ``other`` as a JSON map; text that is no
+    map at all is kept there as it is.
     """
-    entries = F.from_json(c(column), "map<string,string>")
-    if profile:
-        entries = F.map_filter(entries, lambda k, v: k.startswith("$"))
+    refuse_clash([*[n for n in df.columns if n != column and n not in names], *names, *([other] if other else [])])
+    whole = F.from_json(c(column), "map<string,string>")
+    entries = F.map_filter(whole, lambda k, v: k.startswith("$")) if profile else whole
     # A plain key gives way to the same key with a dollar sign.
     marked = F.map_filter(entries, lambda k, v: k.startswith("$"))
-    lifted = {
-        name: F.coalesce(F.try_element_at(marked, F.lit("$" + name)), F.try_element_at(entries, F.lit(name))).try_cast(kind)
-        for name, kind in names.items()
-    }
-    out = df.withColumns(lifted).drop(column)
+    raw = {n: F.coalesce(F.try_element_at(marked, F.lit("$" + n)), F.try_element_at(entries, F.lit(n))) for n in names}
+    lifted = {name: raw[name].try_cast(kind) for name, kind in names.items()}
+    out = df
+    if other:
+
+        def left_over(k: Column, v: Column) -> Column:
+            used = F.lit(False)
+            for name in names:
+                mine = (k == F.lit("$" + name)) | ((k == F.lit(name)) & ~F.coalesce(F.map_contains_key(marked, F.lit("$" + name)), F.lit(False)))
+                used = used | (mine & (lifted[name].isNotNull() | v.isNull()))
+            return ~used & (F.lit(True) if not profile else k.startswith("$"))
+
+        rest = F.map_filter(whole, left_over)
+        # Bad text gives a map of nulls or none, by Spark's reading of it.
+        bad = c(column).isNotNull() & F.try_parse_json(c(column)).isNull()
+        out = out.withColumn(other, F.when(bad, c(column)).when(F.size(rest) > 0, F.to_json(rest)))
+    out = out.withColumns(lifted).drop(column)
     return out.withColumn("distinct_id", F.coalesce(F.col("distinct_id"), F.col("$distinct_id"))) if (
         profile and "$distinct_id" in df.columns
     ) else out

@@ -14,6 +14,7 @@ from ..functions.hashing import quoted
 from ..operators import cursors, maintenance, masking, normalize
 from ..operators.keys import dedup_by_key
 from ..operators.widening import cast_like
+from ..session import stage
 from ..sinks.documents import DocumentStore, shape_documents
 from ..sinks.files import cluster_by, day_column
 from ..sinks.tables import FOLD, SnapshotTable, TableGroup
@@ -48,10 +49,11 @@ def run_load(
     if request.file_incremental and not files:
         raise LoadError("file_incremental needs the files: hand over a FileScan, not rows")
     spark = source.spark if files else source.sparkSession
-    if request.multiple_tables or request.sink_kind == "documents":
+    write = route_load if request.multiple_tables else document_load if request.sink_kind == "documents" else None
+    write = nested_load if request.nesting is not None else write
+    if write:
         rows = source.rows(source.listing()) if files else source
         if rows is not None:
-            write = route_load if request.multiple_tables else document_load
             write(spark, rows, request, load_id, transforms, full_refresh)
         if on_commit:
             on_commit(load_id)
@@ -171,6 +173,87 @@ def route_load(
     group.commit(tables)
 
 
+def nested_load(
+    spark: SparkSession, rows: DataFrame, request: LoadRequest, load_id: str, transforms: tuple[Transform, ...], full_refresh: bool
+) -> None:
+    """Records into a table of their own and one for each kind of list below them, with one commit.
+
+    A merge takes whole records: where a record comes again, its row and all rows below it give way, those of other
+    records stay. Tables are cut into buckets by the record's id, and a merge reads and writes the buckets of the batch alone.
+    The position of the load is that of the record table.
+    """
+    rows, request = prepared(rows, request, transforms)
+    name = request.source.rsplit(".", 1)[-1]
+    group = TableGroup(spark, request.target)
+    head = group.table(name).head()
+    merging = request.strategy == "merge"
+    whole = full_refresh or request.full_refresh or request.strategy == "replace" or not head["dirs"]
+    cursor = None if whole else head["cursor"]
+    rows = new_rows(rows, request, cursor)
+    if request.masks:
+        rows = masking.mask_table(rows, request.masks)
+    told_by = identity(rows, request)
+    rows = without_seen(rows, request, cursor, told_by)
+    if request.limit is not None:
+        rows = cursors.lowest(rows, request.limit, request.incremental_key, told_by)
+    if merging:
+        rows = dedup_by_key(rows, request.primary_key, [request.incremental_key] if request.incremental_key else [])
+    rows = maintenance.stamp_lineage(rows, load_id, key=request.primary_key, unique=not request.primary_key).drop("_load_id")
+    # Computed once for all tables.
+    rows = stage(rows, "records")
+    shredded = normalize.shred_nested(rows, name, levels=request.nesting)
+    shredded[name] = shredded[name].withColumn("_root_id", F.col("_row_id"))
+    buckets = head["buckets"] or request.buckets or NESTED_BUCKETS
+    names = sorted(shredded.keys() | set(group.names()) if whole or merging else shredded)
+    tables = group.begin(names)
+    roots, touched = rows.select(F.col("_row_id").alias("_root_id")), None
+    if merging and not whole:
+        of_batch, bucket = maintenance.add_bucket(roots, ["_root_id"], buckets)
+        touched = {f"{bucket}={r[0]}" for r in of_batch.select(bucket).distinct().collect()}
+    for each, table in zip(names, tables):
+        batch = shredded.get(each)
+        if batch is None:
+            if whole:
+                # No record has such a list any more.
+                table.commit(load_id, [], table.schema(), loaded=0)
+                continue
+            batch = maintenance.strip_lineage(table.read()).filter(F.lit(False)).drop(maintenance.bucket_column(buckets))
+        batch = batch.withColumn("_load_id", F.lit(load_id))
+        batch, bucket = maintenance.add_bucket(batch, ["_root_id"], buckets)
+        top = table.write_files(batch, f"batch-{load_id}", [bucket])
+        dirs = [f"{top}/{p}" for p in table.partitions_of(top, 1)]
+        table.loaded_next = table.rows_in(dirs, batch.schema)
+        position = next_position(table, rows, request, cursor, told_by) if each == name else None
+        if whole or not table.exists():
+            table.commit(load_id, dirs, batch.schema, [bucket], position, buckets)
+        else:
+            stored = spark.read.schema(batch.schema).option("basePath", table.path).parquet(*[f"{table.path}/{d}" for d in dirs]) if dirs else batch.filter(F.lit(False))
+            replace_records(table, stored.select(*batch.columns), dirs, roots if merging else None, touched, load_id, position, [bucket])
+    group.commit(tables)
+
+
+# Buckets of records with child tables, where the request names no number.
+NESTED_BUCKETS = 8
+
+
+def replace_records(
+    table: SnapshotTable, batch: DataFrame, dirs: list[str], roots: DataFrame | None, touched: set[str] | None, load_id: str, position, by: list[str]
+) -> None:
+    """One table of nested records: rows of the ``roots`` go, those of the batch come."""
+    there = table.head()["dirs"]
+    final = normalize.evolve(empty_like(table), batch).schema
+    fits = normalize.readable_as(table.schema(), final) and normalize.readable_as(batch.schema, final)
+    if roots is None and fits:
+        table.commit(load_id, [*there, *dirs], final, by, position)
+        return
+    met = [d for d in there if not fits or d.rsplit("/", 1)[-1] in (touched or ())]
+    old = table.read(met) if met else empty_like(table)
+    kept = maintenance.drop_right_keys(old, roots, ["_root_id"], "left_anti") if roots is not None else old
+    merged = normalize.evolve(kept, batch)
+    name = table.write_files(merged, load_id, by)
+    table.commit(load_id, [*[d for d in there if d not in met], *[f"{name}/{p}" for p in table.partitions_of(name, 1)]], merged.schema, by, position)
+
+
 def document_load(
     spark: SparkSession, rows: DataFrame, request: LoadRequest, load_id: str, transforms: tuple[Transform, ...], full_refresh: bool
 ) -> None:

@@ -45,5 +45,7 @@ class LoadRequest:
     # One stream into many tables: the column ``route`` names the table of each row.
     multiple_tables: bool = False
     route: str | None = None
+    # Levels of lists that become tables of their own, in a folder of tables; none: lists stay lists.
+    nesting: int | None = None
     files_have_times: bool = True
     durable_state: bool = True

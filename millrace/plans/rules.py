@@ -66,6 +66,10 @@ def check(request: LoadRequest, now: dt.datetime | None = None) -> None:
         single = [n for n in ("incremental_key", "limit", "partition_by", "cluster_by", "buckets", "file_incremental") if getattr(r, n)]
         refuse(single, f"{', '.join(single)} belongs to a load of one table")
         refuse(r.route in {m.split(":")[0] for m in r.masks}, "the route cannot be masked")
+    if r.nesting is not None:
+        refuse(r.strategy not in (None, "replace", "append", "merge"), f"{r.strategy} does not work on records with child tables")
+        other = [n for n in ("multiple_tables", "partition_by", "cluster_by", "merge_key", "file_incremental") if getattr(r, n)]
+        refuse(other or r.sink_kind == "documents", f"records with child tables have no place for {', '.join(other) or 'documents'}")
     # V08
     refuse(r.format is not None and r.format not in FORMATS, f"unknown format {r.format!r}")
     refuse(

@@ -40,7 +40,7 @@ def test_unwrap_keeps_null(spark):
 def test_label_bag_types_dates(spark):
     frame = one(spark, "array(named_struct('label','Hire Date','value','2024-01-02T00:00:00Z','type','date')) AS bag")
     got = S.pivot_label_bag(frame, "bag", {"Hire Date": "hire_date", "None": "none"}, dates=["Hire Date"]).first()
-    assert tuple(got) == (dt.datetime(2024, 1, 2), None)
+    assert tuple(got) == (dt.datetime(2024, 1, 2), None, None)
     assert S.label_name("dynamic_1", "x") == "dynamic_1"
 
 
@@ -103,7 +103,7 @@ def test_blank_key_parts(spark):
 def test_profile_properties(spark):
     frame = spark.createDataFrame([("d1", '{"$email":"e","plain":"p"}')], "`$distinct_id` string, props string")
     got = S.lift_properties(frame.withColumn("distinct_id", F.lit(None).cast("string")), "props", {"email": "string", "plain": "string"}, profile=True)
-    assert got.first().asDict() == {"$distinct_id": "d1", "distinct_id": "d1", "email": "e", "plain": None}
+    assert got.first().asDict() == {"$distinct_id": "d1", "distinct_id": "d1", "email": "e", "plain": None, "__other": None}
 
 
 def test_compounds(spark):
@@ -191,6 +191,77 @@ def test_last_level_is_json(spark):
     assert N.shred_nested(frame, "t", levels=0)["t"].first().a == '[{"x":[{"y":2}]}]'
 
 
+def test_equal_parents_keep_their_own_children(spark):
+    frame = one(spark, "'x' AS a, array(1, 2) AS n").union(one(spark, "'x' AS a, array(1, 2) AS n"))
+    tables = N.shred_nested(frame, "t", levels=1)
+    parents, children = tables["t"].alias("p"), tables["t__n"].alias("c")
+    assert parents.select("_row_id").distinct().count() == 2
+    joined = parents.join(children, F.col("p._row_id") == F.col("c._parent_id"))
+    assert sorted((r._list_idx, r.value) for r in joined.collect()) == [(0, 1), (0, 1), (1, 2), (1, 2)]
+
+
+def test_children_know_their_root(spark):
+    frame = one(spark, "1 AS id, array(named_struct('x', array(array(7, 8)))) AS a")
+    tables = N.shred_nested(frame, "t", key=["id"], levels=3)
+    root = tables["t"].first()["_row_id"]
+    assert set(tables) == {"t", "t__a", "t__a__x", "t__a__x__value"}
+    assert {r["_root_id"] for n in tables if n != "t" for r in tables[n].collect()} == {root}
+    assert [r.value for r in tables["t__a__x__value"].collect()] == [7, 8]
+
+
+def nested_tables(spark, path):
+    from millrace.sinks.tables import TableGroup
+
+    group = TableGroup(spark, path)
+    root = {r["_row_id"]: r.id for r in group.table("t").read().collect()}
+    out = {}
+    for name in group.names():
+        if name != "t":
+            out[name] = sorted((root[r["_root_id"]], r["_list_idx"], r["value"]) for r in group.table(name).read().collect())
+    return sorted(root.values()), out
+
+
+def test_nested_records_are_merged_whole(spark):
+    from millrace.plans.load import run_load
+    from millrace.plans.request import LoadRequest
+    from millrace.session import scratch_path
+
+    path = scratch_path(spark, "nested")
+    request = LoadRequest(source="db.t", target=path, strategy="merge", primary_key=["id"], nesting=1, buckets=4, incremental_key="at")
+    schema = "id int, at int, n array<int>, s array<string>"
+    run_load(spark.createDataFrame([(1, 1, [10, 11], ["a"]), (2, 1, [20], []), (3, 1, None, ["c"])], schema), request, "one")
+    run_load(spark.createDataFrame([(1, 2, [12], []), (4, 2, [40], None), (2, 0, [99], ["old"])], schema), request, "two")
+    ids, children = nested_tables(spark, path)
+    assert ids == [1, 2, 3, 4]
+    assert children == {"t__n": [(1, 0, 12), (2, 0, 20), (4, 0, 40)], "t__s": [(3, 0, "c")]}
+    # Types widen, a kind of list comes in, and one without rows in the batch gives way too.
+    run_load(spark.createDataFrame([(3, 3, [5_000_000_000], [1.5])], "id int, at int, n array<bigint>, f array<double>"), request, "three")
+    ids, children = nested_tables(spark, path)
+    assert children["t__n"] == [(1, 0, 12), (2, 0, 20), (3, 0, 5_000_000_000), (4, 0, 40)]
+    assert children["t__f"] == [(3, 0, 1.5)] and "t__s" not in children
+    replace = LoadRequest(source="db.t", target=path, strategy="replace", primary_key=["id"], nesting=1)
+    run_load(spark.createDataFrame([(9, 1, [1])], "id int, at int, n array<int>"), replace, "four")
+    ids, children = nested_tables(spark, path)
+    assert ids == [9] and children == {"t__n": [(9, 0, 1)]}
+
+
+def test_labels_without_a_column_are_kept(spark):
+    bag = "array(named_struct('label', 'A', 'value', '1'), named_struct('label', 'A', 'value', '2'), named_struct('label', 'D', 'value', 'no time'), named_struct('label', CAST(null AS STRING), 'value', 'x'))"
+    frame = one(spark, f"1 AS id, {bag} AS bag").union(one(spark, f"2 AS id, filter({bag}, x -> false) AS bag"))
+    got = {r.id: r for r in S.pivot_label_bag(frame, "bag", {"A": "a", "D": "d"}, dates=["D"]).collect()}
+    assert (got[1].a, got[1].d, got[2].a, got[2]["__other"]) == ("1", None, None, None)
+    assert got[1]["__other"] == '[{"label":"A","value":"2"},{"label":"D","value":"no time"},{"value":"x"}]'
+    known = spark.createDataFrame([("label", "A", "first_name")], "field string, code string, label string")
+    assert S.names_of(S.found_labels(frame, "bag", known)) == {"A": "first_name", "D": "d"}
+
+
+def test_properties_without_a_column_are_kept(spark):
+    frame = spark.createDataFrame([('{"a":"1","$b":"x","b":"y","c":null}',), ('{"a":"one"}',), ("broken",), (None,)], "p string")
+    got = S.lift_properties(frame, "p", {"a": "int", "b": "string"}).collect()
+    assert [(r.a, r.b) for r in got] == [(1, "x"), (None, None), (None, None), (None, None)]
+    assert [r["__other"] for r in got] == ['{"b":"y"}', '{"a":"one"}', "broken", None] or [r["__other"] for r in got] == ['{"b":"y","c":null}', '{"a":"one"}', "broken", None]
+
+
 def test_widening(spark, rows):
     small = spark.createDataFrame([(1, 1.5)], "a int, b float")
     large = spark.createDataFrame([(2, 5_000_000_000)], "a bigint, b bigint")
