@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.normalize import apply_column_types
 from ..session import scratch_path
-from ..sources import columnar, delimited, documents, grids, jsonfiles, listing, markup, repair
+from ..sources import columnar, delimited, documents, extended, grids, jsonfiles, listing, markup, repair
 from .common import register, table
 
 
@@ -243,6 +243,38 @@ def normalize_extended_json(spark, sf):
     )
 
 
+@register(
+    "S18_plain_documents",
+    """SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN NULL ELSE '{"_id":"' || o_orderkey || '","items":[{"n":' || o_custkey ||
+  ',"at":"' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') || '.000Z","ref":{"$ref":"customer","$id":"' || o_custkey ||
+  '"}},{"$minKey":1},{"$code":"f()","$scope":{"x":"' || o_orderpriority || '"}}]}' END AS doc,
+  CASE WHEN o_orderstatus = 'P' THEN 'broken ' || o_orderkey END AS __v_text FROM orders""",
+)
+def plain_documents(spark, sf):
+    """Wrapped values in lists and objects below each other, references, keys and code with a scope; and text that is no JSON."""
+    raw = table(spark, sf, "orders").selectExpr(
+        "o_orderkey",
+        """IF(o_orderstatus = 'P', concat('broken ', o_orderkey), concat('{"_id":{"$oid":"', o_orderkey, '"},"items":[{"n":{"$numberLong":"',
+          o_custkey, '"},"at":{"$date":{"$numberLong":"', unix_millis(CAST(o_orderdate AS TIMESTAMP)),
+          '"}},"ref":{"$ref":"customer","$id":{"$oid":"', o_custkey, '"}}},{"$minKey":1},{"$code":"f()","$scope":{"x":{"$symbol":"',
+          o_orderpriority, '"}}}]}')) AS doc""",
+    )
+    return extended.plain_documents(raw, "doc")
+
+
+@register(
+    "R27_update_paths",
+    """SELECT event_id, '{"k":' || CAST(json_extract_string(props, '$.k') AS BIGINT) || ',"list":[{"a":1,"seen":true},{"a":2,"seen":true}],"new":{"deep":"x"}}' AS doc
+FROM events""",
+)
+def update_paths(spark, sf):
+    """Values set in all entries of a list and below names that are not there, and others dropped."""
+    raw = table(spark, sf, "events").selectExpr(
+        "event_id", """concat('{"k":', get_json_object(props, '$.k'), ',"gone":{"x":1},"list":[{"a":1,"b":[1]},{"a":2}]}') AS doc"""
+    )
+    return extended.update_paths(raw, "doc", {"$.list[*].seen": True, "$.new.deep": "x"}, drop=["$.gone", "list[*].b"])
+
+
 @register(
     "R28_stamped_reports",
     """SELECT CAST(ts AS DATE) AS processing_date, CAST(event_id AS VARCHAR) AS event_id, event_type FROM events""",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import csv
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,7 +12,7 @@ from pyspark.sql import types as T
 
 from ..functions.hashing import quoted
 from ..operators.widening import align
-from .listing import first_lines, lookup, require_files
+from .listing import first_shapes, lookup, require_files
 
 # Delimiters looked for when none is named, the likeliest first.
 DELIMITERS = (",", "\t", ";", "|")
@@ -41,12 +42,16 @@ def read_groups(
 
 
 def by_header(spark: SparkSession, path: str, delimiter_of) -> dict[tuple[str, tuple[str, ...]], list[str]]:
-    groups: dict[tuple[str, tuple[str, ...]], list[str]] = {}
-    if require_files(spark, path):
-        for row in first_lines(spark, path).orderBy("line").toLocalIterator():
-            delimiter = delimiter_of(row.line)
-            groups.setdefault((delimiter, header_of(row.line, delimiter)), []).extend(row.files)
-    return groups
+    """Files by delimiter and header, told from each file's first line by the task that reads it."""
+
+    def shape_of(line: str) -> str:
+        delimiter = delimiter_of(line)
+        return json.dumps([delimiter, header_of(line, delimiter)])
+
+    if not require_files(spark, path):
+        return {}
+    found = first_shapes(spark, path, shape_of)
+    return {(delimiter, tuple(header)): files for (delimiter, header), files in ((json.loads(k), v) for k, v in found.items())}
 
 
 def scan_csv(
@@ -55,7 +60,7 @@ def scan_csv(
     """Every file with its own header, joined together by column name; folders to any depth.
 
     One read over files with different headers would map columns by position. The files are
-    grouped by header, which one pass over the files' lines tells, and each group is one read.
+    grouped by header, which a look at the first line of each tells, and each group is one read.
     """
     return read_groups(spark, by_header(spark, path, lambda line: delimiter), infer, options)
 

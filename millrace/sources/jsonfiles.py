@@ -5,13 +5,13 @@ from __future__ import annotations
 import json
 from collections.abc import Iterator, Mapping
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.normalize import evolve
-from .listing import first_lines, require_files
+from .listing import first_shapes, require_files
 
 
 def is_lines(first_line: str) -> bool:
@@ -22,15 +22,15 @@ def is_lines(first_line: str) -> bool:
         return False
 
 
-def one_document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Raise for a file that goes on after its first JSON document, which a reader would pass over."""
+def one_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts as they are; raises for one that goes on after its first JSON document, which a parser would pass over."""
     decoder = json.JSONDecoder()
     for batch in batches:
-        for file, text in zip(batch["file"], batch["value"]):
-            body = text.lstrip("\ufeff \t\r\n")
+        bodies = [text.lstrip("\ufeff \t\r\n") for text in batch.column("value").to_pylist()]
+        for file, body in zip(batch.column("file").to_pylist(), bodies):
             if body and body[decoder.raw_decode(body)[1] :].strip():
                 raise ValueError(f"{file}: text after the first JSON document")
-        yield batch[["file"]].iloc[:0]
+        yield pa.RecordBatch.from_arrays([pa.array(bodies, type=pa.string())], ["value"])
 
 
 def scan_json(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -38,22 +38,22 @@ def scan_json(spark: SparkSession, path: str, schema: T.StructType | str | None
 
     Reading lines as one document would give their first record only, hence the look at each
     file's first line. A record that does not parse ends the load, and so does text after the one
-    document of a file. Folders are read to any depth.
+    document of a file, which is checked where the document is parsed. Folders are read to any depth.
     """
-    groups: dict[bool, list[str]] = {True: [], False: []}
-    if require_files(spark, path):
-        for row in first_lines(spark, path).toLocalIterator():
-            groups[is_lines(row.line)].extend(row.files)
+    groups = first_shapes(spark, path, lambda line: str(is_lines(line))) if require_files(spark, path) else {}
     reader = spark.read.option("mode", "FAILFAST")
     reader = reader.schema(schema) if schema else reader
     frames = []
-    if groups[True]:
-        frames.append(reader.json(sorted(groups[True])))
-    if groups[False]:
-        files = sorted(groups[False])
+    if groups.get("True"):
+        frames.append(reader.json(groups["True"]))
+    if groups.get("False"):
+        files = groups["False"]
         texts = spark.read.text(files, wholetext=True).select(F.col("_metadata.file_path").alias("file"), "value")
-        texts.mapInPandas(one_document, "file string").count()
-        frames.append(reader.option("multiLine", True).json(files))
+        kind = schema or reader.option("multiLine", True).json(files).schema
+        kind = T._parse_datatype_string(kind) if isinstance(kind, str) else kind
+        # One object is a list of one here.
+        records = F.from_json("value", T.ArrayType(kind), {"mode": "FAILFAST"})
+        frames.append(texts.mapInArrow(one_document, "value string").select(F.explode(records).alias("r")).select("r.*"))
     if not frames:
         return spark.createDataFrame([], schema or T.StructType([]))
     return frames[0] if len(frames) == 1 else evolve(frames[0], frames[1])

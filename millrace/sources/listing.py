@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,9 +66,6 @@ def file_state(listing: DataFrame) -> dict:
 
 def cursor_key(namespace: str, bucket: str, pattern: str) -> str:
     """Identity of a file cursor. User names and passwords in the bucket are left out."""
-    import hashlib
-    import re
-
     clean = re.sub(r"//[^/@]*@", "//", bucket)
     return hashlib.sha256("\0".join((namespace, clean, pattern)).encode()).hexdigest()
 
@@ -93,18 +95,44 @@ def require_files(spark: SparkSession, path: str) -> bool:
     return found
 
 
-def first_lines(spark: SparkSession, path: str) -> DataFrame:
-    """(line, files): the first line of each file that is not blank, and the files that begin with it.
+# Settings under which a scan has a task for each file, and hands lines on a few at a time.
+FILE_BY_FILE = {
+    "spark.sql.files.maxPartitionBytes": str(1 << 40),
+    "spark.sql.files.openCostInBytes": str(1 << 40),
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+}
+
+
+def first_shapes(spark: SparkSession, path: str, shape_of: Callable[[str], str]) -> dict[str, list[str]]:
+    """What ``shape_of`` tells from the first line of each file that is not blank: shape, and the files that have it.
 
-    One pass by the executors; the driver opens no file. Lines are as many as there are kinds of
-    file, and the files' names go to the reader, which lists them anyway.
+    Each file is one task, which stops reading after that line, so the pass costs first lines, however large files are. Lines
+    stay in the tasks; the driver gets each shape once, and the names of files, which the reader lists anyway.
     """
     root, options = lookup(path)
-    lines = spark.read.options(**options).text(root).select(
-        F.col("_metadata.file_path").alias("file"), "value", F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("place"),
-    )
-    black = lines.filter(F.length(F.trim(F.translate("value", "\ufeff\t\r", ""))) > 0)
-    # Lines of a block are in order; blocks by where they start.
-    first = black.groupBy("file").agg(F.min_by("value", F.struct("block", "place")).alias("line"))
-    return first.groupBy(F.ltrim(F.col("line"), F.lit("\ufeff")).alias("line")).agg(F.sort_array(F.collect_list("file")).alias("files"))
+
+    def told(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for file, line in zip(batch.column(0), batch.column(1)):
+                text = line.as_py().lstrip("\ufeff")
+                if text.strip(" \t\r"):
+                    shape = shape_of(text)
+                    digest = hashlib.sha256(shape.encode("utf-8", "surrogatepass")).hexdigest()
+                    yield pa.RecordBatch.from_arrays([pa.array([digest]), pa.array([shape]), pa.array([file.as_py()])], ["digest", "shape", "file"])
+                    # The rest of the file is not read.
+                    return
+
+    before = {key: spark.conf.get(key) for key in FILE_BY_FILE}
+    for key, value in FILE_BY_FILE.items():
+        spark.conf.set(key, value)
+    try:
+        lines = spark.read.options(**options).text(root).select(F.col("_metadata.file_path").alias("file"), "value")
+        found = stage(lines.mapInArrow(told, "digest string, shape string, file string"), "shapes")
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    shapes = {r.digest: r["shape"] for r in found.select("digest", "shape").distinct().collect()}
+    out: dict[str, list[str]] = {shape: [] for shape in sorted(shapes.values())}
+    for row in found.select("digest", "file").orderBy("file").toLocalIterator():
+        out[shapes[row.digest]].append(row.file)
+    return out

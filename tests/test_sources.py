@@ -15,7 +15,7 @@ from millrace.session import scratch_path
 from millrace.sinks import documents as doc_sink
 from millrace.sinks import files as sink
 from millrace.sinks import jdbc as jdbc_sink
-from millrace.sources import delimited, documents, grids, jdbc, jsonfiles, listing, markup, repair
+from millrace.sources import delimited, documents, extended, grids, jdbc, jsonfiles, listing, markup, repair
 from millrace.sources.columnar import scan_parquet
 
 
@@ -205,6 +205,62 @@ def test_extended_json(spark):
     assert tuple(got[1]) == ("7", None, None, None, None)
 
 
+EXTENDED = [
+    ('{"$oid":"a1"}', "a1"), ('{"$numberDecimal":"1.50"}', "1.50"), ('{"$numberLong":"5000000000"}', 5000000000),
+    ('{"$numberInt":"7"}', 7), ('{"$numberDouble":"1.5"}', 1.5), ('{"$numberDouble":"NaN"}', "NaN"),
+    ('{"$date":"2024-01-02T00:00:00Z"}', "2024-01-02T00:00:00Z"), ('{"$date":{"$numberLong":"-1"}}', "1969-12-31T23:59:59.999Z"),
+    ('{"$date":1000}', "1970-01-01T00:00:01.000Z"), ('{"$timestamp":{"t":10,"i":1}}', "1970-01-01T00:00:10.000Z"),
+    ('{"$binary":{"base64":"AAE=","subType":"00"}}', "AAE="), ('{"$binary":"AAE=","$type":"00"}', "AAE="),
+    ('{"$regularExpression":{"pattern":"(?<x>a)","options":"i"}}', "(?<x>a)"), ('{"$regex":"^a","$options":"i"}', "^a"),
+    ('{"$ref":"c","$id":{"$oid":"9"},"$db":"d"}', {"$ref": "c", "$id": "9", "$db": "d"}),
+    ('{"$minKey":1}', {"$minKey": 1}), ('{"$maxKey":1}', {"$maxKey": 1}), ('{"$code":"f()"}', "f()"),
+    ('{"$code":"f()","$scope":{"i":{"$oid":"1"}}}', {"$code": "f()", "$scope": {"i": "1"}}), ('{"$undefined":true}', None),
+    ('{"a":[{"$oid":"1"},[{"b":{"$symbol":"s"}}]]}', {"a": ["1", [{"b": "s"}]]}), ('{"$oid":"1","more":2}', {"$oid": "1", "more": 2}),
+    ("5", 5), ('"x"', "x"), ("null", None), ("[]", []),
+]
+
+
+def test_wrapped_values_at_any_depth(spark):
+    import json
+
+    texts = [(i, t) for i, (t, _) in enumerate(EXTENDED)] + [(100, "broken {"), (101, None), (102, '{"a":' * 3000 + "1" + "}" * 3000)]
+    got = {r.i: r for r in extended.plain_documents(spark.createDataFrame(texts, "i int, doc string"), "doc").collect()}
+    for i, (_, want) in enumerate(EXTENDED):
+        assert json.loads(got[i].doc) == want and got[i]["__v_text"] is None
+    assert (got[100].doc, got[100]["__v_text"]) == (None, "broken {")
+    assert (got[101].doc, got[101]["__v_text"]) == (None, None)
+    # Nothing is lost of a document deeper than the reader goes.
+    assert (got[102].doc or got[102]["__v_text"]).count("{") == 3000
+
+
+@pytest.mark.parametrize(
+    ("document", "values", "drop", "want"),
+    [
+        ({"a": 1}, {"$.a": 2}, [], {"a": 2}),
+        ({"a": 1}, {"b.c": [1]}, [], {"a": 1, "b": {"c": [1]}}),
+        ({"l": [{"x": 1}, {"x": 2}, 3]}, {"$.l[*].x": 0}, [], {"l": [{"x": 0}, {"x": 0}, 3]}),
+        ({"l": [1, 2, 3]}, {"l[-1]": 9, "l[5]": 7}, [], {"l": [1, 2, 9]}),
+        ({"m": {"p": {"v": 1}, "q": {}}}, {"m.*.v": 5}, [], {"m": {"p": {"v": 5}, "q": {"v": 5}}}),
+        ({"a": {"b": 1, "c": 2}, "l": [1, 2]}, {}, ["a.b", "l[0]", "none.x"], {"a": {"c": 2}, "l": [2]}),
+        ({"a b": {"c.d": 1}}, {"$['a b']['c.d']": 2}, [], {"a b": {"c.d": 2}}),
+        ({"l": [{"x": 1, "y": 2}]}, {}, ["l[*].x", "l[*].z"], {"l": [{"y": 2}]}),
+        ({"a": None}, {"a.b": 1}, [], {"a": {"b": 1}}),
+    ],
+)
+def test_updates_by_path(spark, document, values, drop, want):
+    import json
+
+    frame = spark.createDataFrame([(json.dumps(document),)], "doc string")
+    assert json.loads(extended.update_paths(frame, "doc", values, drop).first().doc) == want
+
+
+def test_paths_and_documents_that_are_none(spark):
+    with pytest.raises(ValueError):
+        extended.steps_of("$.a[?(@.x)]")
+    with pytest.raises(Exception, match="no JSON"):
+        extended.update_paths(spark.createDataFrame([("{",)], "doc string"), "doc", {"a": 1}).collect()
+
+
 def test_document_keys(spark):
     frame = spark.createDataFrame([(1, "a"), (None, "b")], "id int, v string")
     shaped = doc_sink.shape_documents(M.stamp_lineage(frame, "x"))
@@ -364,4 +420,13 @@ def test_json_records_beyond_the_first(spark, put, tmp_path, rows):
     assert rows(jsonfiles.scan_json(spark, str(tmp_path), "a int")) == [(1,), (2,), (3,), (4,)]
     (tmp_path / "in" / "two.json").write_text('{\n"a": 4\n}\n{\n"a": 5\n}\n')
     with pytest.raises(Exception, match="after the first JSON document"):
-        jsonfiles.scan_json(spark, str(tmp_path), "a int")
+        jsonfiles.scan_json(spark, str(tmp_path), "a int").collect()
+
+
+def test_the_look_at_first_lines_reads_no_more(spark, put):
+    """A task of its own for each file, which ends with the first line: what comes later is not looked at."""
+    put("a.csv", "\n \na,b\n" + "1,2\n" * 200_000)
+    folder = put("b.csv", "a,b\n1,2\n")
+    seen = listing.first_shapes(spark, folder, lambda line: line)
+    assert [[f.rsplit("/", 1)[-1] for f in files] for files in seen.values()] == [["a.csv", "b.csv"]]
+    assert list(seen) == ["a,b"]
