@@ -30,8 +30,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import per_batch, register, table, texts_of
+from .common import per_batch, refuse_names, register, table, texts_of
 from .words import mix, shingles, word_hashes
 
 WIDTH = 5
@@ -159,7 +160,8 @@ def contained_items(
     """One row for each document and item it contains: id, item_id, n_shared, n_item, containment."""
     spark = docs.sparkSession
     source = docs.select(F.col(id_column), F.col(text_column).alias("text"))
-    item_type = pa.int64() if benchmark.schema[item_column].dataType.simpleString() == "bigint" else None
+    refuse_names(id_column, "item_id", "n_shared", "n_item", "containment", "text")
+    item_type = to_arrow_type(benchmark.schema[item_column].dataType)
     schema = f"{_schema(docs, id_column, id_column)}, {_schema(benchmark, item_column, 'item_id')}, n_shared long, n_item long"
     out = spark.createDataFrame([], schema)
     for block in blocks(benchmark, item_column, item_text):

@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import register, table, texts_of
+from .common import refuse_names, register, table, texts_of
 from .token_counts import default_tokenizer
 from .tokens import not_whole, tokens
 
@@ -121,6 +121,7 @@ class Packer:
 def pack(docs: DataFrame, path: str, id_column: str = "doc_id", text_column: str = "text", window: int = WINDOW) -> DataFrame:
     """One row for each piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset."""
     rest = not_whole(str(path))
+    refuse_names(id_column, "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "text")
     kind = docs.schema[id_column].dataType.simpleString()
     schema = (
         f"`{id_column}` {kind}, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bitmap import bitmap, may_have, wanted
-from .common import per_batch, register, staged, table, text_hash, texts_of
+from .common import free_name, per_batch, register, staged, table, text_hash, texts_of
 from .words import BATCH_CHARS, batches, pieces, word_hashes, words
 
 KINDS = ("email", "ip", "card", "phone")
@@ -328,17 +328,18 @@ def rewritten(text: str, terms: list[tuple[int, int, float]]) -> str:
 def sanitised(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", reveals: float = REVEALS) -> DataFrame:
     """The documents with personal data taken out of the text; all columns and rows stay."""
     terms = Findings(docs, id_column, text_column, reveals).terms
-    keyed = docs.withColumn("__thash", text_hash(text_column))
-    on = F.col(f"d.{id_column}").eqNullSafe(F.col("t.did")) & (F.col("d.__thash") == F.col("t.thash"))
-    joined = keyed.alias("d").join(terms.alias("t"), on, "left").select("d.*", F.col("t.terms").alias("__terms")).drop("__thash")
+    thash, extra = free_name(docs, "thash"), free_name(docs, "terms")
+    keyed = docs.withColumn(thash, text_hash(text_column))
+    on = F.col(f"d.`{id_column}`").eqNullSafe(F.col("t.did")) & (F.col(f"d.{thash}") == F.col("t.thash"))
+    joined = keyed.alias("d").join(terms.alias("t"), on, "left").select(*[f"d.`{c}`" for c in docs.columns], F.col("t.terms").alias(extra))
 
     def rewrite(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts, found = batch.column(text_column).to_pylist(), batch.column("__terms").to_pylist()
+        texts, found = batch.column(text_column).to_pylist(), batch.column(extra).to_pylist()
         new = [
             t and rewritten(t, [(s["a"], s["b"], s["share"]) for s in f or []])
             for t, f in zip(texts, found)
         ]
-        kept = [c for c in batch.schema.names if c != "__terms"]
+        kept = [c for c in batch.schema.names if c != extra]
         columns = [pa.array(new, type=batch.column(c).type) if c == text_column else batch.column(c) for c in kept]
         return pa.RecordBatch.from_arrays(columns, kept)
 

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import per_batch, register, staged, table, texts_of
+from .common import per_batch, refuse_names, register, staged, table, text_hash, texts_of
 from .words import BATCH_CHARS, batches, code_points, mix, pieces, run_hashes, word_classes, classes, SPACE
 
 BITS = 18
@@ -219,23 +219,37 @@ def held_out(id_column: str = "doc_id"):
     return F.pmod(F.crc32(F.coalesce(F.col(id_column).cast("string"), F.lit("")).cast("binary")), F.lit(FOLDS)) == 0
 
 
-def train(docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality"):
-    """The fitted model: ratio, weight, (offset, slope, shift)."""
+def train(
+    docs: DataFrame, labels: DataFrame, id_column: str = "doc_id", text_column: str = "text", label_column: str = "quality",
+    sample: int = SAMPLE,
+):
+    """The fitted model: ratio, weight, (offset, slope, shift).
+
+    It is fitted to at most ``sample`` rows: that many labels, the ones of least hash, each with one document of its id, the
+    one whose text has the least hash.
+    """
     usable = labels.select(F.col(id_column).alias("id"), F.col(label_column).alias("label")).where("id is not null and label is not null")
-    sample = usable.where(~held_out("id")).orderBy(F.xxhash64("id"), "id", "label").limit(SAMPLE)
-    # At most SAMPLE rows of two numbers: a side of a proven size.
-    sample = staged(sample, "label-sample")
-    picked = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text")).join(F.broadcast(sample), "id")
+    chosen = usable.where(~held_out("id")).orderBy(F.xxhash64("id"), "id", "label").limit(sample)
+    # At most ``sample`` rows of two or three numbers: sides of a proven size.
+    chosen = staged(chosen, "label-sample")
+    texts = docs.select(F.col(id_column).alias("id"), F.col(text_column).alias("text"))
+    labelled = texts.join(F.broadcast(chosen.select("id").distinct()), "id")
+    least = labelled.groupBy("id").agg(F.min(text_hash()).alias("thash"))
+    least = staged(least.join(chosen, "id"), "label-texts")
+    picked = texts.join(F.broadcast(least), "id").where(text_hash() == F.col("thash")).select("id", "label", "text")
 
     def sets(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts, packed = texts_of(batch), []
         for _, part in batches(texts):
             places, at = features(part)
             packed += [places[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
-        return pa.RecordBatch.from_arrays([batch.column("label"), pa.array(packed, type=pa.binary())], ["label", "places"])
+        columns = [batch.column("id"), batch.column("label"), pa.array(packed, type=pa.binary())]
+        return pa.RecordBatch.from_arrays(columns, ["id", "label", "places"])
 
-    kind = labels.schema[label_column].dataType.simpleString()
-    rows = staged(picked.mapInArrow(per_batch(sets), f"label {kind}, places binary"), "label-sets")
+    kinds = [labels.schema[c].dataType.simpleString() for c in (id_column, label_column)]
+    rows = picked.mapInArrow(per_batch(sets), f"id {kinds[0]}, label {kinds[1]}, places binary")
+    # Copies of one text under one id are one row.
+    rows = staged(rows.dropDuplicates(["id", "label"]), "label-sets")
 
     def learn(found: pa.Table) -> pa.Table:
         found = found.sort_by([("label", "ascending"), ("places", "ascending")])
@@ -264,6 +278,7 @@ def _scores(texts: list[str], model) -> np.ndarray:
 
 def quality_scores(docs: DataFrame, model, id_column: str = "doc_id", text_column: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """id, held_out, score and predicted for each document."""
+    refuse_names(id_column, "held_out", "score", "predicted", "text")
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     def score(batch: pa.RecordBatch) -> pa.RecordBatch:

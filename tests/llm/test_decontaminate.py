@@ -57,3 +57,14 @@ def test_empty_tables(spark, nothing, documents):
     assert D.contained_items(documents, none).count() == 0
     assert D.contained_items(nothing, one).count() == 0
     assert D.drop_contaminated(documents, none).count() == documents.count()
+
+
+@pytest.mark.parametrize("kind", ["int", "smallint", "string", "date", "decimal(5,1)"])
+def test_ids_of_items_of_any_type(spark, kind):
+    frame = spark.createDataFrame([(1, "one two three four five six seven")], "doc_id long, text string")
+    value = "DATE '2024-01-02'" if kind == "date" else "7"
+    items = frame.selectExpr(f"CAST({value} AS {kind}) AS item_id", "text")
+    (row,) = D.contained_items(frame, items).collect()
+    assert str(row.item_id) in ("7", "7.0", "2024-01-02") and row.containment == 1
+    with pytest.raises(ValueError):
+        D.contained_items(frame.withColumnRenamed("doc_id", "item_id"), items, "item_id")

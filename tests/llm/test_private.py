@@ -164,3 +164,10 @@ def test_overlapping_identifiers_are_all_taken_out():
 
 def test_nothing(nothing):
     assert P.Findings(nothing).spans().count() == 0 and P.sanitised(nothing).count() == 0
+
+
+def test_columns_of_any_name_stay(spark):
+    frame = spark.createDataFrame([(1, "write to a@b.com", "x", 2)], "doc_id long, text string, __terms string, __thash long")
+    assert [tuple(r) for r in P.sanitised(frame).collect()] == [(1, "write to [EMAIL]", "x", 2)]
+    frame = spark.createDataFrame([(1, "write to a@b.com", "x", 2)], "doc_id long, text string, terms string, thash long")
+    assert [tuple(r) for r in P.sanitised(frame).collect()] == [(1, "write to [EMAIL]", "x", 2)]

@@ -77,3 +77,22 @@ def test_log_count_ratios():
     p[[0, 1]] += [1, 2]
     q[2] += 1
     assert np.allclose(ratio, np.log((p / p.sum()) / (q / q.sum())))
+
+
+def test_the_fit_is_bounded_whatever_repeats(spark, monkeypatch):
+    rows = [(i, f"good words number {i} here" if i % 2 else f"bad spam {i} !!!") for i in range(60)]
+    docs = spark.createDataFrame(rows + [(1, f"other text {j}") for j in range(300)] + [rows[7]] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)] + [(1, 1)], "doc_id long, quality int")
+    seen = []
+    whole = Q.staged
+
+    def spy(frame, label, *more):
+        made = whole(frame, label, *more)
+        if label == "label-sets":
+            seen.append(made.count())
+        return made
+
+    monkeypatch.setattr(Q, "staged", spy)
+    Q.train(docs, labels)
+    Q.train(docs, labels, sample=20)
+    assert seen[0] <= 60 and 10 < seen[1] <= 20
