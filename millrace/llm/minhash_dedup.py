@@ -360,19 +360,21 @@ class _Search:
         compared = staged(pairs.select(*_pair()).distinct(), "pairs", self.n_members, 24)
         links = self.verify(compared)
         component = staged(connected(links), "component", self.size, 24)
+        turn = 0
         while True:
-            blocks = self.blocks(component)
-            if blocks is None:
+            mixed = self.mixed(component)
+            if mixed is None:
                 return component
             # Components that belong together grow together by a link a node; what is then still apart is compared whole.
-            named = self.named(blocks, True, compared)
+            named = self.named(self.blocks(mixed, turn), True, compared)
             found = self.verify(named)
             if found.isEmpty():
                 break
             compared = staged(compared.unionByName(named), "compared")
             links = staged(links.unionByName(found), "all-links")
             component = staged(connected(links), "component", self.size, 24)
-        found = self.verify(self.named(blocks, False, compared))
+            turn += 1
+        found = self.verify(self.named(self.blocks(mixed), False, compared))
         return component if found.isEmpty() else connected(links.unionByName(found))
 
     def named(self, blocks: DataFrame, best: bool, compared: DataFrame) -> DataFrame:
@@ -380,23 +382,22 @@ class _Search:
         pairs = blocks.groupBy("bucket", "i", "j").applyInArrow(_candidates(best), "a long, b long").distinct()
         return staged(pairs.join(compared, ["a", "b"], "left_anti"), "pairs")
 
-    def blocks(self, component: DataFrame) -> DataFrame | None:
-        """Members of buckets that hold several components, in blocks (bucket, i, j): nodes outside the main component on the
-        left, all on the right. A bucket of up to ``BLOCK`` nodes is one block, a larger one as many as its nodes on the left
-        and right need to meet."""
-        mixed = self.mixed(component)
-        if mixed is None:
-            return None
-        rows = mixed.join(self.nodes.select("node", "bands"), "node").join(self.marks, "node")
+    def blocks(self, mixed: DataFrame, turn: int | None = None) -> DataFrame:
+        """Buckets that hold several components, in blocks (bucket, i, j): nodes outside the main component on the left, all on the
+        right. A bucket of up to ``BLOCK`` nodes is one block, a larger one as many as its nodes on the left and right need to
+        meet. With ``turn`` each node is on the left in one of its buckets only, another one each turn."""
+        outside = mixed.where("component <> main")
+        if turn is not None:
+            chosen = outside.groupBy("node").agg(F.min_by("bucket", F.xxhash64("node", "bucket", F.lit(turn))).alias("bucket"))
+            outside = outside.join(staged(chosen, "turn", self.size, 24), ["node", "bucket"], "left_semi")
+            mixed = mixed.join(chosen.select("bucket").distinct(), "bucket", "left_semi")
         cuts = F.ceil(F.col("n") / BLOCK).cast("int")
-        own = F.pmod(F.xxhash64("node"), cuts).cast("int")
-        rows = rows.withColumns({"own": own, "other": F.sequence(F.lit(0), cuts - 1)})
-        left = rows.where("component <> main").withColumn("other", F.explode("other")).withColumn("left", F.lit(True))
-        right = rows.withColumn("other", F.explode("other")).withColumn("left", F.lit(False))
-        columns = ["bucket", "node", "component", "main", "size", "alone", "plain", "marks", "bands", "left"]
-        left = left.select(F.col("own").alias("i"), F.col("other").alias("j"), *columns)
-        right = right.select(F.col("other").alias("i"), F.col("own").alias("j"), *columns)
-        return staged(left.unionByName(right), "blocks", 2 * self.n_members, 400)
+        own, others = F.pmod(F.xxhash64("node"), cuts).cast("int"), F.explode(F.sequence(F.lit(0), cuts - 1))
+        columns = ["bucket", "node", "component", "main", "size", "alone", "plain"]
+        left = outside.select(own.alias("i"), others.alias("j"), *columns, F.lit(True).alias("left"))
+        right = mixed.select(others.alias("i"), own.alias("j"), *columns, F.lit(False).alias("left"))
+        wide = self.nodes.select("node", "bands").join(self.marks, "node")
+        return staged(left.unionByName(right).join(wide, "node"), "blocks", 2 * self.n_members, 400)
 
     def mixed(self, component: DataFrame) -> DataFrame | None:
         """Members of buckets that hold several components, with the largest one and the number of members."""
@@ -411,7 +412,7 @@ class _Search:
             F.max_by("component", F.struct("n", "component")).alias("main"), F.count("*").alias("parts"), F.sum("n").alias("n")
         )
         buckets = staged(buckets.where("parts > 1").select("bucket", "main", "n"), "mixed", self.n_members)
-        return None if buckets.isEmpty() else members.join(buckets, "bucket")
+        return None if buckets.isEmpty() else staged(members.join(buckets, "bucket"), "mixed-members", self.n_members, 80)
 
 
 def near_duplicates(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
