@@ -27,7 +27,17 @@ REFUSED = {
     "masked key": dict(GOOD, strategy="merge", primary_key=["id"], masks=["id:sequential"]),
     "single file": dict(GOOD, sink_kind="single_file"),
     "V10 future": dict(GOOD, interval_end=dt.datetime(2999, 1, 1)),
+    "V07 no route": dict(GOOD, multiple_tables=True),
+    "V07 one collection": dict(GOOD, multiple_tables=True, route="kind", sink_kind="documents"),
+    "V07 merge": dict(GOOD, multiple_tables=True, route="kind", strategy="merge", primary_key=["id"]),
+    "V07 position": dict(GOOD, multiple_tables=True, route="kind", incremental_key="d"),
+    "V07 masked route": dict(GOOD, multiple_tables=True, route="kind", masks=["kind:sha256"]),
+    "route of one table": dict(GOOD, route="kind"),
+    "nested history": dict(GOOD, nesting=1, strategy="scd2"),
+    "nested partitions": dict(GOOD, nesting=1, partition_by="d"),
     "V08": dict(GOOD, format="avro"),
+    "V08 csv": dict(GOOD, format="csv"),
+    "collection with position": dict(GOOD, sink_kind="documents", incremental_key="d"),
     "V09 cursor": dict(GOOD, source_kind="queue", incremental_key="d"),
     "V09 key": dict(GOOD, source_kind="queue", primary_key=["id"]),
     "V10": dict(GOOD, interval_start=dt.date(2024, 2, 1), interval_end=dt.date(2024, 1, 1)),
@@ -55,7 +65,8 @@ ALLOWED = [
     (dict(GOOD, strategy="scd2", primary_key=["id"]), "scd2"),
     (dict(GOOD, strategy="delete+insert", incremental_key="d"), "delete+insert"),
     (dict(source="orders", target="t"), "replace"),
-    (dict(GOOD, multiple_tables=True), "replace"),
+    (dict(GOOD, multiple_tables=True, route="kind"), "replace"),
+    (dict(GOOD, nesting=2, strategy="merge", primary_key=["id"]), "merge"),
 ]
 
 
