@@ -294,8 +294,7 @@ r AS (SELECT s AS chunk_start, least(CAST(s + INTERVAL 6 MONTH AS DATE), e) AS c
 SELECT chunk_start, chunk_end FROM r""",
 )
 def range_calendar(spark, sf):
-    ends = order_bounds(spark, sf).selectExpr("to_date(start_at)", "to_date(end_at)").first()
-    return R.calendar_ranges(spark, ends[0], ends[1], 6)
+    return R.calendar_ranges(order_bounds(spark, sf), 6)
 
 
 @register(

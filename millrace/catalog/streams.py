@@ -10,7 +10,7 @@ from ..operators import maintenance as M
 from ..session import scratch_path
 from ..sinks import files as sink
 from ..sinks.tables import SnapshotTable
-from ..streaming import drain, queues, shards, topics
+from ..streaming import drain, positions, queues, shards, topics
 from .common import register, table
 
 PAYLOAD = "event_id long, user_id long, event_type string, value double, props string"
@@ -131,6 +131,47 @@ def start_from(spark, sf):
     return topics.from_offsets(frame, starts).select("topic", "partition", "offset")
 
 
+@register(
+    "T08_drain_from_time",
+    """WITH m AS (SELECT *, event_type || '-' || (user_id % 4) AS part FROM events),
+s AS (SELECT part, coalesce(min(CASE WHEN ts >= TIMESTAMP '2024-01-20 00:00:00' THEN event_id END), max(event_id)) AS first FROM m GROUP BY 1)
+SELECT part, event_id, user_id FROM m JOIN s USING (part) WHERE event_id >= first""",
+)
+def drain_from_time(spark, sf):
+    """A log read from a time on in small slices, by two drains: the first one stops in the middle."""
+    log = table(spark, sf, "events").withColumn("part", F.concat("event_type", F.lit("-"), F.col("user_id") % 4))
+    start = positions.positions_at(log, "part", "event_id", "ts", dt.datetime(2024, 1, 20))
+    target = SnapshotTable(spark, scratch_path(spark, "log"))
+    most = log.count() // 40 + 1
+    for slices in (2, None):
+        positions.drain_log(target, lambda: log.select("part", "event_id", "user_id"), "part", "event_id", most, start, slices=slices)
+    return target.read()
+
+
+@register(
+    "T12_split_shards",
+    """SELECT 'shard-' || event_type AS shard, count(*) AS n, true AS after_parent FROM events GROUP BY 1""",
+)
+def split_shards(spark, sf):
+    """Shards that came from another by a split are read after it, whatever arrives when."""
+    log = shard_records(spark, sf).select("shard_id", "seq_no")
+    parents = {"shard-view": "shard-click", "shard-error": "shard-view"}
+    target = SnapshotTable(spark, scratch_path(spark, "shards"))
+    positions.drain_log(target, lambda: log, "shard_id", "seq_no", log.count() // 6 + 1, parents=parents)
+    loads = target.loads().select("load_id", "version")
+    staged = None
+    for directory in target.head()["dirs"]:
+        part = target.read([directory]).withColumn("load_id", F.regexp_extract(F.lit(directory), "(slice-[0-9]+)", 1))
+        staged = part if staged is None else staged.unionByName(part)
+    seen = staged.join(loads, "load_id").groupBy(F.col("shard_id").alias("shard")).agg(
+        F.count(F.lit(1)).alias("n"), F.min("version").alias("first"), F.max("version").alias("last")
+    )
+    known = spark.createDataFrame(list(parents.items()), "shard string, parent string")
+    of_parent = seen.select(F.col("shard").alias("parent"), F.col("last").alias("parent_last"))
+    joined = seen.join(known, "shard", "left").join(of_parent, "parent", "left")
+    return joined.select("shard", "n", F.coalesce(F.col("first") > F.col("parent_last"), F.lit(True)).alias("after_parent"))
+
+
 @register("T09_topic_tables", "SELECT event_type AS topic, count(*) AS n, sum(event_id)::BIGINT AS ids FROM events GROUP BY 1")
 def topic_tables(spark, sf):
     """Each slice is written to a table per topic in one pass."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Years that part sparse, medium and dense history.
@@ -76,27 +76,27 @@ def month_aligned(bounds: DataFrame) -> DataFrame:
     )
 
 
-def calendar_ranges(spark: SparkSession, start: dt.date, end: dt.date, months: int) -> DataFrame:
-    """Closed date ranges of some months (6 for daily reports, 24 for coarser ones), a day apart.
+def calendar_ranges(bounds: DataFrame, months: int) -> DataFrame:
+    """Closed date ranges of some months (6 for daily reports, 24 for coarser ones), a day apart, from ``start_at`` to ``end_at``.
 
-    Each range starts where the one before ended plus a day, so they are stepped here; there are
-    a few dozen at most.
+    Each range starts the day after the one before ended, so they are stepped within the row of their bounds.
     """
-    if start > end:
-        raise ValueError("start must not lie after end")
-    ranges = []
-    while start <= end:
-        stop = min(add_months(start, months), end)
-        ranges.append((start, stop))
-        start = stop + dt.timedelta(days=1)
-    return spark.createDataFrame(ranges, "chunk_start date, chunk_end date")
-
-
-def add_months(day: dt.date, months: int) -> dt.date:
-    month = day.year * 12 + day.month - 1 + months
-    year, month = month // 12, month % 12 + 1
-    first_after = dt.date(year + month // 12, month % 12 + 1, 1)
-    return dt.date(year, month, min(day.day, (first_after - dt.timedelta(days=1)).day))
+    start, end = F.to_date("start_at"), F.to_date("end_at")
+    wrong = F.raise_error(F.lit("start must not lie after end")).cast("date")
+    known = bounds.select(F.when(start <= end, start).otherwise(wrong).alias("start"), end.alias("end"))
+
+    def from_(first: Column) -> Column:
+        return F.struct(first.alias("chunk_start"), F.least(F.add_months(first, months), F.col("end")).alias("chunk_end"))
+
+    # More steps than there are ranges; those beyond the end add nothing.
+    steps = F.sequence(F.lit(1), F.floor(F.months_between("end", "start") / months).cast("int") + 1)
+
+    def stepped(done: Column, step: Column) -> Column:
+        following = F.date_add(F.element_at(done, -1)["chunk_end"], 1)
+        return F.when(following <= F.col("end"), F.concat(done, F.array(from_(following)))).otherwise(done)
+
+    ranges = F.aggregate(steps, F.array(from_(F.col("start"))), stepped)
+    return known.select(F.explode(ranges).alias("r")).select("r.*")
 
 
 def adaptive_chunks(bounds: DataFrame, workers: int) -> DataFrame:

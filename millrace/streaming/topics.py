@@ -131,8 +131,7 @@ def start_offsets(messages: DataFrame, at: dt.datetime) -> DataFrame:
 def from_offsets(messages: DataFrame, starts: DataFrame) -> DataFrame:
     """Messages at or after the start of their partition.
 
-    There is one start per partition of the topics, which the broker keeps to some thousands:
-    small enough to broadcast.
+    There is one start per partition of the topics; Catalyst broadcasts them by their size.
     """
-    joined = drop_right_keys(messages, F.broadcast(starts), ["topic", "partition"], "inner")
+    joined = drop_right_keys(messages, starts, ["topic", "partition"], "inner")
     return joined.filter(F.col("offset") >= F.col("start_offset")).drop("start_offset")

@@ -304,14 +304,20 @@ def test_custom_query_bounds(spark):
 
 
 def test_calendar(spark, rows):
-    got = rows(R.calendar_ranges(spark, dt.date(2023, 1, 1), dt.date(2024, 3, 1), 6))
-    assert got == [
-        (dt.date(2023, 1, 1), dt.date(2023, 7, 1)), (dt.date(2023, 7, 2), dt.date(2024, 1, 2)), (dt.date(2024, 1, 3), dt.date(2024, 3, 1)),
+    def ranges(start, end, months):
+        return rows(R.calendar_ranges(one(spark, f"DATE '{start}' AS start_at, DATE '{end}' AS end_at"), months))
+
+    day = dt.date
+    assert ranges("2023-01-01", "2024-03-01", 6) == [
+        (day(2023, 1, 1), day(2023, 7, 1)), (day(2023, 7, 2), day(2024, 1, 2)), (day(2024, 1, 3), day(2024, 3, 1)),
     ]
-    assert R.add_months(dt.date(2024, 8, 31), 6) == dt.date(2025, 2, 28)
-    assert R.add_months(dt.date(2024, 2, 29), 24) == dt.date(2026, 2, 28)
-    with pytest.raises(ValueError):
-        R.calendar_ranges(spark, dt.date(2024, 1, 2), dt.date(2024, 1, 1), 6)
+    assert ranges("2024-08-31", "2025-03-01", 6) == [(day(2024, 8, 31), day(2025, 2, 28)), (day(2025, 3, 1), day(2025, 3, 1))]
+    assert ranges("2024-02-29", "2024-02-29", 24) == [(day(2024, 2, 29), day(2024, 2, 29))]
+    many = ranges("2000-01-01", "2024-01-01", 1)
+    assert many[0][0] == day(2000, 1, 1) and many[-1][1] == day(2024, 1, 1)
+    assert all(b[0] - a[1] == dt.timedelta(days=1) for a, b in zip(many, many[1:]))
+    with pytest.raises(Exception, match="after end"):
+        ranges("2024-01-02", "2024-01-01", 6)
 
 
 def test_short_interval_is_hourly(spark):

@@ -182,6 +182,9 @@ def test_repair(spark):
         (dt.datetime(1970, 1, 1), ["a", "b"]), (dt.datetime(2024, 1, 2, 3, 4, 5), []), (None, None),
     ]
     assert repair.repair_source_types(raw, dates=["at"], zero_date="null").first()["at"] is None
+    odd = spark.createDataFrame([("no date", "{"), ("2024-01-02", "[1]"), ("0000-00-00", None)], "at string, doc string")
+    got = repair.repair_source_types(odd, dates=["at"], json=["doc"]).collect()
+    assert [(r["at__v_text"], r["doc__v_text"]) for r in got] == [("no date", "{"), (None, None), (None, None)]
 
 
 def test_documents(spark, rows):

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from millrace.session import scratch_path
 from millrace.sinks import tables
 from millrace.sinks.tables import SnapshotTable
-from millrace.streaming import drain, queues, shards, topics
+from millrace.streaming import drain, positions, queues, shards, topics
 
 
 def messages(spark, items):
@@ -166,3 +166,36 @@ def test_slices_whose_types_widen(spark, rows):
     drain.merge_into(table, "id")(spark.createDataFrame([("b", 5_000_000_000, "new")], "id string, v bigint, w string"), 1)
     drain.merge_into(table, "id")(spark.createDataFrame([("c", 2)], "id string, v int"), 2)
     assert rows(table.read(), "id", "v", "w") == [("a", 1, None), ("b", 5_000_000_000, "new"), ("c", 2, None)]
+
+
+def log_of(spark, sizes, parts=3):
+    rows = [(p, str(3 * n + 10**20), f"{p}{n}") for p, size in sizes.items() for n in range(size)]
+    return spark.createDataFrame(rows, "shard string, seq string, v string").repartition(parts)
+
+
+def test_a_log_is_drained_by_positions(spark, rows):
+    """Numbers beyond any whole number type, a hot partition, a drain that stops, and messages that come later."""
+    table = SnapshotTable(spark, scratch_path(spark, "log"))
+    log = log_of(spark, {"hot": 400, "b": 3, "c": 0})
+    assert positions.drain_log(table, lambda: log, "shard", "seq", 100, slices=2) == 2
+    assert table.head()["positions"]["b"] == str(3 * 2 + 10**20) and 150 < table.read().count() < 300
+    positions.drain_log(table, lambda: log, "shard", "seq", 100)
+    assert rows(table.read()) == rows(log)
+    assert positions.drain_log(table, lambda: log, "shard", "seq", 100) == 0
+    more = log_of(spark, {"hot": 401, "b": 3, "new": 2})
+    positions.drain_log(table, lambda: more, "shard", "seq", 100)
+    assert rows(table.read()) == rows(more)
+
+
+def test_children_of_a_split_wait_for_their_parent(spark):
+    table = SnapshotTable(spark, scratch_path(spark, "split"))
+    log, parents = log_of(spark, {"a": 50, "a1": 4, "a2": 4, "a21": 2}), {"a1": "a", "a2": "a", "a21": "a2", "late": "gone"}
+    seen = []
+    while positions.drain_log(table, lambda: log, "shard", "seq", 20, parents=parents, slices=1):
+        seen.append({r.shard for r in table.read().select("shard").distinct().collect()})
+    assert seen[0] == {"a"} and seen[-2] == {"a", "a1", "a2"} and seen[-1] == {"a", "a1", "a2", "a21"}
+
+
+def test_positions_by_time(spark):
+    frame = spark.createDataFrame([("p", n, dt.datetime(2024, 1, 1 + n)) for n in range(5)] + [("q", 7, dt.datetime(2023, 1, 1))], "part string, n long, at timestamp_ntz")
+    assert positions.positions_at(frame, "part", "n", "at", dt.datetime(2024, 1, 3, 12)) == {"p": "2", "q": "6"}
