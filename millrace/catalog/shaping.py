@@ -547,3 +547,50 @@ def promote_key(spark, sf):
         "o_orderkey AS Id", "named_struct('LastUpdatedTime', o_orderdate) AS MetaData", "o_totalprice AS Total"
     )
     return S.promote_key(raw, {"Id": "id", "MetaData.LastUpdatedTime": "lastupdatedtime"}, drop=["MetaData"])
+
+
+@register(
+    "R10_usage_records",
+    """SELECT CAST(o_orderdate AS VARCHAR) AS bucket, '' AS api_key_id, o_orderpriority AS workspace_id, '' AS model, '' AS service_tier,
+  '' AS context_window, CAST(o_custkey AS BIGINT) AS uncached_input_tokens, 0 AS cached_input_tokens, 0 AS cache_creation_tokens,
+  CASE WHEN o_orderstatus = 'P' THEN 0 ELSE o_orderkey END AS output_tokens, 0 AS web_search_usage, 0 AS code_execution_usage FROM orders""",
+)
+def usage_records(spark, sf):
+    """Counts below objects of which some are missing."""
+    raw = table(spark, sf, "orders").selectExpr(
+        "CAST(o_orderdate AS STRING) AS bucket", "o_orderpriority AS workspace_id",
+        "named_struct('uncached_input_tokens', o_custkey, 'output_tokens', IF(o_orderstatus = 'P', null, o_orderkey)) AS tokens",
+    )
+    return S.lift_fields(raw, S.USAGE_FIELDS, only=True)
+
+
+@register(
+    "R10_activity_records",
+    """SELECT o_orderkey, CAST(o_custkey AS BIGINT) AS num_sessions, CASE WHEN o_orderstatus = 'O' THEN 0 ELSE o_orderkey END AS lines_added,
+  0 AS lines_removed, o_custkey AS edit_accepted, 0::BIGINT AS edit_rejected, 0::BIGINT AS write_accepted, o_orderkey AS write_rejected FROM orders""",
+)
+def activity_records(spark, sf):
+    """Core metrics two levels down, and the accepted and rejected actions of each tool."""
+    raw = table(spark, sf, "orders").selectExpr(
+        "o_orderkey",
+        "named_struct('num_sessions', o_custkey, 'lines_of_code', named_struct('added', IF(o_orderstatus = 'O', null, o_orderkey))) AS core_metrics",
+        "named_struct('edit', named_struct('accepted', o_custkey), 'write', named_struct('rejected', o_orderkey, 'accepted', CAST(null AS BIGINT))) AS tool_actions",
+    )
+    return S.spread_actions(S.lift_fields(raw, S.ACTIVITY_FIELDS, drop=["core_metrics"]), "tool_actions")
+
+
+@register(
+    "R26_conversations",
+    """SELECT c_custkey, c_name AS first_contact_reply_at, CAST(NULL AS VARCHAR) AS first_admin_reply_at, CAST(NULL AS VARCHAR) AS last_contact_reply_at,
+  CAST(NULL AS VARCHAR) AS last_admin_reply_at, CAST(NULL AS VARCHAR) AS median_admin_reply_time, c_acctbal AS mean_admin_reply_time,
+  CASE WHEN c_nationkey = 1 THEN 0 ELSE c_nationkey END AS conversation_parts_count, CAST(c_custkey AS VARCHAR) AS plan_id, c_mktsegment AS plan_name FROM customer""",
+)
+def conversations(spark, sf):
+    """Statistics, the number of parts and a plan, out of their objects."""
+    raw = table(spark, sf, "customer").selectExpr(
+        "c_custkey", "named_struct('first_contact_reply_at', c_name, 'mean_admin_reply_time', c_acctbal) AS statistics",
+        "named_struct('total_count', IF(c_nationkey = 1, null, c_nationkey)) AS conversation_parts",
+        "named_struct('id', CAST(c_custkey AS STRING), 'name', c_mktsegment) AS plan",
+    )
+    lifted = S.lift_fields(raw, S.CONVERSATION_FIELDS, drop=["statistics", "conversation_parts"])
+    return S.lift_fields(lifted, S.PLAN_FIELDS, drop=["plan"])

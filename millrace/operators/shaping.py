@@ -460,6 +460,70 @@ def stamp_constants(df: DataFrame, **values: object) -> DataFrame:
     return df.withColumns({n: F.lit(v) for n, v in values.items()})
 
 
+# Columns of sibling records, the path each comes from, and what stands for a missing one.
+USAGE_FIELDS = {
+    "bucket": ("bucket", ""), "api_key_id": ("api_key_id", ""), "workspace_id": ("workspace_id", ""), "model": ("model", ""),
+    "service_tier": ("service_tier", ""), "context_window": ("context_window", ""),
+    "uncached_input_tokens": ("tokens.uncached_input_tokens", 0), "cached_input_tokens": ("tokens.cached_input_tokens", 0),
+    "cache_creation_tokens": ("tokens.cache_creation_tokens", 0), "output_tokens": ("tokens.output_tokens", 0),
+    "web_search_usage": ("server_tool_usage.web_search_usage", 0),
+    "code_execution_usage": ("server_tool_usage.code_execution_usage", 0),
+}
+COST_FIELDS = {
+    "bucket": ("bucket", ""), "workspace_id": ("workspace_id", ""), "description": ("description", ""), "amount_cents": ("amount_cents", 0),
+}
+ACTIVITY_FIELDS = {
+    "num_sessions": ("core_metrics.num_sessions", 0), "lines_added": ("core_metrics.lines_of_code.added", 0),
+    "lines_removed": ("core_metrics.lines_of_code.removed", 0),
+}
+PLAN_FIELDS = {"plan_id": ("plan.id", None), "plan_name": ("plan.name", None)}
+CONVERSATION_FIELDS = {
+    **{
+        name: (f"statistics.{name}", None)
+        for name in (
+            "first_contact_reply_at", "first_admin_reply_at", "last_contact_reply_at", "last_admin_reply_at",
+            "median_admin_reply_time", "mean_admin_reply_time",
+        )
+    },
+    "conversation_parts_count": ("conversation_parts.total_count", 0),
+}
+
+
+def lift_fields(df: DataFrame, fields: Mapping[str, tuple[str, object]], only: bool = False, drop: Sequence[str] = ()) -> DataFrame:
+    """Columns from nested paths, each with what stands for a missing one; a path that no record has gives that alone.
+
+    With ``only`` the record is these columns, else they come to it in the place of those in ``drop``.
+    """
+    out = []
+    for name, (path, default) in fields.items():
+        found = resolve_path(df.schema, path.split("."))
+        kind = None
+        if found:
+            value = F.col(".".join(quoted(p) for p in found))
+            kind = df.select(value.alias("v")).schema[0].dataType
+        missing = F.lit(default) if default is not None else F.lit(None).cast(kind or "string")
+        if kind is not None and default is not None:
+            missing = missing.cast(kind)
+        out.append((F.coalesce(value, missing) if found else missing).alias(name))
+    if only:
+        return df.select(*out)
+    kept = [n for n in df.columns if n not in drop and n not in fields]
+    return df.select(*[c(n) for n in kept], *out)
+
+
+def spread_actions(df: DataFrame, column: str, counts: Sequence[str] = ("accepted", "rejected")) -> DataFrame:
+    """An object of tools, each with counts, to the columns ``<tool>_<count>``; a missing count is zero."""
+    kind = df.schema[column].dataType
+    out = {}
+    for tool in kind.fields:
+        for name in counts:
+            there = isinstance(tool.dataType, T.StructType) and name in tool.dataType.names
+            value = c(column)[tool.name][name] if there else F.lit(None)
+            out[f"{tool.name}_{name}"] = F.coalesce(value.cast("bigint"), F.lit(0).cast("bigint"))
+    refuse_clash([*[n for n in df.columns if n != column], *out])
+    return df.withColumns(out).drop(column)
+
+
 def flatten_contact(df: DataFrame) -> DataFrame:
     """Location to three columns, companies to ids and a count, attributes never null."""
     out: dict[str, Column] = {}

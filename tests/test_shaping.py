@@ -262,6 +262,14 @@ def test_properties_without_a_column_are_kept(spark):
     assert [r["__other"] for r in got] == ['{"b":"y"}', '{"a":"one"}', "broken", None] or [r["__other"] for r in got] == ['{"b":"y","c":null}', '{"a":"one"}', "broken", None]
 
 
+def test_sibling_records(spark):
+    cost = one(spark, "CAST(null AS STRING) AS bucket, 'w' AS workspace_id, 5 AS amount_cents, 'x' AS more")
+    assert S.lift_fields(cost, S.COST_FIELDS, only=True).first().asDict() == {"bucket": "", "workspace_id": "w", "description": "", "amount_cents": 5}
+    assert S.lift_fields(cost, S.PLAN_FIELDS).first().asDict()["plan_id"] is None
+    with pytest.raises(ValueError):
+        S.spread_actions(one(spark, "1 AS a_accepted, named_struct('a', named_struct('accepted', 1)) AS t"), "t")
+
+
 def test_widening(spark, rows):
     small = spark.createDataFrame([(1, 1.5)], "a int, b float")
     large = spark.createDataFrame([(2, 5_000_000_000)], "a bigint, b bigint")
