@@ -17,7 +17,7 @@ are spans of the kind "term". A single text is evidence enough in a corpus of so
 (a share of one before smoothing) are removed, others are generalised to [WORD], [NAME] (a capital first) or [NUMBER].
 
 There are three passes over the texts. The first finds identifiers and the words of the texts that hold some. These
-words go into a bitmap of fixed size (2 MB), by which the second pass counts the texts of these words only; a word
+words go into a bitmap (32 MB at most), by which the second pass counts the texts of these words only; a word
 that is counted without need changes nothing. Texts that may have copies, by a bitmap too, are shuffled by
 their hash and counted once each; no other text is shuffled but by ``sanitised``. A term of an entity of n_e texts
 stands in at most (n_e + PRIOR p(e)) / p(e) ** (1 - REVEALS) - PRIOR texts, else its share is too small whatever
@@ -47,8 +47,6 @@ from .words import BATCH_CHARS, batches, pieces, word_hashes, words
 
 KINDS = ("email", "ip", "card", "phone")
 TERM = "term"
-# The window in which the tests' brute force looks for terms; here they are looked for in whole documents.
-REACH = 50
 REVEALS = 0.95
 PRIOR = 0.25
 

@@ -35,3 +35,11 @@ def test_stages_work_on_all_that_the_one_before_kept(spark, tmp_path):
     assert kept["quality"] == clean | {300, 301}
     assert kept["near_dedup"] == clean
     assert kept["decontaminate"] == kept["private"] == kept["packing"] == clean - {310}
+
+
+def test_nothing_in_gives_nothing_out(spark, nothing):
+    """Each stage on an empty table of documents."""
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, nothing, "/root/testdata/sf0.001")
+        assert out.count() == 0, name
+        assert name == "packing" or out.columns == nothing.columns, name

@@ -2,7 +2,7 @@ import hashlib
 import math
 import random
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import pytest
 
@@ -49,51 +49,61 @@ def letters():
     return rows
 
 
-def brute_terms(rows, reach, reveals):
-    docs = []
-    for i, (_, text) in enumerate(rows):
-        text = text or ""
+def brute_terms(rows, reveals):
+    """Places of disclosing words in each row, by counts over different texts, whole documents and smoothed shares."""
+
+    def outside(text):
         spans = P.base_spans(text)
-        words = [(m.group().lower(), *m.span()) for m in re.finditer(r"[^\W_]+", text)]
-        near = defaultdict(set)
-        for k, a, b, v in spans:
-            before = [w for w in words if w[2] <= a][-reach:]
-            after = [w for w in words if w[1] >= b][:reach]
-            for w, x, y in before + after:
-                if not any(x < e and y > s for _, s, e, _ in spans):
-                    near[(k, v), w].add((x, y))
-        docs.append((i, text, {(k, v) for k, _, _, v in spans}, near, {w for w, _, _ in words}))
-    n_e, n_t, n_et, texts = Counter(), Counter(), Counter(), defaultdict(set)
-    for _, text, entities, near, words in docs:
+        found = [(m.group().lower(), *m.span()) for m in re.finditer(r"[^\W_]+", text)]
+        return {(k, v) for k, _, _, v in spans}, [w for w in found if not any(w[1] < e and w[2] > s for _, s, e, _ in spans)], {w for w, _, _ in found}
+
+    texts = {t or "": outside(t or "") for _, t in rows}
+    n_e, n_t, n_et = Counter(), Counter(), Counter()
+    for entities, words, whole in texts.values():
         n_e.update(entities)
-        n_t.update(words)
-        n_et.update(near.keys())
-        for pair in near:
-            texts[pair].add(text)
-    out = {}
-    for i, _, _, near, _ in docs:
-        found = set()
-        for (e, w), at in near.items():
-            p = n_e[e] / len(rows)
-            share = (math.log(n_et[e, w] / n_t[w]) - math.log(p)) / -math.log(p) if p < 1 else 0
-            if len(texts[e, w]) > 1 and share >= reveals - 1e-9:
-                found |= at
-        out[i] = sorted(found)
-    return out
-
-
-def test_spans_and_terms_equal_brute_force(spark, letters):
-    frame = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in letters], "doc_id long, text string, e string, t long, near string")
-    terms = brute_terms(letters, P.REACH, P.REVEALS)
+        n_t.update(whole)
+        n_et.update({(e, w) for e in entities for w, _, _ in words})
+    disclosing = set()
+    for (e, w), n in n_et.items():
+        p = n_e[e] / len(texts)
+        if p < 1:
+            smooth = (n + P.PRIOR * p) / (n_t[w] + P.PRIOR)
+            if (math.log(smooth) - math.log(p)) / -math.log(p) >= reveals - 1e-12:
+                disclosing.add(w)
+    return [sorted((a, b) for w, a, b in texts[t or ""][1] if w in disclosing) for _, t in rows]
+
+
+@pytest.mark.parametrize("which", ["letters", "single", "many"])
+def test_spans_and_terms_equal_brute_force(spark, request, which):
+    rows = many_texts() if which == "many" else request.getfixturevalue(which)
+    frame = spark.createDataFrame([(i, t, "x", 1, "y") for i, t in rows], "doc_id long, text string, e string, t long, near string")
+    terms = brute_terms(rows, P.REVEALS)
     want = []
-    for i, (doc, text) in enumerate(letters):
+    for i, (doc, text) in enumerate(rows):
         base = [f"{k}:{a}:{b}" for k, a, b, _ in P.base_spans(text or "")]
         counts = [sum(s.startswith(k) for s in base) for k in P.KINDS]
         digest = hashlib.sha256(",".join(base).encode()).hexdigest()
         want.append((doc, *counts, digest, ",".join(base + [f"term:{a}:{b}" for a, b in terms[i]])))
     found = P.Findings(frame).spans().drop("n_term").collect()
     assert sorted(map(tuple, found), key=str) == sorted(want, key=str)
-    assert any("term" in w[-1] for w in want)
+    assert which == "letters" or any("term" in w[-1] for w in want)
+
+
+def many_texts():
+    """Identifiers of one, some and many texts, with words that go with them always, mostly or by chance; copies among them."""
+    rng = random.Random(21)
+    rows = []
+    for i in range(600):
+        words = [f"w{rng.randrange(200)}" for _ in range(rng.randrange(3, 40))]
+        who = rng.randrange(30)
+        if i % 5 == 0:
+            words.insert(rng.randrange(len(words)), f"p{who}@ex.org")
+            words.append(f"Friend{who}")
+            words += [f"pal{who}"] * (rng.random() < 0.8)
+        elif i % 7 == 0:
+            words += [f"pal{who}", f"friend{who}" if i % 2 else "and"]
+        rows.append((i, " ".join(words)))
+    return rows + [(600 + i, rows[rng.randrange(600)][1]) for i in range(80)] + [(None, None), (5, ""), (10, rows[10][1])]
 
 
 def test_sanitised_texts(spark, letters):
