@@ -10,7 +10,7 @@ connected component of links.
   soon as its next arrival comes after the last first arrival of all registers.
 * Documents with equal weights are one node; copies never meet as pairs.
 * 24 bands of four registers: a pair of similarity 0.8 shares no band with a probability of 3e-6.
-* Within a bucket each node is compared with six centres. Where a bucket then still holds several
+* Within a bucket each node is compared with two centres. Where a bucket then still holds several
   components, the nodes outside its main component are held against all nodes of other components, in blocks: first each
   names the one it differs least from, round after round while that finds links; then all pairs left are compared, so that
   no link between components is missed.
@@ -52,7 +52,7 @@ MARKS = 16
 # Nodes of a bucket that are compared in one task.
 BLOCK = 4096
 # Centres of a bucket that each of its nodes is compared with first.
-CENTRES = 6
+CENTRES = 2
 # Shingle ids within a batch: the text's number above 52 bits of hash.
 ID_BITS = np.uint64(52)
 ID_MASK = np.uint64((1 << 52) - 1)
