@@ -55,6 +55,11 @@ def names_in(spark: SparkSession, path: str, folders: bool) -> list[str]:
     return sorted(c.getPath().getName() for c in children if c.isDirectory() == folders)
 
 
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below ``path``."""
+    return _fs(spark, path).getContentSummary(_path(spark, path)).getLength()
+
+
 def old_folders(spark: SparkSession, path: str, hours: float) -> list[str]:
     """Names of the folders in ``path`` last changed more than ``hours`` ago."""
     limit = (time.time() - hours * 3600) * 1000
