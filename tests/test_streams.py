@@ -160,6 +160,22 @@ def test_slices_are_merged_level_by_level(spark, rows, monkeypatch):
     assert "Exchange" not in table.read()._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("most", [1 << 20, 0])
+def test_parts_are_read_by_tasks_of_their_own(spark, rows, monkeypatch, most):
+    """Each part is a task at least, also where a merge writes them; a large part is dealt to several."""
+    monkeypatch.setattr(tables, "PART_BYTES", most)
+    table = SnapshotTable(spark, scratch_path(spark, "parts"))
+    for number in range(6):
+        slice_ = spark.range(number, 200).selectExpr("CAST(id AS STRING) AS id", f"{number % 5} AS at", f"{number} AS v")
+        drain.merge_into(table, "id", "at", parts=4)(slice_, number)
+    read = table.read()
+    assert ("Exchange" in read._jdf.queryExecution().executedPlan().toString()) == (not most)
+    assert read.rdd.getNumPartitions() >= 4
+    assert rows(read) == sorted((str(i), min(i, 4), min(i, 4)) for i in range(200))
+    merged = [d for d in table.head()["dirs"] if d.startswith("__dir=level1")]
+    assert len({d.rsplit("/")[-1] for d in merged}) == 4
+
+
 def test_slices_whose_types_widen(spark, rows):
     table = SnapshotTable(spark, scratch_path(spark, "wider"))
     drain.merge_into(table, "id")(spark.createDataFrame([("a", 1), ("b", 1)], "id string, v int"), 0)
