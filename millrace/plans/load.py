@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import quoted
 from ..operators import cursors, maintenance, masking, normalize
-from ..operators.keys import dedup_by_key
+from ..operators.keys import dedup_by_key, drop_right_keys, match_many
 from ..operators.widening import cast_like
 from ..session import stage
 from ..sinks.documents import DocumentStore, shape_documents
-from ..sinks.files import cluster_by, day_column
+from ..sinks.files import cluster_by, day_column, gathered
 from ..sinks.tables import FOLD, SnapshotTable, TableGroup
 from ..sources.filescan import LISTED, FileScan
 from .request import LoadError, LoadRequest
@@ -196,20 +196,18 @@ def nested_load(
     rows = without_seen(rows, request, cursor, told_by)
     if request.limit is not None:
         rows = cursors.lowest(rows, request.limit, request.incremental_key, told_by)
-    if merging:
-        rows = dedup_by_key(rows, request.primary_key, [request.incremental_key] if request.incremental_key else [])
     rows = maintenance.stamp_lineage(rows, load_id, key=request.primary_key, unique=not request.primary_key).drop("_load_id")
-    # Computed once for all tables.
-    rows = stage(rows, "records")
+    buckets = head["buckets"] or request.buckets or NESTED_BUCKETS
+    # Computed once for all tables, and gathered by bucket before lists become rows: their tables are written without a shuffle.
+    rows, bucket = in_buckets(rows, buckets)
+    if merging:
+        rows = in_buckets(rows, buckets, request)[0]
+    of_batch, rows = rows.select(F.col("_row_id").alias("_root_id"), bucket), rows.drop(bucket)
     shredded = normalize.shred_nested(rows, name, levels=request.nesting)
     shredded[name] = shredded[name].withColumn("_root_id", F.col("_row_id"))
-    buckets = head["buckets"] or request.buckets or NESTED_BUCKETS
     names = sorted(shredded.keys() | set(group.names()) if whole or merging else shredded)
     tables = group.begin(names)
-    roots, touched = rows.select(F.col("_row_id").alias("_root_id")), None
-    if merging and not whole:
-        of_batch, bucket = maintenance.add_bucket(roots, ["_root_id"], buckets)
-        touched = {f"{bucket}={r[0]}" for r in of_batch.select(bucket).distinct().collect()}
+    touched = {r[0] for r in of_batch.select(bucket).distinct().collect()} if merging and not whole else set()
     for each, table in zip(names, tables):
         batch = shredded.get(each)
         if batch is None:
@@ -219,8 +217,8 @@ def nested_load(
                 continue
             batch = maintenance.strip_lineage(table.read()).filter(F.lit(False)).drop(maintenance.bucket_column(buckets))
         batch = batch.withColumn("_load_id", F.lit(load_id))
-        batch, bucket = maintenance.add_bucket(batch, ["_root_id"], buckets)
-        top = table.write_files(batch, f"batch-{load_id}", [bucket])
+        batch, _ = maintenance.add_bucket(batch, ["_root_id"], buckets)
+        top = table.write_files(batch, f"batch-{load_id}", [bucket], gather=False)
         dirs = [f"{top}/{p}" for p in table.partitions_of(top, 1)]
         table.loaded_next = table.rows_in(dirs, batch.schema)
         position = next_position(table, rows, request, cursor, told_by) if each == name else None
@@ -228,7 +226,7 @@ def nested_load(
             table.commit(load_id, dirs, batch.schema, [bucket], position, buckets)
         else:
             stored = spark.read.schema(batch.schema).option("basePath", table.path).parquet(*[f"{table.path}/{d}" for d in dirs]) if dirs else batch.filter(F.lit(False))
-            replace_records(table, stored.select(*batch.columns), dirs, roots if merging else None, touched, load_id, position, [bucket])
+            replace_records(table, stored.select(*batch.columns), dirs, of_batch if merging else None, touched, load_id, position, bucket)
     group.commit(tables)
 
 
@@ -236,22 +234,63 @@ def nested_load(
 NESTED_BUCKETS = 8
 
 
+# Buckets that are merged one by one; where a batch meets more of them, all are merged together and gathered again.
+MOST_APART = 64
+
+
+def in_buckets(rows: DataFrame, buckets: int, request: LoadRequest | None = None) -> tuple[DataFrame, str]:
+    """Records staged in folders by the bucket of their id, and the name of the bucket's column.
+
+    With ``request`` the rows are staged so already, and one row of each key is left: only keys that occur more than once
+    are looked at, so rows are not moved for the sake of those that do not.
+    """
+    if request is None:
+        rows, bucket = maintenance.add_bucket(rows, ["_row_id"], buckets)
+    else:
+        bucket, keys = maintenance.bucket_column(buckets), request.primary_key
+        often = rows.groupBy(*[F.col(quoted(k)) for k in keys]).agg(F.count(F.lit(1)).alias("__n")).filter("__n > 1").drop("__n")
+        often = stage(often, "often")
+        if often.isEmpty():
+            return rows, bucket
+        first = dedup_by_key(drop_right_keys(rows, often, keys, "left_semi"), keys, [request.incremental_key] if request.incremental_key else [])
+        rows = match_many(rows, often, keys, "left_anti").unionByName(first)
+    return stage(gathered(rows, [bucket]), "records", bucket), bucket
+
+
 def replace_records(
-    table: SnapshotTable, batch: DataFrame, dirs: list[str], roots: DataFrame | None, touched: set[str] | None, load_id: str, position, by: list[str]
+    table: SnapshotTable, batch: DataFrame, dirs: list[str], roots: DataFrame | None, touched: set[int], load_id: str, position, bucket: str
 ) -> None:
-    """One table of nested records: rows of the ``roots`` go, those of the batch come."""
+    """One table of nested records: rows of the ``roots`` go, those of the batch come.
+
+    A bucket's rows are held against the roots of that bucket, so what is left is written as it comes. The files of the
+    batch are used as they are.
+    """
     there = table.head()["dirs"]
     final = normalize.evolve(empty_like(table), batch).schema
     fits = normalize.readable_as(table.schema(), final) and normalize.readable_as(batch.schema, final)
     if roots is None and fits:
-        table.commit(load_id, [*there, *dirs], final, by, position)
+        table.commit(load_id, [*there, *dirs], final, [bucket], position)
         return
-    met = [d for d in there if not fits or d.rsplit("/", 1)[-1] in (touched or ())]
-    old = table.read(met) if met else empty_like(table)
-    kept = maintenance.drop_right_keys(old, roots, ["_root_id"], "left_anti") if roots is not None else old
-    merged = normalize.evolve(kept, batch)
-    name = table.write_files(merged, load_id, by)
-    table.commit(load_id, [*[d for d in there if d not in met], *[f"{name}/{p}" for p in table.partitions_of(name, 1)]], merged.schema, by, position)
+    of = {f"{bucket}={b}": b for b in touched}
+    met = [d for d in there if not fits or d.rsplit("/", 1)[-1] in of]
+    apart = fits and len(of) <= MOST_APART
+    if not met:
+        kept = empty_like(table)
+    elif apart:
+        kept = None
+        for folder, number in sorted(of.items()):
+            if mine := [d for d in met if d.rsplit("/", 1)[-1] == folder]:
+                gone = roots.filter(F.col(bucket) == number).select("_root_id")
+                rest = maintenance.drop_right_keys(table.read(mine), gone, ["_root_id"], "left_anti")
+                kept = rest if kept is None else kept.union(rest)
+    else:
+        kept = table.read(met)
+        if roots is not None:
+            kept = maintenance.drop_right_keys(kept, roots.select("_root_id"), ["_root_id"], "left_anti")
+    merged = normalize.evolve(kept, batch.filter(F.lit(False)) if fits else batch)
+    name = table.write_files(merged, load_id, [bucket], gather=not apart)
+    added = [f"{name}/{p}" for p in table.partitions_of(name, 1)] + (dirs if fits else [])
+    table.commit(load_id, [*[d for d in there if d not in met], *added], merged.schema, [bucket], position)
 
 
 def document_load(

@@ -13,7 +13,7 @@ from millrace.operators.keys import dedup_by_key, match_many, without_keys
 from millrace.plans.load import run_load
 from millrace.plans.request import LoadRequest
 from millrace.session import scratch_path
-from millrace.sinks.tables import SnapshotTable
+from millrace.sinks.tables import SnapshotTable, TableGroup
 
 D = dt.date
 SYMBOLS = "symbol string, date date, name string"
@@ -657,3 +657,24 @@ def test_the_first_rows_by_counts(spark, monkeypatch, few):
         assert "TakeOrdered" not in found._jdf.queryExecution().executedPlan().toString()
     # Equal rows: as many of them as belong.
     assert cursors.lowest(frame.select("at"), 200, "at").count() == 200
+
+
+def test_a_merge_of_records_uses_the_batch_as_it_was_written(spark, rows, no_broadcast):
+    """Keys that come twice, in a batch of a few buckets; what is kept is written by tasks of one bucket, the batch once."""
+    path = scratch_path(spark, "once")
+    request = LoadRequest(source="docs", target=path, strategy="merge", primary_key=["id"], incremental_key="at", nesting=1)
+    old = spark.range(60).selectExpr("id", "1 AS at", "transform(sequence(1, 3), i -> 'old' || i) AS lines")
+    run_load(old.unionByName(old.filter("id < 5").withColumn("at", F.lit(0))), request, "first")
+    again = old.filter("id % 20 = 7").withColumns({"lines": F.expr("array('new')"), "at": F.lit(2)})
+    run_load(again.unionByName(again.withColumns({"at": F.lit(1), "lines": F.expr("array('late')")})), request, "second")
+    group = TableGroup(spark, path)
+    lines, docs = group.table("docs__lines"), group.table("docs")
+    for table in (lines, docs):
+        dirs = table.head()["dirs"]
+        assert any(d.startswith("__dir=batch-second") for d in dirs)
+        kept = [d for d in dirs if d.startswith("__dir=second")]
+        files = table.read(kept).selectExpr("_metadata.file_path AS f", "_load_id").distinct().collect()
+        assert {r[1] for r in files} == {"first"}
+    found = lines.read().join(docs.read().selectExpr("_row_id AS _root_id", "id"), "_root_id")
+    want = [(i, j, f"old{j + 1}") for i in range(60) if i % 20 != 7 for j in range(3)] + [(i, 0, "new") for i in (7, 27, 47)]
+    assert rows(found, "id", "_list_idx", "value") == sorted(want, key=lambda t: tuple((v is None, str(v)) for v in t))
