@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from millrace.llm import private as P
@@ -181,3 +182,16 @@ def test_columns_of_any_name_stay(spark):
     assert [tuple(r) for r in P.sanitised(frame).collect()] == [(1, "write to [EMAIL]", "x", 2)]
     frame = spark.createDataFrame([(1, "write to a@b.com", "x", 2)], "doc_id long, text string, terms string, thash long")
     assert [tuple(r) for r in P.sanitised(frame).collect()] == [(1, "write to [EMAIL]", "x", 2)]
+
+
+def test_frequent_words_that_disclose_nothing_are_not_carried(spark):
+    """The marking pass hands on few words but the disclosing ones, however many stand in the texts."""
+    from millrace.llm.bitmap import sieve, sifted
+    from millrace.llm.words import mix
+
+    keys = mix(np.arange(60_000, dtype=np.uint64))
+    told = [(int(k),) for k in keys[:20_000].view(np.int64)]
+    bitmaps = sieve(spark.createDataFrame(told, "t long"))
+    passed = sifted(bitmaps, keys)
+    assert set(range(20_000)) <= set(passed.tolist())
+    assert len(passed) < 20_000 + 40
