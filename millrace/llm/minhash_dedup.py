@@ -194,7 +194,7 @@ def _sizes(batch: pa.RecordBatch) -> pa.Table:
         most = np.zeros(n, dtype=np.int64)
         np.maximum.at(most, owner, weight)
         size = np.bincount(owner, weights=weight, minlength=n).astype(np.int64)
-        marks = pa.FixedSizeListArray.from_arrays(pa.array(parities(owner, ids, weight, n).ravel()), MARKS)
+        marks = pa.FixedSizeListArray.from_arrays(pa.array(parities(owner, ids, np.ones_like(weight), n).ravel()), MARKS)
         marks = marks.cast(pa.list_(pa.int64()))
         parts.append(pa.table({"node": nodes[first : first + n], "size": size, "plain": most == 1, "marks": marks}))
     return pa.concat_tables(parts)
@@ -230,8 +230,10 @@ ROOM = f"""
 def may_be_similar(left: dict[str, np.ndarray], right: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Which pairs (left by right) both bounds allow, and in how many classes of ``parities`` each pair differs.
 
-    Two similar sets differ in a ninth of both at most; two similar weights in what a total variation of a fifth between
-    their shares and their difference in size allow.
+    The parities are those of the distinct shingles. Two similar sets differ in a ninth of both at most. Of weights x and y,
+    no shared shingle i adds more to the similarity than max(x_i, y_i) / M, where M is the sum of all max(x_j, y_j); so those
+    of one side only weigh a fifth of M at most, and M is half of both sizes and of the difference that a total variation of a
+    fifth between their shares and the difference in size allow.
     """
     apart = np.zeros((len(left["size"]), len(right["size"])), dtype=np.int16)
     for i in range(MARKS):
@@ -239,7 +241,7 @@ def may_be_similar(left: dict[str, np.ndarray], right: dict[str, np.ndarray]) ->
     a, b = left["size"][:, None].astype(float), right["size"][None, :].astype(float)
     alone_a, alone_b = left["alone"][:, None], right["alone"][None, :]
     plain = left["plain"][:, None] & right["plain"][None, :]
-    most = np.where(plain, (1 - THRESHOLD) / (1 + THRESHOLD) * (a + b), 2 * (1 - THRESHOLD) * np.minimum(a, b) + np.abs(a - b))
+    most = np.where(plain, (1 - THRESHOLD) / (1 + THRESHOLD) * (a + b), (1 - THRESHOLD) / 2 * (a + b + 2 * (1 - THRESHOLD) * np.minimum(a, b) + np.abs(a - b)))
     room = np.where(
         plain,
         np.minimum(a - alone_a, b - alone_b) >= THRESHOLD / (1 + THRESHOLD) * (a + b) - 1e-6,
@@ -385,10 +387,11 @@ class _Search:
     def blocks(self, mixed: DataFrame, turn: int | None = None) -> DataFrame:
         """Buckets that hold several components, in blocks (bucket, i, j): nodes outside the main component on the left, all on the
         right. A bucket of up to ``BLOCK`` nodes is one block, a larger one as many as its nodes on the left and right need to
-        meet. With ``turn`` each node is on the left in one of its buckets only, another one each turn."""
+        meet. With ``turn`` each node is on the left in one of its buckets only, another one each turn; nodes that share
+        buckets choose the same ones, so that few buckets are laid out on the right."""
         outside = mixed.where("component <> main")
         if turn is not None:
-            chosen = outside.groupBy("node").agg(F.min_by("bucket", F.xxhash64("node", "bucket", F.lit(turn))).alias("bucket"))
+            chosen = outside.groupBy("node").agg(F.min_by("bucket", F.xxhash64("bucket", F.lit(turn))).alias("bucket"))
             outside = outside.join(staged(chosen, "turn", self.size, 24), ["node", "bucket"], "left_semi")
             mixed = mixed.join(chosen.select("bucket").distinct(), "bucket", "left_semi")
         cuts = F.ceil(F.col("n") / BLOCK).cast("int")
