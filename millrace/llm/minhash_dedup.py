@@ -10,10 +10,11 @@ connected component of links.
   soon as its next arrival comes after the last first arrival of all registers.
 * Documents with equal weights are one node; copies never meet as pairs.
 * 24 bands of four registers: a pair of similarity 0.8 shares no band with a probability of 3e-6.
+* Of buckets that hold the same nodes one is looked at.
 * Within a bucket each node is compared with two centres. Where a bucket then still holds several
   components, the nodes outside its main component are held against all nodes of other components, in blocks: first each
-  names the one it differs least from, round after round while that finds links; then all pairs left are compared, so that
-  no link between components is missed.
+  names the one it differs least from, round after round while that joins enough of them; then all pairs left are compared, so
+  that no link between components is missed.
 * Pairs that cannot be similar enough are left out there by two bounds, not guesses: one of the two has too many
   shingles found nowhere else, or the parities of their shingles, counted in 1,024 classes, differ in more classes than
   the difference of two similar documents has shingles. They keep families of loosely similar documents from
@@ -53,6 +54,8 @@ MARKS = 16
 BLOCK = 4096
 # Centres of a bucket that each of its nodes is compared with first.
 CENTRES = 2
+# Another round is held after one that found a link for one in so many of its nodes at least.
+ROUND_SHARE = 50
 # Shingle ids within a batch: the text's number above 52 bits of hash.
 ID_BITS = np.uint64(52)
 ID_MASK = np.uint64((1 << 52) - 1)
@@ -254,7 +257,7 @@ def _candidates(best: bool):
     """Pairs of a block of a bucket that lie in different components and may be similar.
 
     With ``best`` each node outside the main component names one of another component, the one that differs least;
-    else all pairs, each in the first bucket that it shares.
+    else all pairs, each in the first bucket that it shares (``bands`` are 0 where the bucket is not looked at).
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -275,7 +278,7 @@ def _candidates(best: bool):
             else:
                 good &= (right["component"] == right["main"])[None, :] | (some["node"][:, None] < right["node"][None, :])
                 x, y = np.nonzero(good)
-                same = some["bands"][x] == right["bands"][y]
+                same = (some["bands"][x] == right["bands"][y]) & (some["bands"][x] != 0)
                 once = some["bands"][x, same.argmax(axis=1)] == some["bucket"][x]
                 x, y = x[once], y[once]
             found.append((some["node"][x], right["node"][y]))
@@ -293,7 +296,7 @@ class _Search:
     """Nodes, their buckets and their texts, and the links found so far."""
 
     def __init__(self, docs: DataFrame, id_column: str, rows: DataFrame):
-        self.nodes = staged(
+        nodes = staged(
             rows.where("not wordless")
             .groupBy("node")
             .agg(F.min_by(F.struct("k", "bands", "signature"), "k").alias("d"))
@@ -302,19 +305,30 @@ class _Search:
             rows.count(),
             WIDE,
         )
-        size = self.nodes.count()
-        members = self.nodes.select("node", F.explode("bands").alias("bucket"))
-        crowded = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-        crowded = staged(crowded.where("low <> high").select("bucket"), "crowded", size * BANDS, 24)
-        met = staged(members.join(crowded, "bucket"), "met", size * BANDS, 24)
+        self.signatures = nodes.select("node", "signature")
+        size = nodes.count()
+        members = nodes.select("node", F.explode("bands").alias("bucket"))
+        crowded = members.groupBy("bucket").agg(
+            F.min("node").alias("low"),
+            F.max("node").alias("high"),
+            F.count("*").alias("n"),
+            *[F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"all{i}") for i in range(2)],
+        )
+        # Nodes that are alike meet in most of their buckets; of those with the same nodes (128 bits tell sets apart) one stays.
+        crowded = crowded.where("low <> high").groupBy("low", "high", "n", "all0", "all1").agg(F.min("bucket").alias("bucket"))
+        crowded = staged(crowded.select("bucket"), "crowded", size * BANDS, 24)
+        met = staged(members.join(crowded, "bucket", "left_semi"), "met", size * BANDS, 24)
         self.n_members = met.count()
         # Only nodes that share a bucket are looked at from here on.
-        wanted = staged(self.nodes.select("node", "k").join(met.select("node").distinct(), "node"), "wanted", size, 24)
+        wanted = staged(nodes.select("node", "k").join(met.select("node").distinct(), "node"), "wanted", size, 24)
         self.size = wanted.count()
         texts = docs.select(F.xxhash64(id_column, F.coalesce("text", F.lit(""))).alias("k"), "text")
         texts = may_have(texts, wanted.select("k")).join(wanted, "k").select("node", "text")
         self.texts = staged(texts.dropDuplicates(["node"]), "texts", self.size, TEXT)
         self.members = staged(met.join(self.alone(), "node"), "members", self.n_members, 64)
+        kept = met.groupBy("node").agg(F.collect_list("bucket").alias("kept"))
+        bands = F.transform("bands", lambda b: F.when(F.array_contains("kept", b), b).otherwise(0))
+        self.nodes = staged(nodes.join(kept, "node").select("node", bands.alias("bands")), "banded", self.size, 240)
 
     def alone(self) -> DataFrame:
         """(node, size, alone, plain): all weight, that of shingles no other node of these has, and whether all weigh one."""
@@ -332,10 +346,9 @@ class _Search:
         n = pairs.count()
         if not n:
             return pairs
-        sig = self.nodes.select("node", "signature")
         alike = (
-            pairs.join(sig.toDF("a", "sig_a"), "a")
-            .join(sig.toDF("b", "sig_b"), "b")
+            pairs.join(self.signatures.toDF("a", "sig_a"), "a")
+            .join(self.signatures.toDF("b", "sig_b"), "b")
             .select("a", "b", "sig_a", "sig_b")
         )
         alike = gathered(alike, n, 2 * WIDE).mapInArrow(per_batch(_alike), "a long, b long")
@@ -356,9 +369,11 @@ class _Search:
         ranks = [F.struct(F.col("alone") / F.col("size"), "node"), F.struct(F.lit(0.0), "node")]
         ranks += [F.struct(F.xxhash64("node", "bucket", F.lit(i)).cast("double"), "node") for i in range(CENTRES - 2)]
         centres = self.members.groupBy("bucket").agg(*[F.min_by(node, r).alias(f"c{i}") for i, r in enumerate(ranks)])
-        centres = centres.select("bucket", F.explode(F.array_distinct(F.array(*[f"c{i}" for i in range(CENTRES)]))).alias("c"))
-        centres = staged(centres.select("bucket", "c.*"), "centres", self.n_members, 48)
-        pairs = self.members.alias("m").join(centres.alias("c"), "bucket").where("m.node <> c.node").where(ROOM)
+        centres = centres.select("bucket", F.array_distinct(F.array(*[f"c{i}" for i in range(CENTRES)])).alias("all"))
+        centres = staged(centres, "centres", self.n_members, 48)
+        # One row of centres for each member; pairs are made of it.
+        met = self.members.join(centres, "bucket").select(node.alias("m"), F.explode("all").alias("c"))
+        pairs = met.where("m.node <> c.node").where(ROOM)
         compared = staged(pairs.select(*_pair()).distinct(), "pairs", self.n_members, 24)
         links = self.verify(compared)
         component = staged(connected(links), "component", self.size, 24)
@@ -368,14 +383,19 @@ class _Search:
             if mixed is None:
                 return component
             # Components that belong together grow together by a link a node; what is then still apart is compared whole.
-            named = self.named(self.blocks(mixed, turn), True, compared)
+            blocks = self.blocks(mixed, turn)
+            named = self.named(blocks, True, compared)
             found = self.verify(named)
-            if found.isEmpty():
+            n_found = found.count()
+            if not n_found:
                 break
             compared = staged(compared.unionByName(named), "compared")
             links = staged(links.unionByName(found), "all-links")
             component = staged(connected(links), "component", self.size, 24)
             turn += 1
+            if n_found * ROUND_SHARE < blocks.where("left").agg(F.count_distinct("node")).first()[0]:
+                # The rest is compared under the components before this round, which are parts of the present ones.
+                break
         found = self.verify(self.named(self.blocks(mixed), False, compared))
         return component if found.isEmpty() else connected(links.unionByName(found))
 

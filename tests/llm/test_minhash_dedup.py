@@ -182,6 +182,43 @@ def test_buckets_of_a_turn_are_shared(spark):
     assert blocks.select("bucket").distinct().count() == 1 and blocks.where("left").count() == 50 == blocks.where("not left").count()
 
 
+def test_buckets_of_the_same_nodes_count_once(spark, monkeypatch):
+    """Two alike texts share many buckets and are members of one."""
+    made, staged = {}, M.staged
+
+    def noted(df, label, *more):
+        found = staged(df, label, *more)
+        made.setdefault(label, found.count())
+        return found
+
+    monkeypatch.setattr(M, "staged", noted)
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(10**6)}" for _ in range(300)]
+    texts = [" ".join(words), " ".join([*words[:-1], "x"]), " ".join(f"v{rng.randrange(10**6)}" for _ in range(300))]
+    found = M.near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.class_id) for r in found} == {(0, 0), (1, 0), (2, 2)}
+    assert made["crowded"] == 1 and made["met"] == 2 == made["banded"]
+
+
+def test_families_that_meet_in_many_buckets(spark, monkeypatch):
+    """Chains of near copies, each close to the next ones only: all links are found with rounds and without any."""
+    rng = random.Random(21)
+    rows = []
+    for family in range(4):
+        words = [f"f{family}w{rng.randrange(10**6)}" for _ in range(120)]
+        for _ in range(14):
+            words[rng.randrange(120)] = f"e{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    want = sorted(sorted(group) for group in brute_classes(rows))
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    for share in (1, 10**9):
+        monkeypatch.setattr(M, "ROUND_SHARE", share)
+        groups = {}
+        for r in M.near_duplicates(frame).collect():
+            groups.setdefault(r.class_id, []).append(r.doc_id)
+        assert sorted(map(sorted, groups.values())) == want
+
+
 def test_long_words_that_no_polynomial_tells_apart(spark):
     row = [0]
     while len(row) < 2048:
