@@ -170,9 +170,19 @@ def _totals(found: pa.Table) -> pa.Table:
     )
 
 
-def log_scores(grams: list[np.ndarray], keys: np.ndarray, totals: np.ndarray, n_words: int) -> np.ndarray:
-    """log S of each word."""
-    count = [np.where(g > 0, totals[np.minimum(np.searchsorted(keys, g), len(keys) - 1)], 0).astype(float) for g in grams]
+def placed(grams: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams, sorted, and where each of all n-grams (by length, then place) stands among them."""
+    return np.unique(np.concatenate([g[g > 0] for g in grams]), return_inverse=True)
+
+
+def log_scores(grams: list[np.ndarray], which: np.ndarray, totals: np.ndarray, n_words: int) -> np.ndarray:
+    """log S of each word; ``which`` as ``placed`` gives it, with the total of each distinct n-gram."""
+    count, first = [np.zeros(len(g)) for g in grams], 0
+    for c, g in zip(count, grams):
+        there = g > 0
+        last = first + np.count_nonzero(there)
+        c[there] = totals[which[first:last]]
+        first = last
     score = np.log(count[0] / n_words)
     for n in range(1, len(grams)):
         history = np.concatenate([[1.0], count[n - 1][:-1]])
@@ -198,12 +208,13 @@ def backoff_scores(docs: DataFrame, id_column: str = "doc_id", text_column: str
     def score(chunk: pa.Table, answer: pa.Table) -> pa.Table:
         docs = pa.concat_tables([read_chunk(d) for d in chunk["data"].to_pylist()])
         grams, bounds = n_grams(texts_of(docs.combine_chunks().to_batches()[0]), order)
-        keys = np.unique(np.concatenate([g[g > 0] for g in grams]))
+        # One sort gives the n-grams asked for and their places; looking each up would cost twice that.
+        keys, which = placed(grams)
         answer = answer.sort_by("part")
         totals = np.concatenate([np.zeros(0, dtype=np.uint64), *[unpacked(a) for a in answer["answer"].to_pylist()]])
         if len(totals) != len(keys):
             raise ValueError("counts and n-grams of a chunk differ")
-        each = log_scores(grams, keys, totals, n_words) if len(keys) else np.zeros(0)
+        each = log_scores(grams, which, totals, n_words) if len(keys) else np.zeros(0)
         sums = np.concatenate([[0.0], np.cumsum(each)])
         total = sums[bounds[1:]] - sums[bounds[:-1]]
         return pa.table({id_column: docs[id_column], "n_words": pa.array(np.diff(bounds)), "log_score": pa.array(total)})

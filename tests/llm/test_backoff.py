@@ -2,6 +2,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from millrace.llm import backoff as B
@@ -37,12 +38,23 @@ def test_scores_equal_brute_force(spark, corpus, monkeypatch, order, chunk):
 
 
 def test_packing_of_numbers():
-    import numpy as np
-
     numbers = np.array([0, 1, 2**56 - 1, 5], dtype=np.uint64)
     assert B.unpacked(B.packed(numbers)).tolist() == numbers.tolist()
     assert B.unpacked(B.packed(numbers[:0])).tolist() == []
 
 
+def test_totals_are_taken_by_place():
+    """A chunk's n-grams are sorted once; their totals are then found without looking hashes up."""
+    grams, bounds = B.n_grams(["a b a b", "", "b"], 2)
+    keys, which = B.placed(grams)
+    assert len(keys) == 4 and len(which) == 5 + 3
+    totals = np.zeros(4, dtype=np.uint64)
+    np.add.at(totals, which, 1)
+    want = [math.log(2 / 5), 0.0, math.log(2 / 3), 0.0, math.log(3 / 5)]
+    # "b a" occurs once only: back off to a.
+    want[1], want[2], want[3] = math.log(2 / 2), math.log(B.ALPHA * 2 / 5), math.log(2 / 2)
+    assert B.log_scores(grams, which, totals, 5) == pytest.approx(want)
+
+
 def test_nothing(nothing):
     assert B.backoff_scores(nothing).count() == 0
