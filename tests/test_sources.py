@@ -433,3 +433,61 @@ def test_the_look_at_first_lines_reads_no_more(spark, put):
     seen = listing.first_shapes(spark, folder, lambda line: line)
     assert [[f.rsplit("/", 1)[-1] for f in files] for files in seen.values()] == [["a.csv", "b.csv"]]
     assert list(seen) == ["a,b"]
+
+
+def test_a_large_json_list_is_read_bit_by_bit(spark, put, monkeypatch):
+    """No task gets or hands on a text that grows with the file."""
+    put("a.json", "[\n" + ",\n".join(f'{{"a":{i},"s":"{"x" * 40}"}}' for i in range(20_000)) + "\n]\n")
+    folder = put("b.json", '{\n"a": 20000\n}\n')
+    frame = type(spark.range(0))
+    plain = frame.mapInArrow
+
+    def bounded(batches):
+        for batch in batches:
+            longest = max((len(v or "") for v in batch.column("value").to_pylist()), default=0)
+            if longest > 1 << 17:
+                raise MemoryError(f"a text of {longest} characters")
+            yield batch
+
+    def watched(df, task, kind, *rest):
+        got = plain(plain(df, bounded, df.schema), task, kind, *rest)
+        return plain(got, bounded, kind) if got.columns == ["value"] else got
+
+    monkeypatch.setattr(frame, "mapInArrow", watched)
+    got = jsonfiles.scan_json(spark, folder, "a long, s string").selectExpr("count(*)", "sum(a)", "sum(length(s))")
+    assert tuple(got.first()) == (20_001, 20_000 * 20_001 // 2, 800_000)
+
+
+@pytest.mark.parametrize("size", [1, 2, 7, 1000])
+@pytest.mark.parametrize(
+    "document",
+    [
+        '\ufeff\n[{\n"a": 1,\n"s": "}, {"\n}, {\n"a": [2,\n{"b": "\\"]"}]\n}\n,\nnull,\n[3\n]\n]\n\n', "[\n]", "[]", "7",
+        '{\n"a":\n[1,\n2],\n\n"s": "["\n}\n \n', '[\n{"a":1}, {"a":2},\n{"a":3}, {\n"a":\n4}]', '[\n[]\n,[\n\n]]',
+    ],
+)
+def test_records_of_a_document_in_pieces(document, size):
+    """Texts of some lines each give the records that the whole gives, wherever lines end."""
+    import json
+
+    lines = document.splitlines(keepends=True)
+    texts = ["".join(lines[i : i + size]) + "\n" for i in range(0, len(lines), size)]
+    want = json.loads(document.lstrip("\ufeff"))
+    got = [json.loads(part) for lists in jsonfiles.records_of("f", iter(texts)) for part in lists]
+    assert (sum(got, []) if isinstance(want, list) else got) == (want if isinstance(want, list) else [want])
+
+
+@pytest.mark.parametrize("size", [1, 1000])
+@pytest.mark.parametrize(
+    ("document", "message"),
+    [
+        ('[\n{"a":1},\n{"a":2}\n', "ends within"), ('{\n"a":1\n', "ends within"), ('[\n{"a":1},\n', "ends within"), ('[\n{"a":1\n,', "ends within"),
+        ('[\n{"a":1}\n{"a":2}\n]', "no comma"), ('[\n{"a":1},\n]', "Expecting value"), ('[\n,\n]', "Expecting value"),
+        ('[\n{"a":"x\ny"}\n]', "control character"), ('[\n{"a":tru}\n]', "Expecting value"), ('[\n]\n]', "after the first"), ('{\n}\n{', "after the first"),
+    ],
+)
+def test_a_broken_document_ends_the_load(document, message, size):
+    lines = document.splitlines(keepends=True)
+    texts = ["".join(lines[i : i + size]) + "\n" for i in range(0, len(lines), size)]
+    with pytest.raises(ValueError, match=f"f: .*{message}"):
+        list(jsonfiles.records_of("f", iter(texts)))
