@@ -491,3 +491,25 @@ def test_a_broken_document_ends_the_load(document, message, size):
     texts = ["".join(lines[i : i + size]) + "\n" for i in range(0, len(lines), size)]
     with pytest.raises(ValueError, match=f"f: .*{message}"):
         list(jsonfiles.records_of("f", iter(texts)))
+
+
+def test_first_lines_where_settings_do_not_hold(spark, put, rows, monkeypatch):
+    """A session may keep its own sizes of parts: then tasks get parts of files, or several files."""
+    put("a.json", "[\n" + ",\n".join(f'{{"a":{i}}}' for i in range(3_000)) + "\n]\n")
+    put("b.json", " \n" * 3_000 + "".join(f'{{"a":{i}}}\n' for i in range(3_000, 4_000)))
+    for i in range(4_000, 4_010):
+        folder = put(f"{i}.json", f'{{\n"a": {i}\n}}\n')
+    kind, plain = type(spark.conf), type(spark.conf).set
+    for sizes in ({"maxPartitionBytes": "2000", "openCostInBytes": "1"}, {"maxPartitionNum": "2"}):
+        settings = {f"spark.sql.files.{key}": value for key, value in sizes.items()}
+        before = {key: spark.conf.get(key, None) for key in settings}
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        monkeypatch.setattr(kind, "set", lambda self, key, value: None if key in settings else plain(self, key, value))
+        try:
+            got = rows(jsonfiles.scan_json(spark, folder, "a long"))
+        finally:
+            monkeypatch.undo()
+            for key, value in before.items():
+                spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+        assert sorted(got) == [(i,) for i in range(4_010)]
